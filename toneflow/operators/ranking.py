@@ -131,6 +131,9 @@ def number_rows(
     within one cell: a group that holds a third of all rows is still spread
     over as many tasks as it has cells.
     """
+    if not levels:
+        position = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
+        return df.withColumn(name, position)
     keyed, names = df, []
     for i, level in enumerate(levels):
         fields = [f"_l{i}_{j}" for j in range(len(level))]

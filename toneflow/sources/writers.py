@@ -15,6 +15,8 @@ from toneflow.sources.readers import is_csv
 CSV_WRITE = {
     "header": "true", "escape": '"',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from toneflow.operators import articles
@@ -20,7 +21,12 @@ from toneflow.sources.writers import write_table
 
 PARTIAL = ("date date, ticker string, n bigint, n_pos bigint, n_neg bigint, "
            "n_scored bigint, mean double, m2 double, bucket int, batch bigint")
-TREND = DAILY.simpleString()[7:-1] + ",rolling_mean:double,rolling_z:double,bucket:int"
+TREND = T.StructType([
+    *DAILY.fields,
+    T.StructField("rolling_mean", T.DoubleType()),
+    T.StructField("rolling_z", T.DoubleType()),
+    T.StructField("bucket", T.IntegerType()),
+])
 
 
 def day_sums(df: DataFrame, buckets: int) -> DataFrame:
@@ -76,7 +82,7 @@ def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buc
                .select("bucket").distinct().collect()]
     if touched:
         days = merge_sums(stored.where(F.col("bucket").isin(*touched)))
-        trend = rolling_trend(days, window)
+        trend = rolling_trend(days, window).select(*TREND.names)
         write_table(trend, f"{out_dir}/daily", "parquet", ("bucket",), dynamic=True)
 
 
