@@ -29,14 +29,14 @@ _ACC = f"""{sql.WIDE}, acc AS (
          avg(CAST(pred = true_label AS INT)) AS accuracy FROM long GROUP BY 1)"""
 
 
-@query("met1_accuracy", f"WITH {_ACC} SELECT model, n, n_correct, round(accuracy, 6) + 0.0 AS accuracy FROM acc")
+@query("met1_accuracy", f"WITH {_ACC} SELECT model, n, n_correct, round_even(accuracy, 6) + 0.0 AS accuracy FROM acc")
 def met1(spark, d):
     return shown(E.accuracy(counts(spark, d)), "accuracy")
 
 
 @query("met2_class_accuracy", f"""WITH {sql.WIDE}
 SELECT model, true_label, count(*) AS support, CAST(sum(CAST(pred = true_label AS INT)) AS BIGINT) AS n_correct,
-  round(avg(CAST(pred = true_label AS INT)), 6) + 0.0 AS accuracy FROM long GROUP BY 1, 2""")
+  round_even(avg(CAST(pred = true_label AS INT)), 6) + 0.0 AS accuracy FROM long GROUP BY 1, 2""")
 def met2(spark, d):
     return shown(E.class_accuracy(counts(spark, d)), "accuracy")
 
@@ -75,7 +75,7 @@ def met5(spark, d):
 
 @query("met6_prediction_distribution", f"""WITH {sql.WIDE}
 SELECT model, pred, count(*) AS n,
-  round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY model), 6) + 0.0 AS pct FROM long GROUP BY 1, 2""")
+  round_even(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY model), 6) + 0.0 AS pct FROM long GROUP BY 1, 2""")
 def met6(spark, d):
     return shown(E.prediction_distribution(counts(spark, d)), "pct")
 
@@ -84,7 +84,7 @@ def _agreement_sql(where: str) -> str:
     pairs = (("a", "b"), ("a", "c"), ("b", "c"))
     return f"WITH {sql.WIDE}, kept AS (SELECT * FROM wide WHERE {where}) " + " UNION ALL ".join(
         f"SELECT '{x}' AS model_a, '{y}' AS model_b, count(*) FILTER ({x}_prediction = {y}_prediction) AS n_agree, "
-        f"count(*) AS n, round(avg(CAST({x}_prediction = {y}_prediction AS INT)) * 100, 6) + 0.0 AS pct FROM kept"
+        f"count(*) AS n, round_even(avg(CAST({x}_prediction = {y}_prediction AS INT)) * 100, 6) + 0.0 AS pct FROM kept"
         for x, y in pairs)
 
 
@@ -99,16 +99,16 @@ def met7_polar(spark, d):
 
 
 @query("met8_winner", f"""WITH {_ACC}
-SELECT model, round(accuracy, 6) + 0.0 AS accuracy FROM acc ORDER BY acc.accuracy DESC, model LIMIT 1""")
+SELECT model, round_even(accuracy, 6) + 0.0 AS accuracy FROM acc ORDER BY acc.accuracy DESC, model LIMIT 1""")
 def met8(spark, d):
     return shown(E.winner(E.accuracy(counts(spark, d)), MODELS), "accuracy")
 
 
 @query("met9_compare_runs", f"""WITH {sql.SCORES}, a AS (SELECT label, f1 FROM scores WHERE model = 'b'),
 b AS (SELECT label, f1 FROM scores WHERE model = 'a')
-SELECT label, round(a.f1, 6) + 0.0 AS f1_before, round(b.f1, 6) + 0.0 AS f1_after,
-  round(b.f1 - a.f1, 6) + 0.0 AS f1_change,
-  CASE WHEN a.f1 <> 0 THEN round((b.f1 - a.f1) / a.f1, 6) + 0.0 END AS f1_relative
+SELECT label, round_even(a.f1, 6) + 0.0 AS f1_before, round_even(b.f1, 6) + 0.0 AS f1_after,
+  round_even(b.f1 - a.f1, 6) + 0.0 AS f1_change,
+  CASE WHEN a.f1 <> 0 THEN round_even((b.f1 - a.f1) / a.f1, 6) + 0.0 END AS f1_relative
 FROM a FULL JOIN b USING (label)""")
 def met9(spark, d):
     scores = E.label_scores(counts(spark, d))
@@ -117,14 +117,14 @@ def met9(spark, d):
 
 
 @query("met10_confidence_summary", f"""WITH {sql.WIDE}
-SELECT model, pred, round(avg(confidence), 6) + 0.0 AS avg_confidence,
+SELECT model, pred, round_even(avg(confidence), 6) + 0.0 AS avg_confidence,
   CAST(sum(CAST(pred = true_label AS INT)) AS BIGINT) AS n_correct, count(*) AS n FROM long GROUP BY 1, 2""")
 def met10(spark, d):
     return shown(E.confidence_summary(E.to_long(wide(spark, d), MODELS)), "avg_confidence")
 
 
 @query("snk5_wide_and_long", f"""WITH {sql.WIDE}
-SELECT row_id, true_label, {', '.join(f'{m}_prediction, round({m}_confidence, 6) + 0.0 AS {m}_confidence, '
+SELECT row_id, true_label, {', '.join(f'{m}_prediction, round_even({m}_confidence, 6) + 0.0 AS {m}_confidence, '
                                       f'{m}_prediction = true_label AS {m}_correct' for m in MODELS)} FROM wide""")
 def snk5_wide(spark, d):
     back = E.to_wide(E.to_long(wide(spark, d), MODELS), MODELS)

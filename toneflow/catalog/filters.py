@@ -84,7 +84,7 @@ def prd6_all(spark, d):
 
 
 @query("prd7_alert_predicate", f"""WITH {sql.trend(5)}
-SELECT date, ticker, round(rolling_z, 6) + 0.0 AS z FROM trend WHERE abs(rolling_z) >= 1.5""")
+SELECT date, ticker, round_even(rolling_z, 6) + 0.0 AS z FROM trend WHERE abs(rolling_z) >= 1.5""")
 def prd7(spark, d):
     per_day = daily.daily_ticker_aggregate(daily.prepare_articles(fixtures.events_as_articles(spark, d)))
     return daily.detect_alerts(daily.rolling_trend(per_day, 5), 1.5) \

@@ -55,7 +55,7 @@ def labelled(spark, d):
 
 
 @query("build_labelled_dataset", f"""WITH {sql.RAW}
-SELECT doc_id, {sql.label_of(_LEX)} AS weak_label, round({_LEX}, 6) + 0.0 AS lex_score FROM raw""")
+SELECT doc_id, {sql.label_of(_LEX)} AS weak_label, round_even({_LEX}, 6) + 0.0 AS lex_score FROM raw""")
 def build_labelled(spark, d):
     return labelled(spark, d).select("doc_id", "weak_label", sql.r6("lex_score").alias("lex_score"))
 
@@ -113,7 +113,7 @@ _UP, _DOWN = ("((length(text) - length(replace(text, '" + w + "', ''))) / " + st
 
 @query("ml3_plugin_scoring", f"""SELECT doc_id,
   CASE WHEN (1 + {_UP}) / (2 + {_UP} + {_DOWN}) >= 0.5 THEN 'positive' ELSE 'negative' END AS model_label,
-  round(greatest((1 + {_UP}) / (2 + {_UP} + {_DOWN}), 1 - (1 + {_UP}) / (2 + {_UP} + {_DOWN})), 6) + 0.0 AS confidence
+  round_even(greatest((1 + {_UP}) / (2 + {_UP} + {_DOWN}), 1 - (1 + {_UP}) / (2 + {_UP} + {_DOWN})), 6) + 0.0 AS confidence
 FROM documents""")
 def ml3(spark, d):
     scored = M.score_texts(fixtures.documents(spark, d), "text", KeywordScorer)
@@ -177,7 +177,7 @@ def stm2(spark, d):
 @query("stm3_stream_daily", f"""WITH {sql.trend(7)}
 SELECT 'daily' AS kind, date, ticker, article_count, {sql.rounded(('mean_score', 'sentiment_volatility', 'rolling_z'))}
 FROM trend UNION ALL
-SELECT 'alert', date, ticker, NULL, NULL, NULL, round(rolling_z, 6) + 0.0 FROM trend WHERE abs(rolling_z) >= 2.0""")
+SELECT 'alert', date, ticker, NULL, NULL, NULL, round_even(rolling_z, 6) + 0.0 FROM trend WHERE abs(rolling_z) >= 2.0""")
 def stm3(spark, d):
     landed, out = scratch_path(use_utc(spark), "labelled"), scratch_path(spark, "live")
     # Three files, dealt out by key, so that every day is touched by several batches.

@@ -17,7 +17,7 @@ COMMON = L.Lexicon(positive=("the", "and", "for"), negative=("of", "to", "with")
 SCORE = sql.lexicon_score("text", COMMON.positive, COMMON.negative)
 
 
-@query("lab1_lexicon_score", f"SELECT doc_id, round({SCORE}, 6) + 0.0 AS score FROM documents")
+@query("lab1_lexicon_score", f"SELECT doc_id, round_even({SCORE}, 6) + 0.0 AS score FROM documents")
 def lab1(spark, d):
     return fixtures.documents(spark, d).select(
         "doc_id", sql.r6(L.score_lexicon(F.col("text"), COMMON)).alias("score"))
@@ -39,7 +39,7 @@ _TABLE = """lexicon AS (
   SELECT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z'']+'))) AS word FROM documents),
 scored AS (SELECT doc_id, sum(polarity) / CAST(count(*) AS DOUBLE) AS score
   FROM tokens JOIN lexicon USING (word) GROUP BY 1)
-SELECT doc_id, round(coalesce(score, 0.0), 6) + 0.0 AS score FROM documents LEFT JOIN scored USING (doc_id)""")
+SELECT doc_id, round_even(coalesce(score, 0.0), 6) + 0.0 AS score FROM documents LEFT JOIN scored USING (doc_id)""")
 def lab2(spark, d):
     from pyspark.sql import Window
 
@@ -61,7 +61,7 @@ def lab3(spark, d):
 
 
 @query("lab4_lexicon_label",
-       f"SELECT doc_id, {sql.label_of(SCORE)} AS label, round({SCORE}, 6) + 0.0 AS score FROM documents")
+       f"SELECT doc_id, {sql.label_of(SCORE)} AS label, round_even({SCORE}, 6) + 0.0 AS score FROM documents")
 def lab4(spark, d):
     found = fixtures.documents(spark, d).select(
         "doc_id", L.lexicon_label(F.col("text"), COMMON).alias("x"))
@@ -95,7 +95,7 @@ def lab5(spark, d):
 @query("lab6_weak_labels", f"""WITH m AS (
   SELECT doc_id, {sql.label_of(SCORE)} AS lex_label, {SCORE} AS lex_score, {_MODEL_SQL.format('doc_id')}
   FROM documents)
-SELECT doc_id, lex_label, round(lex_score, 6) + 0.0 AS lex_score, model_label,
+SELECT doc_id, lex_label, round_even(lex_score, 6) + 0.0 AS lex_score, model_label,
   CASE WHEN top IS NULL THEN lex_label ELSE {_COMBINED.format('lex_label')} END AS weak_label FROM m""")
 def lab6(spark, d):
     df = _with_model(fixtures.documents(spark, d), "doc_id")
@@ -112,7 +112,7 @@ def lab7(spark, d):
 
 
 @query("lab8_prob_score", f"""WITH {sql.EVENTS}
-SELECT hash, round(CASE WHEN k % 3 = 0 THEN -(1 - k / 100.0) WHEN k % 3 = 1 THEN k / 100.0
+SELECT hash, round_even(CASE WHEN k % 3 = 0 THEN -(1 - k / 100.0) WHEN k % 3 = 1 THEN k / 100.0
   ELSE k / 100.0 - (1 - k / 100.0) END, 6) + 0.0 AS score FROM ev""")
 def lab8(spark, d):
     p = F.col("k") / 100.0
@@ -128,7 +128,7 @@ _INDEX = "row_number() OVER (PARTITION BY ticker ORDER BY published_at DESC, has
 
 
 @query("lab9_decay_weight", f"""WITH {sql.EVENTS}, i AS (SELECT hash, ticker, {_INDEX} AS index FROM ev)
-SELECT hash, ticker, index, round(pow(0.5, index / 50.0), 6) + 0.0 AS weight FROM i""")
+SELECT hash, ticker, index, round_even(pow(0.5, index / 50.0), 6) + 0.0 AS weight FROM i""")
 def lab9(spark, d):
     df = recency_index(articles.per_ticker(fixtures.events_as_articles(spark, d)))
     return df.select("hash", "ticker", "index", sql.r6(L.decay_weight(F.col("index"))).alias("weight"))
@@ -136,7 +136,7 @@ def lab9(spark, d):
 
 @query("lab9_decayed_tone", f"""WITH {sql.ORDERS}, i AS (
   SELECT ticker, pow(0.5, ({_INDEX}) / 50.0) AS w, {sql.SCORE} AS s FROM ev)
-SELECT ticker, round(sum(w * s) / sum(w), 6) + 0.0 AS decayed_score, count(*) AS n FROM i GROUP BY 1""")
+SELECT ticker, round_even(sum(w * s) / sum(w), 6) + 0.0 AS decayed_score, count(*) AS n FROM i GROUP BY 1""")
 def lab9_tone(spark, d):
     df = articles.per_ticker(prepare_articles(fixtures.orders_as_articles(spark, d)))
     return decayed_tone(df).select("ticker", sql.r6("decayed_score").alias("decayed_score"), "n")
@@ -172,12 +172,12 @@ def lab11(spark, d):
   SELECT hash, exp(a - greatest(a, b, c)) AS x, exp(b - greatest(a, b, c)) AS y,
          exp(c - greatest(a, b, c)) AS z FROM l)
 SELECT hash, CASE WHEN x >= y AND x >= z THEN 'negative' WHEN y >= z THEN 'neutral' ELSE 'positive' END AS label,
-  round(greatest(x, y, z) / (x + y + z), 6) AS confidence, round(z / (x + y + z), 6) AS p_positive FROM e""")
+  round_even(greatest(x, y, z) / (x + y + z), 6) AS confidence, round_even(z / (x + y + z), 6) AS p_positive FROM e""")
 def lab12(spark, d):
     logits = F.array(F.col("k") / 20.0, F.col("value") / 10.0, F.lit(1.5))
     best = fixtures.events_as_articles(spark, d).select("hash", L.decide(L.softmax(logits)).alias("x"))
-    return best.select("hash", "x.label", F.round("x.confidence", 6).alias("confidence"),
-                       F.round(F.col("x.probs")["positive"], 6).alias("p_positive"))
+    return best.select("hash", "x.label", F.bround("x.confidence", 6).alias("confidence"),
+                       F.bround(F.col("x.probs")["positive"], 6).alias("p_positive"))
 
 
 @query("lab13_label_ids", f"""WITH {sql.EVENTS}

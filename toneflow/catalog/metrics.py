@@ -41,7 +41,7 @@ def agg1_one(spark, d):
 @query("agg2_period_summary", f"""WITH {sql.daily()}, s AS (
   SELECT ticker, CAST(sum(article_count) AS BIGINT) AS total_articles, count(*) AS n_days,
          min(date) AS first_date, max(date) AS last_date, avg(mean_score) AS m FROM daily GROUP BY 1)
-SELECT ticker, total_articles, n_days, first_date, last_date, round(m, 6) + 0.0 AS avg_sentiment,
+SELECT ticker, total_articles, n_days, first_date, last_date, round_even(m, 6) + 0.0 AS avg_sentiment,
        {sql.label_of('m')} AS verdict FROM s""")
 def agg2(spark, d):
     return daily.period_summary(per_day(spark, d)) \
@@ -51,7 +51,7 @@ def agg2(spark, d):
 @query("agg3_label_distribution", f"""WITH {sql.EVENTS}, domain(label) AS (VALUES ('negative'), ('neutral'), ('positive')),
 used AS (SELECT CASE WHEN weak_label = 'neutral' THEN 'mixed' ELSE weak_label END AS l FROM ev)
 SELECT label, (SELECT count(*) FROM used WHERE l = label) AS n,
-  round((SELECT count(*) FROM used WHERE l = label) * 100.0 / (SELECT count(*) FROM used), 6) + 0.0 AS pct FROM domain""")
+  round_even((SELECT count(*) FROM used WHERE l = label) * 100.0 / (SELECT count(*) FROM used), 6) + 0.0 AS pct FROM domain""")
 def agg3(spark, d):
     label = F.when(F.col("weak_label") == "neutral", "mixed").otherwise(F.col("weak_label"))
     df = fixtures.events_as_articles(spark, d).withColumn("weak_label", label)
@@ -59,35 +59,35 @@ def agg3(spark, d):
 
 
 @query("agg4_value_shares", f"""WITH {sql.GOLD}
-SELECT label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) + 0.0 AS pct
+SELECT label, count(*) AS n, round_even(count(*) * 100.0 / sum(count(*)) OVER (), 6) + 0.0 AS pct
 FROM gold GROUP BY 1""")
 def agg4(spark, d):
     return daily.value_shares(fixtures.gold_labels(spark, d)).withColumn("pct", sql.r6("pct"))
 
 
 @query("agg5_class_weights", f"""WITH {sql.GOLD}
-SELECT label, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) + 0.0 AS weight
+SELECT label, count(*) AS n, round_even(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) + 0.0 AS weight
 FROM gold GROUP BY 1""")
 def agg5(spark, d):
     return class_weights(fixtures.gold_labels(spark, d)).withColumn("weight", sql.r6("weight"))
 
 
 @query("win1_rolling_mean", f"""WITH {sql.trend(7)}
-SELECT date, ticker, round(rolling_mean, 6) + 0.0 AS rolling_mean FROM trend""")
+SELECT date, ticker, round_even(rolling_mean, 6) + 0.0 AS rolling_mean FROM trend""")
 def win1(spark, d):
     return daily.rolling_trend(per_day(spark, d), 7) \
         .select("date", "ticker", sql.r6("rolling_mean").alias("rolling_mean"))
 
 
 @query("win2_rolling_z", f"""WITH {sql.trend(7)}
-SELECT date, ticker, round(rolling_z, 6) + 0.0 AS rolling_z FROM trend""")
+SELECT date, ticker, round_even(rolling_z, 6) + 0.0 AS rolling_z FROM trend""")
 def win2(spark, d):
     return daily.rolling_trend(per_day(spark, d), 7) \
         .select("date", "ticker", sql.r6("rolling_z").alias("rolling_z"))
 
 
 @query("win2_rolling_z_orders", f"""WITH {sql.trend(30, sql.ORDERS)}
-SELECT date, ticker, round(rolling_z, 6) + 0.0 AS rolling_z FROM trend""")
+SELECT date, ticker, round_even(rolling_z, 6) + 0.0 AS rolling_z FROM trend""")
 def win2_orders(spark, d):
     return daily.rolling_trend(per_day(spark, d, fixtures.orders_as_articles), 30) \
         .select("date", "ticker", sql.r6("rolling_z").alias("rolling_z"))

@@ -132,7 +132,7 @@ def snk3(spark, d):
 
 
 @query("snk4_report_tables", f"""WITH {sql.trend(7)}, alerts AS ({sql.alerts(2.0)})
-SELECT 'daily' AS kind, date, ticker, NULL AS alert_type, round(rolling_z, 6) + 0.0 AS z_value FROM trend
+SELECT 'daily' AS kind, date, ticker, NULL AS alert_type, round_even(rolling_z, 6) + 0.0 AS z_value FROM trend
 UNION ALL SELECT 'alert', date, ticker, alert_type, z_value FROM alerts""")
 def snk4(spark, d):
     per_day = daily.daily_ticker_aggregate(daily.prepare_articles(fixtures.events_as_articles(spark, d)))
@@ -146,7 +146,7 @@ def snk4(spark, d):
 
 
 @query("snk5_prediction_table", f"""WITH {sql.WIDE}
-SELECT row_id, true_label, a_prediction, round(a_confidence, 6) + 0.0 AS a_confidence,
+SELECT row_id, true_label, a_prediction, round_even(a_confidence, 6) + 0.0 AS a_confidence,
        a_prediction = true_label AS a_correct, c_prediction, c_prediction = true_label AS c_correct
 FROM wide""")
 def snk5(spark, d):

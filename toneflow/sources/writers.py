@@ -10,7 +10,7 @@ from toneflow.functions.dates import day, day_stamp
 from toneflow.operators.daily import detect_alerts, rolling_trend
 from toneflow.operators.evaluate import to_wide
 from toneflow.session import sized
-from toneflow.sources.readers import is_csv
+from toneflow.sources.readers import CSV_READ, is_csv
 
 CSV_WRITE = {
     "header": "true", "escape": '"',
@@ -75,19 +75,21 @@ def write_report(daily: DataFrame, out_dir: str, window: int = 7, z_threshold: f
                  file_format: str = "parquet") -> dict[str, str]:
     """Write daily metrics with their trend, then the alerts found in them.
 
-    Alerts are computed from the stored table, so the articles are aggregated
-    once.  Returns the two locations.
+    The rows leave the rolling window sorted by ticker and day, which keeps
+    row-group statistics selective; a folder per ticker would mean one tiny
+    file per ticker.  Alerts are computed from the stored table, so the
+    articles are aggregated once.  Returns the two locations.
     """
     paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in ("daily", "alerts")}
     trend = rolling_trend(daily, window)
-    write_table(trend.hint("rebalance", "ticker"), paths["daily"], file_format, ("ticker",))
+    write_table(trend, paths["daily"], file_format)
     spark = daily.sparkSession
     if file_format.lower() == "csv":
-        stored = spark.read.schema(trend.schema).option("header", True).csv(paths["daily"])
+        stored = spark.read.schema(trend.schema).options(**CSV_READ).csv(paths["daily"])
     else:
         stored = spark.read.schema(trend.schema).parquet(paths["daily"])
     alerts = detect_alerts(stored, z_threshold, window)
-    write_table(alerts.hint("rebalance", "ticker"), paths["alerts"], file_format, ("ticker",))
+    write_table(alerts, paths["alerts"], file_format)
     return paths
 
 
