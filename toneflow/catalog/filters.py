@@ -9,7 +9,7 @@ from toneflow.catalog import query, sql
 from toneflow.functions import labels as L
 from toneflow.functions import text as X
 from toneflow.operators import articles, daily
-from toneflow.plans.ingest import with_fields
+from toneflow.plans.ingest import STAMP, with_fields, with_key, with_time
 from toneflow.plans.labelling import label_missing
 
 TERMS = X.query_terms("the", "et la", [" und ", " ", "the"])
@@ -18,7 +18,7 @@ TERMS = X.query_terms("the", "et la", [" und ", " ", "the"])
 def raw_fields(spark, d):
     """Feed payloads with article fields; the document number is the arrival position."""
     raw = fixtures.raw_articles(spark, d).withColumnsRenamed({"article": "raw", "doc_id": "pos"})
-    return with_fields(raw)
+    return with_fields(with_key(raw))
 
 
 _BODY = "lower(concat_ws(' ', nullif(title, ''), nullif(description, ''), nullif(content, '')))"
@@ -67,8 +67,8 @@ def prd4(spark, d):
 @query("prd5_parsed_time", f"""WITH {sql.RAW}
 SELECT doc_id, epoch_us(published_at) AS published_us FROM keyed WHERE published_at IS NOT NULL""")
 def prd5(spark, d):
-    return articles.with_parsed_time(raw_fields(spark, d), "published_text") \
-        .select(F.col("pos").alias("doc_id"), F.unix_micros("published_at").alias("published_us"))
+    return with_time(raw_fields(spark, d)).select(
+        F.col("pos").alias("doc_id"), F.unix_micros("published_at").alias("published_us"))
 
 
 @query("prd6_ticker_member", f"WITH {sql.EVENTS} SELECT hash, weak_label FROM ev WHERE ticker = 'U1'")
@@ -122,7 +122,7 @@ def prd10(spark, d):
 SELECT title, source, epoch_us(published_at) AS published_us FROM keyed WHERE published_at IS NOT NULL
 ORDER BY published_at, hash, doc_id LIMIT 5""")
 def prd11(spark, d):
-    df = articles.with_parsed_time(raw_fields(spark, d), "published_text")
+    df = with_time(raw_fields(spark, d))
     return articles.preview(df, ("published_at", "hash", "pos")) \
         .select("title", "source", F.unix_micros("published_at").alias("published_us"))
 
@@ -189,4 +189,4 @@ def dt4(spark, d):
     from toneflow.functions import dates
 
     return raw_fields(spark, d).select(
-        F.col("pos").alias("doc_id"), dates.day_prefix(F.col("published_text")).alias("day"))
+        F.col("pos").alias("doc_id"), dates.day_prefix(STAMP).alias("day"))

@@ -30,9 +30,9 @@ def lab1_default(spark, d):
 
 
 _TABLE = """lexicon AS (
-  SELECT word, CASE WHEN row_number() OVER (ORDER BY n DESC, word) % 2 = 1 THEN 1 ELSE -1 END AS polarity
-  FROM (SELECT lower(w) AS word, count(*) AS n FROM (
-    SELECT unnest(regexp_extract_all(text, '[A-Za-z'']+')) AS w FROM benchmark) GROUP BY 1))"""
+  SELECT word, CASE WHEN length(word) % 2 = 1 THEN 1 ELSE -1 END AS polarity FROM (
+    SELECT DISTINCT lower(w) AS word FROM (
+      SELECT unnest(regexp_extract_all(text, '[A-Za-z'']+')) AS w FROM benchmark)))"""
 
 
 @query("lab2_lexicon_table", f"""WITH {_TABLE}, tokens AS (
@@ -41,15 +41,11 @@ scored AS (SELECT doc_id, sum(polarity) / CAST(count(*) AS DOUBLE) AS score
   FROM tokens JOIN lexicon USING (word) GROUP BY 1)
 SELECT doc_id, round_even(coalesce(score, 0.0), 6) + 0.0 AS score FROM documents LEFT JOIN scored USING (doc_id)""")
 def lab2(spark, d):
-    from pyspark.sql import Window
-
     from toneflow.functions.text import tokens
 
     words = fixtures.table(spark, d, "benchmark").select(F.explode(tokens(F.col("text"))).alias("word"))
-    # A word list is small by nature; ranking this one in a single group is the fixture.
-    ranked = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "word")))
-    lexicon = ranked.select("word", F.when(F.col("rank") % 2 == 1, 1).otherwise(-1).alias("polarity"))
+    lexicon = words.distinct().withColumn(
+        "polarity", F.when(F.length("word") % 2 == 1, 1).otherwise(-1))
     scored = score_by_table(fixtures.documents(spark, d), "doc_id", "text", lexicon)
     return scored.select("doc_id", sql.r6("lex_score").alias("score"))
 

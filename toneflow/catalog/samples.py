@@ -8,6 +8,7 @@ from toneflow import fixtures
 from toneflow.catalog import query, sql
 from toneflow.catalog.filters import raw_fields
 from toneflow.operators import articles, sampling
+from toneflow.plans.ingest import with_time
 
 _ORDER = "md5('42:' || doc_id), doc_id"
 
@@ -17,7 +18,7 @@ SELECT request, doc_id FROM firsts WHERE published_at IS NOT NULL AND source = '
 QUALIFY row_number() OVER (PARTITION BY request ORDER BY doc_id) <= 40""")
 def lim1(spark, d):
     unique = articles.first_arrivals(raw_fields(spark, d), ["request", "hash"], ["page_no", "pos"])
-    accepted = articles.with_parsed_time(unique.where("source = 'en'"), "published_text")
+    accepted = with_time(unique.where("source = 'en'"))
     return articles.first_accepted(accepted, 40, ["page_no", "pos"]) \
         .select("request", F.col("pos").alias("doc_id"))
 

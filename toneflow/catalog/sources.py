@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from toneflow import fixtures
 from toneflow.catalog import query, sql
 from toneflow.operators import articles, daily
-from toneflow.plans.ingest import accept, with_fields, with_tickers
-from toneflow.plans.labelling import weak_label
+from toneflow.plans.ingest import accept, with_fields, with_key, with_tickers
 from toneflow.schemas import LABELLED_ARTICLE
 from toneflow.session import scratch_path
 from toneflow.sources import readers, writers
@@ -106,8 +105,8 @@ modal AS (SELECT request, day FROM days
 SELECT hash, lower(request) AS ticker, day AS batch_date, title FROM en JOIN modal USING (request)""")
 def snk1(spark, d):
     raw = fixtures.raw_articles(spark, d).withColumnsRenamed({"article": "raw", "doc_id": "pos"})
-    unique = articles.first_arrivals(with_fields(raw), ["request", "hash"], ["page_no", "pos"])
-    kept = with_tickers(accept(unique, LANGUAGES)).drop("page_no", "pos", "published_text")
+    unique = articles.first_arrivals(with_key(raw), ["request", "hash"], ["page_no", "pos"])
+    kept = with_tickers(with_fields(accept(unique, LANGUAGES))).drop("page_no", "pos")
     path = scratch_path(spark, "articles")
     writers.write_articles(kept, path)
     return spark.read.schema("hash string, title string, ticker string, batch_date string") \

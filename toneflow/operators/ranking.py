@@ -72,15 +72,18 @@ def assign_parts(
             F.min(F.when(beyond, F.col("_end") - F.col("_n"))).alias(f"_start_{i}"),
             F.first(at).alias(f"_at_{i}"),
         ]
-    cut = sized(placed.groupBy(*groups).agg(*cuts))
-
+    cut = placed.groupBy(*groups).agg(*cuts)
     if strata:
         match = reduce(lambda a, b: a & b,
                        [F.col(s).eqNullSafe(F.col(f"_by_{s}")) for s in strata])
+        joined = keyed.join(sized(cut), match)
     else:
-        keyed = keyed.withColumn("_one", F.lit(0))
-        match = F.col("_one") == F.col("_by_")
-    joined = keyed.join(cut, match)
+        # One row for the whole table: its values become constants.
+        row = cut.first()
+        if row is None:
+            return df.withColumn(name, F.lit(0))
+        joined = keyed.withColumns(
+            {f.name: F.lit(row[f.name]).cast(f.dataType) for f in cut.schema.fields})
 
     numbers = range(len(quotas))
     on_cut = reduce(lambda a, b: a | b,

@@ -12,24 +12,32 @@ from toneflow.operators import articles
 from toneflow.operators.language import Profile, detect_language
 
 
-def with_fields(raw: DataFrame) -> DataFrame:
-    """Add defaults, the article key and the language; keeps the raw payload."""
-    title = text.or_default(F.col("raw.title"))
-    source = text.or_default(F.col("raw.source.name"), "unknown")
-    stamp = text.or_default(F.col("raw.publishedAt"))
-    return raw.withColumns({
-        "title": title,
-        "source": source,
+ARTICLE_COLUMNS = ("request", "hash", "source", "title", "description", "content",
+                   "published_at", "url", "language", "tickers", "raw")
+
+TITLE = text.or_default(F.col("raw.title"))
+SOURCE = text.or_default(F.col("raw.source.name"), "unknown")
+STAMP = text.or_default(F.col("raw.publishedAt"))
+
+
+def with_key(raw: DataFrame) -> DataFrame:
+    """Add the article key; the payload stays in ``raw``, so rows stay narrow."""
+    return raw.withColumn("hash", text.article_key(TITLE, SOURCE, STAMP))
+
+
+def with_fields(df: DataFrame) -> DataFrame:
+    """Unpack the payload, with defaults for what may be missing."""
+    return df.withColumns({
+        "title": TITLE,
+        "source": SOURCE,
         "description": F.col("raw.description"),
         "content": F.col("raw.content"),
         "url": F.col("raw.url"),
-        "published_text": stamp,
-        "hash": text.article_key(title, source, stamp),
     })
 
 
 def with_language(df: DataFrame, profile: Profile) -> DataFrame:
-    small = text.join_fields(F.col("title"), F.col("description"))
+    small = text.join_fields(TITLE, F.col("raw.description"))
     return df.withColumn("language", detect_language(small, profile))
 
 
@@ -44,10 +52,14 @@ def with_tickers(df: DataFrame, tickers: Sequence[str] | Column | None = None,
     return df.withColumn("tickers", text.tag_tickers(text.clean_text(whole), wanted, whole_words))
 
 
-def accept(raw: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
-    """Row-wise part of ingestion after deduplication: language and timestamp filters."""
-    kept = articles.in_language(with_language(raw, profile), language)
-    return articles.with_parsed_time(kept, "published_text")
+def with_time(df: DataFrame) -> DataFrame:
+    """Parse the publish time; rows without one are dropped."""
+    return articles.with_parsed_time(df.withColumn("_stamp", STAMP), "_stamp").drop("_stamp")
+
+
+def accept(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
+    """Language and timestamp filters, in this order after deduplication."""
+    return with_time(articles.in_language(with_language(df, profile), language))
 
 
 def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles: int = 500,
@@ -56,11 +68,9 @@ def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles:
 
     Duplicates are removed before the filters, so a rejected first copy also
     removes the later ones.  The limit counts accepted articles per request;
-    only those are cleaned and tagged.
+    only those are unpacked, cleaned and tagged.
     """
     arrival = ["page_no", "pos"]
-    unique = articles.first_arrivals(with_fields(raw), ["request", "hash"], arrival)
+    unique = articles.first_arrivals(with_key(raw), ["request", "hash"], arrival)
     accepted = articles.first_accepted(accept(unique, profile, language), max_articles, arrival)
-    return with_tickers(accepted, tickers).select(
-        "request", "hash", "source", "title", "description", "content", "published_at", "url",
-        "language", "tickers", "raw")
+    return with_tickers(with_fields(accepted), tickers).select(*ARTICLE_COLUMNS)

@@ -6,15 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from toneflow.operators.articles import with_parsed_time
 from toneflow.operators.language import Profile
-from toneflow.plans.ingest import accept, with_fields, with_tickers
+from toneflow.plans.ingest import ARTICLE_COLUMNS, accept, with_fields, with_key, with_tickers, with_time
 from toneflow.schemas import RAW_PAGE
 from toneflow.sources.readers import explode_pages
 
-ARTICLE_COLUMNS = ("request", "hash", "source", "title", "description", "content",
-                   "published_at", "url", "language", "tickers", "raw")
-
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Raw articles of pages as they land in a folder."""
@@ -24,12 +20,13 @@ def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
 
 def ingest_stream(raw: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
     """Row-wise ingestion: key, language, timestamp and tags; stateless."""
-    return with_tickers(accept(with_fields(raw), profile, language)).select(*ARTICLE_COLUMNS)
+    accepted = accept(with_key(raw), profile, language)
+    return with_tickers(with_fields(accepted)).select(*ARTICLE_COLUMNS)
 
 
 def keyed_stream(raw: DataFrame) -> DataFrame:
     """Raw articles with key and event time, before any other filter."""
-    return with_parsed_time(with_fields(raw), "published_text")
+    return with_time(with_key(raw))
 
 
 def without_repeats(df: DataFrame, delay: str = "7 days") -> DataFrame:
