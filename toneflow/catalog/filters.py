@@ -9,7 +9,7 @@ from toneflow.catalog import query, sql
 from toneflow.functions import labels as L
 from toneflow.functions import text as X
 from toneflow.operators import articles, daily
-from toneflow.plans.ingest import STAMP, with_fields, with_key, with_time
+from toneflow.plans.ingest import stamp, with_fields, with_key, with_time
 from toneflow.plans.labelling import label_missing
 
 TERMS = X.query_terms("the", "et la", [" und ", " ", "the"])
@@ -43,7 +43,7 @@ def prd1_watchlist(spark, d):
 
 
 @query("prd2_lookback", f"""WITH {sql.EVENTS} SELECT hash, ticker FROM ev
-WHERE published_at BETWEEN TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-31 00:00:00'""")
+WHERE published_at BETWEEN TIMEstamp() '2024-01-31 00:00:00' - INTERVAL 7 DAY AND TIMEstamp() '2024-01-31 00:00:00'""")
 def prd2(spark, d):
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     return articles.in_lookback(fixtures.events_as_articles(spark, d), now, 7) \
@@ -189,4 +189,4 @@ def dt4(spark, d):
     from toneflow.functions import dates
 
     return raw_fields(spark, d).select(
-        F.col("pos").alias("doc_id"), dates.day_prefix(STAMP).alias("day"))
+        F.col("pos").alias("doc_id"), dates.day_prefix(stamp()).alias("day"))

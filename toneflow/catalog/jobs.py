@@ -93,19 +93,19 @@ def ml2(spark, d):
         rows, "variant string, reg_param double, loss double, accuracy double, chosen boolean")
 
 
-class KeywordScorer:
-    """A stand-in model: sure about texts with more of one word than another."""
+def keyword_scorer():
+    """Factory of a stand-in model that weighs one frequent word against another."""
+    class Keywords:
+        def predict(self, texts):
+            out = []
+            for t in texts:
+                up, down = t.count(" the "), t.count(" of ")
+                p = (1 + up) / (2 + up + down)
+                out.append({"label": "positive" if p >= 0.5 else "negative",
+                            "probs": {"positive": p, "negative": 1 - p}})
+            return out
 
-    def predict(self, texts):
-        if any(t.startswith("{") for t in texts):
-            raise ValueError("cannot read this text")
-        out = []
-        for t in texts:
-            up, down = t.count(" the "), t.count(" of ")
-            p = (1 + up) / (2 + up + down)
-            out.append({"label": "positive" if p >= 0.5 else "negative",
-                        "probs": {"positive": p, "negative": 1 - p}})
-        return out
+    return Keywords
 
 
 _UP, _DOWN = ("((length(text) - length(replace(text, '" + w + "', ''))) / " + str(len(w)) + ")" for w in (" the ", " of "))
@@ -116,7 +116,7 @@ _UP, _DOWN = ("((length(text) - length(replace(text, '" + w + "', ''))) / " + st
   round_even(greatest((1 + {_UP}) / (2 + {_UP} + {_DOWN}), 1 - (1 + {_UP}) / (2 + {_UP} + {_DOWN})), 6) + 0.0 AS confidence
 FROM documents""")
 def ml3(spark, d):
-    scored = M.score_texts(fixtures.documents(spark, d), "text", KeywordScorer)
+    scored = M.score_texts(fixtures.documents(spark, d), "text", keyword_scorer())
     return scored.select("doc_id", "model_label", sql.r6("model_confidence").alias("confidence"))
 
 

@@ -52,7 +52,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as feed payloads; copies of a text share title, source and day."""
-    doc = table(spark, folder, "documents")
+    doc = documents(spark, folder)
     size = F.length("text")
     stamp = F.concat(
         F.lit("2024-01-"), F.lpad((size % 28 + 1).cast("string"), 2, "0"), F.lit("T"),
@@ -87,7 +87,7 @@ def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with human labels, under phrase-bank column names."""
     tone = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
     labels = table(spark, folder, "labels").select("doc_id", tone.alias("Sentiment"))
-    return table(spark, folder, "documents").join(labels, "doc_id") \
+    return documents(spark, folder).join(labels, "doc_id") \
         .select("doc_id", F.col("text").alias("Sentence"), "Sentiment")
 
 

@@ -8,7 +8,6 @@ table, whose size depends on the labels and not on the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -53,8 +52,8 @@ def confusion_matrix(count: DataFrame, labels: Sequence[str] = LABELS) -> DataFr
     return grid.join(filled, ["model", "true_label"], "left").na.fill(0, list(labels))
 
 
-def label_scores(count: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per model and label, true or predicted."""
+def _label_totals(count: DataFrame) -> DataFrame:
+    """Support, predictions and hits per model and label, true or predicted."""
     hit = F.when(is_correct(F.col("pred"), F.col("true_label")), F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("bigint")
     sides = F.array(
@@ -66,13 +65,19 @@ def label_scores(count: DataFrame) -> DataFrame:
     totals = count.select("model", F.explode(sides).alias("s")).groupBy("model", "s.label").agg(
         F.sum("s.support").alias("support"), F.sum("s.predicted").alias("predicted"),
         F.sum("s.hit").alias("hit"))
-    return (
-        totals
-        .withColumn("precision", _ratio(F.col("hit"), F.col("predicted")))
-        .withColumn("recall", _ratio(F.col("hit"), F.col("support")))
-        .withColumn("f1", _ratio(2 * F.col("hit"), F.col("predicted") + F.col("support")))
-        .select("model", "label", "precision", "recall", "f1", "support")
-    )
+    return totals.withColumns({
+        "precision": _ratio(F.col("hit"), F.col("predicted")),
+        "recall": _ratio(F.col("hit"), F.col("support")),
+        "f1": _ratio(2 * F.col("hit"), F.col("predicted") + F.col("support")),
+    })
+
+
+REPORT = ("model", "label", "precision", "recall", "f1", "support")
+
+
+def label_scores(count: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support per model and label."""
+    return _label_totals(count).select(*REPORT)
 
 
 def classification_report(count: DataFrame) -> DataFrame:
@@ -81,23 +86,23 @@ def classification_report(count: DataFrame) -> DataFrame:
     Labels that only occur as predictions take part with support 0 and pull
     the macro average down.
     """
-    per_label = label_scores(count)
-
-    def averaged(name: str, mean) -> DataFrame:
-        return per_label.groupBy("model").agg(
-            F.lit(name).alias("label"),
-            *[mean(m).alias(m) for m in ("precision", "recall", "f1")],
-            F.sum("support").alias("support"))
-
-    def weighted(metric: str) -> Column:
-        return _ratio(F.sum(F.col(metric) * F.col("support")), F.sum("support"))
-
-    overall = accuracy(count).select(
-        "model", F.lit("accuracy").alias("label"), F.col("accuracy").alias("precision"),
-        F.col("accuracy").alias("recall"), F.col("accuracy").alias("f1"),
-        F.col("n").alias("support"))
-    parts = [per_label, overall, averaged("macro avg", F.avg), averaged("weighted avg", weighted)]
-    return reduce(DataFrame.unionByName, parts)
+    totals = _label_totals(count)
+    metrics = ("precision", "recall", "f1")
+
+    def row(name: str, value) -> Column:
+        return F.struct(F.lit(name).alias("label"), *[value(m).alias(m) for m in metrics])
+
+    summary = totals.groupBy("model").agg(
+        F.sum("support").alias("support"),
+        F.array(
+            row("accuracy", lambda m: _ratio(F.sum("hit"), F.sum("support"))),
+            row("macro avg", lambda m: F.avg(m)),
+            row("weighted avg", lambda m: _ratio(F.sum(F.col(m) * F.col("support")), F.sum("support"))),
+        ).alias("rows"),
+    )
+    overall = summary.select("model", F.explode("rows").alias("r"), "support") \
+        .select("model", "r.*", "support")
+    return totals.select(*REPORT).unionByName(overall)
 
 
 def training_metrics(count: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:

@@ -32,6 +32,82 @@ ScorerFactory = Callable[[], Scorer | None]
 SCORED = "label string, probs map<string,double>"
 
 
+def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
+    """Add ``model_label``, ``model_probs`` and ``model_confidence`` from a plugged-in model.
+
+    The factory runs once per task and texts reach the model in Arrow batches.
+    Texts that fail are labelled ``ERROR``, all texts ``N/A`` without a model;
+    both with confidence 0.
+    """
+    # Nested, so that it travels to the executors by value.
+    def label(scorer: Scorer | None, texts: list[str]) -> list[tuple[str, dict[str, float]]]:
+        if scorer is None:
+            return [("N/A", {})] * len(texts)
+        try:
+            return [(r["label"], r["probs"]) for r in scorer.predict(texts)]
+        except Exception:
+            # One bad text must not take its batch along.
+            if len(texts) == 1:
+                return [("ERROR", {})]
+            return [label(scorer, [t])[0] for t in texts]
+
+    @F.pandas_udf(SCORED)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = factory()
+        for texts in batches:
+            yield pd.DataFrame(label(scorer, texts.fillna("").tolist()), columns=["label", "probs"])
+
+    scored = df.withColumn("_scored", score(F.col(text)))
+    top = F.array_max(F.map_values("_scored.probs"))
+    return scored.withColumns({
+        "model_label": F.col("_scored.label"),
+        "model_probs": F.col("_scored.probs"),
+        "model_confidence": F.coalesce(top, F.lit(0.0)),
+    }).drop("_scored")
+
+
+def with_class_weights(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """Add column ``weight``, balanced over ``basis`` (the rows themselves by default)."""
+    weights = class_weights(df if basis is None else basis).select("label", "weight")
+    return df.join(sized(weights), "label")
+
+
+def text_features(features: int = 1 << 16) -> Pipeline:
+    """Words of a text, hashed and weighted by rarity."""
+    return Pipeline(stages=[
+        RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}']+"),
+        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
+        IDF(inputCol="tf", outputCol="features"),
+    ])
+
+
+def regression(reg_param: float = 0.01, max_iter: int = 20) -> LogisticRegression:
+    """Three-class regression that honours row weights."""
+    return LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight",
+                              regParam=reg_param, maxIter=max_iter, family="multinomial")
+
+
+def _with_label_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("label_id", label_to_id(F.col("label")).cast("double"))
+
+
+def train(df: DataFrame, reg_param: float = 0.01, basis: DataFrame | None = None,
+          features: int = 1 << 16, max_iter: int = 20) -> PipelineModel:
+    """Fit on (text, label) with balanced class weights."""
+    _, model, _ = select_variant(df, None, variants={"only": reg_param}, basis=basis,
+                                 features=features, max_iter=max_iter)
+    return model
+
+
+def predict(self, texts: list[str]) -> list[dict]:
+        """One ``{"label": str, "probs": {name: float}}`` per text."""
+
+
+ScorerFactory = Callable[[], Scorer | None]
+
+SCORED = "label string, probs map<string,double>"
+
+
 def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
     """Add ``model_label``, ``model_probs`` and ``model_confidence`` from a plugged-in model.
 
@@ -106,29 +182,44 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 VARIANTS = {"original": 0.01, "improved": 0.05, "aggressive": 0.3}
 
 
-def select_variant(train_rows: DataFrame, val_rows: DataFrame, metric: str = "loss",
-                   variants: Mapping[str, float] | None = None,
-                   **settings: int) -> tuple[str, PipelineModel, list[tuple[str, float, float, float]]]:
+def select_variant(
+    train_rows: DataFrame, val_rows: DataFrame | None, metric: str = "loss",
+    variants: Mapping[str, float] | None = None, basis: DataFrame | None = None,
+    features: int = 1 << 16, max_iter: int = 20,
+) -> tuple[str, PipelineModel, list[tuple[str, float, float | None, float | None]]]:
     """Train every variant and keep the best on the validation rows.
 
-    ``metric`` is ``loss`` (lowest) or ``accuracy`` (highest).  Returns the
-    name, the model and rows (variant, regularisation, loss, accuracy).
+    ``metric`` is ``loss`` (lowest) or ``accuracy`` (highest); without
+    validation rows the first variant is kept.  Texts are turned into features
+    once and held while the variants train.  Returns the name, the model and
+    rows (variant, regularisation, loss, accuracy).
     """
+    ready = _with_label_id(with_class_weights(train_rows, basis))
+    extract = text_features(features).fit(ready)
+    columns = ["features", "label_id"]
+    train_features = extract.transform(ready).select(*columns, "weight").persist()
+    val_features = None
+    if val_rows is not None:
+        val_features = extract.transform(_with_label_id(val_rows)).select(*columns).persist()
+
     tried = {}
-    prepared = train_rows.persist()
-    labelled = val_rows.withColumn("label_id", label_to_id(F.col("label")).cast("double")).persist()
     for name, reg_param in (variants or VARIANTS).items():
-        model = train(prepared, reg_param, **settings)
-        scored = model.transform(labelled)
-        loss, accuracy = (
-            MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(scored)
-            for m in ("logLoss", "accuracy"))
-        tried[name] = (model, reg_param, loss, accuracy)
-    prepared.unpersist()
-    labelled.unpersist()
-    rank = (lambda t: t[2]) if metric == "loss" else (lambda t: -t[3])
-    best = min(tried, key=lambda n: rank(tried[n]))
-    return best, tried[best][0], [(n, r, loss, acc) for n, (_, r, loss, acc) in tried.items()]
+        fitted = regression(reg_param, max_iter).fit(train_features)
+        loss = accuracy = None
+        if val_features is not None:
+            scored = fitted.transform(val_features)
+            loss, accuracy = (
+                MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(scored)
+                for m in ("logLoss", "accuracy"))
+        tried[name] = (fitted, reg_param, loss, accuracy)
+    train_features.unpersist()
+    if val_features is None:
+        best = next(iter(tried))
+    else:
+        val_features.unpersist()
+        best = min(tried, key=lambda n: tried[n][2] if metric == "loss" else -tried[n][3])
+    model = PipelineModel(stages=[*extract.stages, tried[best][0]])
+    return best, model, [(n, r, loss, acc) for n, (_, r, loss, acc) in tried.items()]
 
 
 def evaluate(model: PipelineModel | str, df: DataFrame) -> DataFrame:

@@ -10,26 +10,35 @@ from pyspark.sql import functions as F
 from toneflow.functions import text
 from toneflow.operators import articles
 from toneflow.operators.language import Profile, detect_language
+from toneflow.schemas import Request
 
 
 ARTICLE_COLUMNS = ("request", "hash", "source", "title", "description", "content",
                    "published_at", "url", "language", "tickers", "raw")
 
-TITLE = text.or_default(F.col("raw.title"))
-SOURCE = text.or_default(F.col("raw.source.name"), "unknown")
-STAMP = text.or_default(F.col("raw.publishedAt"))
+
+def title() -> Column:
+    return text.or_default(F.col("raw.title"))
+
+
+def source() -> Column:
+    return text.or_default(F.col("raw.source.name"), "unknown")
+
+
+def stamp() -> Column:
+    return text.or_default(F.col("raw.publishedAt"))
 
 
 def with_key(raw: DataFrame) -> DataFrame:
     """Add the article key; the payload stays in ``raw``, so rows stay narrow."""
-    return raw.withColumn("hash", text.article_key(TITLE, SOURCE, STAMP))
+    return raw.withColumn("hash", text.article_key(title(), source(), stamp()))
 
 
 def with_fields(df: DataFrame) -> DataFrame:
     """Unpack the payload, with defaults for what may be missing."""
     return df.withColumns({
-        "title": TITLE,
-        "source": SOURCE,
+        "title": title(),
+        "source": source(),
         "description": F.col("raw.description"),
         "content": F.col("raw.content"),
         "url": F.col("raw.url"),
@@ -37,7 +46,7 @@ def with_fields(df: DataFrame) -> DataFrame:
 
 
 def with_language(df: DataFrame, profile: Profile) -> DataFrame:
-    small = text.join_fields(TITLE, F.col("raw.description"))
+    small = text.join_fields(title(), F.col("raw.description"))
     return df.withColumn("language", detect_language(small, profile))
 
 
@@ -54,7 +63,7 @@ def with_tickers(df: DataFrame, tickers: Sequence[str] | Column | None = None,
 
 def with_time(df: DataFrame) -> DataFrame:
     """Parse the publish time; rows without one are dropped."""
-    return articles.with_parsed_time(df.withColumn("_stamp", STAMP), "_stamp").drop("_stamp")
+    return articles.with_parsed_time(df.withColumn("_stamp", stamp()), "_stamp").drop("_stamp")
 
 
 def accept(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
@@ -74,3 +83,20 @@ def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles:
     unique = articles.first_arrivals(with_key(raw), ["request", "hash"], arrival)
     accepted = articles.first_accepted(accept(unique, profile, language), max_articles, arrival)
     return with_tickers(with_fields(accepted), tickers).select(*ARTICLE_COLUMNS)
+
+
+def ingest_request(raw: DataFrame, request: Request, profile: Profile) -> DataFrame:
+    """Articles of one request: its pages, its time window, its search terms.
+
+    Window bounds are inclusive; articles whose time does not parse are left to
+    the later filter.
+    """
+    pages = raw.where(F.col("request") == request.ticker)
+    published = F.try_to_timestamp(stamp())
+    for bound, outside in ((request.from_date, published.__lt__), (request.to_date, published.__gt__)):
+        if bound is not None:
+            pages = pages.where(~F.coalesce(outside(F.lit(bound).cast("timestamp")), F.lit(False)))
+    terms = text.query_terms(request.company, request.ticker, request.keywords)
+    fields = [F.col(f"raw.{f}") for f in ("title", "description", "content")]
+    return ingest(pages.where(text.mentions_any(terms, *fields)), profile,
+                  request.language, request.max_articles)

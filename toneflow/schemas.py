@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date, datetime
+
 from pyspark.sql import types as T
 
 LABELS = ("negative", "neutral", "positive")
@@ -78,3 +81,17 @@ PREDICTION = T.StructType([
     T.StructField("confidence", T.DoubleType()),
     T.StructField("probs", T.MapType(T.StringType(), T.DoubleType())),
 ])
+
+
+@dataclass(frozen=True)
+class Request:
+    """One watchlist entry: what to look for, when, and how many articles to keep."""
+
+    company: str
+    ticker: str
+    industry: str | None = None
+    keywords: tuple[str, ...] = ()
+    from_date: str | datetime | date | None = None
+    to_date: str | datetime | date | None = None
+    language: str = "en"
+    max_articles: int = 500
