@@ -158,7 +158,7 @@ SELECT {_ARTICLE_COLUMNS} FROM en""")
 def stm1(spark, d):
     landed = fixtures.write_feed(spark, d, scratch_path(spark, "landed"))
     out, checkpoint = scratch_path(spark, "articles"), scratch_path(spark, "checkpoint")
-    stream = live_ingest.ingest_stream(live_ingest.page_stream(spark, landed, 4), LANGUAGES)
+    stream = live_ingest.ingest_stream(live_ingest.page_stream(spark, landed), LANGUAGES)
     live_ingest.run_to_table(stream, out, checkpoint).awaitTermination()
     return article_rows(spark.read.parquet(out))
 
@@ -168,7 +168,7 @@ SELECT DISTINCT request, hash FROM keyed WHERE published_at IS NOT NULL""")
 def stm2(spark, d):
     landed = fixtures.write_feed(spark, d, scratch_path(spark, "landed"))
     out, checkpoint = scratch_path(spark, "keys"), scratch_path(spark, "checkpoint")
-    keyed = live_ingest.keyed_stream(live_ingest.page_stream(spark, landed, 4))
+    keyed = live_ingest.keyed_stream(live_ingest.page_stream(spark, landed))
     unique = live_ingest.without_repeats(keyed, "40 days").select("request", "hash", "published_at")
     live_ingest.run_to_table(unique, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select("request", "hash")
@@ -180,11 +180,13 @@ FROM trend UNION ALL
 SELECT 'alert', date, ticker, NULL, NULL, NULL, round_even(rolling_z, 6) + 0.0 FROM trend WHERE abs(rolling_z) >= 2.0""")
 def stm3(spark, d):
     landed, out = scratch_path(use_utc(spark), "labelled"), scratch_path(spark, "live")
-    # Three files, dealt out by key, so that every day is touched by several batches.
+    checkpoint = scratch_path(spark, "checkpoint")
     articles = fixtures.events_as_articles(spark, d).select("hash", "published_at", "tickers", "weak_label")
-    writers.write_table(articles.repartition(3, "hash"), landed)
-    stream = spark.readStream.schema(articles.schema).option("maxFilesPerTrigger", 1).parquet(landed)
-    live_daily.maintain_daily(stream, out, scratch_path(spark, "checkpoint")).awaitTermination()
+    # All rows arrive in three landings, so every day is touched more than once.
+    for part in articles.randomSplit([1.0, 1.0, 1.0], seed=7):
+        writers.write_table(part, landed, mode="append")
+        stream = spark.readStream.schema(articles.schema).parquet(landed)
+        live_daily.maintain_daily(stream, out, checkpoint).awaitTermination()
     days = live_daily.current_daily(spark, out).select(
         F.lit("daily").alias("kind"), "date", "ticker", "article_count",
         *[sql.r6(c).alias(c) for c in ("mean_score", "sentiment_volatility", "rolling_z")])

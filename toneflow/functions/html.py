@@ -44,7 +44,7 @@ def _windows_1252() -> dict[int, str]:
 
 def _character(code: Column) -> Column:
     """Text of a code point; decimal input so that any digit count fits."""
-    point = code.cast("int")
+    point = code.try_cast("int")
     utf32 = F.unhex(F.lpad(F.hex(point), 8, "0"))
     low = F.map_from_arrays(F.array(*[F.lit(k) for k in _windows_1252()]),
                             F.array(*[F.lit(v) for v in _windows_1252().values()]))

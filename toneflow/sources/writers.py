@@ -47,9 +47,14 @@ def write_table(df: DataFrame, path: str, file_format: str | None = None,
 
 
 def modal_day(df: DataFrame, by: tuple[str, ...] = (), ts: str = "published_at") -> DataFrame:
-    """The most frequent publish day, the earliest one on ties."""
-    days = df.select(*by, day(F.col(ts)).alias("_day"))
-    return days.groupBy(*by).agg(F.mode("_day", True).alias("batch_date"))
+    """The most frequent publish day, the earliest one on ties.
+
+    Days are counted first, so what is compared is one row per group and day.
+    """
+    days = df.select(*by, day(F.col(ts)).alias("_day")).where("_day IS NOT NULL") \
+        .groupBy(*by, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.struct(F.col("_n"), -F.unix_date("_day"))
+    return days.groupBy(*by).agg(F.max_by("_day", rank).alias("batch_date"))
 
 
 def write_articles(df: DataFrame, path: str, file_format: str = "parquet") -> int:
