@@ -125,14 +125,16 @@ def test_distribution_covers_the_domain(spark):
     assert daily.label_distribution(df.limit(0)).where("pct <> 0").count() == 0
 
 
-def test_recency_matches_brute_force(spark):
+@pytest.mark.parametrize("cell_limit", [5, 2_000_000])
+def test_recency_matches_brute_force(spark, cell_limit):
     # One ticker holds most rows, many under one timestamp.
     rows = [(f"{i * 7919 % 1000:04d}", datetime(2024, 1, 1, i % 3) if i % 2 else datetime(2024, 1, 2),
              "HOT" if i % 5 else f"T{i % 4}") for i in range(300)]
+    rows += [("undated", None, "HOT"), ("undated", None, None), ("x", datetime(2024, 1, 1), None)]
     df = spark.createDataFrame(rows, "hash string, published_at timestamp, ticker string")
-    got = {(r.ticker, r.hash): r["index"] for r in daily.recency_index(df).collect()}
+    got = {(r.ticker, r.hash): r["index"] for r in daily.recency_index(df, cell_limit=cell_limit).collect()}
     for ticker in {t for _, _, t in rows}:
-        mine = sorted((r for r in rows if r[2] == ticker), key=lambda r: (-r[1].timestamp(), r[0]))
+        mine = sorted((r for r in rows if r[2] == ticker), key=lambda r: (r[1] is None, -r[1].timestamp() if r[1] else 0, r[0]))
         assert [got[ticker, h] for h, _, _ in mine] == list(range(len(mine)))
 
 

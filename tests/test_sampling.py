@@ -75,10 +75,11 @@ def test_three_way_split_adds_up(gold):
 def test_time_split_holds_out_the_newest(spark):
     # Half of the rows share one moment, so the cut falls inside it.
     rows = [(f"{i:03d}", datetime(2024, 1, 1) + timedelta(minutes=i if i < 100 else 200)) for i in range(200)]
-    df = spark.createDataFrame(rows, "key string, published_at timestamp")
+    df = spark.createDataFrame([*rows, *((f"x{i}", None) for i in range(5))], "key string, published_at timestamp")
     parts = {r.key: r.split for r in sampling.time_split(df, "key").collect()}
+    assert {parts.pop(f"x{i}") for i in range(5)} == {"train"}
     newest = sorted(rows, key=lambda r: (-r[1].timestamp(), r[0]))
-    assert [parts[k] for k, _ in newest] == ["val"] * 40 + ["train"] * 160
+    assert [parts[k] for k, _ in newest] == ["val"] * 41 + ["train"] * 159
 
 
 def test_class_weights(spark):

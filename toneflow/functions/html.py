@@ -31,23 +31,17 @@ def _legacy_prefix() -> str:
     return "^&(" + "|".join(bare) + ")"
 
 
-def _windows_1252() -> dict[int, str]:
-    """Code points 128 to 159 mean their Windows-1252 characters, where there is one."""
-    table = {}
-    for code in range(0x80, 0xA0):
-        try:
-            table[code] = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            table[code] = chr(code)
-    return table
+def _windows_1252() -> str:
+    """Characters that code points 128 to 159 stand for: Windows-1252 where it has one."""
+    return "".join(
+        bytes([code]).decode("cp1252", errors="ignore") or chr(code) for code in range(0x80, 0xA0))
 
 
 def _character(code: Column) -> Column:
     """Text of a code point; decimal input so that any digit count fits."""
     point = code.try_cast("int")
     utf32 = F.unhex(F.lpad(F.hex(point), 8, "0"))
-    low = F.map_from_arrays(F.array(*[F.lit(k) for k in _windows_1252()]),
-                            F.array(*[F.lit(v) for v in _windows_1252().values()]))
+    low = F.substr(F.lit(_windows_1252()), point - 0x7F, F.lit(1))
     replacement = F.lit("�")
     nothing = (
         point.between(0x1, 0x8) | (point == 0xB) | point.between(0xE, 0x1F) | (point == 0x7F)
@@ -56,7 +50,7 @@ def _character(code: Column) -> Column:
     return (
         F.when(code.isNull() | (code > 0x10FFFF) | (code == 0), replacement)
         .when(code.between(0xD800, 0xDFFF), replacement)
-        .when(code.between(0x80, 0x9F), F.element_at(low, point))
+        .when(code.between(0x80, 0x9F), low)
         .when(nothing, F.lit(""))
         .otherwise(F.decode(utf32, "UTF-32"))
     )

@@ -134,17 +134,18 @@ def value_shares(df: DataFrame, column: str = "label") -> DataFrame:
 
 
 def recency_index(df: DataFrame, ticker: str = "ticker", ts: str = "published_at",
-                  key: str = "hash") -> DataFrame:
+                  key: str = "hash", cell_limit: int = 2_000_000) -> DataFrame:
     """Position of each article behind the newest one of its ticker, ties by key.
 
-    Cells are hours first, then moments and the head of the key, so neither a
-    busy ticker nor a bulk load under one timestamp ends up in a single sort.
+    Cells are days; days with very many articles are divided by moment and
+    head of the key, so neither a busy ticker nor a bulk load under one
+    timestamp ends up in a single sort.
     """
     time, name = F.col(ts), F.col(key).cast("string")
     return number_rows(
         df, [ticker],
-        [[(F.date_trunc("hour", time), True)], [(time, True), (F.substring(name, 1, 2), False)]],
-        [time.desc(), name],
+        [[(F.date_trunc("day", time), True)], [(time, True), (F.substring(name, 1, 2), False)]],
+        [time.desc(), name], cell_limit=cell_limit,
     )
 
 

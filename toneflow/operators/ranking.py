@@ -44,7 +44,8 @@ def assign_parts(
     Every quota maps the size of a stratum to the position of one cut.  A row
     gets the number of cuts that lie at or before its position, so a single
     quota ``lambda n: F.lit(10)`` gives part 0 to the first ten rows.  ``cell``
-    must not decrease along ``order``, and ``order`` must identify a row.
+    must not decrease along ``order`` nor be null, and ``order`` must identify a
+    row.
 
     All but one cell per cut is decided by comparing cells; the rows of the
     cells that hold a cut are the only ones shuffled and ranked.  Cells that
@@ -74,9 +75,8 @@ def assign_parts(
         ]
     cut = placed.groupBy(*groups).agg(*cuts)
     if strata:
-        match = reduce(lambda a, b: a & b,
-                       [F.col(s).eqNullSafe(F.col(f"_by_{s}")) for s in strata])
-        joined = keyed.join(sized(cut), match)
+        match = [F.col(s).eqNullSafe(F.col(f"_by_{s}")) for s in strata]
+        joined = keyed.join(sized(cut), reduce(Column.__and__, match))
     else:
         # One row for the whole table: its values become constants.
         row = cut.first()
@@ -125,44 +125,38 @@ def number_rows(
     levels: Sequence[Sequence[tuple[Column, bool]]],
     order: Sequence[Column],
     name: str = "index",
+    cell_limit: int = 2_000_000,
 ) -> DataFrame:
     """Zero-based position of every row within its group.
 
     ``levels`` lists cells from coarse to fine, each a list of
     ``(expression, descending)``; sorting by all of them must agree with
-    ``order``.  Offsets come from running counts per level, so the sorts stay
-    within one cell: a group that holds a third of all rows is still spread
-    over as many tasks as it has cells.
+    ``order``.  Cells of the first level are counted, running counts give their
+    offsets, and rows are ranked inside a cell.  Only where a cell holds more
+    than ``cell_limit`` rows is it divided by the next level.
     """
     if not levels:
         position = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
         return df.withColumn(name, position)
-    keyed, names = df, []
-    for i, level in enumerate(levels):
-        fields = [f"_l{i}_{j}" for j in range(len(level))]
-        keyed = keyed.withColumns({f: e for f, (e, _) in zip(fields, level)})
-        names.append([(f, desc) for f, (_, desc) in zip(fields, level)])
-    flat = [f for level in names for f, _ in level]
-
-    offsets = keyed.groupBy(*by, *flat).agg(F.count(F.lit(1)).alias("_n"))
-    finest = offsets
-    used: list[str] = []
-    for i, level in enumerate(names):
-        fields = [f for f, _ in level]
-        sort = [F.col(f).desc() if desc else F.col(f).asc() for f, desc in level]
-        before = Window.partitionBy(*by, *used).orderBy(*sort)
-        step = (
-            finest.groupBy(*by, *used, *fields).agg(F.sum("_n").alias("_n"))
-            .withColumn(f"_off{i}", F.sum("_n").over(before) - F.col("_n")).drop("_n")
-        )
-        used += fields
-        offsets = offsets.join(step, [*by, *used])
-    offset = reduce(lambda a, b: a + b, [F.col(f"_off{i}") for i in range(len(names))])
-    offsets = offsets.select(*by, *flat, offset.alias("_offset"))
-
-    inside = F.row_number().over(Window.partitionBy(*by, *flat).orderBy(*order)) - 1
-    return (
-        keyed.join(offsets, [*by, *flat])
-        .withColumn(name, F.col("_offset") + inside)
-        .select(*df.columns, name)
-    )
+
+    # Group and cell travel as one struct: it matches nulls, and the join and
+    # the window share the same partitioning.
+    depth = len(levels)
+    key, n, offset = f"_key{depth}", f"_n{depth}", f"_offset{depth}"
+    cells = [(f"cell{j}", cell, desc) for j, (cell, desc) in enumerate(levels[0])]
+    keyed = df.withColumn(key, F.struct(*by, *[cell.alias(c) for c, cell, _ in cells]))
+    before = Window.partitionBy(*[F.col(f"{key}.{b}") for b in by]).orderBy(*[
+        F.col(f"{key}.{c}").desc() if desc else F.col(f"{key}.{c}").asc() for c, _, desc in cells])
+    counts = sized(
+        keyed.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        .withColumn(offset, F.sum(n).over(before) - F.col(n)))
+
+    placed = keyed.join(counts, key)
+    large = F.col(n) > cell_limit
+    divide = depth > 1 and not counts.where(large).isEmpty()
+    small = number_rows(placed.where(~large) if divide else placed, [key], [], order, name)
+    parts = [small]
+    if divide:
+        parts.append(number_rows(placed.where(large), [key], levels[1:], order, name, cell_limit))
+    columns = [*df.columns, (F.col(offset) + F.col(name)).alias(name)]
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])

@@ -64,9 +64,12 @@ def random_split(df: DataFrame, key: str, held_out: Sequence[tuple[str, float]]
 
 def time_split(df: DataFrame, key: str, ts: str = "published_at",
                held_out: Sequence[tuple[str, float]] = (("val", 0.2),)) -> DataFrame:
-    """Add column ``split``: the newest rows are held out, ties broken by key."""
+    """Add column ``split``: the newest rows are held out, ties broken by key.
+
+    Rows without a time count as the oldest.
+    """
     name, time = F.col(key).cast("string"), F.col(ts).cast("timestamp")
-    hours = -F.floor(F.unix_seconds(time) / 3600)
+    hours = F.coalesce(-F.floor(F.unix_seconds(time) / 3600), F.lit(1 << 60))
     finer = [[(time, True), (F.substring(name, 1, 2), False)]]
     return _split(df, df, hours, [time.desc(), name], [], held_out, finer)
 
