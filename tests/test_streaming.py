@@ -73,14 +73,16 @@ def batches():
     return [first, second, third]
 
 
-def test_live_daily_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("fold_every", [1, 2, 100])
+def test_live_daily_equals_batch(spark, tmp_path, fold_every):
     everything = []
     out, landed, checkpoint = f"{tmp_path}/live", f"{tmp_path}/landed", f"{tmp_path}/cp"
     for rows in batches():
         everything += rows
         spark.createDataFrame(rows, LABELLED).coalesce(1).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(LABELLED).parquet(landed)
-        live.maintain_daily(stream, out, checkpoint, window=8, buckets=4).awaitTermination()
+        live.maintain_daily(stream, out, checkpoint, window=8, buckets=4, fold_every=fold_every) \
+            .awaitTermination()
     whole = daily.rolling_trend(daily.daily_ticker_aggregate(spark.createDataFrame(everything, LABELLED)), 8)
 
     def rows_of(df):
@@ -97,7 +99,17 @@ def test_live_daily_equals_batch(spark, tmp_path):
 
 
 def test_replayed_batch_counts_once(spark, tmp_path):
+    out = str(tmp_path / "out")
     df = spark.createDataFrame(batches()[0], LABELLED)
-    for _ in range(2):
-        live.update_daily(df, 0, str(tmp_path / "out"), 7, 4)
-    assert live.current_daily(spark, str(tmp_path / "out")).agg(F.sum("article_count")).first()[0] == 13
+    for number, total in ((0, 13), (0, 13), (1, 26), (2, 39), (2, 39), (3, 52), (3, 52), (4, 65)):
+        live.update_daily(df, number, out, 7, 4, fold_every=2)
+        assert live.current_daily(spark, out).agg(F.sum("article_count")).first()[0] == total
+
+
+def test_empty_batch_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.createDataFrame(batches()[0], LABELLED)
+    live.update_daily(df.limit(0), 0, out, 7, 4, fold_every=2)
+    live.update_daily(df, 1, out, 7, 4, fold_every=2)
+    live.update_daily(df.limit(0), 2, out, 7, 4, fold_every=2)
+    assert live.current_daily(spark, out).count() == 13

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from toneflow.sources.readers import spread
 MODELS = ("a", "b", "c")
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table; its schema is looked up once per session."""
     return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -46,6 +50,7 @@ def orders_as_articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents"), "doc_id")
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from toneflow.functions.labels import id_to_label
 from toneflow.operators.articles import stack
 from toneflow.schemas import ARTICLE, RAW_PAGE
+from toneflow.session import sized
 
 # Text values may hold line breaks and quotes.  Such files cannot be split:
 # convert large CSV inputs to Parquet once.
@@ -107,14 +108,16 @@ def latest_snapshot(df: DataFrame, by: Sequence[str] = ("ticker",), date: str =
     """Rows of the newest batch of every ticker.
 
     On a table partitioned by these columns the first pass reads no data
-    columns and the semi join prunes partitions.
+    columns, and the batch dates found (no more than there are days) prune the
+    partitions of the second.
     """
-    newest = df.groupBy(*by).agg(F.max(date).alias(date))
-    return df.join(newest, [*by, date], "left_semi")
+    newest = sized(df.groupBy(*by).agg(F.max(date).alias(date)))
+    dates = [r[0] for r in newest.select(date).distinct().collect()]
+    return df.where(F.col(date).isin(dates)).join(newest, [*by, date], "left_semi")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Distribute rows before costly text work when the input has few splits.
+    """Distribute the rows of a scan before costly text work when it has few splits.
 
     A no-op once the scan alone gives every core something to do.
     """

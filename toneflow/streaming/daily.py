@@ -19,8 +19,9 @@ from toneflow.operators.daily import detect_alerts, prepare_articles, rolling_tr
 from toneflow.schemas import DAILY
 from toneflow.sources.writers import write_table
 
-PARTIAL = ("date date, ticker string, n bigint, n_pos bigint, n_neg bigint, "
-           "n_scored bigint, mean double, m2 double, bucket int, batch bigint")
+SUMS = ("date date, ticker string, n bigint, n_pos bigint, n_neg bigint, "
+        "n_scored bigint, mean double, m2 double, bucket int")
+SUM_COLUMNS = ("date", "ticker", "n", "n_pos", "n_neg", "n_scored", "mean", "m2", "bucket")
 TREND = T.StructType([
     *DAILY.fields,
     T.StructField("rolling_mean", T.DoubleType()),
@@ -43,54 +44,76 @@ def day_sums(df: DataFrame, buckets: int) -> DataFrame:
     ).withColumn("bucket", F.pmod(F.hash("ticker"), F.lit(buckets)))
 
 
-def merge_sums(partials: DataFrame) -> DataFrame:
-    """Daily metrics from the sums of any number of batches."""
-    weight = F.col("n_scored")
-    mean = F.sum(weight * F.col("mean")) / F.nullif(F.sum(weight), F.lit(0))
-    merged = partials.groupBy("bucket", "date", "ticker").agg(
-        F.sum("n").alias("article_count"),
-        F.sum("n_pos").alias("_pos"),
-        F.sum("n_neg").alias("_neg"),
-        F.sum(weight).alias("_scored"),
-        mean.alias("mean_score"),
-        F.sum("m2").alias("_inner"),
-        F.sum(weight * F.col("mean") * F.col("mean")).alias("_squares"),
-    )
-    between = F.col("_squares") - F.col("_scored") * F.col("mean_score") * F.col("mean_score")
-    variance = (F.col("_inner") + F.greatest(between, F.lit(0.0))) / F.nullif("_scored", F.lit(0))
-    return merged.select(
-        "date", "ticker", "mean_score",
-        (F.col("_pos") / F.col("article_count")).alias("pct_pos"),
-        (F.col("_neg") / F.col("article_count")).alias("pct_neg"),
-        "article_count",
-        F.when(F.col("article_count") > 1, F.sqrt(variance)).otherwise(F.lit(0.0))
-        .alias("sentiment_volatility"),
+def combine_sums(sums: DataFrame) -> DataFrame:
+    """Sums of any number of batches as sums of one."""
+    weight, mean = F.col("n_scored"), F.col("mean")
+    total = F.nullif(F.sum(weight), F.lit(0))
+    between = F.sum(weight * mean * mean) - F.pow(F.sum(weight * mean), F.lit(2)) / total
+    return sums.groupBy("bucket", "date", "ticker").agg(
+        F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"),
+        F.sum(weight).alias("n_scored"),
+        (F.sum(weight * mean) / total).alias("mean"),
+        (F.sum("m2") + F.greatest(between, F.lit(0.0))).alias("m2"),
+    ).select(*SUM_COLUMNS)
+
+
+def daily_metrics(combined: DataFrame) -> DataFrame:
+    """Daily metrics from combined sums."""
+    spread = F.sqrt(F.col("m2") / F.nullif("n_scored", F.lit(0)))
+    return combined.select(
+        "date", "ticker", F.col("mean").alias("mean_score"),
+        (F.col("n_pos") / F.col("n")).alias("pct_pos"),
+        (F.col("n_neg") / F.col("n")).alias("pct_neg"),
+        F.col("n").alias("article_count"),
+        F.when(F.col("n") > 1, spread).otherwise(F.lit(0.0)).alias("sentiment_volatility"),
         "bucket",
     )
 
 
-def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buckets: int) -> None:
-    """Fold one micro-batch into the tables under ``out_dir``."""
+def read_sums(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
+    """Everything up to the present: what was folded before the epoch, and its batches."""
+    sums = spark.read.schema(SUMS).parquet(f"{out_dir}/batches/epoch={epoch}").select(*SUM_COLUMNS)
+    if epoch == 0:
+        return sums
+    return spark.read.schema(SUMS).parquet(f"{out_dir}/folded/epoch={epoch}") \
+        .select(*SUM_COLUMNS).unionByName(sums)
+
+
+def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buckets: int,
+                 fold_every: int) -> None:
+    """Fold one micro-batch into the tables under ``out_dir``.
+
+    Batches are grouped into epochs of ``fold_every``.  The first batch of an
+    epoch folds everything before it into one table, so an update never lists
+    more than one epoch of batches.  All paths follow from the batch number:
+    repeating a batch writes the same files again.
+    """
     spark = batch.sparkSession
-    sums = day_sums(batch, buckets).withColumn("batch", F.lit(batch_id).cast("bigint"))
-    partials = f"{out_dir}/partials"
-    write_table(sums, partials, "parquet", ("batch", "bucket"), dynamic=True)
+    epoch, place = divmod(batch_id, fold_every)
+    if place == 0 and epoch > 0:
+        write_table(combine_sums(read_sums(spark, out_dir, epoch - 1)),
+                    f"{out_dir}/folded/epoch={epoch}", "parquet", ("bucket",))
+    own = f"{out_dir}/batches/epoch={epoch}/batch={batch_id}"
+    write_table(day_sums(batch, buckets), own, "parquet", ("bucket",))
 
-    stored = spark.read.schema(PARTIAL).parquet(partials)
     # At most ``buckets`` integers; they prune the folders read below.
-    touched = [r.bucket for r in stored.where(F.col("batch") == batch_id)
-               .select("bucket").distinct().collect()]
+    touched = [r.bucket for r in
+               spark.read.schema(SUMS).parquet(own).select("bucket").distinct().collect()]
     if touched:
-        days = merge_sums(stored.where(F.col("bucket").isin(*touched)))
-        trend = rolling_trend(days, window).select(*TREND.names)
+        sums = read_sums(spark, out_dir, epoch).where(F.col("bucket").isin(*touched))
+        trend = rolling_trend(daily_metrics(combine_sums(sums)), window).select(*TREND.names)
         write_table(trend, f"{out_dir}/daily", "parquet", ("bucket",), dynamic=True)
 
 
 def maintain_daily(labelled: DataFrame, out_dir: str, checkpoint: str, window: int = 7,
-                   buckets: int = 16) -> StreamingQuery:
-    """Keep the daily table current for a stream of labelled articles."""
+                   buckets: int = 16, fold_every: int = 100) -> StreamingQuery:
+    """Keep the daily table current for a stream of labelled articles.
+
+    ``buckets`` and ``fold_every`` belong to the stored tables and must stay
+    the same for one ``out_dir``.
+    """
     def fold(batch: DataFrame, batch_id: int) -> None:
-        update_daily(batch, batch_id, out_dir, window, buckets)
+        update_daily(batch, batch_id, out_dir, window, buckets, fold_every)
 
     return (
         labelled.writeStream.foreachBatch(fold)
