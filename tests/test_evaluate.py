@@ -113,6 +113,16 @@ def test_wide_and_long(predictions):
     assert back.exceptAll(predictions.select(*back.columns)).count() == 0
 
 
+def test_wide_details_are_keyed_by_name(spark):
+    rows = [(1, "m", "positive", "positive", 0.7, "POS", {"positive": 0.70004, "negative": 0.2, "neutral": 0.1}),
+            (1, "k", "positive", "love", 0.5, "love", None)]
+    df = spark.createDataFrame(rows, "row_id long, model string, true_label string, pred string, "
+                                     "confidence double, raw_label string, probs map<string,double>")
+    row = E.to_wide(df, ("m", "k"), with_probs=("m",), with_raw=("k",)).first().asDict()
+    assert (row["m_prob_positive"], row["m_prob_negative"], row["m_prob_neutral"]) == (0.7, 0.2, 0.1)
+    assert row["k_raw_label"] == "love" and row["k_correct"] is False and "m_raw_label" not in row
+
+
 def test_comparison_and_confidence(predictions):
     scores = E.accuracy(E.counts(predictions))
     before = scores.where("model in ('m1', 'm2', 'm3')")

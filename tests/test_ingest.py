@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from toneflow.operators import articles, language
 from toneflow.plans.ingest import ingest, ingest_request, with_key
 from toneflow.schemas import ARTICLE, RAW_PAGE, Request
+from toneflow.session import scratch_path
 from toneflow.sources import readers, writers
 
 PROFILE = {"en": ("the", "and", "of"), "de": ("der", "und", "die")}
@@ -135,6 +136,23 @@ def test_labels_never_multiply_articles(spark):
     assert got == {"a": "positive", "b": None, None: None}
 
 
+    first = articles.attach_labels(df, spark.createDataFrame(
+        [("a", "x", 2), ("a", "y", 1), ("b", "z", 3)], "hash string, weak_label string, at int"), ["at"])
+    assert {r.hash: r.weak_label for r in first.collect()} == {"a": "y", "b": "z", None: None}
+
+
+def test_mentions_of_a_long_watchlist(spark):
+    df = spark.createDataFrame([(1, "It rose. AAPL, aapl!"), (2, "pit"), (3, None)], "id int, body string")
+    watch = spark.createDataFrame([("AAPL",), ("IT",), ("IT",), ("A",)], "ticker string")
+    got = articles.mentions(df, "id", F.col("body"), watch).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "AAPL"), (1, "IT")]
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(f"{shared}/x-") and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
 def test_csv_list_literals(spark):
     texts = ["['AAPL']", "[]", "", "  ", None, "nonsense", "['A', \"B's\"]", "['it\\'s']"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")

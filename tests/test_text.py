@@ -91,7 +91,7 @@ def test_tags(spark):
     symbols = ["AAPL", "A", "IT"]
     texts = ["aapl rose", "It said", "nothing of note", "xyz", None]
     assert apply(spark, texts, lambda c: X.tag_tickers(c, symbols)) == [["AAPL", "A"], ["A", "IT"], [], [], []]
-    assert apply(spark, texts, lambda c: X.tag_tickers(c, symbols, whole_words=True)) == [["AAPL"], ["IT"], [], [], []]
+    assert apply(spark, texts, lambda c: X.tag_tickers(c, symbols, words_only=True)) == [["AAPL"], ["IT"], [], [], []]
 
 
 def test_tokens_and_shortening(spark):

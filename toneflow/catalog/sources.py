@@ -146,16 +146,21 @@ def snk4(spark, d):
 
 @query("snk5_prediction_table", f"""WITH {sql.WIDE}
 SELECT row_id, true_label, a_prediction, round_even(a_confidence, 6) + 0.0 AS a_confidence,
-       a_prediction = true_label AS a_correct, c_prediction, c_prediction = true_label AS c_correct
+       a_prediction = true_label AS a_correct, round_even(a_confidence, 4) AS a_prob_positive,
+       c_prediction, c_prediction = true_label AS c_correct, upper(c_prediction) AS c_raw_label
 FROM wide""")
 def snk5(spark, d):
     from toneflow.operators.evaluate import to_long
 
-    long = to_long(fixtures.wide_predictions(spark, d), fixtures.MODELS)
-    path = writers.write_predictions(long, scratch_path(spark, "predictions"), list(fixtures.MODELS))
+    long = to_long(fixtures.wide_predictions(spark, d), fixtures.MODELS) \
+        .withColumn("raw_label", F.upper("pred")) \
+        .withColumn("probs", F.create_map(F.lit("positive"), F.col("confidence")))
+    path = writers.write_predictions(long, scratch_path(spark, "predictions"), list(fixtures.MODELS),
+                                     with_probs=("a",), with_raw=("c",))
     df = spark.read.options(**readers.CSV_READ).csv(path)
     return df.select(
         F.col("row_id").cast("bigint").alias("row_id"), "true_label", "a_prediction",
         sql.r6(F.col("a_confidence").cast("double")).alias("a_confidence"),
         F.col("a_correct").cast("boolean").alias("a_correct"),
-        "c_prediction", F.col("c_correct").cast("boolean").alias("c_correct"))
+        F.col("a_prob_positive").cast("double").alias("a_prob_positive"),
+        "c_prediction", F.col("c_correct").cast("boolean").alias("c_correct"), "c_raw_label")

@@ -127,7 +127,17 @@ def txt12(spark, d):
     cleaned = X.clean_text(F.col("text"))
     return fixtures.documents(spark, d).select(
         "doc_id", F.array_join(X.tag_tickers(cleaned, SYMBOLS), "|").alias("tickers"),
-        F.array_join(X.tag_tickers(cleaned, SYMBOLS, whole_words=True), "|").alias("whole_words"))
+        F.array_join(X.tag_tickers(cleaned, SYMBOLS, words_only=True), "|").alias("whole_words"))
+
+
+@query("txt12_mentions", f"""SELECT DISTINCT doc_id, ticker FROM (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM documents)
+JOIN (VALUES {', '.join(f"('{s}', '{s.lower()}')" for s in SYMBOLS)}) AS watch(ticker, word) USING (word)""")
+def txt12_mentions(spark, d):
+    from toneflow.operators.articles import mentions
+
+    watchlist = spark.createDataFrame([(s,) for s in SYMBOLS], "ticker string")
+    return mentions(fixtures.documents(spark, d), "doc_id", F.col("text"), watchlist)
 
 
 @query("txt13_tokens", """SELECT doc_id, len(t) AS n,

@@ -92,17 +92,21 @@ def article_key(title: Column, source: Column, published: Column) -> Column:
     return F.sha2(base, 256)
 
 
-def tag_tickers(text: Column, tickers: Sequence[str] | Column, whole_words: bool = False) -> Column:
+def whole_words(text: Column) -> Column:
+    """Lower-case runs of letters and digits in any script."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def tag_tickers(text: Column, tickers: Sequence[str] | Column, words_only: bool = False) -> Column:
     """Those of ``tickers`` that occur in ``text``, regardless of case.
 
-    Plain containment by default; ``whole_words`` asks for a match between
+    Plain containment by default; ``words_only`` asks for a match between
     word boundaries, which short symbols need.
     """
     wanted = tickers if isinstance(tickers, Column) else F.array(*[F.lit(t) for t in tickers])
     wanted = F.filter(wanted, lambda t: t.isNotNull())
-    if whole_words:
-        words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-        return bind(words, lambda ws: F.filter(wanted, lambda t: F.array_contains(ws, F.lower(t))))
+    if words_only:
+        return bind(whole_words(text), lambda ws: F.filter(wanted, lambda t: F.array_contains(ws, F.lower(t))))
     return bind(F.lower(text), lambda low: F.filter(wanted, lambda t: F.contains(low, F.lower(t))))
 
 

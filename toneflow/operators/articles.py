@@ -108,9 +108,25 @@ def first_accepted(df: DataFrame, limit: int, arrival: Sequence[str],
     return salted.drop("_salt")
 
 
-def attach_labels(articles: DataFrame, labels: DataFrame) -> DataFrame:
-    """Left join on ``hash``; repeated label rows never multiply articles."""
-    return articles.join(labels.dropDuplicates(["hash"]), "hash", "left")
+def attach_labels(articles: DataFrame, labels: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Left join on ``hash``; repeated label rows never multiply articles.
+
+    Of several labels for one article the first in ``order`` counts, any of
+    them without an order.
+    """
+    unique = first_arrivals(labels, ["hash"], order) if order else labels.dropDuplicates(["hash"])
+    return articles.join(unique, "hash", "left")
+
+
+def mentions(df: DataFrame, key: str, body: Column, watchlist: DataFrame) -> DataFrame:
+    """Rows (key, ticker) for every watchlist ticker that occurs as a word.
+
+    For watchlists too long to test one by one: the distinct words of each
+    text are joined with the tickers, so there is no text-by-ticker product.
+    """
+    found = df.select(key, F.explode(F.array_distinct(text.whole_words(body))).alias("_word"))
+    wanted = watchlist.select("ticker").distinct().withColumn("_word", F.lower("ticker"))
+    return found.join(wanted, "_word").select(key, "ticker")
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.functions.labels import is_correct
+from toneflow.functions.labels import is_correct, round_confidence
 from toneflow.schemas import LABELS
 
 
@@ -123,16 +123,30 @@ def prediction_distribution(count: DataFrame) -> DataFrame:
         .select("model", "pred", "n", (F.col("n") * 100.0 / F.col("_all")).alias("pct"))
 
 
-def to_wide(predictions: DataFrame, models: Sequence[str]) -> DataFrame:
-    """One row per row_id with ``<model>_prediction``, ``_confidence`` and ``_correct``."""
+def to_wide(predictions: DataFrame, models: Sequence[str], with_probs: Sequence[str] = (),
+            with_raw: Sequence[str] = (), labels: Sequence[str] = LABELS) -> DataFrame:
+    """One row per row_id with ``<model>_prediction``, ``_confidence`` and ``_correct``.
+
+    Models named in ``with_probs`` add ``<model>_prob_<label>`` from column
+    ``probs``, those in ``with_raw`` add ``<model>_raw_label`` from ``raw_label``.
+    Probabilities are looked up by name, so their order does not matter.
+    """
+    def of(model: str, value: Column) -> Column:
+        return F.max(F.when(F.col("model") == model, value))
+
     columns = []
     for m in models:
-        is_m = F.col("model") == m
         columns += [
-            F.max(F.when(is_m, F.col("pred"))).alias(f"{m}_prediction"),
-            F.max(F.when(is_m, F.col("confidence"))).alias(f"{m}_confidence"),
-            F.max(F.when(is_m, is_correct(F.col("pred"), F.col("true_label")))).alias(f"{m}_correct"),
+            of(m, F.col("pred")).alias(f"{m}_prediction"),
+            of(m, F.col("confidence")).alias(f"{m}_confidence"),
+            of(m, is_correct(F.col("pred"), F.col("true_label"))).alias(f"{m}_correct"),
         ]
+        if m in with_raw:
+            columns.append(of(m, F.col("raw_label")).alias(f"{m}_raw_label"))
+        if m in with_probs:
+            columns += [
+                of(m, round_confidence(F.try_element_at("probs", F.lit(x)))).alias(f"{m}_prob_{x}")
+                for x in labels]
     return predictions.groupBy("row_id", "true_label").agg(*columns)
 
 

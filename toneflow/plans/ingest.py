@@ -51,14 +51,14 @@ def with_language(df: DataFrame, profile: Profile) -> DataFrame:
 
 
 def with_tickers(df: DataFrame, tickers: Sequence[str] | Column | None = None,
-                 whole_words: bool = False) -> DataFrame:
+                 words_only: bool = False) -> DataFrame:
     """Tag from the cleaned text; by default only the requested ticker is looked for.
 
     The stored fields stay raw.
     """
     wanted = F.array("request") if tickers is None else tickers
     whole = text.join_fields(F.col("title"), F.col("description"), F.col("content"))
-    return df.withColumn("tickers", text.tag_tickers(text.clean_text(whole), wanted, whole_words))
+    return df.withColumn("tickers", text.tag_tickers(text.clean_text(whole), wanted, words_only))
 
 
 def with_time(df: DataFrame) -> DataFrame:

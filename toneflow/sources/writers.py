@@ -101,6 +101,7 @@ def write_report(daily: DataFrame, out_dir: str, window: int = 7, z_threshold: f
     return paths
 
 
-def write_predictions(predictions: DataFrame, path: str, models: list[str]) -> str:
+def write_predictions(predictions: DataFrame, path: str, models: list[str],
+                      with_probs: tuple[str, ...] = (), with_raw: tuple[str, ...] = ()) -> str:
     """Predictions of several models side by side, as CSV."""
-    return write_table(to_wide(predictions, models), path, "csv")
+    return write_table(to_wide(predictions, models, with_probs, with_raw), path, "csv")
