@@ -45,9 +45,14 @@ def with_fields(df: DataFrame) -> DataFrame:
     })
 
 
-def with_language(df: DataFrame, profile: Profile) -> DataFrame:
+def in_detected_language(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
+    """Keep articles whose title and description are in ``language``.
+
+    The column is a constant afterwards, which spares a second detection.
+    """
     small = text.join_fields(title(), F.col("raw.description"))
-    return df.withColumn("language", detect_language(small, profile))
+    return df.where(detect_language(small, profile) == language) \
+        .withColumn("language", F.lit(language))
 
 
 def with_tickers(df: DataFrame, tickers: Sequence[str] | Column | None = None,
@@ -68,7 +73,7 @@ def with_time(df: DataFrame) -> DataFrame:
 
 def accept(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
     """Language and timestamp filters, in this order after deduplication."""
-    return with_time(articles.in_language(with_language(df, profile), language))
+    return with_time(in_detected_language(df, profile, language))
 
 
 def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles: int = 500,
