@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from toneflow.operators import model as M
+from toneflow.operators.model import score_with_all
 from toneflow.operators.sampling import stratified_split
+from toneflow.plans.evaluation import compare_models
 from toneflow.plans.labelling import build_dataset
+from toneflow.plans.training import fine_tune
 
 WORDS = {"negative": "loss decline probe", "neutral": "meeting agenda report", "positive": "profit growth record"}
 
@@ -87,6 +91,46 @@ def test_plugged_in_model(spark):
     assert {(r.model_label, r.model_confidence) for r in absent} == {("N/A", 0.0)}
 
 
+def test_models_are_compared_in_one_pass(spark, split):
+    gold = split[0].drop("split")
+
+    def by_word(word, label):
+        class Scorer:
+            def predict(self, texts):
+                return [{"label": label if word in t else "Neutral", "probs": {"neutral": 0.5}} for t in texts]
+
+        return Scorer
+
+    scorers = {"up": by_word("profit", "LABEL_2"), "none": lambda: None, "joy": by_word("growth", "joy")}
+    result = compare_models(gold, scorers, "id", sample=30)
+    assert result.predictions.count() == 90
+    plan = score_with_all(gold, "text", scorers, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    acc = {r.model: (r.n, r.n_correct) for r in result.accuracy.collect()}
+    assert acc == {"up": (30, 20), "joy": (30, 20), "none": (30, 0)}
+    assert result.winner.first().model == "up"
+    pairs = {(r.model_a, r.model_b): (r.n_agree, r.n) for r in result.agreement.collect()}
+    assert pairs["up", "joy"] == (30, 30) and pairs["up", "none"] == (0, 30)
+    assert {r.pred for r in result.distribution.where("model = 'none'").collect()} == {"N/A"}
+    assert {r.raw_label for r in result.predictions.where("model = 'up'").collect()} == {"LABEL_2", "Neutral"}
+    assert result.report.where("label = 'macro avg'").count() == result.confidence.select("model").distinct().count() == 3
+    assert result.confusion.count() == 9 and result.class_accuracy.count() == 9
+
+
+def test_training_run(spark, split, tmp_path):
+    rows = split[0].unionByName(split[1]).drop("split")
+    run = fine_tune(rows.withColumnRenamed("label", "weak_label"), "id", variants={"a": 0.01, "b": 0.3},
+                    path=f"{tmp_path}/m", features=1 << 10, max_iter=5)
+    metrics = run.metrics.first()
+    assert metrics.model == run.variant and metrics.accuracy > 0.95 and metrics.f1_macro > 0.9
+    assert len(run.tried) == 2 and run.history[-1][2] is not None
+    assert M.evaluate(f"{tmp_path}/m", rows).where("label = 'accuracy'").first().f1 > 0.95
+    dated = rows.withColumn("published_at", F.timestamp_seconds(F.abs(F.hash("id"))))
+    by_time = fine_tune(dated, "id", by_time=True, variants={"a": 0.01}, weights_from_all=True,
+                        features=1 << 10, max_iter=5)
+    assert by_time.metrics.first().accuracy > 0.9
+
+
 def test_model_decides_in_the_labelled_table(spark):
     df = spark.createDataFrame([("1", "loss", None), ("2", "bad loss", None)], "hash string, title string, description string")
     rows = {r.hash: r.weak_label for r in build_dataset(df, scorer=make_scorer()).collect()}

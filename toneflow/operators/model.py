@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
 import pandas as pd
@@ -11,10 +11,10 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.functions.labels import decide, label_to_id
+from toneflow.functions.labels import decide, label_to_id, normalise_label
 from toneflow.operators.evaluate import classification_report, counts
 from toneflow.operators.sampling import class_weights
 from toneflow.session import sized
@@ -29,15 +29,12 @@ class Scorer(Protocol):
 
 ScorerFactory = Callable[[], Scorer | None]
 
-SCORED = "label string, probs map<string,double>"
-
+def scored(text: Column, factories: Sequence[ScorerFactory]) -> Column:
+    """Struct (label0, probs0, label1, probs1, ...) of a text from plugged-in models.
 
-def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
-    """Add ``model_label``, ``model_probs`` and ``model_confidence`` from a plugged-in model.
-
-    The factory runs once per task and texts reach the model in Arrow batches.
-    Texts that fail are labelled ``ERROR``, all texts ``N/A`` without a model;
-    both with confidence 0.
+    Factories run once per task, and texts reach all models in one stream of
+    Arrow batches.  Texts that fail are labelled ``ERROR``, all texts ``N/A``
+    where a factory gives no model.
     """
     # Nested, so that it travels to the executors by value.
     def label(scorer: Scorer | None, texts: list[str]) -> list[tuple[str, dict[str, float]]]:
@@ -51,21 +48,53 @@ def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
                 return [("ERROR", {})]
             return [label(scorer, [t])[0] for t in texts]
 
-    @F.pandas_udf(SCORED)
+    fields = ", ".join(f"label{i} string, probs{i} map<string,double>" for i in range(len(factories)))
+
+    @F.pandas_udf(fields)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = factory()
+        scorers = [factory() for factory in factories]
         for texts in batches:
-            yield pd.DataFrame(label(scorer, texts.fillna("").tolist()), columns=["label", "probs"])
+            values = texts.fillna("").tolist()
+            parts = [pd.DataFrame(label(s, values), columns=[f"label{i}", f"probs{i}"])
+                     for i, s in enumerate(scorers)]
+            yield pd.concat(parts, axis=1)
 
-    scored = df.withColumn("_scored", score(F.col(text)))
-    top = F.array_max(F.map_values("_scored.probs"))
-    return scored.withColumns({
-        "model_label": F.col("_scored.label"),
-        "model_probs": F.col("_scored.probs"),
-        "model_confidence": F.coalesce(top, F.lit(0.0)),
+    return score(text)
+
+
+def confidence(probs: Column) -> Column:
+    """Highest probability, 0 when there is none."""
+    return F.coalesce(F.array_max(F.map_values(probs)), F.lit(0.0))
+
+
+def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
+    """Add ``model_label``, ``model_probs`` and ``model_confidence`` from a plugged-in model."""
+    return df.withColumn("_scored", scored(F.col(text), [factory])).withColumns({
+        "model_label": F.col("_scored.label0"),
+        "model_probs": F.col("_scored.probs0"),
+        "model_confidence": confidence(F.col("_scored.probs0")),
     }).drop("_scored")
 
 
+def score_with_all(df: DataFrame, text: str, scorers: Mapping[str, ScorerFactory], key: str,
+                   label: str = "label") -> DataFrame:
+    """Long predictions of several models, one pass over the texts.
+
+    Labels are brought to the common names; the original stays in ``raw_label``.
+    """
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(f"_s.label{i}").alias("label"),
+                 F.col(f"_s.probs{i}").alias("probs")) for i, m in enumerate(scorers)]))
+    found = df.select(key, label, scored(F.col(text), list(scorers.values())).alias("_s")) \
+        .select(key, label, rows.alias("r"))
+    failed = F.col("r.label").isin("ERROR", "N/A")
+    return found.select(
+        F.col(key).alias("row_id"), "r.model", F.col(label).alias("true_label"),
+        F.when(failed, F.col("r.label")).otherwise(normalise_label(F.col("r.label"))).alias("pred"),
+        confidence(F.col("r.probs")).alias("confidence"), "r.probs",
+        F.col("r.label").alias("raw_label"))
+
+
 def with_class_weights(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
     """Add column ``weight``, balanced over ``basis`` (the rows themselves by default)."""
     weights = class_weights(df if basis is None else basis).select("label", "weight")
@@ -171,9 +200,9 @@ def train(df: DataFrame, reg_param: float = 0.01, basis: DataFrame | None = None
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``pred``, ``confidence`` and ``probs``; stays in the JVM."""
-    scored = model.transform(df.withColumn("text", F.coalesce("text", F.lit(""))))
+    output = model.transform(df.withColumn("text", F.coalesce("text", F.lit(""))))
     best = decide(vector_to_array("probability"))
-    return scored.withColumn("_best", best).select(
+    return output.withColumn("_best", best).select(
         *df.columns, F.col("_best.label").alias("pred"),
         F.col("_best.confidence").alias("confidence"), F.col("_best.probs").alias("probs"))
 
@@ -207,9 +236,9 @@ def select_variant(
         fitted = regression(reg_param, max_iter).fit(train_features)
         loss = accuracy = None
         if val_features is not None:
-            scored = fitted.transform(val_features)
+            output = fitted.transform(val_features)
             loss, accuracy = (
-                MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(scored)
+                MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(output)
                 for m in ("logLoss", "accuracy"))
         tried[name] = (fitted, reg_param, loss, accuracy)
     train_features.unpersist()
@@ -226,9 +255,9 @@ def evaluate(model: PipelineModel | str, df: DataFrame) -> DataFrame:
     """Per-label scores of a model, given or loaded from a folder, on labelled rows."""
     if isinstance(model, str):
         model = PipelineModel.load(model)
-    scored = predict(model, df).select(
+    pairs = predict(model, df).select(
         F.lit("model").alias("model"), F.col("label").alias("true_label"), "pred")
-    return classification_report(counts(scored))
+    return classification_report(counts(pairs))
 
 
 def training_history(model: PipelineModel, val_loss: float | None = None,

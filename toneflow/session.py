@@ -40,6 +40,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, per_task: int = 256 << 20) -> int:
+    """Set the number of shuffle partitions for the largest shuffle of a job.
+
+    Partitions of ``per_task`` bytes fit an executor's memory; adaptive
+    execution merges the ones that turn out small.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    number = max(cores, -(-shuffled_bytes // per_task))
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 

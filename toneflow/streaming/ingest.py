@@ -40,10 +40,10 @@ def without_repeats(df: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has landed so far to a Parquet table, then stop."""
+    """Append what has landed so far to a Parquet table by publish day, then stop."""
     return (
         df.withColumn("publish_day", F.to_date("published_at"))
-        .writeStream.format("parquet").outputMode("append")
+        .writeStream.format("parquet").outputMode("append").partitionBy("publish_day")
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
