@@ -65,12 +65,10 @@ def _decode_number(piece: Column) -> Column:
     return bind(code, _character)
 
 
-def _decode_name(piece: Column) -> Column:
-    whole = F.try_element_at(_names(), F.substr(piece, F.lit(2)))
+def _decode_name(piece: Column, names: Column) -> Column:
+    whole = F.try_element_at(names, F.substr(piece, F.lit(2)))
     prefix = F.regexp_extract(piece, _legacy_prefix(), 1)
-    by_prefix = F.concat(
-        F.try_element_at(_names(), prefix), F.substr(piece, F.length(prefix) + 2)
-    )
+    by_prefix = F.concat(F.try_element_at(names, prefix), F.substr(piece, F.length(prefix) + 2))
     return F.when(whole.isNotNull(), whole).when(prefix != "", by_prefix).otherwise(piece)
 
 
@@ -80,17 +78,18 @@ def unescape(text: Column) -> Column:
     Covers every HTML5 name, the old names without a semicolon, and decimal
     and hexadecimal references.  Text without an ampersand is left alone.
     """
-    def decode(piece: Column) -> Column:
+    def decode(piece: Column, names: Column) -> Column:
         return (
             F.when(~F.startswith(piece, F.lit("&")), piece)
             .when(F.rlike(piece, F.lit(f"^{NUMBER}$")), _decode_number(piece))
-            .when(F.length(piece) > 1, _decode_name(piece))
+            .when(F.length(piece) > 1, _decode_name(piece, names))
             .otherwise(piece)
         )
 
     def decoded(value: Column) -> Column:
         pieces = F.regexp_extract_all(value, F.lit(PIECES), F.lit(0))
-        whole = F.array_join(F.transform(pieces, decode), "")
+        whole = bind(_names(), lambda names: F.array_join(
+            F.transform(pieces, lambda piece: decode(piece, names)), ""))
         return F.when(F.contains(value, F.lit("&")), whole).otherwise(value)
 
     return bind(text, decoded)
