@@ -7,7 +7,6 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from toneflow.operators import daily
 from toneflow.plans.report import alert_report, build_reports, daily_report

@@ -222,5 +222,15 @@ def test_unknown_language_and_profile(spark):
     assert got == ["en", "de", "de", "unknown", "unknown"]
 
 
+def test_scripts_without_blanks(spark):
+    df = spark.createDataFrame([("公司的利润和公司的", "zh"), ("これは会社の利益です", "ja"), ("the Gewinn и доход", "xx")],
+                               "text string, lang string")
+    words = [r.w for r in df.select(language.words(F.col("text")).alias("w")).collect()]
+    assert words[0] == list("公司的利润和公司的") and words[2] == ["the", "gewinn", "и", "доход"]
+    profile = {"zh": ("的", "和", "公"), "ja": ("の", "は", "で", "す"), "en": ("the",)}
+    got = [r.o for r in df.select(language.detect_language(F.col("text"), profile).alias("o")).collect()]
+    assert got == ["zh", "ja", "en"]
+
+
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from toneflow import fixtures
 from toneflow.catalog import query, sql

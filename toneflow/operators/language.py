@@ -16,11 +16,20 @@ from toneflow.functions import bind
 
 LETTERS = r"\p{L}+"
 
+# Thai, kana and Han are written without blanks: their characters count as words.
+UNSPACED = "[\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF]"
+
 Profile = Mapping[str, Sequence[str]]
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LETTERS), F.lit(0))
+    """Lower-case words in any script."""
+    def spaced(low: Column) -> Column:
+        apart = F.regexp_replace(low, f"({UNSPACED})", " $1 ")
+        return F.when(F.rlike(low, F.lit(UNSPACED)), apart).otherwise(low)
+
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    return F.regexp_extract_all(bind(lower, spaced), F.lit(LETTERS), F.lit(0))
 
 
 def word_profile(df: DataFrame, text: str = "text", language: str = "lang",
