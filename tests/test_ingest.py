@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from toneflow.functions import dates
 from toneflow.operators import articles, language
 from toneflow.plans.ingest import ingest, ingest_request, with_key
 from toneflow.schemas import ARTICLE, RAW_PAGE, Request
@@ -55,6 +56,17 @@ def test_unparsable_time_is_dropped(landed):
     assert ingest(landed([article(), article(title="the x", publishedAt="soon")]), PROFILE).count() == 1
 
 
+def test_timestamps(spark):
+    good = {"2024-01-02T10:00:00Z": datetime(2024, 1, 2, 10), "2024-01-02T10:00:00+02:00": datetime(2024, 1, 2, 8),
+            "2024-01-02": datetime(2024, 1, 2), "2024-01-02 10:00:00.5": datetime(2024, 1, 2, 10, 0, 0, 500000),
+            "2024-01-02T10:00": datetime(2024, 1, 2, 10)}
+    bad = ["", "soon", "2024", "2024-01", "10:30", "T10:30:00", "2024-02-30", "2024-01-02T25:00:00Z", " 2024-01-02",
+           "2024-01-02T10:00:00 Europe/Paris", "now", None]
+    df = spark.createDataFrame(list(enumerate([*good, *bad])), "i int, t string")
+    got = [r.o for r in df.select("i", dates.parse_iso(F.col("t")).alias("o")).orderBy("i").collect()]
+    assert got == [*good.values(), *[None] * len(bad)]
+
+
 def test_limit_counts_accepted_articles_in_arrival_order(landed):
     pages = [[article(title=f"the {10 * p + i}", description="der und die" if i == 0 else "and") for i in range(5)]
              for p in range(4)]

@@ -6,9 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+ISO_TIME = (r"^\d{4}-\d{2}-\d{2}"
+            r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:\d{2})?)?)?$")
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text with offset or ``Z``; null when it does not parse."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 date or time with offset or ``Z``; null when it does not parse.
+
+    A plain cast would also take a year, a time of day (of today) or a named
+    zone, which are not timestamps of an article.
+    """
+    return F.when(F.rlike(text, F.lit(ISO_TIME)), F.try_to_timestamp(text))
 
 
 def day(ts: Column) -> Column:

@@ -155,5 +155,5 @@ def decayed_tone(df: DataFrame, half_life: int = 50) -> DataFrame:
     score = F.col("sentiment_score").cast("double")
     return recency_index(df).withColumn("_w", F.when(score.isNotNull(), weight)) \
         .groupBy("ticker") \
-        .agg((F.sum(F.col("_w") * score) / F.sum("_w")).alias("decayed_score"),
+        .agg(F.try_divide(F.sum(F.col("_w") * score), F.sum("_w")).alias("decayed_score"),
              F.count(F.lit(1)).alias("n"))

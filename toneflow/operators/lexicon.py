@@ -17,6 +17,7 @@ def score_by_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
     """
     words = df.select(key, F.explode(tokens(F.col(text))).alias("word"))
     hits = words.join(lexicon.select("word", "polarity"), "word").groupBy(key).agg(
-        (F.sum("polarity") / F.sum(F.abs("polarity"))).alias("lex_score"))
+        F.try_divide(F.sum("polarity").cast("double"), F.sum(F.abs("polarity")).cast("double"))
+        .alias("lex_score"))
     return df.join(hits, key, "left").withColumn(
         "lex_score", F.coalesce(F.col("lex_score"), F.lit(0.0)))

@@ -47,7 +47,8 @@ def assign_parts(
     must not decrease along ``order`` nor be null, and ``order`` must identify a
     row.
 
-    All but one cell per cut is decided by comparing cells; the rows of the
+    ``df`` is read three times, so it should be a stored table.  All but one
+    cell per cut is decided by comparing cells; the rows of the
     cells that hold a cut are the only ones shuffled and ranked.  Cells that
     may be large themselves are ranked through the finer levels ``inside``.
     """

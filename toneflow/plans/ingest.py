@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.functions import text
+from toneflow.functions import dates, text
 from toneflow.operators import articles
 from toneflow.operators.language import Profile, detect_language
 from toneflow.schemas import Request
@@ -97,7 +97,7 @@ def ingest_request(raw: DataFrame, request: Request, profile: Profile) -> DataFr
     the later filter.
     """
     pages = raw.where(F.col("request") == request.ticker)
-    published = F.try_to_timestamp(stamp())
+    published = dates.parse_iso(stamp())
     for bound, outside in ((request.from_date, published.__lt__), (request.to_date, published.__gt__)):
         if bound is not None:
             pages = pages.where(~F.coalesce(outside(F.lit(bound).cast("timestamp")), F.lit(False)))
