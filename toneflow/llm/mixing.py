@@ -89,9 +89,7 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int
     sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                                size_in_words(F.col(text_col)).alias("size")), "sizes")
     shares = stored(targets(sizes, weights, budget, epochs), "targets")
-    # A copy that ends beyond 1 by more than its own size can't be within the budget: the cut is near 1.
-    copies = stored(queue(sizes, shares, epochs, seed).filter(
-        F.col("finish") - F.col("size") / F.col("target") < 1), "queue")
+    copies = stored(queue(sizes, shares, epochs, seed), "queue")
     # Not the sum of the targets, whose last bits depend on the order of adding.
     total = (shares.agg(F.sum("source_size")).first()[0] or 0) * min(budget, epochs)
     cell = F.floor(F.least("finish", F.lit(2.0)) * FINISH_CELLS)
