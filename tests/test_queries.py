@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from toneflow import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.load()
 
 
 @pytest.fixture(scope="module")
@@ -22,15 +23,15 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    note, ok = check.compare(spark, con, name, entry.queries()[name], ORACLES.get(name), FOLDER)
+    note, ok = check.compare(spark, con, name, QUERIES[name].run, QUERIES[name].sql, FOLDER)
     assert ok, note
     assert "types differ" not in note
 
 
 def test_only_fitted_models_lack_sql():
-    assert {n for n in entry.queries() if n not in ORACLES} == {
+    assert {n for n, e in QUERIES.items() if e.sql is None} == {
         "ml1_train_classifier", "ml2_select_variant", "ml3_model_scoring", "ml4_evaluate_saved", "ml5_training_history"}
 
 

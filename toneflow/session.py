@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from functools import cache
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,17 +58,25 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int, per_task: int = 256
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``; only a local
-    master without that setting falls back to a folder on this machine.
+    Uses the shared folder named by ``spark.checkpoint.dir``.  Only a local
+    master without that setting, as in tests, gets a folder in its warehouse
+    that goes when the process ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="toneflow-")
+        shared = _local_scratch(spark.conf.get("spark.sql.warehouse.dir"))
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_scratch(warehouse: str) -> str:
+    folder = f"{unquote(urlparse(warehouse).path).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def sized(df: DataFrame) -> DataFrame:
     """Materialise a side table so that joins plan with its measured size.
 
