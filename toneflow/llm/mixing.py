@@ -123,3 +123,23 @@ def taken(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: in
     named = shares.select(*source, "source_size", "target")
     out = both.withColumn("taken", took.cast("long")).join(named, ["no_source", "source"])
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def mixture(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int = 2, seed: int = 7,
+            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``taken`` words, ``copies`` and ``finish_times``.
+
+    A reader that goes through the copies in the order of ``finish_times``
+    meets the sources in their target shares from the start.  Columns of
+    ``docs`` with these names are replaced; rows with equal ids share a decision.
+    """
+    copies, _, _ = mix(docs, weights, budget, epochs, seed, id_col, text_col, source_col)
+    own = [f"{OWN}{c}" for c in ("id", "size")]
+    of = copies.groupBy(F.col("id").alias(own[0]), F.col("size").alias(own[1])).agg(
+        F.sort_array(F.collect_list("finish")).alias(f"{OWN}times"))
+    new = ("taken", "copies", "finish_times")
+    keyed = docs.select(*[c for c in docs.columns if c not in new]).withColumn(f"{OWN}words", size_in_words(F.col(text_col)))
+    out = keyed.join(stored(of, "decisions"), F.col(id_col).eqNullSafe(F.col(own[0])) & (F.col(f"{OWN}words") == F.col(own[1])))
+    times = F.col(f"{OWN}times")
+    return out.withColumn("taken", F.col(own[1]) * F.size(times)).withColumn("copies", F.size(times)).withColumn(
+        "finish_times", times).drop(f"{OWN}words", f"{OWN}times", *own)

@@ -29,6 +29,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"), WEIGHTS, budget=1.5, epochs=2)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = decontaminate.remove_spans(docs, read(spark, sf_dir, "benchmark"))
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document that the mix takes, with the words it takes of it and the finish times of its copies."""
+    return mixing.mixture(docs, WEIGHTS, budget=1.5, epochs=2)
+
+
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
