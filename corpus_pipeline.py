@@ -16,8 +16,10 @@ from toneflow.llm.tables import read, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", queries.quality_stage),
     ("simhash_dedup", queries.simhash_stage),
     ("decontamination", queries.decontamination_stage),
+    ("secrets", queries.secrets_stage),
     ("mixing", queries.mixing_stage),
 ]
 

@@ -7,28 +7,81 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toneflow.llm import decontaminate, mixing, simhash
+from toneflow.llm import cotraining, decontaminate, embeddings, mixing, secrets, simhash, suffixes, toxicity, urls, warc
 from toneflow.llm.tables import read
 
+# Listed rules (host, path, verdict).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Weights of the sources in the order of code points, repeating.
 WEIGHTS = [5.0, 2.0, 1.0]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model that never sees the held-out fifth of the labels."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = read(spark, sf_dir, "labels").filter(~held_out)
+    found = toxicity.score(read(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with its place and the forest's judgement."""
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", "end", "probability", "secret")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.deduplicate(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(read(spark, sf_dir, "pages"), rules)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"), WEIGHTS, budget=1.5, epochs=2)
 
 
+def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of both views and of their combination, and the decision, for every document."""
+    model, views = cotraining.learn(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return cotraining.scores(views, model).select(
+        F.col("id").alias("doc_id"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return cotraining.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hidden = secrets.redact(docs)
+    return hidden.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
@@ -63,6 +116,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN c USING (k) LEFT JOIN t USING (k)
 """
 
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e,
+                  embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS sound FROM embeddings),
+     l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+           WHERE a.sound AND b.sound AND list_cosine_similarity(a.e, b.e) >= 0.95),
+     r AS (SELECT vec_id, vec_id AS other FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.other = l.a),
+     c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id),
+     n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+           FROM pages),
+     f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
                   row_number() OVER () AS k FROM documents),
@@ -88,12 +164,21 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN x USING (k)
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
+    "op4_suffixes": op4_suffixes,
     "op5_simhash": op5_simhash,
+    "op6_embeddings": op6_embeddings,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op9_urls": op9_urls,
+    "op10_cotraining": op10_cotraining,
 }
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": OP3_SQL,
+    "op6_embeddings": OP6_SQL,
+    "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
 }

@@ -9,6 +9,7 @@ from toneflow.session import scratch_path
 
 #: Prefix of helper columns, so that they never clash with a caller's.
 OWN = "__llm_"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +20,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and lets the
-    planner see the true size of the table.
+    planner see the true size of the table.  The shuffle files of the write go
+    when it ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
