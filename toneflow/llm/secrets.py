@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.llm.tables import OWN, stored, with_key
+from toneflow.llm.tables import OWN, light, stored, with_key
 
 DICTIONARY, LEAST_LENGTH, AROUND = 20_000, 12, 80
 NEIGHBOURS, PATHS, STATS = 16, 8, 17
@@ -229,7 +229,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
     found = scan(docs, labelled, threshold, id_col, text_col, path_col, **options).filter("secret")
     spans = found.select("key", "start", "end").distinct().groupBy(F.col("key").alias(f"{OWN}key")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias(f"{OWN}spans"))  # of one document
-    spans = stored(spans, "spans")
+    spans = light(stored(spans, "spans"))
 
     text, at = F.col(text_col), F.col(f"{OWN}spans")
     # What lies before each span, after the one before it; then the rest.

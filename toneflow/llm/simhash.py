@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toneflow.llm.components import components
-from toneflow.llm.tables import OWN, stored
+from toneflow.llm.tables import OWN, light, stored
 
 SEED = 42
 #: Pairs of an entry are compared neighbour by neighbour up to this size, in blocks beyond it.
@@ -187,4 +187,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` whose id is the smallest of their component; null ids stay."""
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(f"{OWN}id")).distinct()
-    return docs.join(stored(gone, "gone"), F.col(id_col) == F.col(f"{OWN}id"), "left_anti")
+    return docs.join(light(stored(gone, "gone")), F.col(id_col) == F.col(f"{OWN}id"), "left_anti")

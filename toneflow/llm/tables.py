@@ -47,3 +47,12 @@ def with_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.withColumn(f"{OWN}key", F.concat_ws(
         "|", F.coalesce(k["id"], F.lit("-")), k["hash"].cast("string"),
         F.coalesce(k["length"].cast("string"), F.lit("-"))))
+
+
+#: Rows of ids or decisions up to which a side that was counted is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def light(side: DataFrame) -> DataFrame:
+    """A stored side of a join, to be broadcast if it has few rows; joined by shuffling beyond."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
