@@ -12,7 +12,7 @@ from toneflow.operators import daily
 from toneflow.plans.report import alert_report, build_reports, daily_report
 from toneflow.sources.writers import write_table
 
-SCHEMA = "published_at timestamp, weak_label string, tickers array<string>, sentiment_score double"
+SCHEMA = "published_at timestamp, weak_label string, tickers array<string>, tone_score double"
 
 
 def frame(spark, rows, schema=SCHEMA):
@@ -24,16 +24,18 @@ def per_day(df, **kwargs):
 
 
 def test_one_row_per_date(spark):
-    labels = ["positive", "negative", "neutral", "positive", "negative", "positive"]
-    score = {"positive": 1.0, "negative": -1.0, "neutral": 0.0}
-    start = datetime(2024, 5, 1, 12)
-    df = frame(spark, [(start + timedelta(days=i), x, ["AAPL"], score[x]) for i, x in enumerate(labels)])
-    days = per_day(df, ticker="AAPL").orderBy("date").collect()
-    assert [d.mean_score for d in days] == [score[x] for x in labels]
-    assert all(d.article_count == 1 and d.sentiment_volatility == 0.0 for d in days)
-    trend = daily.rolling_trend(per_day(df), 3)
-    assert daily.detect_alerts(trend, 10).count() == 0
-    assert daily.detect_alerts(trend, 10).columns == ["date", "ticker", "alert_type", "z_value"]
+    """Five quiet days and a swing, one article each."""
+    scores = [0.0, 0.0, -1.0, 1.0, 0.0, 1.0, -1.0, -1.0]
+    names = {0.0: "neutral", 1.0: "positive", -1.0: "negative"}
+    rows = [(datetime(2023, 11, 27, 6) + timedelta(days=2 * i), names[s], ["ZZT"], s) for i, s in enumerate(scores)]
+    df = frame(spark, rows)
+    days = per_day(df, ticker="ZZT").orderBy("date").collect()
+    assert [d.mean_score for d in days] == scores
+    assert [(d.date - days[0].date).days for d in days] == list(range(0, 16, 2))
+    assert {(d.article_count, d.tone_volatility) for d in days} == {(1, 0.0)}
+    trend = daily.rolling_trend(per_day(df), 4)
+    assert daily.detect_alerts(trend, 1.9).count() == 0
+    assert daily.detect_alerts(trend, 1.7).columns == ["date", "ticker", "alert_type", "z_value"]
 
 
 def test_counts_nulls_and_unknown_labels(spark):
@@ -45,7 +47,7 @@ def test_counts_nulls_and_unknown_labels(spark):
     rows = {r.ticker: r for r in per_day(df).collect()}
     a = rows["A"]
     assert (a.date, a.article_count, a.mean_score) == (date(2024, 1, 1), 3, 0.75)
-    assert (round(a.pct_pos, 9), a.pct_neg, a.sentiment_volatility) == (round(1 / 3, 9), 0.0, 0.25)
+    assert (round(a.pct_pos, 9), a.pct_neg, a.tone_volatility) == (round(1 / 3, 9), 0.0, 0.25)
     assert (rows["B"].article_count, rows["B"].mean_score, rows["B"].pct_neg) == (2, 1.0, 0.5)
     assert set(rows) == {"A", "B"}
     assert per_day(df, ticker="a").count() == 0
@@ -59,8 +61,8 @@ def test_missing_columns_are_named(spark):
 
 def test_existing_scores_are_kept(spark):
     df = frame(spark, [(datetime(2024, 1, 1), "negative", ["A"], 0.25)])
-    assert daily.prepare_articles(df).first().sentiment_score == 0.25
-    assert daily.prepare_articles(df.drop("sentiment_score")).first().sentiment_score == -1.0
+    assert daily.prepare_articles(df).first().tone_score == 0.25
+    assert daily.prepare_articles(df.drop("tone_score")).first().tone_score == -1.0
 
 
 SERIES = st.lists(st.one_of(st.none(), st.integers(-4, 4).map(lambda v: v / 4)), min_size=1, max_size=25)
@@ -107,14 +109,14 @@ def test_summary_is_the_mean_of_daily_means(spark):
     start = datetime(2024, 1, 1)
     rows = [(start, "positive", ["A"], 1.0)] + [(start + timedelta(days=1), "neutral", ["A"], 0.0)] * 3
     summary = daily.period_summary(per_day(frame(spark, rows))).first()
-    assert (summary.total_articles, summary.n_days, summary.avg_sentiment, summary.verdict) == (4, 2, 0.5, "positive")
+    assert (summary.total_articles, summary.n_days, summary.avg_tone, summary.verdict) == (4, 2, 0.5, "positive")
 
 
 def test_display_rounds_half_to_even(spark):
     df = frame(spark, [(date(2024, 1, 1), "A", 0.0625, 0.125, 1 / 3, 4, 0.0)],
                "date date, ticker string, mean_score double, pct_pos double, pct_neg double, article_count long, v double")
     row = daily.display(df).first()
-    assert (row.Sentiment, row["Positive%"], row["Negative%"]) == (0.062, 12.5, 33.3)
+    assert (row.Tone, row["Positive%"], row["Negative%"]) == (0.062, 12.5, 33.3)
 
 
 def test_distribution_covers_the_domain(spark):
@@ -139,7 +141,7 @@ def test_recency_matches_brute_force(spark, cell_limit):
 
 def test_decayed_tone(spark):
     rows = [("a", datetime(2024, 1, 2), "X", 1.0), ("b", datetime(2024, 1, 1), "X", -1.0), ("c", datetime(2023, 1, 1), "X", None)]
-    df = spark.createDataFrame(rows, "hash string, published_at timestamp, ticker string, sentiment_score double")
+    df = spark.createDataFrame(rows, "hash string, published_at timestamp, ticker string, tone_score double")
     row = daily.decayed_tone(df, half_life=1).first()
     assert abs(row.decayed_score - (1 - 0.5) / 1.5) < 1e-12 and row.n == 3
 

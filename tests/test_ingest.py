@@ -59,7 +59,11 @@ def test_unparsable_time_is_dropped(landed):
 def test_timestamps(spark):
     good = {"2024-01-02T10:00:00Z": datetime(2024, 1, 2, 10), "2024-01-02T10:00:00+02:00": datetime(2024, 1, 2, 8),
             "2024-01-02": datetime(2024, 1, 2), "2024-01-02 10:00:00.5": datetime(2024, 1, 2, 10, 0, 0, 500000),
-            "2024-01-02T10:00": datetime(2024, 1, 2, 10)}
+            "2024-01-02T10:00": datetime(2024, 1, 2, 10), "20240102": datetime(2024, 1, 2),
+            "20240102T100000Z": datetime(2024, 1, 2, 10), "20240102T1000+0530": datetime(2024, 1, 2, 4, 30),
+            "2024-01-02T10:00:00+0530": datetime(2024, 1, 2, 4, 30), "2024-01-02T10:00:00,25": datetime(2024, 1, 2, 10, 0, 0, 250000),
+            "2024-01-02T10": datetime(2024, 1, 2, 10), "2024-01-02T10:00:00.1234567Z": datetime(2024, 1, 2, 10, 0, 0, 123456),
+            "2024-01-02x10:00:00-05:00": datetime(2024, 1, 2, 15), "2024-01-02T10:00:00+05:30:15": datetime(2024, 1, 2, 4, 29, 45)}
     bad = ["", "soon", "2024", "2024-01", "10:30", "T10:30:00", "2024-02-30", "2024-01-02T25:00:00Z", " 2024-01-02",
            "2024-01-02T10:00:00 Europe/Paris", "now", None]
     df = spark.createDataFrame(list(enumerate([*good, *bad])), "i int, t string")
@@ -196,16 +200,15 @@ def test_mixed_columns(spark, tmp_path):
 
 
 def test_gold_names_and_labels(spark):
-    df = spark.createDataFrame([("t", 2)], "Sentence string, Sentiment int")
-    row = readers.standardise_gold(df).first()
+    df = spark.createDataFrame([("t", 2)], "Phrase string, Code int")
+    names = {"text": ("Phrase", "phrase"), "label": ("Code",)}
+    row = readers.standardise_gold(df, names).first()
     assert (row.text, row.label, row.dataset_type) == ("t", "positive", "gold_standard")
-    both = spark.createDataFrame([("a", "b", "Neutral")], "Sentence string, sentence string, label string")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        row = readers.standardise_gold(both).first()
-        assert (row.text, row.label) == ("a", "neutral")
-    finally:
-        spark.conf.unset("spark.sql.caseSensitive")
+    both = spark.createDataFrame([("a", "b", "Neutral")], "Phrase string, other string, label string")
+    row = readers.standardise_gold(both, names).first()
+    assert (row.text, row.label, row.other) == ("a", "neutral", "b")
+    for code, kind in (("1", "string"), (1, "smallint"), (1.0, "double")):
+        assert readers.standardise_gold(spark.createDataFrame([("a", code)], f"text string, label {kind}")).first().label == "neutral"
 
 
 def test_latest_snapshot(spark, tmp_path):
@@ -246,3 +249,12 @@ def test_scripts_without_blanks(spark):
 
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("hash,title,url\nh1,\"t,1\",u1\n")
+    (tmp_path / "b.csv").write_text("url,hash,title\nu2,h2,\"t\n2\"\n")
+    (tmp_path / "c.csv").write_text("hash,extra\nh3,x\n")
+    for df in (readers.read_tables(spark, f"{tmp_path}/*.csv", "csv"), readers.read_table(spark, f"{tmp_path}/*.csv")):
+        got = sorted((r.hash, r.title, r.url, r.extra) for r in df.collect())
+        assert got == [("h1", "t,1", "u1", None), ("h2", "t\n2", "u2", None), ("h3", None, None, "x")]

@@ -57,12 +57,33 @@ def test_variants(split):
     assert scores[by_accuracy] == max(scores.values())
 
 
-def test_history(spark, model):
-    rows = M.training_history(model, 0.25, 0.9)
+def test_history(spark, split):
+    _, train, val = M.prepared(*split, features=1 << 10)
+    rows = M.training_history(train, val, max_iter=4)
     losses = [r[1] for r in rows]
-    assert losses[-1] < losses[0] and rows[-1][2:] == (0.25, 0.9)
-    history = spark.createDataFrame(rows, M.HISTORY)
-    assert M.complete_rows(history).count() == 1
+    assert [r[0] for r in rows] == [1, 2, 3, 4] and losses == sorted(losses, reverse=True)
+    whole = M.regression(max_iter=4).fit(train).summary.objectiveHistory
+    assert losses == pytest.approx(whole[1:])
+    history = spark.createDataFrame([*rows, *M.training_history(train, max_iter=1)], M.HISTORY)
+    assert M.complete_rows(history).count() == 4
+
+
+def test_rows_without_a_weight_are_not_dropped(spark):
+    df = spark.createDataFrame([("a", "positive"), ("b", None), ("c", "mixed")], "text string, label string")
+    basis = df.where("label = 'positive'")
+    with pytest.raises(Exception, match="no class weight for label"):
+        M.with_class_weights(df, basis).collect()
+    assert M.with_class_weights(basis, df).count() == 1
+
+
+def test_one_definition_of_each_name():
+    import ast
+    import pathlib
+    from collections import Counter
+
+    for path in pathlib.Path(M.__file__).parents[1].rglob("*.py"):
+        names = Counter(n.name for n in ast.parse(path.read_text()).body if isinstance(n, (ast.FunctionDef, ast.ClassDef)))
+        assert max(names.values(), default=1) == 1, (path, names.most_common(1))
 
 
 def test_weights_come_from_the_given_rows(spark):
@@ -120,10 +141,10 @@ def test_models_are_compared_in_one_pass(spark, split):
 def test_training_run(spark, split, tmp_path):
     rows = split[0].unionByName(split[1]).drop("split")
     run = fine_tune(rows.withColumnRenamed("label", "weak_label"), "id", variants={"a": 0.01, "b": 0.3},
-                    path=f"{tmp_path}/m", features=1 << 10, max_iter=5)
+                    path=f"{tmp_path}/m", features=1 << 10, max_iter=5, history_iterations=2)
     metrics = run.metrics.first()
     assert metrics.model == run.variant and metrics.accuracy > 0.95 and metrics.f1_macro > 0.9
-    assert len(run.tried) == 2 and run.history[-1][2] is not None
+    assert len(run.tried) == 2 and [r[0] for r in run.history] == [1, 2] and run.history[-1][2] is not None
     assert M.evaluate(f"{tmp_path}/m", rows).where("label = 'accuracy'").first().f1 > 0.95
     dated = rows.withColumn("published_at", F.timestamp_seconds(F.abs(F.hash("id"))))
     by_time = fine_tune(dated, "id", by_time=True, variants={"a": 0.01}, weights_from_all=True,

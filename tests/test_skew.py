@@ -50,6 +50,17 @@ def test_bulk_load_under_one_timestamp_is_divided(hot, fixed_partitions):
     assert [r["index"] for r in indexed.orderBy("hash").collect()] == list(range(N))
 
 
+def test_distinct_times_of_one_day_are_divided(hot, fixed_partitions):
+    """One ticker, one day, no two times alike: neither rows nor a side table gather in one task."""
+    busy = hot.withColumn("published_at", F.timestamp_micros(F.lit(1704067200000000) + F.col("page_no") * 21_000_123))
+    indexed = daily.recency_index(busy, cell_limit=100)
+    assert largest_share(indexed) < 0.5
+    assert [r["index"] for r in indexed.orderBy(F.desc("published_at")).collect()] == list(range(N))
+    parts = sampling.time_split(busy, "hash")
+    newest = [r.split for r in parts.orderBy(F.desc("published_at")).select("split").collect()]
+    assert newest == ["val"] * (N // 5) + ["train"] * (N - N // 5)
+
+
 def test_split_moves_only_the_cut_cell(hot, fixed_partitions):
     parts = sampling.stratified_split(hot, "hash")
     assert largest_share(parts) < 0.5

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 
 from toneflow.operators import daily
 from toneflow.plans.ingest import ingest
-from toneflow.schemas import RAW_PAGE
 from toneflow.sources import readers
 from toneflow.streaming import daily as live
 from toneflow.streaming import ingest as landing
 
 PROFILE = {"en": ("the", "and", "of"), "de": ("der", "und", "die")}
-LABELLED = "published_at timestamp, weak_label string, tickers array<string>, sentiment_score double"
+LABELLED = "published_at timestamp, weak_label string, tickers array<string>, tone_score double"
 
 
 def page(number, titles, request="AAPL"):
@@ -32,32 +31,72 @@ def folder(tmp_path):
     return str(pages)
 
 
+def keys(df):
+    return sorted((r.hash, r.title, r.published_at, tuple(r.tickers)) for r in df.collect())
+
+
+def poll(spark, folder, out, checkpoint, files=1):
+    landing.ingest_stream(landing.page_stream(spark, folder, files), out, checkpoint, PROFILE).awaitTermination()
+
+
 def test_stream_equals_batch(spark, folder, tmp_path):
-    raw = landing.page_stream(spark, folder, 1)
-    landing.run_to_table(landing.ingest_stream(raw, PROFILE), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    streamed = spark.read.parquet(f"{tmp_path}/out")
-    batch = landing.ingest_stream(readers.read_pages(spark, folder), PROFILE)
-    def key(df):
-        return sorted((r.hash, r.title, r.published_at, tuple(r.tickers)) for r in df.collect())
-
-    assert key(streamed) == key(batch) and streamed.count() == 24
-    # A second run picks up what has landed since and nothing else.
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/cp"
+    poll(spark, folder, out, checkpoint)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), PROFILE))
+    # A second run picks up what has landed since: a repeat, a very old article, one in another language.
     with open(f"{folder}/p9.json", "w") as f:
-        f.write(page(9, ["the newest", "der und die der"]))
-    landing.run_to_table(landing.ingest_stream(landing.page_stream(spark, folder), PROFILE),
-                         f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 25
+        f.write(page(9, ["the title 1", "the newest", "der und die der"]).replace("2024-01-02", "1999-01-02"))
+    poll(spark, folder, out, checkpoint)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), PROFILE))
+    assert landing.stored_articles(spark, out).where("published_at < '2000-01-01'").count() == 1
+
+
+def test_rejected_first_copy_removes_later_ones(spark, tmp_path):
+    """Repeats go before the filters, across polls too."""
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    late = page(0, ["the only"]).replace('"and the"', '"der und die der und"')
+    for n, text in enumerate((late, page(1, ["the only"]))):
+        (folder / f"p{n}.json").write_text(text)
+        poll(spark, str(folder), f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert landing.stored_keys(spark, f"{tmp_path}/out").count() == 1
+    assert ingest(readers.read_pages(spark, str(folder)), PROFILE).count() == 0
+    assert landing.stored_articles(spark, f"{tmp_path}/out").count() == 0
+
+
+def test_repeated_batch_is_stored_once(spark, folder, tmp_path):
+    raw, out = readers.read_pages(spark, folder), f"{tmp_path}/out"
+    spark.createDataFrame([], landing.KEYS).write.parquet(f"{out}/keys")
+    for number in (0, 0, 1, 1):
+        landing.ingest_batch(raw, number, out, PROFILE)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(raw, PROFILE))
+    landing.ingest_batch(raw.limit(0), 2, out, PROFILE)
+
+
+def test_untouched_months_are_not_written(spark, tmp_path):
+    import os
+
+    out = str(tmp_path / "out")
+    start = datetime(2024, 1, 10)
+    rows = [(start + timedelta(days=10 * d), "positive", ["A"], 0.1 * (d % 5)) for d in range(30)]
+    live.update_daily(spark.createDataFrame(rows, LABELLED), 0, out, 3, 4, fold_every=10)
+
+    def written():
+        return {os.path.join(f, n): os.stat(os.path.join(f, n)).st_mtime_ns
+                for f, _, names in os.walk(f"{out}/daily") for n in names if n.endswith(".parquet")}
 
+    before = written()
+    more = [(start + timedelta(days=100), "negative", ["A"], -1.0)]
+    live.update_daily(spark.createDataFrame(more, LABELLED), 1, out, 3, 4, fold_every=10)
+    after = written()
+    kept = [p for p in before if after.get(p) == before[p]]
+    assert {p.split("month=")[1][:6] for p in after if p not in before} == {"202404", "202405"}
+    assert {p.split("month=")[1][:6] for p in kept} == {"202401", "202402", "202403", "202406", "202407", "202408", "202409", "202410"}
+    whole = daily.rolling_trend(daily.daily_ticker_aggregate(spark.createDataFrame(rows + more, LABELLED)), 3)
+    def values(df):
+        return sorted((r.date, round(r.mean_score, 9), None if r.rolling_z is None else round(r.rolling_z, 6)) for r in df.collect())
 
-def test_repeats_across_polls(spark, folder, tmp_path):
-    keyed = landing.keyed_stream(landing.page_stream(spark, folder, 1))
-    unique = landing.without_repeats(keyed, "30 days").select("request", "hash", "published_at")
-    landing.run_to_table(unique, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    got = [r.hash for r in spark.read.parquet(f"{tmp_path}/out").collect()]
-    pages = spark.read.schema(RAW_PAGE).json(folder)
-    want = {r.hash for r in landing.keyed_stream(readers.explode_pages(pages)).select("hash").collect()}
-    assert len(got) == len(set(got)) and set(got) == want
-    assert ingest(readers.read_pages(spark, folder), PROFILE).count() == len(want)
+    assert values(live.current_daily(spark, out)) == values(whole)
 
 
 def batches():
@@ -88,7 +127,7 @@ def test_live_daily_equals_batch(spark, tmp_path, fold_every):
     def rows_of(df):
         return sorted((r.ticker, r.date, r.article_count, *[
             None if v is None else round(v, 6) + 0.0
-            for v in (r.mean_score, r.pct_pos, r.pct_neg, r.sentiment_volatility, r.rolling_mean, r.rolling_z)])
+            for v in (r.mean_score, r.pct_pos, r.pct_neg, r.tone_volatility, r.rolling_mean, r.rolling_z)])
             for r in df.collect())
 
     assert rows_of(live.current_daily(spark, out)) == rows_of(whole)

@@ -44,7 +44,7 @@ def prd1_watchlist(spark, d):
 
 
 @query("prd2_lookback", f"""WITH {sql.EVENTS} SELECT hash, ticker FROM ev
-WHERE published_at BETWEEN TIMEstamp() '2024-01-31 00:00:00' - INTERVAL 7 DAY AND TIMEstamp() '2024-01-31 00:00:00'""")
+WHERE published_at BETWEEN TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-31 00:00:00'""")
 def prd2(spark, d):
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     return articles.in_lookback(fixtures.events_as_articles(spark, d), now, 7) \
@@ -129,12 +129,12 @@ def prd11(spark, d):
 
 
 @query("prd12_display", f"""WITH {sql.daily()}
-SELECT date AS "Date", ticker AS "Ticker", round_even(mean_score * 1000, 0) / 1000 + 0.0 AS "Sentiment",
+SELECT date AS "Date", ticker AS "Ticker", round_even(mean_score * 1000, 0) / 1000 + 0.0 AS "Tone",
   article_count AS "Articles", round_even(pct_pos * 100 * 10, 0) / 10 AS "Positive%",
   round_even(pct_neg * 100 * 10, 0) / 10 AS "Negative%" FROM daily""")
 def prd12(spark, d):
     per_day = daily.daily_ticker_aggregate(daily.prepare_articles(fixtures.events_as_articles(spark, d)))
-    return daily.display(per_day).withColumn("Sentiment", F.col("Sentiment") + F.lit(0.0))
+    return daily.display(per_day).withColumn("Tone", F.col("Tone") + F.lit(0.0))
 
 
 @query("jn1_attach_labels", f"""WITH {sql.EVENTS}

@@ -99,11 +99,11 @@ def lab6(spark, d):
 
 
 @query("lab7_label_score", f"""WITH {sql.EVENTS}
-SELECT hash, CASE WHEN k % 10 = 0 THEN 0.0 ELSE {sql.SCORE} END AS sentiment_score FROM ev""")
+SELECT hash, CASE WHEN k % 10 = 0 THEN 0.0 ELSE {sql.SCORE} END AS tone_score FROM ev""")
 def lab7(spark, d):
     label = F.when(F.col("k") % 20 == 0, "Positive").when(F.col("k") % 10 != 0, F.col("weak_label"))
     df = fixtures.events_as_articles(spark, d).withColumn("weak_label", label)
-    return prepare_articles(df).select("hash", "sentiment_score")
+    return prepare_articles(df).select("hash", "tone_score")
 
 
 @query("lab8_prob_score", f"""WITH {sql.EVENTS}

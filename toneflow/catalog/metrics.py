@@ -10,7 +10,7 @@ from toneflow.operators import articles, daily
 from toneflow.operators.sampling import class_weights
 from toneflow.plans.report import alert_report, daily_report
 
-DAILY = ("mean_score", "pct_pos", "pct_neg", "sentiment_volatility")
+DAILY = ("mean_score", "pct_pos", "pct_neg", "tone_volatility")
 TREND = (*DAILY, "rolling_mean", "rolling_z")
 
 
@@ -41,11 +41,11 @@ def agg1_one(spark, d):
 @query("agg2_period_summary", f"""WITH {sql.daily()}, s AS (
   SELECT ticker, CAST(sum(article_count) AS BIGINT) AS total_articles, count(*) AS n_days,
          min(date) AS first_date, max(date) AS last_date, avg(mean_score) AS m FROM daily GROUP BY 1)
-SELECT ticker, total_articles, n_days, first_date, last_date, round_even(m, 6) + 0.0 AS avg_sentiment,
+SELECT ticker, total_articles, n_days, first_date, last_date, round_even(m, 6) + 0.0 AS avg_tone,
        {sql.label_of('m')} AS verdict FROM s""")
 def agg2(spark, d):
     return daily.period_summary(per_day(spark, d)) \
-        .withColumn("avg_sentiment", sql.r6("avg_sentiment"))
+        .withColumn("avg_tone", sql.r6("avg_tone"))
 
 
 @query("agg3_label_distribution", f"""WITH {sql.EVENTS}, domain(label) AS (VALUES ('negative'), ('neutral'), ('positive')),

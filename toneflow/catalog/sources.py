@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from toneflow import fixtures
 from toneflow.catalog import query, sql
@@ -74,11 +75,23 @@ def src5(spark, d):
     return readers.read_tables(spark, [f"{root}/en", f"{root}/other"]).select("doc_id", "lang", "n_chars")
 
 
+@query("src5_csv_files", """SELECT doc_id, lang, CASE WHEN lang <> 'en' THEN source END AS source, CAST(n_chars AS BIGINT) AS n_chars
+FROM documents""")
+def src5_csv(spark, d):
+    """CSV files whose headers differ in order and number, in one folder."""
+    doc = fixtures.table(spark, d, "documents")
+    root = scratch_path(spark, "files")
+    writers.write_table(doc.where("lang = 'en'").select("n_chars", "doc_id", "lang"), f"{root}/en.csv")
+    writers.write_table(doc.where("lang <> 'en'").select("lang", "source", "doc_id", "n_chars"), f"{root}/other.csv")
+    schema = T.StructType().add("doc_id", "long").add("lang", "string").add("source", "string").add("n_chars", "long")
+    return readers.read_tables(spark, f"{root}/*.csv", "csv", schema).select("doc_id", "lang", "source", "n_chars")
+
+
 @query("src6_gold_labels", f"""WITH {sql.GOLD}
 SELECT doc_id, text, label, 'FinancialPhraseBank' AS source, 'gold_standard' AS dataset_type
 FROM documents JOIN gold USING (doc_id)""")
 def src6(spark, d):
-    return readers.standardise_gold(fixtures.gold(spark, d)) \
+    return readers.standardise_gold(fixtures.gold(spark, d), fixtures.GOLD_COLUMNS) \
         .select("doc_id", "text", "label", "source", "dataset_type")
 
 
@@ -123,12 +136,12 @@ def snk2(spark, d):
 
 
 @query("snk3_labelled_table", f"""WITH {sql.EVENTS}
-SELECT hash, ticker, weak_label, {sql.SCORE} AS sentiment_score FROM ev""")
+SELECT hash, ticker, weak_label, {sql.SCORE} AS tone_score FROM ev""")
 def snk3(spark, d):
     scored = daily.prepare_articles(fixtures.events_as_articles(spark, d))
     path = writers.write_table(scored, scratch_path(spark, "labelled") + ".parquet")
     return readers.read_table(spark, path).select(
-        "hash", F.col("tickers")[0].alias("ticker"), "weak_label", "sentiment_score")
+        "hash", F.col("tickers")[0].alias("ticker"), "weak_label", "tone_score")
 
 
 @query("snk4_report_tables", f"""WITH {sql.trend(7)}, alerts AS ({sql.alerts(2.0)})

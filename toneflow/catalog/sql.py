@@ -45,7 +45,7 @@ _DAILY = f"""daily AS (
          avg(CAST(weak_label = 'positive' AS INT)) AS pct_pos,
          avg(CAST(weak_label = 'negative' AS INT)) AS pct_neg,
          count(*) AS article_count,
-         CASE WHEN count(*) > 1 THEN stddev_pop({SCORE}) ELSE 0.0 END AS sentiment_volatility
+         CASE WHEN count(*) > 1 THEN stddev_pop({SCORE}) ELSE 0.0 END AS tone_volatility
   FROM ev GROUP BY 1, 2)"""
 
 
@@ -64,7 +64,7 @@ def trend(window: int, base: str = EVENTS) -> str:
 
 
 DAILY_COLUMNS = "date, ticker, article_count, " + rounded(
-    ("mean_score", "pct_pos", "pct_neg", "sentiment_volatility"))
+    ("mean_score", "pct_pos", "pct_neg", "tone_volatility"))
 TREND_COLUMNS = DAILY_COLUMNS + ", " + rounded(("rolling_mean", "rolling_z"))
 
 

@@ -12,6 +12,9 @@ from toneflow.sources.readers import spread
 
 MODELS = ("a", "b", "c")
 
+# Columns of the gold table below and their standard names.
+GOLD_COLUMNS = {"text": ("Phrase", "phrase"), "label": ("Code", "code")}
+
 
 @lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,9 +94,9 @@ def write_feed(spark: SparkSession, folder: str, path: str) -> str:
 def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with human labels, under phrase-bank column names."""
     tone = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
-    labels = table(spark, folder, "labels").select("doc_id", tone.alias("Sentiment"))
+    labels = table(spark, folder, "labels").select("doc_id", tone.alias("Code"))
     return documents(spark, folder).join(labels, "doc_id") \
-        .select("doc_id", F.col("text").alias("Sentence"), "Sentiment")
+        .select("doc_id", F.col("text").alias("Phrase"), "Code")
 
 
 def gold_labels(spark: SparkSession, folder: str) -> DataFrame:

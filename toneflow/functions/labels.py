@@ -160,7 +160,8 @@ def id_to_label(number: Column) -> Column:
 
 
 def is_correct(pred: Column, truth: Column) -> Column:
-    return pred.eqNullSafe(truth)
+    """Equal and known; a missing prediction or label is never correct."""
+    return F.coalesce(pred == truth, F.lit(False))
 
 
 def round_confidence(value: Column, places: int = 4) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from toneflow.functions import labels
 from toneflow.operators import articles
-from toneflow.operators.ranking import number_rows
+from toneflow.operators.ranking import bounded_levels, number_rows
 from toneflow.schemas import ALERT, LABELS
 
 Z_EPSILON = 1e-6
@@ -19,9 +19,9 @@ Z_EPSILON = 1e-6
 def prepare_articles(df: DataFrame) -> DataFrame:
     """Check the columns a report needs and score the labels if nobody has."""
     articles.require_columns(df, {"published_at", "weak_label"})
-    if "sentiment_score" in df.columns:
+    if "tone_score" in df.columns:
         return df
-    return df.withColumn("sentiment_score", labels.label_to_score(F.col("weak_label")))
+    return df.withColumn("tone_score", labels.label_to_score(F.col("weak_label")))
 
 
 def daily_ticker_aggregate(df: DataFrame, ticker: str | None = None) -> DataFrame:
@@ -34,7 +34,7 @@ def daily_ticker_aggregate(df: DataFrame, ticker: str | None = None) -> DataFram
         df = articles.about(df, ticker).withColumn("ticker", F.lit(ticker))
     else:
         df = articles.per_ticker(df)
-    score = F.nanvl(F.col("sentiment_score").cast("double"), F.lit(None).cast("double"))
+    score = F.nanvl(F.col("tone_score").cast("double"), F.lit(None).cast("double"))
 
     def share(label: str):
         return F.avg((F.col("weak_label").eqNullSafe(label)).cast("double"))
@@ -48,7 +48,7 @@ def daily_ticker_aggregate(df: DataFrame, ticker: str | None = None) -> DataFram
             share("negative").alias("pct_neg"),
             F.count(F.lit(1)).alias("article_count"),
             F.when(F.count(F.lit(1)) > 1, F.stddev_pop(score)).otherwise(F.lit(0.0))
-            .alias("sentiment_volatility"),
+            .alias("tone_volatility"),
         )
     )
 
@@ -92,7 +92,7 @@ def period_summary(daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_days"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        tone.alias("avg_sentiment"),
+        tone.alias("avg_tone"),
         labels.label_from_score(tone).alias("verdict"),
     )
 
@@ -106,7 +106,7 @@ def display(daily: DataFrame) -> DataFrame:
     return daily.select(
         F.col("date").alias("Date"),
         F.col("ticker").alias("Ticker"),
-        rounded(F.col("mean_score"), 3).alias("Sentiment"),
+        rounded(F.col("mean_score"), 3).alias("Tone"),
         F.col("article_count").alias("Articles"),
         rounded(F.col("pct_pos") * 100, 1).alias("Positive%"),
         rounded(F.col("pct_neg") * 100, 1).alias("Negative%"),
@@ -137,14 +137,14 @@ def recency_index(df: DataFrame, ticker: str = "ticker", ts: str = "published_at
                   key: str = "hash", cell_limit: int = 2_000_000) -> DataFrame:
     """Position of each article behind the newest one of its ticker, ties by key.
 
-    Cells are days; days with very many articles are divided by moment and
-    head of the key, so neither a busy ticker nor a bulk load under one
-    timestamp ends up in a single sort.
+    Cells are days; a day with very many articles is divided by hours, minutes
+    and so on down to heads of the key, as far as needed, so neither a busy
+    ticker nor a bulk load under one timestamp ends up in a single sort.
     """
     time, name = F.col(ts), F.col(key).cast("string")
     return number_rows(
         df, [ticker],
-        [[(F.date_trunc("day", time), True)], [(time, True), (F.substring(name, 1, 2), False)]],
+        bounded_levels(time, name),
         [time.desc(), name], cell_limit=cell_limit,
     )
 
@@ -152,7 +152,7 @@ def recency_index(df: DataFrame, ticker: str = "ticker", ts: str = "published_at
 def decayed_tone(df: DataFrame, half_life: int = 50) -> DataFrame:
     """Tone per ticker with weights that halve every ``half_life`` articles."""
     weight = labels.decay_weight(F.col("index"), half_life)
-    score = F.col("sentiment_score").cast("double")
+    score = F.col("tone_score").cast("double")
     return recency_index(df).withColumn("_w", F.when(score.isNotNull(), weight)) \
         .groupBy("ticker") \
         .agg(F.try_divide(F.sum(F.col("_w") * score), F.sum("_w")).alias("decayed_score"),

@@ -44,12 +44,19 @@ def class_accuracy(count: DataFrame, labels: Sequence[str] = LABELS) -> DataFram
 
 
 def confusion_matrix(count: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
-    """One row per model and true label, one column per predicted label, zeros included."""
-    grid = count.select("model").distinct().withColumn(
-        "true_label", F.explode(F.array(*[F.lit(x) for x in labels])))
-    filled = count.where(F.col("true_label").isin(*labels)) \
-        .groupBy("model", "true_label").pivot("pred", list(labels)).agg(F.sum("n"))
-    return grid.join(filled, ["model", "true_label"], "left").na.fill(0, list(labels))
+    """One row per model and true label, one column per predicted label, zeros included.
+
+    One pass: a sum per cell of the matrix, turned into rows afterwards.
+    """
+    def cell(truth: str, pred: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("true_label") == truth) & (F.col("pred") == pred), F.col("n"))), F.lit(0))
+
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(t).alias("true_label"), *[F.col(f"_{i}_{j}").alias(p) for j, p in enumerate(labels)])
+        for i, t in enumerate(labels)])).alias("r")
+    sums = count.groupBy("model").agg(*[
+        cell(t, p).alias(f"_{i}_{j}") for i, t in enumerate(labels) for j, p in enumerate(labels)])
+    return sums.select("model", rows).select("model", "r.*")
 
 
 def _label_totals(count: DataFrame) -> DataFrame:
@@ -168,12 +175,13 @@ def agreement(wide: DataFrame, models: Sequence[str], base: str | None = None,
     """How often two models agree, for every pair of the declared models.
 
     ``base`` restricts the rows to those where that model predicts one of
-    ``base_labels``.  One pass: a sum per pair, no self-join.
+    ``base_labels``.  A missing prediction agrees with nothing.  One pass: a
+    sum per pair, no self-join.
     """
     if base:
         wide = wide.where(F.col(f"{base}_prediction").isin(*base_labels))
     pairs = list(combinations(models, 2))
-    same = [F.sum((F.col(f"{a}_prediction").eqNullSafe(F.col(f"{b}_prediction"))).cast("bigint"))
+    same = [F.sum(F.coalesce(F.col(f"{a}_prediction") == F.col(f"{b}_prediction"), F.lit(False)).cast("bigint"))
             .alias(f"s{i}") for i, (a, b) in enumerate(pairs)]
     rows = F.explode(F.array(*[
         F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(f"s{i}").alias("n_agree"))

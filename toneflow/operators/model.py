@@ -34,7 +34,7 @@ def scored(text: Column, factories: Sequence[ScorerFactory]) -> Column:
 
     Factories run once per task, and texts reach all models in one stream of
     Arrow batches.  Texts that fail are labelled ``ERROR``, all texts ``N/A``
-    where a factory gives no model.
+    where a factory gives no model.  ``failures`` counts the former.
     """
     # Nested, so that it travels to the executors by value.
     def label(scorer: Scorer | None, texts: list[str]) -> list[tuple[str, dict[str, float]]]:
@@ -76,32 +76,58 @@ def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
     }).drop("_scored")
 
 
+def failures(predictions: DataFrame) -> DataFrame:
+    """How many texts each model failed on, so that a broken model is noticed."""
+    return predictions.groupBy("model").agg(F.sum((F.col("raw_label") == "ERROR").cast("bigint")).alias("n_failed"),
+                                            F.count(F.lit(1)).alias("n"))
+
+
 def score_with_all(df: DataFrame, text: str, scorers: Mapping[str, ScorerFactory], key: str,
                    label: str = "label") -> DataFrame:
     """Long predictions of several models, one pass over the texts.
 
     Labels are brought to the common names; the original stays in ``raw_label``.
     """
+    return long_predictions(score_wide(df, text, scorers, key, label), list(scorers))
+
+
+def score_wide(df: DataFrame, text: str, scorers: Mapping[str, ScorerFactory], key: str, label: str = "label") -> DataFrame:
+    """One row per text: row_id, true_label, the models' answers in ``_s``, and ``<model>_prediction`` of each."""
+    found = df.select(F.col(key).alias("row_id"), F.col(label).alias("true_label"),
+                      scored(F.col(text), list(scorers.values())).alias("_s"))
+
+    def common(name: str) -> Column:
+        return F.when(F.col(name).isin("ERROR", "N/A"), F.col(name)).otherwise(normalise_label(F.col(name)))
+
+    return found.withColumns({f"{m}_prediction": common(f"_s.label{i}") for i, m in enumerate(scorers)})
+
+
+def long_predictions(wide: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Rows (row_id, model, true_label, pred, confidence, probs, raw_label) of wide answers."""
     rows = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("model"), F.col(f"_s.label{i}").alias("label"),
-                 F.col(f"_s.probs{i}").alias("probs")) for i, m in enumerate(scorers)]))
-    found = df.select(key, label, scored(F.col(text), list(scorers.values())).alias("_s")) \
-        .select(key, label, rows.alias("r"))
-    failed = F.col("r.label").isin("ERROR", "N/A")
-    return found.select(
-        F.col(key).alias("row_id"), "r.model", F.col(label).alias("true_label"),
-        F.when(failed, F.col("r.label")).otherwise(normalise_label(F.col("r.label"))).alias("pred"),
-        confidence(F.col("r.probs")).alias("confidence"), "r.probs",
-        F.col("r.label").alias("raw_label"))
+        F.struct(F.lit(m).alias("model"), F.col(f"{m}_prediction").alias("pred"), F.col(f"_s.probs{i}").alias("probs"),
+                 F.col(f"_s.label{i}").alias("raw_label")) for i, m in enumerate(models)]))
+    return wide.select("row_id", "true_label", rows.alias("r")).select(
+        "row_id", "r.model", "true_label", "r.pred", confidence(F.col("r.probs")).alias("confidence"), "r.probs", "r.raw_label")
 
 
 def with_class_weights(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
-    """Add column ``weight``, balanced over ``basis`` (the rows themselves by default)."""
-    weights = class_weights(df if basis is None else basis).select("label", "weight")
-    return df.join(sized(weights), "label")
+    """Add column ``weight``, balanced over ``basis`` (the rows themselves by default).
+
+    Fails when a label is null or not in ``basis``: such rows have no weight,
+    and dropping them would change the training set without a word.
+    """
+    table = class_weights(df if basis is None else basis).select("label", "weight").collect()  # one row per class
+    known = F.create_map(*[F.lit(x) for r in table for x in (r["label"], float(r["weight"]))]) if table else None
+    weight = F.try_element_at(known, F.col("label")) if table else F.lit(None).cast("double")
+    problem = F.concat(F.lit("no class weight for label "), F.coalesce(F.col("label").cast("string"), F.lit("null")))
+    return df.withColumn("weight", F.coalesce(weight, F.raise_error(problem).cast("double")))
+
 
+FEATURES = 1 << 16
 
-def text_features(features: int = 1 << 16) -> Pipeline:
+
+def text_features(features: int = FEATURES) -> Pipeline:
     """Words of a text, hashed and weighted by rarity."""
     return Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}']+"),
@@ -121,83 +147,13 @@ def _with_label_id(df: DataFrame) -> DataFrame:
 
 
 def train(df: DataFrame, reg_param: float = 0.01, basis: DataFrame | None = None,
-          features: int = 1 << 16, max_iter: int = 20) -> PipelineModel:
+          features: int = FEATURES, max_iter: int = 20) -> PipelineModel:
     """Fit on (text, label) with balanced class weights."""
     _, model, _ = select_variant(df, None, variants={"only": reg_param}, basis=basis,
                                  features=features, max_iter=max_iter)
     return model
 
 
-def predict(self, texts: list[str]) -> list[dict]:
-        """One ``{"label": str, "probs": {name: float}}`` per text."""
-
-
-ScorerFactory = Callable[[], Scorer | None]
-
-SCORED = "label string, probs map<string,double>"
-
-
-def score_texts(df: DataFrame, text: str, factory: ScorerFactory) -> DataFrame:
-    """Add ``model_label``, ``model_probs`` and ``model_confidence`` from a plugged-in model.
-
-    The factory runs once per task and texts reach the model in Arrow batches.
-    Texts that fail are labelled ``ERROR``, all texts ``N/A`` without a model;
-    both with confidence 0.
-    """
-    @F.pandas_udf(SCORED)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = factory()
-        for texts in batches:
-            yield pd.DataFrame(_predict(scorer, texts.fillna("").tolist()),
-                               columns=["label", "probs"])
-
-    scored = df.withColumn("_scored", score(F.col(text)))
-    top = F.array_max(F.map_values("_scored.probs"))
-    return scored.withColumns({
-        "model_label": F.col("_scored.label"),
-        "model_probs": F.col("_scored.probs"),
-        "model_confidence": F.coalesce(top, F.lit(0.0)),
-    }).drop("_scored")
-
-
-def _predict(scorer: Scorer | None, texts: list[str]) -> list[tuple[str, dict[str, float]]]:
-    """Labels of a batch; after a failure the texts are tried one by one."""
-    if scorer is None:
-        return [("N/A", {})] * len(texts)
-    try:
-        found = scorer.predict(texts)
-        return [(r["label"], r["probs"]) for r in found]
-    except Exception:
-        if len(texts) == 1:
-            return [("ERROR", {})]
-        return [_predict(scorer, [t])[0] for t in texts]
-
-
-def with_class_weights(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
-    """Add column ``weight``, balanced over ``basis`` (the rows themselves by default)."""
-    weights = class_weights(df if basis is None else basis).select("label", "weight")
-    return df.join(sized(weights), "label")
-
-
-def classifier(reg_param: float = 0.01, features: int = 1 << 16, max_iter: int = 20) -> Pipeline:
-    """Words, hashed and weighted by rarity, into a weighted three-class regression."""
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}']+"),
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight",
-                           regParam=reg_param, maxIter=max_iter, family="multinomial"),
-    ])
-
-
-def train(df: DataFrame, reg_param: float = 0.01, basis: DataFrame | None = None,
-          **settings: int) -> PipelineModel:
-    """Fit on (text, label) with balanced class weights."""
-    ready = with_class_weights(df, basis).withColumn(
-        "label_id", label_to_id(F.col("label")).cast("double"))
-    return classifier(reg_param, **settings).fit(ready)
-
-
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``pred``, ``confidence`` and ``probs``; stays in the JVM."""
     output = model.transform(df.withColumn("text", F.coalesce("text", F.lit(""))))
@@ -211,10 +167,22 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 VARIANTS = {"original": 0.01, "improved": 0.05, "aggressive": 0.3}
 
 
+def prepared(train_rows: DataFrame, val_rows: DataFrame | None, basis: DataFrame | None = None,
+             features: int = FEATURES) -> tuple[PipelineModel, DataFrame, DataFrame | None]:
+    """The fitted feature extraction and the held features of training and validation rows."""
+    ready = _with_label_id(with_class_weights(train_rows, basis))
+    extract = text_features(features).fit(ready)
+    columns = ["features", "label_id"]
+    train_features = extract.transform(ready).select(*columns, "weight").persist()
+    if val_rows is None:
+        return extract, train_features, None
+    return extract, train_features, extract.transform(_with_label_id(val_rows)).select(*columns).persist()
+
+
 def select_variant(
     train_rows: DataFrame, val_rows: DataFrame | None, metric: str = "loss",
     variants: Mapping[str, float] | None = None, basis: DataFrame | None = None,
-    features: int = 1 << 16, max_iter: int = 20,
+    features: int = FEATURES, max_iter: int = 20,
 ) -> tuple[str, PipelineModel, list[tuple[str, float, float | None, float | None]]]:
     """Train every variant and keep the best on the validation rows.
 
@@ -223,23 +191,13 @@ def select_variant(
     once and held while the variants train.  Returns the name, the model and
     rows (variant, regularisation, loss, accuracy).
     """
-    ready = _with_label_id(with_class_weights(train_rows, basis))
-    extract = text_features(features).fit(ready)
-    columns = ["features", "label_id"]
-    train_features = extract.transform(ready).select(*columns, "weight").persist()
-    val_features = None
-    if val_rows is not None:
-        val_features = extract.transform(_with_label_id(val_rows)).select(*columns).persist()
-
+    extract, train_features, val_features = prepared(train_rows, val_rows, basis, features)
     tried = {}
     for name, reg_param in (variants or VARIANTS).items():
         fitted = regression(reg_param, max_iter).fit(train_features)
         loss = accuracy = None
         if val_features is not None:
-            output = fitted.transform(val_features)
-            loss, accuracy = (
-                MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(output)
-                for m in ("logLoss", "accuracy"))
+            loss, accuracy = validation_scores(fitted, val_features)
         tried[name] = (fitted, reg_param, loss, accuracy)
     train_features.unpersist()
     if val_features is None:
@@ -260,14 +218,30 @@ def evaluate(model: PipelineModel | str, df: DataFrame) -> DataFrame:
     return classification_report(counts(pairs))
 
 
-def training_history(model: PipelineModel, val_loss: float | None = None,
-                     val_accuracy: float | None = None) -> list[tuple]:
-    """Rows (iteration, loss, eval_loss, eval_accuracy); validation is known at the end only."""
-    fitted = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
-    losses = list(fitted.summary.objectiveHistory)
-    last = len(losses) - 1
-    return [(i, float(x), val_loss if i == last else None, val_accuracy if i == last else None)
-            for i, x in enumerate(losses)]
+def training_history(ready: DataFrame, validation: DataFrame | None = None, reg_param: float = 0.01,
+                     max_iter: int = 20) -> list[tuple]:
+    """Rows (iteration, loss, eval_loss, eval_accuracy) of a run over prepared features.
+
+    The optimiser is restarted for 1, 2, ... iterations, which takes the same
+    steps, so every iteration has a validation value; without ``validation`` the
+    two are null.  Both tables should be held.
+    """
+    rows = []
+    for i in range(1, max_iter + 1):
+        fitted = regression(reg_param, i).fit(ready)
+        losses = fitted.summary.objectiveHistory
+        if i > 1 and len(losses) <= len(rows):
+            break  # it had converged before
+        scores = (None, None) if validation is None else validation_scores(fitted, validation)
+        rows.append((i, float(losses[-1]), *scores))
+    return rows
+
+
+def validation_scores(fitted: LogisticRegressionModel, rows: DataFrame) -> tuple[float, float]:
+    """(log loss, accuracy) on labelled features."""
+    output = fitted.transform(rows)
+    return tuple(MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(output)
+                 for m in ("logLoss", "accuracy"))
 
 
 HISTORY = "iteration int, loss double, eval_loss double, eval_accuracy double"

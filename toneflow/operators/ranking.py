@@ -47,11 +47,35 @@ def assign_parts(
     must not decrease along ``order`` nor be null, and ``order`` must identify a
     row.
 
-    ``df`` is read three times, so it should be a stored table.  All but one
+    ``df`` is read three times here, so it should be a stored table.  All but one
     cell per cut is decided by comparing cells; the rows of the
     cells that hold a cut are the only ones shuffled and ranked.  Cells that
     may be large themselves are ranked through the finer levels ``inside``.
     """
+    keyed, joined, groups = _cut_cells(df, quotas, cell, strata)
+    if joined is None:
+        return df.withColumn(name, F.lit(0))
+
+    numbers = range(len(quotas))
+    on_cut = reduce(lambda a, b: a | b,
+                    [F.col("_cell").eqNullSafe(F.col(f"_cell_{i}")) for i in numbers])
+    past = {i: F.col("_cell") > F.col(f"_cell_{i}") for i in numbers}
+
+    clear = joined.where(~on_cut).withColumn(name, _total([past[i] for i in numbers]))
+    edge = number_rows(joined.where(on_cut), [*groups, "_cell"], inside, order, "_pos").withColumn(
+        name,
+        _total([
+            past[i] | ((F.col("_cell") == F.col(f"_cell_{i}"))
+                       & (F.col(f"_start_{i}") + F.col("_pos") >= F.col(f"_at_{i}")))
+            for i in numbers
+        ]),
+    )
+    columns = [*df.columns, name]
+    return clear.select(*columns).unionByName(edge.select(*columns))
+
+
+def _cut_cells(df: DataFrame, quotas: Sequence[Quota], cell: Column, strata: Sequence[str]) -> tuple:
+    """The table with its cells; the same with the cell, start and position of every cut; the grouping columns."""
     keyed = df.withColumn("_cell", cell)
     by = [F.col(s).alias(f"_by_{s}") for s in strata] or [F.lit(0).alias("_by_")]
     groups = [f"_by_{s}" for s in strata] or ["_by_"]
@@ -81,27 +105,11 @@ def assign_parts(
     else:
         # One row for the whole table: its values become constants.
         row = cut.first()
-        if row is None:
-            return df.withColumn(name, F.lit(0))
+        if row is None or all(row[f"_cell_{i}"] is None for i in range(len(quotas))):
+            return keyed, None, groups  # no rows, or no cut among them
         joined = keyed.withColumns(
             {f.name: F.lit(row[f.name]).cast(f.dataType) for f in cut.schema.fields})
-
-    numbers = range(len(quotas))
-    on_cut = reduce(lambda a, b: a | b,
-                    [F.col("_cell").eqNullSafe(F.col(f"_cell_{i}")) for i in numbers])
-    past = {i: F.col("_cell") > F.col(f"_cell_{i}") for i in numbers}
-
-    clear = joined.where(~on_cut).withColumn(name, _total([past[i] for i in numbers]))
-    edge = number_rows(joined.where(on_cut), [*groups, "_cell"], inside, order, "_pos").withColumn(
-        name,
-        _total([
-            past[i] | ((F.col("_cell") == F.col(f"_cell_{i}"))
-                       & (F.col(f"_start_{i}") + F.col("_pos") >= F.col(f"_at_{i}")))
-            for i in numbers
-        ]),
-    )
-    columns = [*df.columns, name]
-    return clear.select(*columns).unionByName(edge.select(*columns))
+    return keyed, joined, groups
 
 
 def _total(flags: Sequence[Column]) -> Column:
@@ -115,9 +123,31 @@ def take_first(
     order: Sequence[Column],
     strata: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows of every stratum that come before its cut."""
-    parts = assign_parts(df, [quota], cell, order, strata, name="_part")
-    return parts.where("_part = 0").drop("_part")
+    """The rows of every stratum that come before its cut.
+
+    Read twice: once to count cells, once for the rows up to the cell that
+    holds the cut; only those are shuffled, and ranked within their cells.
+    """
+    keyed, joined, groups = _cut_cells(df, [quota], cell, strata)
+    if joined is None:
+        return df
+    kept = joined.where(F.col("_cell_0").isNull() | (F.col("_cell") <= F.col("_cell_0")))
+    position = F.row_number().over(Window.partitionBy(*groups, "_cell").orderBy(*order)) - 1
+    ahead = F.col("_cell_0").isNull() | (F.col("_cell") < F.col("_cell_0"))
+    kept = kept.withColumn("_pos", F.when(~ahead, position))
+    return kept.where(ahead | (F.col("_start_0") + F.col("_pos") < F.col("_at_0"))).select(*df.columns)
+
+
+def bounded_levels(time: Column, name: Column, newest_first: bool = True) -> list[list[tuple[Column, bool]]]:
+    """Cells from days to single rows for an order by time, then name.
+
+    Every cell has a bounded number of children: hours, minutes, seconds,
+    milliseconds, microseconds, then the name two characters at a time.  So no
+    side table of one cell grows with its rows, however many share a moment.
+    """
+    units = [[(F.date_trunc(unit, time), newest_first)]
+             for unit in ("day", "hour", "minute", "second", "millisecond", "microsecond")]
+    return units + [[(F.substring(name, 1, n), False)] for n in (2, 4, 6, 8, 12, 16, 24)]
 
 
 def number_rows(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.operators.ranking import assign_parts, hash_cell, hash_key, take_first
+from toneflow.operators.ranking import assign_parts, bounded_levels, hash_cell, hash_key, take_first
 from toneflow.schemas import LABELS
 
 
@@ -70,7 +70,7 @@ def time_split(df: DataFrame, key: str, ts: str = "published_at",
     """
     name, time = F.col(key).cast("string"), F.col(ts).cast("timestamp")
     hours = F.coalesce(-F.floor(F.unix_seconds(time) / 3600), F.lit(1 << 60))
-    finer = [[(time, True), (F.substring(name, 1, 2), False)]]
+    finer = bounded_levels(time, name)[2:]
     return _split(df, df, hours, [time.desc(), name], [], held_out, finer)
 
 

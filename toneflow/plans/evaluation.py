@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from toneflow.operators import evaluate as E
-from toneflow.operators.model import ScorerFactory, score_with_all
+from toneflow.operators.model import ScorerFactory, long_predictions, score_wide
 from toneflow.operators.sampling import balanced_sample
+from toneflow.session import sized
 
 
 @dataclass(frozen=True)
@@ -27,9 +28,15 @@ class Comparison:
     winner: DataFrame
 
 
-def compare(predictions: DataFrame, models: Sequence[str], base: str | None = None) -> Comparison:
-    """All metrics of long predictions; agreement over rows where ``base`` names a tone."""
-    count = E.counts(predictions)
+def compare(predictions: DataFrame, models: Sequence[str], base: str | None = None,
+            wide: DataFrame | None = None) -> Comparison:
+    """All metrics of long predictions; agreement over rows where ``base`` names a tone.
+
+    Predictions are counted once, and every table of labels is made from the
+    counts.  ``wide`` has the same predictions side by side; without it they
+    are brought together by row.
+    """
+    count = sized(E.counts(predictions))
     return Comparison(
         predictions=predictions,
         accuracy=E.accuracy(count),
@@ -38,7 +45,7 @@ def compare(predictions: DataFrame, models: Sequence[str], base: str | None = No
         confusion=E.confusion_matrix(count),
         distribution=E.prediction_distribution(count),
         confidence=E.confidence_summary(predictions),
-        agreement=E.agreement(E.to_wide(predictions, models), models, base or models[0]),
+        agreement=E.agreement(E.to_wide(predictions, models) if wide is None else wide, models, base or models[0]),
         winner=E.winner(E.accuracy(count), models),
     )
 
@@ -47,9 +54,9 @@ def compare_models(gold: DataFrame, scorers: Mapping[str, ScorerFactory], key: s
                    text: str = "text", sample: int | None = None) -> Comparison:
     """Score gold texts, optionally a balanced sample of them, with every model.
 
-    Predictions are held: models are costly and several tables read them.
+    Answers are held: models are costly and several tables read them.
     """
     if sample:
         gold = balanced_sample(gold, sample, key)
-    predictions = score_with_all(gold, text, scorers, key).persist()
-    return compare(predictions, list(scorers))
+    wide = score_wide(gold, text, scorers, key).persist()
+    return compare(long_predictions(wide, list(scorers)), list(scorers), wide=wide)

@@ -76,17 +76,19 @@ def accept(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
     return with_time(in_detected_language(df, profile, language))
 
 
-def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles: int = 500,
+def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles: int | None = None,
            tickers: Sequence[str] | None = None) -> DataFrame:
     """Articles of all requests in one job.
 
     Duplicates are removed before the filters, so a rejected first copy also
-    removes the later ones.  The limit counts accepted articles per request;
-    only those are unpacked, cleaned and tagged.
+    removes the later ones.  All accepted articles are kept unless
+    ``max_articles`` limits their number per request.
     """
     arrival = ["page_no", "pos"]
     unique = articles.first_arrivals(with_key(raw), ["request", "hash"], arrival)
-    accepted = articles.first_accepted(accept(unique, profile, language), max_articles, arrival)
+    accepted = accept(unique, profile, language)
+    if max_articles is not None:
+        accepted = articles.first_accepted(accepted, max_articles, arrival)
     return with_tickers(with_fields(accepted), tickers).select(*ARTICLE_COLUMNS)
 
 

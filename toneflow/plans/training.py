@@ -38,10 +38,12 @@ def split(df: DataFrame, key: str, by_time: bool = False) -> tuple[DataFrame, Da
 
 def fine_tune(df: DataFrame, key: str, by_time: bool = False, metric: str = "loss",
               variants: Mapping[str, float] | None = None, path: str | None = None,
-              weights_from_all: bool = False, **settings: int) -> Training:
+              weights_from_all: bool = False, history_iterations: int = 0, **settings: int) -> Training:
     """Split, weight, train all variants, keep the best, evaluate it, save it if asked.
 
-    Class weights come from the training rows unless ``weights_from_all``.
+    Class weights come from the training rows unless ``weights_from_all``.  The
+    history of the kept variant, with validation values, is made for the first
+    ``history_iterations`` only: each is a run of its own.
     """
     rows = with_label(df)
     train, val = split(rows, key, by_time)
@@ -51,6 +53,11 @@ def fine_tune(df: DataFrame, key: str, by_time: bool = False, metric: str = "los
         model.write().overwrite().save(path)
     pairs = M.predict(model, val).select(
         F.lit(name).alias("model"), F.col("label").alias("true_label"), "pred")
-    _, _, loss, accuracy = next(t for t in tried if t[0] == name)
-    return Training(name, model, tried, training_metrics(counts(pairs)),
-                    M.training_history(model, loss, accuracy))
+    history = []
+    if history_iterations:
+        _, ready, held_out = M.prepared(train, val, rows if weights_from_all else None, settings.get("features", M.FEATURES))
+        reg_param = next(t[1] for t in tried if t[0] == name)
+        history = M.training_history(ready, held_out, reg_param, history_iterations)
+        ready.unpersist()
+        held_out.unpersist()
+    return Training(name, model, tried, training_metrics(counts(pairs)), history)

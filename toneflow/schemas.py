@@ -46,7 +46,7 @@ LABELLED_ARTICLE = T.StructType([
     T.StructField("lex_score", T.DoubleType()),
     T.StructField("model_label", T.StringType()),
     T.StructField("model_probs", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("sentiment_score", T.DoubleType()),
+    T.StructField("tone_score", T.DoubleType()),
 ])
 
 DAILY = T.StructType([
@@ -56,7 +56,7 @@ DAILY = T.StructType([
     T.StructField("pct_pos", T.DoubleType()),
     T.StructField("pct_neg", T.DoubleType()),
     T.StructField("article_count", T.LongType()),
-    T.StructField("sentiment_volatility", T.DoubleType()),
+    T.StructField("tone_volatility", T.DoubleType()),
 ])
 
 ALERT = T.StructType([

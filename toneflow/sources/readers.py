@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +19,7 @@ from toneflow.session import sized
 # convert large CSV inputs to Parquet once.
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
-# Columns of published phrase banks and their standard names,
-# earlier entries first.
-GOLD_NAMES = {"Sentence": "text", "sentence": "text", "Sentiment": "label", "sentiment": "label"}
+# Where gold labels come from.
 GOLD_SOURCE, GOLD_TYPE = "FinancialPhraseBank", "gold_standard"
 
 
@@ -64,17 +63,39 @@ def is_csv(path: str) -> bool:
     return path.lower().rstrip("/").endswith(".csv")
 
 
+def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType = ARTICLE,
+             multi_line: bool = True) -> DataFrame:
+    """CSV files with a header each, as one table; columns are matched by name.
+
+    Files with equal headers are read together, so there is one plan per
+    header and not one per file.  Headers come from the first line of every
+    file, read in one job and grouped before they reach the driver.  Values
+    that do not fit the type of ``schema`` are null.  Files without line breaks
+    inside values can be split when ``multi_line`` is off.
+    """
+    lines = spark.read.option("wholetext", "false").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    # The first row of a file's first block; rows of a block come in order.
+    first = lines.withColumn("row", F.monotonically_increasing_id()).where("at = 0") \
+        .groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    types = {f.name: f.dataType for f in csv_schema(schema).fields}
+    frames = []
+    for group in groups:
+        raw = spark.read.options(**CSV_READ).option("multiLine", multi_line).csv([unquote(f) for f in group["files"]])
+        frames.append(raw.select(*[F.col(f"`{c}`").try_cast(types.get(c, T.StringType())).alias(c) for c in raw.columns]))
+    if not frames:
+        return parse_nested(spark.createDataFrame([], csv_schema(schema)), schema)
+    return parse_nested(stack(frames), schema)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> DataFrame:
     """An article table; a path that ends in ``.csv`` is CSV, anything else Parquet.
 
-    Columns of the CSV are matched by name, so files with fewer columns work.
+    Columns of the CSV are matched by name, so files with fewer columns or
+    another order work.
     """
-    if not is_csv(path):
-        return spark.read.parquet(path)
-    raw = spark.read.options(**CSV_READ).csv(path)
-    types = {f.name: f.dataType for f in csv_schema(schema).fields}
-    typed = raw.select(*[F.col(c).try_cast(types.get(c, T.StringType())).alias(c) for c in raw.columns])
-    return parse_nested(typed, schema)
+    return read_csv(spark, [path], schema) if is_csv(path) else spark.read.parquet(path)
 
 
 def read_tables(spark: SparkSession, paths: str | Sequence[str], file_format: str = "parquet",
@@ -83,7 +104,7 @@ def read_tables(spark: SparkSession, paths: str | Sequence[str], file_format: st
     paths = [paths] if isinstance(paths, str) else list(paths)
     try:
         if file_format.lower() == "csv":
-            return stack([read_table(spark, p if is_csv(p) else f"{p}/*.csv", schema) for p in paths])
+            return read_csv(spark, [p if is_csv(p) else f"{p}/*.csv" for p in paths], schema)
         return spark.read.option("mergeSchema", "true").parquet(*paths)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -91,17 +112,26 @@ def read_tables(spark: SparkSession, paths: str | Sequence[str], file_format: st
         raise
 
 
-def standardise_gold(df: DataFrame) -> DataFrame:
-    """Phrase-bank columns under their standard names, labels as lower-case words."""
-    for old, new in GOLD_NAMES.items():
-        if old in df.columns and new not in df.columns:
-            df = df.withColumnRenamed(old, new)
-    if "label" in df.columns:
-        label = F.col("label")
-        if isinstance(df.schema["label"].dataType, (T.IntegerType, T.LongType)):
-            label = id_to_label(label.cast("int"))
-        df = df.withColumn("label", F.lower(label))
-    return df.withColumn("source", F.lit(GOLD_SOURCE)).withColumn("dataset_type", F.lit(GOLD_TYPE))
+def standardise_gold(df: DataFrame, names: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Gold rows with columns ``text`` and ``label``, labels as lower-case words.
+
+    ``names`` lists for either the columns it may come from, the first that
+    exists counts; a column that already has the standard name goes before
+    them.  Labels may be class numbers of any numeric type, also as text.
+    Columns that are found under neither name are left out; all others stay.
+    """
+    found = {}
+    for standard in ("text", "label"):
+        wanted = [standard, *(names or {}).get(standard, ())]
+        found[standard] = next((c for c in wanted if c in df.columns), None)
+    columns = [F.col(c) for c in df.columns if c not in {*found.values(), "text", "label", "source", "dataset_type"}]
+    if found["text"]:
+        columns.append(F.col(found["text"]).alias("text"))
+    if found["label"]:
+        word = F.lower(F.trim(F.col(found["label"]).cast("string")))
+        number = F.when(word.rlike(r"^[0-9]+([.]0*)?$"), word.try_cast("double").cast("int"))
+        columns.append(F.coalesce(F.lower(id_to_label(number)), word).alias("label"))
+    return df.select(*columns, F.lit(GOLD_SOURCE).alias("source"), F.lit(GOLD_TYPE).alias("dataset_type"))
 
 
 def latest_snapshot(df: DataFrame, by: Sequence[str] = ("ticker",), date: str = "batch_date") -> DataFrame:

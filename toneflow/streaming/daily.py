@@ -4,12 +4,13 @@ Every micro-batch is reduced to mergeable sums per ticker and day and stored
 under its batch number; writing it twice leaves one copy.  Days are then merged
 and trends recomputed for the buckets of tickers the batch touched: a late
 article changes its own day and up to ``window - 1`` later rows of its ticker.
-Articles themselves are never read again.
+Articles themselves are never read again, and of the daily table only the
+months that hold such rows are written again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from toneflow.operators import articles
 from toneflow.operators.daily import detect_alerts, prepare_articles, rolling_trend
 from toneflow.schemas import DAILY
+from toneflow.session import sized
 from toneflow.sources.writers import write_table
 
 SUMS = ("date date, ticker string, n bigint, n_pos bigint, n_neg bigint, "
@@ -27,12 +29,13 @@ TREND = T.StructType([
     T.StructField("rolling_mean", T.DoubleType()),
     T.StructField("rolling_z", T.DoubleType()),
     T.StructField("bucket", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
 ])
 
 
 def day_sums(df: DataFrame, buckets: int) -> DataFrame:
     """Counts, mean and squared deviations per ticker and day."""
-    score = F.nanvl(F.col("sentiment_score").cast("double"), F.lit(None).cast("double"))
+    score = F.nanvl(F.col("tone_score").cast("double"), F.lit(None).cast("double"))
     rows = articles.with_publish_date(articles.per_ticker(prepare_articles(df)))
     return rows.groupBy("date", "ticker").agg(
         F.count(F.lit(1)).alias("n"),
@@ -65,7 +68,7 @@ def daily_metrics(combined: DataFrame) -> DataFrame:
         (F.col("n_pos") / F.col("n")).alias("pct_pos"),
         (F.col("n_neg") / F.col("n")).alias("pct_neg"),
         F.col("n").alias("article_count"),
-        F.when(F.col("n") > 1, spread).otherwise(F.lit(0.0)).alias("sentiment_volatility"),
+        F.when(F.col("n") > 1, spread).otherwise(F.lit(0.0)).alias("tone_volatility"),
         "bucket",
     )
 
@@ -79,6 +82,13 @@ def read_sums(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame:
         .select(*SUM_COLUMNS).unionByName(sums)
 
 
+def changed_months(trend: DataFrame, days: DataFrame, window: int) -> DataFrame:
+    """(bucket, month) of the rows that new articles on ``days`` (ticker, date) change: those days and the rows whose frame holds one."""
+    marked = trend.join(days.withColumn("_new", F.lit(1)), ["ticker", "date"], "left")
+    frame = Window.partitionBy("ticker").orderBy("date").rowsBetween(-(window - 1), 0)
+    return marked.withColumn("_hit", F.max("_new").over(frame)).where("_hit = 1").select("bucket", "month").distinct()
+
+
 def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buckets: int,
                  fold_every: int) -> None:
     """Fold one micro-batch into the tables under ``out_dir``.
@@ -101,8 +111,13 @@ def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buc
                spark.read.schema(SUMS).parquet(own).select("bucket").distinct().collect()]
     if touched:
         sums = read_sums(spark, out_dir, epoch).where(F.col("bucket").isin(*touched))
-        trend = rolling_trend(daily_metrics(combine_sums(sums)), window).select(*TREND.names)
-        write_table(trend, f"{out_dir}/daily", "parquet", ("bucket",), dynamic=True)
+        month = F.year("date") * 100 + F.month("date")
+        trend = rolling_trend(daily_metrics(combine_sums(sums)), window).withColumn("month", month).select(*TREND.names)
+        days = spark.read.schema(SUMS).parquet(own).select("ticker", "date").distinct()
+        months = sized(changed_months(trend, days, window))
+        write_table(trend.join(months, ["bucket", "month"], "left_semi"), f"{out_dir}/daily", "parquet", ("bucket", "month"),
+                    dynamic=True)
+        months.unpersist()
 
 
 def maintain_daily(labelled: DataFrame, out_dir: str, checkpoint: str, window: int = 7,
@@ -123,7 +138,7 @@ def maintain_daily(labelled: DataFrame, out_dir: str, checkpoint: str, window: i
 
 
 def current_daily(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(TREND).parquet(f"{out_dir}/daily").drop("bucket")
+    return spark.read.schema(TREND).parquet(f"{out_dir}/daily").drop("bucket", "month")
 
 
 def current_alerts(spark: SparkSession, out_dir: str, z_threshold: float = 2.5) -> DataFrame:

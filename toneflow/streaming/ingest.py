@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from toneflow.functions.dates import day_prefix
+from toneflow.operators.articles import first_arrivals
 from toneflow.operators.language import Profile
-from toneflow.plans.ingest import ARTICLE_COLUMNS, accept, with_fields, with_key, with_tickers, with_time
-from toneflow.schemas import RAW_PAGE
+from toneflow.plans.ingest import ARTICLE_COLUMNS, accept, stamp, with_fields, with_key, with_tickers
+from toneflow.schemas import ARTICLE, RAW_PAGE
 from toneflow.sources.readers import explode_pages
+from toneflow.sources.writers import write_table
+
+KEYS = "request string, hash string, cell int, batch long"
+KEY_CELLS = 4096
 
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -18,32 +25,52 @@ def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return explode_pages(pages)
 
 
-def ingest_stream(raw: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
-    """Row-wise ingestion: key, language, timestamp and tags; stateless."""
-    accepted = accept(with_key(raw), profile, language)
-    return with_tickers(with_fields(accepted)).select(*ARTICLE_COLUMNS)
-
+def ingest_batch(raw: DataFrame, batch_id: int, out_dir: str, profile: Profile, language: str = "en") -> None:
+    """Store the articles of one poll that no earlier poll had.
 
-def keyed_stream(raw: DataFrame) -> DataFrame:
-    """Raw articles with key and event time, before any other filter."""
-    return with_time(with_key(raw))
+    The order is that of batch ingestion: repeats go first, then language and
+    timestamp decide, so a rejected first copy removes later ones too.  Keys of
+    all articles seen, accepted or not, stay in ``out_dir/keys`` for good, cut
+    into cells by the day in the feed; a batch reads the cells it touches.  No
+    article is dropped for being late.  Partitions carry the batch number:
+    repeating a batch writes the same files again.
+    """
+    spark = raw.sparkSession
+    first = first_arrivals(with_key(raw), ["request", "hash"], ["page_no", "pos"]) \
+        .withColumn("cell", F.pmod(F.hash(day_prefix(stamp())), F.lit(KEY_CELLS)))
+    touched = [r.cell for r in first.select("cell").distinct().collect()]  # at most KEY_CELLS numbers
+    if not touched:
+        return
+    seen = spark.read.schema(KEYS).parquet(f"{out_dir}/keys") \
+        .where(F.col("cell").isin(*touched) & (F.col("batch") < batch_id)).select("request", "hash")
+    new = first.join(seen, ["request", "hash"], "left_anti").withColumn("batch", F.lit(batch_id))
+    # Articles first: keys tell that a batch is complete, and a repeated batch doesn't look at its own.
+    accepted = with_tickers(with_fields(accept(new.drop("cell"), profile, language))).select(*ARTICLE_COLUMNS) \
+        .withColumn("publish_day", F.to_date("published_at")).withColumn("batch", F.lit(batch_id))
+    write_table(accepted, f"{out_dir}/articles", "parquet", ("publish_day", "batch"), dynamic=True)
+    write_table(new.select("request", "hash", "cell", "batch"), f"{out_dir}/keys", "parquet", ("cell", "batch"), dynamic=True)
 
 
-def without_repeats(df: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Drop articles already seen in an earlier poll.
+def ingest_stream(raw: DataFrame, out_dir: str, checkpoint: str, profile: Profile, language: str = "en") -> StreamingQuery:
+    """Ingest what has landed so far, poll by poll, then stop; the tables equal those of one batch ingestion.
 
-    Keys are remembered for ``delay`` of event time, so the state holds one
-    look-back of keys and not the history.  Which copy survives is open.
+    That holds when pages land in the order of their numbers; otherwise the
+    copy that landed first counts.
     """
-    return df.withWatermark("published_at", delay) \
-        .dropDuplicatesWithinWatermark(["request", "hash"])
-
-
-def run_to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has landed so far to a Parquet table by publish day, then stop."""
-    return (
-        df.withColumn("publish_day", F.to_date("published_at"))
-        .writeStream.format("parquet").outputMode("append").partitionBy("publish_day")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    spark = raw.sparkSession
+    spark.createDataFrame([], KEYS).write.mode("append").parquet(f"{out_dir}/keys")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        ingest_batch(batch, batch_id, out_dir, profile, language)
+
+    return raw.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_articles(spark: SparkSession, out_dir: str) -> DataFrame:
+    schema = T.StructType([T.StructField("request", T.StringType()), *ARTICLE.fields])
+    return spark.read.schema(schema).parquet(f"{out_dir}/articles").select(*ARTICLE_COLUMNS)
+
+
+def stored_keys(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Keys of every article that any poll had."""
+    return spark.read.schema(KEYS).parquet(f"{out_dir}/keys").select("request", "hash")
