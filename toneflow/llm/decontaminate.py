@@ -1,9 +1,11 @@
 """Benchmark decontamination with a hash set of test n-grams, in SQL functions only.
 
-The benchmark's windows are hashed; documents hash their own windows, a join
-against the set finds candidates, and the words of every candidate are compared
-before it counts.  The set is broadcast up to ``BROADCAST_WINDOWS`` windows (16
-bytes each) and joined by shuffling beyond; both give the same rows.
+The benchmark's windows are hashed; documents hash their own windows and look
+them up in the set, and the words of every candidate are compared before it
+counts.  Up to ``BROADCAST_WINDOWS`` windows the set is a constant of the plan,
+which goes to every task once: a document is judged where it is read, and texts
+are never shuffled.  Beyond, windows are joined with the set by their hashes;
+both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words, after A-Z were lower-cased, and before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_WINDOWS = 50_000
+HITS = "array<struct<pos:int,n:int,gram:string>>"
 
 
 def words(text: Column) -> Column:
@@ -46,40 +49,58 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, length: int)
     return grams.select("item_id", "n", F.array_join("g", " ").alias("gram"), F.xxhash64("g").alias("hash")).distinct()
 
 
-def find_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              item_col: str = "item_id", item_text_col: str = "text", length: int = 10) -> DataFrame:
-    """Every row of ``docs`` with its key column, ``__llm_words`` long and ``__llm_hits``, an array of (pos, n, gram).
+def _hits_in_row(keyed: DataFrame, text_col: str, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """Hits by looking every window up in constants; the collected rows are at most ``BROADCAST_WINDOWS``."""
+    rows = grams.select("n", "hash", "gram").distinct().collect()
+    texts = sorted({r["gram"] for r in rows})
+    w = F.col(f"{OWN}w")
 
-    ``pos`` counts words from 0.  Only verified hits are listed; rows without
-    any have an empty array.  Documents and items may be null or empty.
-    """
-    grams = stored(benchmark_windows(items, item_col, item_text_col, length), "grams")
-    lengths = [r[0] for r in grams.select("n").distinct().orderBy("n").collect()]  # at most ``length`` numbers
-    small = grams.count() <= BROADCAST_WINDOWS
+    def of(n: int) -> Column:
+        hashes = sorted({r["hash"] for r in rows if r["n"] == n})
+        at = F.transform(window_hashes(w, n), lambda h, i: F.struct(i.alias("pos"), h.alias("hash")))
+        at = F.filter(at, lambda x: x["hash"].isin(hashes))
+        return F.transform(at, lambda x: F.struct(
+            x["pos"].alias("pos"), F.lit(n).alias("n"), F.array_join(F.slice(w, x["pos"] + 1, n), " ").alias("gram")))
+
+    found = [of(n) for n in lengths]
+    hits = F.concat(*found).cast(HITS) if found else F.array().cast(HITS)
+    out = keyed.withColumn(f"{OWN}w", words(F.col(text_col))).withColumn(f"{OWN}hits", hits)
+    true = F.filter(F.col(f"{OWN}hits"), lambda h: h["gram"].isin(texts)) if texts else F.col(f"{OWN}hits")
+    return out.withColumn(f"{OWN}words", F.size(w).cast("long")).withColumn(f"{OWN}hits", true).drop(f"{OWN}w")
+
+
+def _hits_by_join(keyed: DataFrame, text_col: str, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """Hits by joining all windows with the benchmark's, for sets that are too large for a constant."""
     by_hash = stored(grams.select("hash", "n", "gram").distinct(), "windows")
     keys = by_hash.select("hash", "n").distinct()
-    keyed = with_key(docs.select(id_col, text_col), id_col, text_col)
     split = keyed.select(F.col(f"{OWN}key").alias("key"), words(F.col(text_col)).alias("w"))
     found = None
     for n in lengths:
         at = split.select("key", F.posexplode(window_hashes(F.col("w"), n)).alias("pos", "hash"))
-        wanted = keys.filter(F.col("n") == n).select("hash")
-        at = at.join(F.broadcast(wanted) if small else wanted, "hash").withColumn("n", F.lit(n))
+        at = at.join(keys.filter(F.col("n") == n).select("hash"), "hash").withColumn("n", F.lit(n))
         found = at if found is None else found.union(at)
-    keyed_docs = with_key(docs, id_col, text_col)
-    if found is None:
-        none = F.array().cast("array<struct<pos:int,n:int,gram:string>>")
-        return keyed_docs.withColumn(f"{OWN}words", F.size(words(F.col(text_col))).cast("long")).withColumn(f"{OWN}hits", none)
     found = stored(found.distinct(), "candidates")
     by_doc = found.join(by_hash, ["hash", "n"]).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("pos", "n", "gram"))).alias("hits"))  # at most a document's own windows
-    by_doc = stored(by_doc, "hits").select(F.col("key").alias(f"{OWN}key"), F.col("hits").alias(f"{OWN}hits"))
-    joined = keyed_docs.join(by_doc, f"{OWN}key", "left").withColumn(f"{OWN}w", words(F.col(text_col)))
+    by_doc = stored(by_doc, "hits").select(F.col("key").alias(f"{OWN}key"), F.col("hits").cast(HITS).alias(f"{OWN}hits"))
+    joined = keyed.join(by_doc, f"{OWN}key", "left").withColumn(f"{OWN}w", words(F.col(text_col)))
     w, hits = F.col(f"{OWN}w"), F.col(f"{OWN}hits")
     true = F.filter(hits, lambda h: F.array_join(F.slice(w, h["pos"] + 1, h["n"]), " ") == h["gram"])
-    none = F.array().cast("array<struct<pos:int,n:int,gram:string>>")
-    out = joined.withColumn(f"{OWN}words", F.size(w).cast("long"))
-    return out.withColumn(f"{OWN}hits", F.when(hits.isNotNull(), true).otherwise(none)).drop(f"{OWN}w")
+    return joined.withColumn(f"{OWN}words", F.size(w).cast("long")).withColumn(
+        f"{OWN}hits", F.when(hits.isNotNull(), true).otherwise(F.array().cast(HITS))).drop(f"{OWN}w")
+
+
+def find_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              item_col: str = "item_id", item_text_col: str = "text", length: int = 10) -> DataFrame:
+    """Every row of ``docs`` with its key column, ``__llm_words`` long and ``__llm_hits``, an array of (pos, n, gram).
+
+    ``pos`` counts words from 0.  Only verified hits are listed; rows without
+    any have an empty array.  Documents and items may be null or empty.
+    """
+    grams = stored(benchmark_windows(items, item_col, item_text_col, length), "grams")
+    lengths = [r[0] for r in grams.select("n").distinct().orderBy("n").collect()]  # at most ``length`` numbers
+    way = _hits_in_row if not lengths or grams.count() <= BROADCAST_WINDOWS else _hits_by_join
+    return way(with_key(docs, id_col, text_col), text_col, grams, lengths)
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
