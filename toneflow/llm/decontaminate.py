@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toneflow.llm.tables import OWN, stored, with_key
+from toneflow.functions import bind
+from toneflow.llm.tables import OWN, once, stored, with_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words, after A-Z were lower-cased, and before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BROADCAST_WINDOWS = 50_000
 HITS = "array<struct<pos:int,n:int,gram:string>>"
 
@@ -53,20 +55,22 @@ def _hits_in_row(keyed: DataFrame, text_col: str, grams: DataFrame, lengths: lis
     """Hits by looking every window up in constants; the collected rows are at most ``BROADCAST_WINDOWS``."""
     rows = grams.select("n", "hash", "gram").distinct().collect()
     texts = sorted({r["gram"] for r in rows})
-    w = F.col(f"{OWN}w")
 
-    def of(n: int) -> Column:
+    def of(w: Column, n: int) -> Column:
         hashes = sorted({r["hash"] for r in rows if r["n"] == n})
         at = F.transform(window_hashes(w, n), lambda h, i: F.struct(i.alias("pos"), h.alias("hash")))
         at = F.filter(at, lambda x: x["hash"].isin(hashes))
-        return F.transform(at, lambda x: F.struct(
+        at = F.transform(at, lambda x: F.struct(
             x["pos"].alias("pos"), F.lit(n).alias("n"), F.array_join(F.slice(w, x["pos"] + 1, n), " ").alias("gram")))
+        return F.filter(at, lambda h: h["gram"].isin(texts))
 
-    found = [of(n) for n in lengths]
-    hits = F.concat(*found).cast(HITS) if found else F.array().cast(HITS)
-    out = keyed.withColumn(f"{OWN}w", words(F.col(text_col))).withColumn(f"{OWN}hits", hits)
-    true = F.filter(F.col(f"{OWN}hits"), lambda h: h["gram"].isin(texts)) if texts else F.col(f"{OWN}hits")
-    return out.withColumn(f"{OWN}words", F.size(w).cast("long")).withColumn(f"{OWN}hits", true).drop(f"{OWN}w")
+    def judged(w: Column) -> Column:
+        hits = F.concat(*[of(w, n) for n in lengths]) if lengths else F.array()
+        return F.struct(F.size(w).cast("long").alias("words"), hits.cast(HITS).alias("hits"))
+
+    verdict = F.col(f"{OWN}verdict")
+    return keyed.withColumn(f"{OWN}verdict", once(bind(words(F.col(text_col)), judged))).withColumns(
+        {f"{OWN}words": verdict["words"], f"{OWN}hits": verdict["hits"]}).drop(f"{OWN}verdict")
 
 
 def _hits_by_join(keyed: DataFrame, text_col: str, grams: DataFrame, lengths: list[int]) -> DataFrame:
@@ -83,7 +87,7 @@ def _hits_by_join(keyed: DataFrame, text_col: str, grams: DataFrame, lengths: li
     by_doc = found.join(by_hash, ["hash", "n"]).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("pos", "n", "gram"))).alias("hits"))  # at most a document's own windows
     by_doc = stored(by_doc, "hits").select(F.col("key").alias(f"{OWN}key"), F.col("hits").cast(HITS).alias(f"{OWN}hits"))
-    joined = keyed.join(by_doc, f"{OWN}key", "left").withColumn(f"{OWN}w", words(F.col(text_col)))
+    joined = keyed.join(by_doc, f"{OWN}key", "left").withColumn(f"{OWN}w", once(words(F.col(text_col))))
     w, hits = F.col(f"{OWN}w"), F.col(f"{OWN}hits")
     true = F.filter(hits, lambda h: F.array_join(F.slice(w, h["pos"] + 1, h["n"]), " ") == h["gram"])
     return joined.withColumn(f"{OWN}words", F.size(w).cast("long")).withColumn(
@@ -103,6 +107,15 @@ def find_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     return way(with_key(docs, id_col, text_col), text_col, grams, lengths)
 
 
+def hit_words(hits: Column) -> Column:
+    """Sorted places of the words that any hit covers."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda h: F.sequence(h["pos"], h["pos"] + h["n"] - 1)))))
+
+
+def n_hit(hits: Column) -> Column:
+    return F.size(hit_words(hits)).cast("long")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", length: int = 10) -> DataFrame:
     """(id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of ``docs``.
@@ -115,11 +128,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """
     found = find_hits(docs, items, id_col, text_col, item_col, item_text_col, length)
     hits = F.col(f"{OWN}hits")
-    hit_words = F.size(F.array_distinct(F.flatten(F.transform(
-        hits, lambda h: F.sequence(h["pos"], h["pos"] + h["n"] - 1)))))
     rows = stored(found.select(
         F.col(f"{OWN}key").alias("key"), F.col(id_col).alias("id"), F.col(f"{OWN}words").alias("n_words"),
-        hit_words.cast("long").alias("n_hit"),
+        n_hit(hits).alias("n_hit"),
         F.array_distinct(F.transform(hits, lambda h: h["gram"])).alias("grams")), "contamination")
     grams = stored(benchmark_windows(items, item_col, item_text_col, length).select("item_id", "gram").distinct(), "items")
     of = rows.filter("n_hit > 0").select("key", F.explode("grams").alias("gram")).distinct().join(grams, "gram")
@@ -142,13 +153,20 @@ def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """
     found = find_hits(docs, items, id_col, text_col, item_col, item_text_col, length)
     hits, text = F.col(f"{OWN}hits"), F.col(text_col)
-    plain = F.array_remove(F.split(text, BETWEEN_ANY_CASE), "")
-    # The text is head, word, gap, word, gap, ...; the head may be empty.
-    gaps = F.split(text, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    kept = F.transform(F.sequence(F.lit(1), F.size(plain)), lambda i: F.when(
-        F.exists(hits, lambda h: (i > h["pos"]) & (i <= h["pos"] + h["n"])), F.lit("")).otherwise(
-        F.concat(F.element_at(plain, i), F.element_at(gaps, i + 1))))
-    left = F.concat(F.element_at(gaps, 1), F.array_join(kept, ""))
-    out = found.withColumn(text_col, F.when(F.size(hits) > 0, left).otherwise(text))
-    out = out.filter((F.size(hits) == 0) | (F.size(words(F.col(text_col))) > 0))
-    return out.select(*docs.columns)
+    # Documents whose words all go, go; the others are cut, clean ones left alone.
+    found = found.filter((F.size(hits) == 0) | (n_hit(hits) < F.col(f"{OWN}words")))
+    plain, gaps = F.array_remove(F.split(text, BETWEEN_ANY_CASE), ""), F.split(text, WORD_ANY_CASE)
+
+    def rebuild(cuts: Column) -> Column:
+        # The text is gap, word, gap, word, ..., gap; outer gaps may be empty.  Between two
+        # words that go, the words and the gaps after them stay.
+        def run(p: Column, g: Column, i: Column) -> Column:
+            start, n = F.element_at(cuts, i) + 2, F.element_at(cuts, i + 1) - F.element_at(cuts, i) - 1
+            return F.when(n > 0, F.array_join(F.zip_with(F.slice(p, start, n), F.slice(g, start + 1, n), lambda x, y: F.concat(x, y)), "")).otherwise("")
+
+        return bind(plain, lambda p: bind(gaps, lambda g: F.concat(F.element_at(g, 1), F.array_join(F.transform(
+            F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: run(p, g, i)), ""))))
+
+    edges = F.concat(F.array(F.lit(-1)), hit_words(hits), F.array(F.col(f"{OWN}words").cast("int")))
+    cut = F.when(F.size(hits) > 0, bind(edges, rebuild)).otherwise(text)
+    return found.withColumn(text_col, once(cut)).select(*docs.columns)

@@ -34,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(value: Column) -> Column:
+    """A costly value that the optimizer shall neither repeat, move nor merge into what uses it.
+
+    It would copy a deterministic one into filters above it and into lambdas,
+    which evaluate it anew for every element.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """Key of a row: id and text.  Rows that agree in both get the same decision."""
     text = F.col(text_col)
