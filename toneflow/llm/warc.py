@@ -221,7 +221,8 @@ def read_back(archives: DataFrame, id_type: str = "long") -> DataFrame:
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    paths = archives.select("path").repartition(F.col("path"))
+    # As many tasks as archives: their list is tiny, and adaptive execution would read them all in one.
+    paths = archives.select("path").repartition(max(1, archives.count()))
     out = paths.mapInArrow(of, "page_id string, payload_bytes long, payload_digest string, record_type string, "
                                "refers_to string, url string, payload binary")
     return out.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
