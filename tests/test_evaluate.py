@@ -4,7 +4,7 @@ import pytest
 
 from toneflow.operators import evaluate as E
 
-# Published confusion counts of six models on 198 sentences, 66 per class, with
+# Published confusion counts of six models on 198 sentences, 66 per class, with
 # the precision, recall, F1 of each label, macro and weighted averages.
 GOLDEN = {
     "m1": ({"positive": {"positive": 47, "neutral": 17, "negative": 2},

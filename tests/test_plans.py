@@ -5,13 +5,14 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from toneflow import catalog
 from toneflow.operators import articles
 
 FOLDER = "/root/testdata/sf0.001"
 # Fitting and streaming queries run jobs of their own; the scorer query is Python by purpose.
 SKIP = ("ml", "stm", "snk1", "snk4", "compare_models")
-PURE = sorted(n for n in entry.queries() if not n.startswith(SKIP))
+QUERIES = {n: e.run for n, e in catalog.load().items()}
+PURE = sorted(n for n in QUERIES if not n.startswith(SKIP))
 
 
 def plan_of(df):
@@ -20,24 +21,24 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", PURE)
 def test_no_products_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert banned not in plan
 
 
 @pytest.mark.parametrize("name", ["win5_report", "lab9_decay_weight", "jn2_first_arrivals", "spl1_stratified_split"])
 def test_windows_are_partitioned(spark, name):
-    assert "SinglePartition" not in plan_of(entry.queries()[name](spark, FOLDER))
+    assert "SinglePartition" not in plan_of(QUERIES[name](spark, FOLDER))
 
 
 def test_first_arrivals_thin_out_before_the_shuffle(spark):
-    plan = plan_of(entry.queries()["jn2_first_arrivals"](spark, FOLDER))
+    plan = plan_of(QUERIES["jn2_first_arrivals"](spark, FOLDER))
     exchange = plan.index("Exchange hashpartitioning")
     assert "Partial" in plan[exchange:] and "WindowGroupLimit" in plan[exchange:]
 
 
 def test_report_shuffles_twice(spark):
-    assert plan_of(entry.queries()["win5_report"](spark, FOLDER)).count("Exchange ") == 2
+    assert plan_of(QUERIES["win5_report"](spark, FOLDER)).count("Exchange ") == 2
 
 
 def test_scans_read_needed_columns_only(spark):

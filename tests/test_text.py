@@ -102,5 +102,3 @@ def test_tokens_and_shortening(spark):
 
 def test_query_terms():
     assert X.query_terms("Apple Inc", "AAPL", [" iphone ", "", "AAPL"]) == ["Apple Inc", "AAPL", "iphone"]
-    assert X.query_string("Apple Inc", "AAPL", ["mac book"]) == '"Apple Inc" OR AAPL OR "mac book"'
-    assert X.query_string("Acme") == "Acme"

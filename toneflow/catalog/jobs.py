@@ -17,8 +17,8 @@ from toneflow.operators import model as M
 from toneflow.operators.evaluate import counts
 from toneflow.plans.evaluation import compare_models
 from toneflow.plans.ingest import ingest, ingest_request
-from toneflow.plans.labelling import build_dataset
-from toneflow.plans.report import daily_report
+from toneflow.plans.labelling import build_dataset, label_once
+from toneflow.plans.report import build_reports, daily_report
 from toneflow.plans.training import fine_tune, split
 from toneflow.schemas import LABELS, RAW_PAGE, Request
 from toneflow.session import scratch_path, use_utc
@@ -105,6 +105,36 @@ def label_and_report(spark, d):
     return shown(daily_report(labelled(spark, d), 7), TREND)
 
 
+_BACKFILLED = f"""{sql.EVENTS.replace('ev AS', 'tagged AS')}, ev AS (
+  SELECT hash, published_at, 'U5' AS ticker, weak_label FROM tagged WHERE ticker = 'U5' OR k % 4 = 0)"""
+
+
+@query("report_job", f"""WITH {sql.trend(7, _BACKFILLED)}, alerts AS ({sql.alerts(2.0)})
+SELECT 'daily' AS kind, date, ticker, article_count, round_even(rolling_z, 6) + 0.0 AS z_value FROM trend
+UNION ALL SELECT 'alert', date, ticker, NULL, z_value FROM alerts""")
+def report_job(spark, d):
+    """The stored report of one ticker, untagged articles counted as its own."""
+    articles = fixtures.events_as_articles(spark, d)
+    tickers = F.when(F.col("k") % 4 == 0, F.array().cast("array<string>")).otherwise(F.col("tickers"))
+    path = writers.write_table(articles.select("hash", "published_at", tickers.alias("tickers"), "weak_label"),
+                               scratch_path(use_utc(spark), "labelled") + ".parquet")
+    paths = build_reports(spark, path, scratch_path(spark, "reports"), ticker="U5", z_threshold=2.0, backfill=True)
+    days = spark.read.parquet(paths["daily"]).select(
+        F.lit("daily").alias("kind"), "date", "ticker", "article_count", sql.r6("rolling_z").alias("z_value"))
+    return days.unionByName(spark.read.parquet(paths["alerts"]).select(
+        F.lit("alert").alias("kind"), "date", "ticker", F.lit(None).cast("bigint").alias("article_count"), sql.r6("z_value").alias("z_value")))
+
+
+@query("jn1_label_once", f"""WITH {sql.EVENTS}
+SELECT hash, weak_label, value FROM ev""")
+def jn1_once(spark, d):
+    """Labels from a table that repeats articles; articles that arrive twice."""
+    ev = fixtures.events_as_articles(spark, d).withColumn("url", F.lit("u"))
+    repeated = ev.select("hash", "weak_label").union(ev.where("k % 3 = 0").select("hash", "weak_label"))
+    twice = ev.drop("weak_label").union(ev.where("k % 5 = 0").drop("weak_label"))
+    return label_once(twice, repeated).select("hash", "weak_label", "value")
+
+
 def gold_rows(spark, d):
     return readers.standardise_gold(fixtures.gold(spark, d), fixtures.GOLD_COLUMNS).select("doc_id", "text", "label")
 

@@ -159,7 +159,11 @@ PROFILE_SIZE = 50
 
 # Profiles are learnt from one half of the documents and judged on the other.
 _LEARN = "md5(CAST(doc_id AS VARCHAR)) < '8'"
-_LEARN_ROWS = F.md5(F.col("doc_id").cast("string")) < "8"
+
+
+def _learn():
+    return F.md5(F.col("doc_id").cast("string")) < "8"
+
 
 _PROFILE = rf"""words AS (
   SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents),
@@ -180,13 +184,13 @@ detected AS (
 
 @query("txt15_language_profile", f"WITH {_PROFILE} SELECT language, word, n, CAST(rank AS INT) AS rank FROM profile")
 def txt15_profile(spark, d):
-    return language.word_profile(fixtures.documents(spark, d).where(_LEARN_ROWS), size=PROFILE_SIZE)
+    return language.word_profile(fixtures.documents(spark, d).where(_learn()), size=PROFILE_SIZE)
 
 
 def detected(spark, d):
     doc = fixtures.documents(spark, d)
-    profile = language.load_profile(language.word_profile(doc.where(_LEARN_ROWS), size=PROFILE_SIZE))
-    return doc.where(~_LEARN_ROWS).select("doc_id", "lang", language.detect_language(F.col("text"), profile).alias("language"))
+    profile = language.load_profile(language.word_profile(doc.where(_learn()), size=PROFILE_SIZE))
+    return doc.where(~_learn()).select("doc_id", "lang", language.detect_language(F.col("text"), profile).alias("language"))
 
 
 @query("txt15_detect_language", f"WITH {_DETECTED} SELECT doc_id, lang, language FROM detected")

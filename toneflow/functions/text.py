@@ -128,12 +128,6 @@ def query_terms(company: str, ticker: str = "", keywords: Sequence[str] = ()) ->
     return list(dict.fromkeys(terms))
 
 
-def query_string(company: str, ticker: str = "", keywords: Sequence[str] = ()) -> str:
-    """Search expression: terms joined by OR, phrases in quotes."""
-    quoted = (f'"{t}"' if " " in t else t for t in query_terms(company, ticker, keywords))
-    return " OR ".join(quoted)
-
-
 def mentions_any(terms: Sequence[str] | Column, *fields: Column) -> Column:
     """True when one of the terms occurs in the joined fields, regardless of case."""
     wanted = terms if isinstance(terms, Column) else F.array(*[F.lit(t) for t in terms])

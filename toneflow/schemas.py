@@ -66,23 +66,6 @@ ALERT = T.StructType([
     T.StructField("z_value", T.DoubleType()),
 ])
 
-GOLD = T.StructType([
-    T.StructField("text", T.StringType()),
-    T.StructField("label", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("dataset_type", T.StringType()),
-])
-
-PREDICTION = T.StructType([
-    T.StructField("row_id", T.LongType()),
-    T.StructField("model", T.StringType()),
-    T.StructField("true_label", T.StringType()),
-    T.StructField("pred", T.StringType()),
-    T.StructField("confidence", T.DoubleType()),
-    T.StructField("probs", T.MapType(T.StringType(), T.DoubleType())),
-])
-
-
 @dataclass(frozen=True)
 class Request:
     """One watchlist entry: what to look for, when, and how many articles to keep."""

@@ -43,18 +43,6 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int, per_task: int = 256 << 20) -> int:
-    """Set the number of shuffle partitions for the largest shuffle of a job.
-
-    Partitions of ``per_task`` bytes fit an executor's memory; adaptive
-    execution merges the ones that turn out small.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    number = max(cores, -(-shuffled_bytes // per_task))
-    spark.conf.set("spark.sql.shuffle.partitions", str(number))
-    return number
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 
@@ -78,12 +66,12 @@ def _local_scratch(warehouse: str) -> str:
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """Materialise a side table so that joins plan with its measured size.
+    """Write a side table to the scratch folder so that joins plan with its true size.
 
-    A cached relation reports its true size: the planner broadcasts it while
-    it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it
-    otherwise.  Meant for small tables (cut points, per-class counts).
+    The planner broadcasts it while it is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.  Nothing
+    stays in the executors' memory, and a lost executor takes nothing along.
     """
-    df = df.persist()
-    df.count()
-    return df
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,11 +61,11 @@ def write_articles(df: DataFrame, path: str, file_format: str = "parquet") -> in
     """Store accepted articles by ticker and modal day; returns the number of rows.
 
     ``df`` has a column ``request``, the ticker the article was fetched for.
-    It is held while both the modal day and the rows themselves are read from it.
-    Rebalancing merges small partitions and splits large ones, so that neither
+    It is stored once in the scratch folder, and both the modal day and the rows
+    themselves are read from there.  Rebalancing merges small partitions and splits large ones, so that neither
     many tiny files nor one huge task comes out.
     """
-    df = df.persist()
+    df = sized(df)
     days = modal_day(df, ("request",)).withColumn("batch_date", day_stamp(F.col("batch_date")))
     seen = Observation("articles")
     placed = (
@@ -75,7 +75,6 @@ def write_articles(df: DataFrame, path: str, file_format: str = "parquet") -> in
         .observe(seen, F.count(F.lit(1)).alias("n"))
     )
     write_table(placed, path, file_format, ("ticker", "batch_date"), dynamic=True)
-    df.unpersist()
     return seen.get["n"]
 
 

@@ -117,7 +117,6 @@ def update_daily(batch: DataFrame, batch_id: int, out_dir: str, window: int, buc
         months = sized(changed_months(trend, days, window))
         write_table(trend.join(months, ["bucket", "month"], "left_semi"), f"{out_dir}/daily", "parquet", ("bucket", "month"),
                     dynamic=True)
-        months.unpersist()
 
 
 def maintain_daily(labelled: DataFrame, out_dir: str, checkpoint: str, window: int = 7,
