@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +31,7 @@ from toneflow.llm.tables import stored
 LETTERS = 64
 DIM = 7
 LEXICON, CACHE = 20_000, 200_000
+READINGS, MARGIN = 8, 8.0
 
 # Signs and the letters they stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -112,29 +113,32 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, costs: np.ndarray) -> str:
-    """The cheapest reading of a lower-cased word."""
-    now: dict[tuple[int, int], float] = {(0, 0): 0.0}
-    back: list[dict[tuple[int, int], tuple[tuple[int, int], str]]] = []
+def restore(word: str, costs: np.ndarray, n: int = 1) -> list[tuple[float, str]]:
+    """The ``n`` cheapest readings of a lower-cased word with their costs, cheapest first (list Viterbi)."""
+    now: dict[tuple[int, int], list[float]] = {(0, 0): [0.0]}
+    back: list[dict[tuple[int, int], list[tuple]]] = []
     for ways in [*lattice(word), [(" ", 0.0)]]:
-        after: dict[tuple[int, int], float] = {}
-        via: dict[tuple[int, int], tuple[tuple[int, int], str]] = {}
-        for state, cost in now.items():
+        after: dict[tuple[int, int], list[tuple]] = {}
+        for state, best in now.items():
             for letters, extra in ways:
-                (x, y), total = state, cost + extra
+                (x, y), step = state, extra
                 for c in letters:
                     z = code(c)
-                    total += costs[x, y, z]
+                    step += costs[x, y, z]
                     x, y = y, z
-                if total < after.get((x, y), np.inf):
-                    after[x, y], via[x, y] = total, (state, letters)
-        now = after
-        back.append(via)
-    state, parts = min(now, key=lambda s: (now[s], s)), []
-    for via in reversed(back):
-        state, letters = via[state]
-        parts.append(letters)
-    return "".join(reversed(parts)).strip()
+                after.setdefault((x, y), []).extend((cost + step, state, i, letters) for i, cost in enumerate(best))
+        after = {s: sorted(found)[:n] for s, found in after.items()}
+        now = {s: [f[0] for f in found] for s, found in after.items()}
+        back.append(after)
+    ends = sorted((cost, state, i) for state, best in now.items() for i, cost in enumerate(best))[:n]
+    out = []
+    for cost, state, i in ends:
+        parts = []
+        for found in reversed(back):
+            _, state, i, letters = found[state][i]
+            parts.append(letters)
+        out.append((cost, "".join(reversed(parts)).strip()))
+    return out
 
 
 def plain(word: str) -> str:
@@ -142,15 +146,18 @@ def plain(word: str) -> str:
     return LEADING.sub("", TRAILING.sub("", word)).lower()
 
 
-def readings(word: str, costs: np.ndarray) -> str:
-    """A word as it is, or restored where it may be disguised."""
-    if word.isalpha():
-        low = word.lower()
-        return restore(low, costs) if DRAWN_OUT.search(low) else low
-    low = plain(word)
-    if not any(c.isalpha() for c in low):
+def reading(word: str, costs: np.ndarray, known: Container[str] = ()) -> str:
+    """A word as it is, or restored where it may be disguised.
+
+    Of the cheapest readings, one that ``known`` has goes before others that
+    are cheaper by no more than ``MARGIN``.
+    """
+    low = word.lower() if word.isalpha() else plain(word)
+    disguised = DRAWN_OUT.search(low) or not word.isalpha() and SIGN.search(low) and any(c.isalpha() for c in low)
+    if not disguised:
         return low
-    return restore(low, costs) if SIGN.search(low) or DRAWN_OUT.search(low) else low
+    found = restore(low, costs, READINGS)
+    return next((text for cost, text in found if text in known and cost <= found[0][0] + MARGIN), found[0][1])
 
 
 def spaced(text: str, points: np.ndarray) -> list[str]:
@@ -191,11 +198,11 @@ class Reader:
     def restored(self, text: str) -> set[str]:
         out: set[str] = set()
         for w in set(self.words(text)):
-            out.update(str(self._known(w, lambda x: readings(x, self.costs))).split())
+            out.update(str(self._known(w, lambda x: reading(x, self.costs))).split())
         return out
 
     def weight(self, word: str) -> float:
-        parts = readings(word, self.costs).split()
+        parts = reading(word, self.costs, self.weights).split()
         return max((self.weights.get(f, 0.0) for p in parts for f in features_of(p)), default=0.0)
 
     def vector(self, text: str | None) -> list[float]:
