@@ -86,7 +86,7 @@ class Writer:
         if self.file is None:
             self.waiting.append(data)
             self.held += len(data)
-            if self.held >= SAMPLE_BYTES:
+            if self.held >= min(SAMPLE_BYTES, self.archive_bytes):
                 self._open()
         else:
             self._put(data)
@@ -99,7 +99,7 @@ class Writer:
         self.path = f"{self.folder}/part-{uuid.uuid4().hex}.warc.zst"
         system, path = fs.FileSystem.from_uri(self.path)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        self.file = system.open_output_stream(path)
+        self.file = system.open_output_stream(path, compression=None)  # else the suffix decides
         self.compressor = zstd.ZstdCompressor(level=self.level, dict_data=_dictionary(data))
         self.file.write(struct.pack("<II", DICTIONARY_FRAME, len(data)) + data)
         self._put(b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
@@ -127,7 +127,7 @@ class Writer:
 def records_of(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Head and block of every record of an archive, read as a stream."""
     system, name = fs.FileSystem.from_uri(path)
-    with system.open_input_stream(name) as f:
+    with system.open_input_stream(name, compression=None) as f:
         magic, size = struct.unpack("<II", f.read(8))
         if magic != DICTIONARY_FRAME:
             raise ValueError(f"{path} doesn't begin with a dictionary")
@@ -192,16 +192,18 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 def read_back(archives: DataFrame, id_type: str = "long") -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload) of every record of stored archives.
 
-    Digests of payloads in the archives are computed anew and must agree with what is recorded.
+    Digests of payloads in the archives are computed anew and must agree with
+    what is recorded, and so must the number of records.
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for b in batches:
-            for path in b.column(0).to_pylist():
+            for path, missing in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for head, block in records_of(path):
                     kind = head["WARC-Type"]
                     if kind == "warcinfo":
                         continue
+                    missing -= 1
                     http, payload = block.split(b"\r\n\r\n", 1)
                     digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
                     size = int(http.rsplit(b"Content-Length: ", 1)[1])
@@ -213,6 +215,8 @@ def read_back(archives: DataFrame, id_type: str = "long") -> DataFrame:
                     if len(rows) >= 1000 or held >= 8 << 20:
                         yield batch(rows)
                         rows, held = [], 0
+                if missing:
+                    raise ValueError(f"{path}: {missing} records are missing")
         yield batch(rows)
 
     types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary())
@@ -222,7 +226,7 @@ def read_back(archives: DataFrame, id_type: str = "long") -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
     # As many tasks as archives: their list is tiny, and adaptive execution would read them all in one.
-    paths = archives.select("path").repartition(max(1, archives.count()))
+    paths = archives.select("path", "records").repartition(max(1, archives.count()))
     out = paths.mapInArrow(of, "page_id string, payload_bytes long, payload_digest string, record_type string, "
                                "refers_to string, url string, payload binary")
     return out.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
