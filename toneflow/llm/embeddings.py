@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from toneflow.llm.components import components
 from toneflow.llm.tables import stored
 
-WIDTH, BLOCK = 2.0, 2048
+WIDTH, BLOCK, SMALL = 2.0, 2048, 24
 
 
 def meeting(distance: float, width: float = WIDTH) -> float:
@@ -71,6 +71,38 @@ def _units(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _pairs(unit: np.ndarray, cells: np.ndarray, own: np.ndarray, across: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one cell that reach the threshold; rows are in the order of cells.
+
+    Small cells are compared all at once, neighbour by neighbour; each large
+    one by a product of matrices.  ``across`` marks cells of two blocks, whose
+    rows only meet those of the other block.
+    """
+    cuts = np.flatnonzero(np.diff(cells)) + 1
+    starts = np.concatenate(([0], cuts))
+    sizes = np.diff(np.concatenate((starts, [len(cells)])))
+    small = np.repeat(sizes <= SMALL, sizes)
+    for gap in range(1, SMALL):
+        a = np.flatnonzero((cells[gap:] == cells[:-gap]) & small[gap:]) if gap < len(cells) else []
+        if not len(a):
+            break
+        b = a + gap
+        good = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
+        good &= ~across[a] | (own[a] != own[b])
+        if good.any():
+            yield a[good], b[good]
+    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        x, o = unit[s:s + n], own[s:s + n]
+        for k in range(0, n, 256):
+            near = x[k:k + 256] @ x.T >= threshold
+            if across[s]:
+                near &= o[k:k + 256, None] != o[None, :]
+            a, b = np.nonzero(near)
+            later = a + k < b
+            if later.any():
+                yield a[later] + k + s, b[later] + s
+
+
 def _meet(cells: np.ndarray, blocks: np.ndarray, table: np.ndarray, ids: np.ndarray, times: np.ndarray, vectors: pa.Array,
           threshold: float, k: int, tables: int, seed: int) -> tuple[dict[int, int], set[tuple[int, int]]]:
     """Links within cells: the copies that each vector links to, and edges that connect them.
@@ -79,46 +111,42 @@ def _meet(cells: np.ndarray, blocks: np.ndarray, table: np.ndarray, ids: np.ndar
     """
     links: dict[int, int] = {}
     edges: set[tuple[int, int]] = set()
-    order = np.argsort(cells, kind="stable")
-    cuts = np.flatnonzero(np.diff(cells[order])) + 1
-    for group in np.split(order, cuts):
-        if len(group) < 2:
-            continue
-        for rows, unit in _units(vectors.take(pa.array(group))):
-            who = group[rows]
-            if len(who) < 2:
-                continue
-            t = int(table[who[0]])
-            near = unit @ unit.T >= threshold
-            np.fill_diagonal(near, False)
-            own, other = blocks[who, 0], blocks[who, 1]
-            if (own != other).any():
-                near &= own[:, None] != own[None, :]
-            a, b = np.nonzero(np.triu(near, 1))
-            if t and len(a):
-                some = np.unique(np.concatenate((a, b)))
-                keys = np.zeros((len(who), t), np.uint64)
-                keys[some] = keys_of(unit[some], k, tables, seed)[:, :t]
-                new = np.concatenate([~(keys[a[i:i + 65536]] == keys[b[i:i + 65536]]).any(axis=1) for i in range(0, len(a), 65536)])
-                a, b = a[new], b[new]
-            if not len(a):
-                continue
-            sums = np.bincount(a, times[who[b]], len(who)) + np.bincount(b, times[who[a]], len(who))
-            for i in np.flatnonzero(sums):
-                links[int(ids[who[i]])] = links.get(int(ids[who[i]]), 0) + int(sums[i])
-            parent = np.arange(len(who))
-            while len(a):
-                ra, rb = parent[a], parent[b]
-                apart = ra != rb
-                a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-                if not len(a):
-                    break
-                high, low = np.maximum(ra, rb), np.minimum(ra, rb)
-                first = np.unique(high, return_index=True)[1]
-                edges.update(zip(ids[who[a[first]]].tolist(), ids[who[b[first]]].tolist(), strict=True))
-                parent[high[first]] = low[first]
-                while not np.array_equal(up := parent[parent], parent):
-                    parent = up
+    for rows, unit in _units(vectors):
+        order = rows[np.argsort(cells[rows], kind="stable")]
+        unit = unit[np.argsort(cells[rows], kind="stable")]
+        t, who, n = table[order], ids[order], times[order]
+        names, name = np.unique(who, return_inverse=True)
+        sums, parent = np.zeros(len(names)), np.arange(len(names))
+        known: dict[int, np.ndarray] = {}
+        for a, b in _pairs(unit, cells[order], blocks[order, 0], blocks[order, 0] != blocks[order, 1], threshold):
+            # A pair counts in the first table where it meets.
+            need = np.unique(np.concatenate((a, b)))
+            fresh = [i for i in need[np.unique(name[need], return_index=True)[1]].tolist() if int(name[i]) not in known]
+            if fresh:
+                known.update(zip(name[fresh].tolist(), keys_of(unit[fresh], k, tables, seed), strict=True))
+            at = np.unique(name[need])
+            keys = np.stack([known[i] for i in at.tolist()])
+            for c in range(0, len(a), 32768):
+                x, y = a[c:c + 32768], b[c:c + 32768]
+                same = keys[np.searchsorted(at, name[x])] == keys[np.searchsorted(at, name[y])]
+                new = ~(same & (np.arange(tables) < t[x][:, None])).any(axis=1)
+                x, y = x[new], y[new]
+                sums += np.bincount(name[x], n[y], len(names)) + np.bincount(name[y], n[x], len(names))
+                x, y = name[x], name[y]
+                while len(x):
+                    rx, ry = parent[x], parent[y]
+                    apart = rx != ry
+                    x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+                    if not len(x):
+                        break
+                    high, low = np.maximum(rx, ry), np.minimum(rx, ry)
+                    first = np.unique(high, return_index=True)[1]
+                    edges.update(zip(names[x[first]].tolist(), names[y[first]].tolist(), strict=True))
+                    parent[high[first]] = low[first]
+                    while not np.array_equal(up := parent[parent], parent):
+                        parent = up
+        for i in np.flatnonzero(sums):
+            links[int(names[i])] = links.get(int(names[i]), 0) + int(sums[i])
     return links, edges
 
 
