@@ -80,3 +80,14 @@ def test_labelled_urls_decide(spark, pages):
     got = {r["page_id"]: r["verdict"] for r in urls.judge(pages([(1, "http://q.org/spam/9"), (2, "http://q.org/ham/9"), (3, "ftp://z")]),
                                                          rules, labelled).collect()}
     assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_support_and_confidence_are_those_of_the_urls(spark):
+    """One token set of very many blocked urls against many sets of a few allowed ones that share its path token."""
+    rows = [(["host:spam", "path:p"], "block", 1_200_000)] + [([f"host:h{i}", "path:p"], "allow", 2) for i in range(1500)]
+    known = spark.createDataFrame(rows, "tokens array<string>, verdict string, n long")
+    got = {(tuple(r["tokens"]), r["verdict"]): (r["confidence"], r["support"]) for r in urls.mine(known).collect()}
+    n = 1_200_000
+    assert got[("path:p",), "block"] == pytest.approx((n / (n + 3000), n / (n + 3000)))
+    assert got[("host:spam",), "block"] == pytest.approx((1.0, n / (n + 3000)))
+    assert not any(v == "allow" for _, v in got)

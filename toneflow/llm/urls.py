@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from toneflow.llm.decontaminate import LOWER, UPPER
 from toneflow.llm.tables import stored
 
+#: Transactions that a task writes of one row at a time.
+PART = 1000
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -74,15 +76,18 @@ def judge_by_list(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, labelled_rows: int = 50_000) -> DataFrame:
     """(tokens, verdict, confidence, support) of the rules that (tokens, verdict, n) rows yield.
 
-    ``n`` counts the urls of a row.  At most ``labelled_rows`` different rows
-    are used, those with the smallest hashes.  Verdicts are ``allow`` and
-    ``block``.  Without rows there are no rules.
+    ``n`` counts the urls of a row, and support and confidence are those of the
+    urls: every row is as many transactions as it has urls.  At most
+    ``labelled_rows`` different rows are used, those with the smallest hashes.
+    Verdicts are ``allow`` and ``block``.  Without rows there are no rules.
     """
     sample = labelled.orderBy(F.xxhash64("tokens", "verdict"), "verdict").limit(labelled_rows)
-    # A token set that many urls share counts as often as its square root of them, so that no host outvotes the rest.
-    times = F.least(F.ceil(F.sqrt("n")), F.lit(1000)).cast("int")
-    rows = sample.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"),
-                         F.explode(F.array_repeat(F.lit(0), times)).alias("nth")).select("items")
+    # A row of many urls is dealt out in parts before it is repeated, so that no task writes all of a large one.
+    parts = sample.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"), "n",
+                          F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PART))).alias("part"))
+    parts = parts.repartition(int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")), "items", "part")
+    times = F.least(F.col("n") - F.col("part") * PART, F.lit(PART)).cast("int")
+    rows = parts.select("items", F.explode(F.array_repeat(F.lit(0), times)).alias("nth")).select("items")
     rows = stored(rows, "transactions")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     found = model.associationRules.filter(F.col("consequent")[0].startswith("verdict:"))
