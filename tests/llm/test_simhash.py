@@ -8,7 +8,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from .conftest import ODD
+from .conftest import ODD, prose
 from toneflow.llm import queries, simhash
 
 FOLDER = "/root/testdata/sf0.001"
@@ -97,3 +97,14 @@ def test_odd_rows(documents):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)[:2] == [1, 2]
     assert simhash.near_duplicates(documents([])).count() == 0
     assert simhash.keep_one(documents([])).count() == 0
+
+
+def test_exactly_one_row_of_every_component_stays(documents):
+    """Repeated rows, null ids, and an id that stands for two texts, once first of its group and once a copy."""
+    a, b, c, d = (prose(k, 60) for k in (21, 22, 23, 24))
+    rows = [(1, a)] * 5 + [(None, a), (7, a), (7, b), (8, b), (None, c), (None, c), (None, d), (9, d)]
+    docs = documents(rows, clash=True)
+    kept = simhash.keep_one(docs.repartition(3))
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (7, b), (None, c), (9, d)], key=str)

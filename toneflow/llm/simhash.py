@@ -159,6 +159,17 @@ def near_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     return dealt.mapInArrow(within, "a long, b long")
 
 
+def _first_of(prints: DataFrame, order: Column, max_bits: int) -> DataFrame:
+    """(fingerprint, first): the smallest ``order`` among the rows of ``prints`` in the component of every fingerprint."""
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min(order).alias("first")), "distinct")
+    roots = components(near_links(distinct.select("fingerprint"), max_bits))
+    roots = stored(roots.select(F.col("node").alias("fingerprint"), "root"), "roots")
+    named = distinct.join(roots, "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    least = stored(named.groupBy("root").agg(F.min("first").alias("first")), "least")
+    return stored(named.drop("first").join(least, "root").select("fingerprint", "first"), "classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(id, fingerprint long, component_id) of every row.
@@ -171,20 +182,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = stored(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fingerprint")),
                     "fingerprints")
-    distinct = stored(prints.groupBy("fingerprint").agg(F.min("id").alias("id")), "distinct")
-    roots = components(near_links(distinct.select("fingerprint"), max_bits))
-    roots = stored(roots.select(F.col("node").alias("fingerprint"), "root"), "roots")
-    named = distinct.join(roots, "fingerprint", "left").select(
-        "fingerprint", "id", F.coalesce("root", "fingerprint").alias("root"))
-    least = stored(named.groupBy("root").agg(F.min("id").alias("component_id")), "least")
-    classes = stored(named.join(least, "root").select("fingerprint", "component_id"), "classes")
+    classes = _first_of(prints, F.col("id"), max_bits)
     out = prints.join(classes, "fingerprint")
-    return out.select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    return out.select(F.col("id").alias(id_col), "fingerprint", F.col("first").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; null ids stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(f"{OWN}id")).distinct()
-    return docs.join(light(stored(gone, "gone")), F.col(id_col) == F.col(f"{OWN}id"), "left_anti")
+    """One row of ``docs`` of every component: the smallest id, nulls last, then the smallest text hash.
+
+    Of rows that agree in both, one stays.
+    """
+    row = f"{OWN}row"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                     F.xxhash64(text_col).alias("hash"), F.col(row).alias("nth"))
+    prints = stored(rows.select(order.alias("order"), fingerprint(F.col(text_col), shingle).alias("fingerprint")), "fingerprints")
+    found = prints.join(_first_of(prints, F.col("order"), max_bits), "fingerprint")
+    nth = F.col("order")["nth"]
+    gone = stored(found.filter(nth != F.col("first")["nth"]).select(nth.alias(row)), "gone")
+    return rows.join(light(gone), row, "left_anti").drop(row)
