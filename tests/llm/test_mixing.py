@@ -70,3 +70,18 @@ def test_odd_rows(documents):
     assert mixing.taken(documents([]), [1.0]).count() == 0
     assert mixing.mixture(documents([(1, None), (2, " ")]), [1.0]).count() == 0
     assert {r["taken"] for r in mixing.taken(documents([(1, None), (2, " ")]), [1.0]).collect()} == {0}
+
+
+def test_repeated_rows_and_null_ids_have_their_own_copies(documents):
+    words = " ".join(["w"] * 10)
+    rows = [(1, words, "en", "a", 0)] * 6 + [(None, f"{words} {k}", "en", s, 0) for k in range(6) for s in "abb"]
+    rows += [(1, words, "en", "c", 0), (2, words, "en", None, 0), (2, words, "en", None, 0)]
+    for budget in (0.5, 1.5, 2.0):
+        got = mixing.mixture(documents(rows, clash=True).repartition(3), [5.0, 2.0, 1.0], budget).collect()
+        size = [len(r["text"].split()) for r in got]
+        assert len(got) <= len(rows)
+        assert all(r["taken"] == n * r["copies"] == n * len(r["finish_times"]) <= 2 * n for r, n in zip(got, size, strict=True))
+        total = budget * sum(len(r[1].split()) for r in rows)
+        assert total - 11 <= sum(r["taken"] for r in got) <= total
+    # With the budget for all copies, every row is there with both.
+    assert len(got) == len(rows) and {r["copies"] for r in got} == {2}

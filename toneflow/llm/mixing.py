@@ -54,16 +54,19 @@ def targets(sizes: DataFrame, weights: list[float], budget: float, epochs: int)
 
 
 def queue(sizes: DataFrame, shares: DataFrame, epochs: int, seed: int) -> DataFrame:
-    """(id, source, size, copy, source_size, target, finish): every copy of a document of some size with its virtual finish time."""
+    """(id, source, size, row, copy, source_size, target, finish): every copy of a document of some size with its virtual finish time.
+
+    ``row`` tells rows apart that agree in id, source and size.
+    """
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("-")), F.col("size").cast("string")))
     cell = F.substring(order, 1, CELL_DIGITS)
-    rows = sizes.filter("size > 0").select("id", "source", "size", order.alias("order"), cell.alias("cell"))
+    rows = sizes.filter("size > 0").select("id", "source", "size", "row", order.alias("order"), cell.alias("cell"))
     source = F.col("source").isNull(), F.coalesce("source", F.lit(""))
     rows = rows.withColumn("no_source", source[0]).withColumn("source", source[1])
     cells = rows.groupBy("no_source", "source", "cell").agg(F.sum("size").alias("cell_size"))
     earlier = Window.partitionBy("no_source", "source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = stored(cells.withColumn("ahead", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0))).drop("cell_size"), "cells")
-    within = Window.partitionBy("no_source", "source", "cell").orderBy("order", "id", "size").rowsBetween(
+    within = Window.partitionBy("no_source", "source", "cell").orderBy("order", "id", "size", "row").rowsBetween(
         Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(within)).join(cells, ["no_source", "source", "cell"])
     shares = shares.select(F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source"),
@@ -71,23 +74,24 @@ def queue(sizes: DataFrame, shares: DataFrame, epochs: int, seed: int) -> DataFr
     rows = rows.join(shares, ["no_source", "source"]).filter("target > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     finish = (F.col("ahead") + F.col("upto") + F.col("copy") * F.col("source_size")) / F.col("target")
-    return rows.select("id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "copy",
+    return rows.select("id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "row", "copy",
                        "source_size", "target", finish.alias("finish"))
 
 
 def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int = 2, seed: int = 7,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame, DataFrame]:
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The copies that are taken, the targets of the sources, and the sizes of the documents.
 
-    Copies are (id, source, size, copy, source_size, target, finish), to be
-    read in the order of ``finish``; whole documents are taken, so a source
+    Copies are (id, source, size, row, copy, source_size, target, finish), to
+    be read in the order of ``finish``; whole documents are taken, so a source
     ends within one document of its target.  Texts without words are never
     taken; a null source is a source of its own; documents with equal ids and
-    sizes are told apart by nothing and share a place in the queue in turn;
-    null ids queue like others.  Without words at all no copy is taken.
+    sizes are told apart by ``row`` if it is given, otherwise by nothing, and
+    share a place in the queue in turn; null ids queue like others.  Without
+    words at all no copy is taken.
     """
     sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                               size_in_words(F.col(text_col)).alias("size")), "sizes")
+                               size_in_words(F.col(text_col)).alias("size"), (F.lit(0) if row is None else row).alias("row")), "sizes")
     shares = stored(targets(sizes, weights, budget, epochs), "targets")
     copies = stored(queue(sizes, shares, epochs, seed), "queue")
     # Not the sum of the targets, whose last bits depend on the order of adding.
@@ -100,7 +104,7 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int
         return copies, shares, sizes
     at, ahead = first["cell"], first["upto"] - first["cell_size"]
     last = copies.filter(cell == at)
-    upto = F.sum("size").over(Window.orderBy("finish", "source", "id", "size", "copy").rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("size").over(Window.orderBy("finish", "source", "id", "size", "copy", "row").rowsBetween(Window.unboundedPreceding, 0))
     last = last.withColumn("upto", upto).filter(F.col("upto") + F.lit(ahead) <= F.lit(total)).drop("upto")
     return copies.filter(cell < at).union(last), shares, sizes
 
@@ -131,15 +135,17 @@ def mixture(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs:
 
     A reader that goes through the copies in the order of ``finish_times``
     meets the sources in their target shares from the start.  Columns of
-    ``docs`` with these names are replaced; rows with equal ids share a decision.
+    ``docs`` with these names are replaced.  Every row has its own copies, at
+    most ``epochs``, also where rows repeat or ids are null.
     """
-    copies, _, _ = mix(docs, weights, budget, epochs, seed, id_col, text_col, source_col)
-    own = [f"{OWN}{c}" for c in ("id", "size")]
-    of = copies.groupBy(F.col("id").alias(own[0]), F.col("size").alias(own[1])).agg(
-        F.sort_array(F.collect_list("finish")).alias(f"{OWN}times"))
-    new = ("taken", "copies", "finish_times")
-    keyed = docs.select(*[c for c in docs.columns if c not in new]).withColumn(f"{OWN}words", size_in_words(F.col(text_col)))
-    out = keyed.join(stored(of, "decisions"), F.col(id_col).eqNullSafe(F.col(own[0])) & (F.col(f"{OWN}words") == F.col(own[1])))
+    row, new = f"{OWN}row", ("taken", "copies", "finish_times")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    # Rows that agree in id, source and size queue in the order of their texts.
+    place = F.struct(F.xxhash64(text_col).alias("hash"), F.col(row).alias("nth"))
+    copies, _, _ = mix(rows, weights, budget, epochs, seed, id_col, text_col, source_col, place)
+    of = copies.groupBy(F.col("row")["nth"].alias(row)).agg(
+        F.sum("size").alias(f"{OWN}taken"), F.sort_array(F.collect_list("finish")).alias(f"{OWN}times"))
+    out = rows.drop(*new).join(stored(of, "decisions"), row)
     times = F.col(f"{OWN}times")
-    return out.withColumn("taken", F.col(own[1]) * F.size(times)).withColumn("copies", F.size(times)).withColumn(
-        "finish_times", times).drop(f"{OWN}words", f"{OWN}times", *own)
+    return out.withColumn("taken", F.col(f"{OWN}taken")).withColumn("copies", F.size(times)).withColumn(
+        "finish_times", times).drop(row, f"{OWN}taken", f"{OWN}times")
