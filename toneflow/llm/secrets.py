@@ -5,8 +5,8 @@ names like ``password``, and private key blocks.  A forest judges each from
 its length, character transitions, dictionary coverage, path and neighbouring
 words; it is trained from labelled findings.
 
-The dictionary and the letter transitions come from the words around all
-candidates of the corpus.  Only the words kept (``DICTIONARY`` at most) and the
+The dictionary and the letter transitions come from the whole texts of all
+documents.  Only the words kept (``DICTIONARY`` at most) and the
 labelled findings that train the forest (``labelled_rows`` at most) are bounded.
 """
 
@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toneflow.llm.tables import OWN, light, stored, with_key
@@ -143,19 +143,26 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     return rows.mapInArrow(of, FINDING.format(id=dict(docs.dtypes)[id_col]))
 
 
-def dictionary_of(findings: DataFrame, words: int = DICTIONARY) -> tuple[frozenset[str], dict[str, float]]:
-    """The most frequent words around all findings, and the log-probabilities of their letter pairs."""
-    near = F.concat_ws(" ", "before", "after")
-    word = F.explode(F.split(F.lower(near), r"[^\p{L}]+")).alias("word")
-    counts = findings.select(word).filter("length(word) BETWEEN 3 AND 16").groupBy("word").count().filter("count >= 3")
-    rows = counts.orderBy(F.desc("count"), "word").limit(words).collect()
-    pairs: Counter[str] = Counter()
-    firsts: Counter[str] = Counter()
-    for w, n in rows:
-        for a, b in zip(w, w[1:], strict=False):
-            pairs[a + b] += n
-            firsts[a] += n
-    return frozenset(w for w, _ in rows), {p: math.log(n / firsts[p[0]]) for p, n in pairs.items()}
+def letter_pairs(text: Column) -> Column:
+    """All pairs of neighbouring characters, in order."""
+    return F.when(F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substr(text, i, F.lit(2))))
+
+
+def dictionary_of(docs: DataFrame, values: DataFrame, text_col: str = "text",
+                  words: int = DICTIONARY) -> tuple[frozenset[str], dict[str, float]]:
+    """The most frequent words of all texts, and the log-probabilities of the letter pairs of all words.
+
+    Only pairs that occur in the column ``value`` of ``values`` are handed back.
+    """
+    word = F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word")
+    counts = stored(docs.select(word).filter("word != ''").groupBy("word").count(), "words")
+    rows = counts.filter("length(word) BETWEEN 3 AND 16 AND count >= 3").orderBy(F.desc("count"), "word").limit(words).collect()
+    pairs = counts.select("count", F.explode(letter_pairs(F.col("word"))).alias("pair"))
+    pairs = stored(pairs.groupBy("pair").agg(F.sum("count").alias("n")), "pairs").withColumn("letter", F.substring("pair", 1, 1))
+    firsts = pairs.groupBy("letter").agg(F.sum("n").alias("all"))
+    asked = values.select(F.explode(letter_pairs(F.lower(F.col("value")))).alias("pair")).distinct()
+    found = pairs.join(asked, "pair", "left_semi").join(firsts, "letter").select("pair", F.log(F.col("n") / F.col("all")).alias("cost"))
+    return frozenset(r["word"] for r in rows), {r["pair"]: r["cost"] for r in found.collect()}
 
 
 def vectors(findings: DataFrame, dictionary: frozenset[str], transitions: dict[str, float]) -> DataFrame:
@@ -209,7 +216,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     0.5 without any label.  Null and empty texts have no candidates; repeated rows have theirs each.
     """
     found = stored(find(docs, id_col, text_col, path_col), "findings")
-    words = dictionary_of(found)
+    values = found.select("value") if labelled is None else found.select("value").union(labelled.select("value"))
+    words = dictionary_of(docs, values, text_col)
     rows = stored(vectors(found, *words), "vectors")
     labels = label_by_format(rows) if labelled is None else vectors(labelled, *words)
     forest = train(labels, **options)
