@@ -42,7 +42,7 @@ def test_report_shuffles_twice(spark):
 
 
 def test_scans_read_needed_columns_only(spark):
-    plan = plan_of(entry.queries()["agg1_daily"](spark, FOLDER))
+    plan = plan_of(QUERIES["agg1_daily"](spark, FOLDER))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
     plan = plan_of(articles.in_language(
         spark.read.parquet(f"{FOLDER}/documents.parquet").withColumnRenamed("lang", "language")).select("doc_id"))
