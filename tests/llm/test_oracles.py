@@ -25,5 +25,5 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {*queries.QUERIES, "pipeline"} <= set(names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toneflow.llm import cotraining, decontaminate, embeddings, mixing, secrets, simhash, suffixes, toxicity, urls, warc
+from toneflow.llm import cotraining, decontaminate, embeddings, mixing, secrets, sharding, simhash, suffixes, toxicity, urls, warc
 from toneflow.llm.tables import read
 
 # Listed rules (host, path, verdict).
@@ -19,6 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: Weights of the sources in the order of code points, repeating.
 WEIGHTS = [5.0, 2.0, 1.0]
 
+SHARDS = 8
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that never sees the held-out fifth of the labels."""
@@ -73,6 +75,13 @@ def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("kept"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; counts of shards differ by one at most."""
+    places = sharding.assign(read(spark, sf_dir, "documents"), SHARDS)
+    return places.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cotraining.keep_good(docs, read(spark, sf_dir, "labels"))
 
@@ -163,6 +172,39 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN x USING (k)
 """
 
+# CRC-32 of the bytes in ``b``: the table is the polynomial 0xEDB88320 shifted out bit by bit.
+CRC32_SQL = """
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+               CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, i::BIGINT)) AS tab)
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the CRC-32 of a text, next to ``crc``."""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'),
+        lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(c >> 8, crc.tab[1 + (xor(c, b) & 255)]), 4294967295::BIGINT))"""
+
+
+# Eight rounds of the network; numbers beyond the last row are permuted again.
+OP12_SQL = f"""
+WITH RECURSIVE {CRC32_SQL},
+     d AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {crc32_sql("coalesce(text, '')")} AS text_crc32,
+                  row_number() OVER (ORDER BY doc_id NULLS LAST) - 1 AS x, count(*) OVER () AS n FROM documents, crc),
+     s AS (SELECT *, CASE WHEN a.a * a.a < n THEN a.a + 1 ELSE a.a END AS a1 FROM d, (SELECT floor(sqrt(count(*)))::BIGINT AS a FROM documents) a),
+     t AS (SELECT doc_id, size, text_crc32, x, n, a1 AS a, (n + a1 - 1) // a1 AS b FROM s),
+     w AS (SELECT doc_id, size, text_crc32, x AS row, n, a, b, x // b AS l, x % b AS r, 0 AS i FROM t
+           UNION ALL
+           SELECT doc_id, size, text_crc32, row, n, a, b,
+                  CASE WHEN i = 8 THEN (l * b + r) // b WHEN i % 2 = 0 THEN
+                       (l + ('0x' || substr(md5('11|' || i || '|' || r), 1, 15))::BIGINT % a) % a ELSE l END,
+                  CASE WHEN i < 8 AND i % 2 = 1 THEN (r + ('0x' || substr(md5('11|' || i || '|' || l), 1, 15))::BIGINT % b) % b ELSE r END,
+                  CASE WHEN i = 8 THEN 0 ELSE i + 1 END
+           FROM w WHERE i < 8 OR l * b + r >= n)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST((l * b + r) % 8 AS INTEGER) AS shard, CAST((l * b + r) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM w WHERE i = 8 AND l * b + r < n
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -174,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_cotraining": op10_cotraining,
+    "op12_sharding": op12_sharding,
 }
 
 ORACLES: dict[str, str] = {
@@ -181,4 +224,5 @@ ORACLES: dict[str, str] = {
     "op6_embeddings": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op12_sharding": OP12_SQL,
 }
