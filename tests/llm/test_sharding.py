@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from toneflow.llm import sharding
+from toneflow.llm import ordering, sharding
 from toneflow.llm.sharding import Shuffle
 
 from .conftest import ODD, prose
@@ -77,7 +77,7 @@ def test_a_third_of_all_rows_alike_spreads(spark, documents, request):
         spark.conf.set(key, value)
     request.addfinalizer(lambda: [spark.conf.unset("spark.sql.files.openCostInBytes"),
                                   spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")])
-    rows, n = sharding.numbered(docs.select(F.col("doc_id").alias("id")), F.col("id").asc_nulls_last())
+    rows, n = ordering.numbered(docs.select(F.col("doc_id").alias("id")), F.col("id").asc_nulls_last())
     parts = [len(p) for p in rows.rdd.glom().collect()]
     assert n == 1200 and max(parts) < 700
     check(sharding.assign(docs, 8).collect(), [(None, "same")] * 400 + [(i, prose(i, 3)) for i in range(800)], 8)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toneflow.llm import cotraining, decontaminate, embeddings, mixing, secrets, sharding, simhash, suffixes, toxicity, urls, warc
-from toneflow.llm.tables import read
+from toneflow.llm import cotraining, decontaminate, embeddings, mixing, secrets, sharding, simhash, structure, suffixes, toxicity, trie, urls, warc
+from toneflow.llm.tables import read, stored
 
 # Listed rules (host, path, verdict).
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -75,6 +75,33 @@ def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("kept"))
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv, depth, sha, bytes) of the conversations that begin like another, and all conversations.
+
+    The first h turns are those of the conversation whose id is the multiple of
+    five below, h being a checksum of the id modulo nine.
+    """
+    convs = turns.groupBy("conv").agg(F.count("*").alias("n")).select(
+        "conv", "n", (F.crc32(F.col("conv").cast("string")) % 9).alias("h"), (F.col("conv") - F.pmod("conv", F.lit(5))).alias("base"))
+    convs = stored(convs, "conversations")
+    bases = convs.select(F.col("conv").alias("base"), F.col("n").alias("base_n"))
+    convs = stored(convs.join(bases, "base", "left").withColumn("taken", F.least("h", F.coalesce("base_n", F.lit(0)))), "bases")
+    own = turns.join(convs.select("conv", "h", "taken"), "conv").filter("pos >= h").select(
+        "conv", (F.col("taken") + F.col("pos") - F.col("h") + 1).cast("long").alias("depth"), "sha", "bytes")
+    first = turns.filter("pos < 8").withColumnRenamed("conv", "base").join(
+        convs.filter("taken > 0").select("conv", "base", "taken"), "base").filter("pos < taken")
+    return own.unionByName(first.select("conv", (F.col("pos") + 1).cast("long").alias("depth"), "sha", "bytes")), convs.select("conv")
+
+
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations with the totals of its subtree."""
+    turns = stored(trie.digests(read(spark, sf_dir, "conversations")), "turns")
+    found = trie.summary(*rebuilt(turns))
+    names = {"conv": "conv_id", "depth": "depth", "parent_conv": "parent_conv_id", "n": "n_convs", "children": "n_children",
+             "leaves": "n_leaves", "saved": "saved_tokens"}
+    return found.select(*[F.col(c).cast("long").alias(name) for c, name in names.items()], F.col("ends").alias("ends_sha256"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; counts of shards differ by one at most."""
     places = sharding.assign(read(spark, sf_dir, "documents"), SHARDS)
@@ -82,6 +109,34 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, by a checksum of ``conv_id:turn``; nulls are read as one space."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")])
+    kind, role, text = F.crc32(key) % 20, F.coalesce("role", blank), F.coalesce("text", blank)
+    out = turns.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+                       F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+                       F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("times"))
+    return out.filter("times > 0").withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).drop("times", "time")
+
+
+def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the damage."""
+    original = read(spark, sf_dir, "conversations")
+    turns = damaged(original)
+    found = stored(structure.faults(turns), "faults")
+    parsed = stored(structure.parse(found), "parsed")
+    done = structure.summary(found, parsed).withColumnRenamed("conv", "done")
+    text = structure.digests(turns, parsed).withColumnRenamed("conv", "told")
+    out = original.select("conv_id").distinct().join(stored(done, "summary"), F.col("conv_id").eqNullSafe(F.col("done")), "left")
+    out = out.join(stored(text, "digests"), F.col("conv_id").eqNullSafe(F.col("told")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]
+    # A table without rows after damage has no gaps; a span of turns beyond 64 bits has none that can be told.
+    gaps = F.when(F.col("done").isNull() & F.col("cost").isNull(), 0).otherwise(F.col("gaps")).cast("long").alias("gaps")
+    return out.select("conv_id", gaps, *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cotraining.keep_good(docs, read(spark, sf_dir, "labels"))
 
@@ -185,6 +240,27 @@ def crc32_sql(text: str) -> str:
         lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(c >> 8, crc.tab[1 + (xor(c, b) & 255)]), 4294967295::BIGINT))"""
 
 
+OP11_SQL = f"""
+WITH {CRC32_SQL},
+     t AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS l
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+     h AS (SELECT conv_id, l, {crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM t, crc),
+     r AS (SELECT a.conv_id, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) AS l
+           FROM h a LEFT JOIN h b ON b.conv_id = a.conv_id - a.conv_id % 5),
+     p AS (SELECT conv_id, l[1:d] AS k, d, len(l) = d AS last FROM (SELECT conv_id, l, unnest(range(len(l) + 1)) AS d FROM r)),
+     n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                  string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last) AS members FROM p GROUP BY k, d),
+     c AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+     w AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[d].x) END AS own
+           FROM n LEFT JOIN c USING (k, d)),
+     s AS (SELECT k[1:e] AS k, e AS d, sum(own) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+           FROM (SELECT *, unnest(range(d + 1)) AS e FROM w) GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.members, '')) AS ends_sha256
+FROM w JOIN s USING (k, d) LEFT JOIN n u ON w.d > 0 AND u.d = w.d - 1 AND u.k = w.k[1:w.d - 1]
+"""
+
 # Eight rounds of the network; numbers beyond the last row are permuted again.
 OP12_SQL = f"""
 WITH RECURSIVE {CRC32_SQL},
@@ -205,6 +281,56 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
 FROM w WHERE i = 8 AND l * b + r < n
 """
 
+# The least edits by states of the pattern, turn after turn; then the repaired lines.
+OP13_SQL = rf"""
+WITH RECURSIVE {CRC32_SQL},
+     o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations, crc),
+     d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                  CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                  unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)) AS time FROM o),
+     p AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n, rtrim(text, ' 	
+' || chr(11) || chr(12) || chr(13)) AS cut,
+                  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, time) AS nth
+           FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time)),
+     f AS (SELECT *, left(role, 1) AS letter, CASE WHEN cut = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                  WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM p),
+     gap (p, q, cost, audit) AS (VALUES ('B', 'B', 0, ''), ('S', 'S', 0, ''), ('U', 'U', 0, ''), ('A', 'A', 0, ''), ('B', 'U', 5, 'I'),
+           ('B', 'A', 10, 'II'), ('S', 'U', 5, 'I'), ('S', 'A', 10, 'II'), ('U', 'A', 5, 'I'), ('A', 'U', 5, 'I')),
+     move (p, letter, q) AS (VALUES ('B', 's', 'S'), ('B', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+     e AS (SELECT conv_id, k, p, p AS q, 2 AS cost, 'D' AS audit FROM f, (SELECT unnest(['B', 'S', 'U', 'A']) AS p)
+           UNION ALL SELECT conv_id, k, p, q, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K' FROM f JOIN move USING (letter)
+           WHERE fault IN ('', 'truncated')
+           UNION ALL SELECT conv_id, k, p, q, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R' FROM f, move
+           WHERE fault IN ('', 'truncated') AND move.letter IN ('u', 'a')),
+     r AS (SELECT conv_id, 0::BIGINT AS k, q AS state, struct_pack(cost := cost, audit := audit) AS best
+           FROM (SELECT DISTINCT conv_id FROM f), gap WHERE p = 'B'
+           UNION ALL
+           SELECT r.conv_id, r.k + 1, gap.q, min(struct_pack(cost := r.best.cost + e.cost + gap.cost, audit := r.best.audit || e.audit || gap.audit))
+           FROM r JOIN e ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND e.k = r.k + 1 AND e.p = r.state JOIN gap ON gap.p = e.q
+           GROUP BY r.conv_id, r.k, gap.q),
+     c AS (SELECT r.conv_id, min(best).cost AS cost, min(best).audit AS audit FROM r JOIN (SELECT conv_id, count(*) AS n FROM f GROUP BY ALL) t
+           ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.k = t.n WHERE state IN ('B', 'A') GROUP BY r.conv_id),
+     l AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS i FROM c),
+     m AS (SELECT conv_id, i, audit[i] AS edit, count(*) FILTER (audit[i] <> 'I') OVER w AS k, count(*) FILTER (audit[i] <> 'D') OVER w AS place
+           FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+     j AS (SELECT m.*, f.role, f.text, max(CASE WHEN place = 1 AND edit = 'K' AND letter = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS led
+           FROM m LEFT JOIN f ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.k = f.k AND edit <> 'I' WHERE edit <> 'D'),
+     s AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                  || ':' || coalesce(text, ''), chr(10) ORDER BY place)) AS told FROM j GROUP BY conv_id),
+     b AS (SELECT conv_id, lag(letter) OVER (PARTITION BY conv_id ORDER BY k) || letter AS pair FROM f),
+     i AS (SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM b GROUP BY conv_id),
+     g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated FROM f GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+       coalesce(told, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON a.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN i ON a.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN s ON a.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -216,7 +342,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_cotraining": op10_cotraining,
+    "op11_trie": op11_trie,
     "op12_sharding": op12_sharding,
+    "op13_structure": op13_structure,
 }
 
 ORACLES: dict[str, str] = {
@@ -224,5 +352,7 @@ ORACLES: dict[str, str] = {
     "op6_embeddings": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op11_trie": OP11_SQL,
     "op12_sharding": OP12_SQL,
+    "op13_structure": OP13_SQL,
 }

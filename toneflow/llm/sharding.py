@@ -21,15 +21,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from toneflow.llm.ordering import numbered
 from toneflow.llm.tables import OWN, stored
 
 #: Rounds of the network; seed of the shuffle.
 ROUNDS, SEED = 8, 11
-#: Bits of monotonically_increasing_id() that count rows within a partition.
-WITHIN = 33
 
 
 def div(x: Column, y: int) -> Column:
@@ -104,27 +103,6 @@ class Shuffle:
         return F.when(there, self._settle(self._network(at, True), True, self.further))
 
 
-def numbered(rows: DataFrame, *order: Column) -> tuple[DataFrame, int]:
-    """``rows`` with ``number``, their place from 0 in the order given, and how many they are.
-
-    The order should tell most rows apart; rows it does not tell apart are told
-    apart by their place in the input, so that equal rows spread over tasks.
-    Two small tables are as long as there are partitions.
-    """
-    rows = stored(rows.withColumn(f"{OWN}place", F.monotonically_increasing_id()), "places")
-    keys = [*order, F.col(f"{OWN}place")]
-    placed = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
-        f"{OWN}at", F.monotonically_increasing_id()).drop(f"{OWN}place"), "order")
-    part = F.shiftright(f"{OWN}at", WITHIN)
-    counts = placed.groupBy(part.alias(f"{OWN}part")).agg(F.count("*").alias(f"{OWN}rows"))
-    ahead = F.sum(f"{OWN}rows").over(Window.orderBy(f"{OWN}part").rowsBetween(Window.unboundedPreceding, -1))
-    counts = stored(counts.withColumn(f"{OWN}ahead", F.coalesce(ahead, F.lit(0))), "offsets")
-    n = counts.agg(F.sum(f"{OWN}rows")).first()[0] or 0
-    out = placed.withColumn(f"{OWN}part", part).join(F.broadcast(counts.drop(f"{OWN}rows")), f"{OWN}part")
-    number = F.col(f"{OWN}ahead") + F.col(f"{OWN}at") - F.shiftleft(F.col(f"{OWN}part"), WITHIN)
-    return out.withColumn("number", number).drop(f"{OWN}part", f"{OWN}ahead", f"{OWN}at"), n
-
-
 def assign(docs: DataFrame, shards: int, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
            row: Column | None = None) -> DataFrame:
     """(id, size, text_crc32, number, shard, slot, row) of every row of ``docs``.
