@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import math
+import re
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -8,12 +11,16 @@ from pyspark.sql import functions as F
 
 from toneflow.functions import dates
 from toneflow.operators import articles, language
-from toneflow.plans.ingest import ingest, ingest_request, with_key
+from toneflow.plans.ingest import in_detected_language, ingest, ingest_request, with_key
 from toneflow.schemas import ARTICLE, RAW_PAGE, Request
 from toneflow.session import scratch_path
 from toneflow.sources import readers, writers
 
-PROFILE = {"en": ("the", "and", "of"), "de": ("der", "und", "die")}
+
+@pytest.fixture(scope="module")
+def profile(spark):
+    rows = [("the rise and the rest of the other old title", "en"), ("der und die Sache", "de")]
+    return language.learn_profile(spark.createDataFrame(rows, "text string, lang string"))
 
 
 def article(title="The rise of AAPL", day="2024-01-02", name="Wire", description="and the rest", **more):
@@ -35,25 +42,25 @@ def landed(spark, tmp_path):
     return land
 
 
-def test_defaults_and_null_fields(spark, landed):
+def test_defaults_and_null_fields(profile, spark, landed):
     raw = landed([article(), article(title=None, description="of the and", source=None),
                   article(title="the AAPL and", source={"name": None}, content=None)])
-    got = ingest(raw, PROFILE).orderBy("source", "title").collect()
+    got = ingest(raw, profile).orderBy("source", "title").collect()
     assert [(r.source, r.title, r.tickers) for r in got] == [
         ("Wire", "The rise of AAPL", ["AAPL"]), ("unknown", "", []), ("unknown", "the AAPL and", ["AAPL"])]
     assert got[0].published_at == datetime(2024, 1, 2, 10) and got[0].language == "en"
     assert got[0].raw.publishedAt == "2024-01-02T10:00:00Z"
 
 
-def test_rejected_first_copy_suppresses_later_ones(landed):
+def test_rejected_first_copy_suppresses_later_ones(profile, landed):
     german = article(title="Same", description="der und die")
     english = article(title=" same ", description="the and of", name="WIRE")
-    assert ingest(landed([german, english]), PROFILE).count() == 0
-    assert ingest(landed([english, german]), PROFILE).count() == 1
+    assert ingest(landed([german, english]), profile).count() == 0
+    assert ingest(landed([english, german]), profile).count() == 1
 
 
-def test_unparsable_time_is_dropped(landed):
-    assert ingest(landed([article(), article(title="the x", publishedAt="soon")]), PROFILE).count() == 1
+def test_unparsable_time_is_dropped(profile, landed):
+    assert ingest(landed([article(), article(title="the x", publishedAt="soon")]), profile).count() == 1
 
 
 def test_timestamps(spark):
@@ -71,14 +78,14 @@ def test_timestamps(spark):
     assert got == [*good.values(), *[None] * len(bad)]
 
 
-def test_limit_counts_accepted_articles_in_arrival_order(landed):
+def test_limit_counts_accepted_articles_in_arrival_order(profile, landed):
     pages = [[article(title=f"the {10 * p + i}", description="der und die" if i == 0 else "and") for i in range(5)]
              for p in range(4)]
     raw = landed(*pages)
-    got = ingest(raw, PROFILE, max_articles=6).collect()
+    got = ingest(raw, profile, max_articles=6).collect()
     assert sorted(r.title for r in got) == sorted(f"the {n}" for n in (1, 2, 3, 4, 11, 12))
-    assert ingest(raw, PROFILE, max_articles=0).count() == 0
-    assert ingest(raw, PROFILE, max_articles=5000).count() == 16
+    assert ingest(raw, profile, max_articles=0).count() == 0
+    assert ingest(raw, profile, max_articles=5000).count() == 16
 
 
 def test_limit_beyond_the_group_limit_threshold(spark):
@@ -92,20 +99,20 @@ def test_limit_beyond_the_group_limit_threshold(spark):
     assert rows == {x: (1500, order[x][1499]) for x in "AB"}
 
 
-def test_requests_do_not_share_keys_or_limits(landed):
+def test_requests_do_not_share_keys_or_limits(profile, landed):
     landed([article()], request="AAPL")
     raw = landed([article()], request="MSFT")
-    got = {r.request: r.tickers for r in ingest(raw, PROFILE, max_articles=1).collect()}
+    got = {r.request: r.tickers for r in ingest(raw, profile, max_articles=1).collect()}
     assert got == {"AAPL": ["AAPL"], "MSFT": []}
-    tagged = ingest(raw, PROFILE, tickers=["AAPL", "RISE", "ZZZ"]).first()
+    tagged = ingest(raw, profile, tickers=["AAPL", "RISE", "ZZZ"]).first()
     assert tagged.tickers == ["AAPL", "RISE"]
 
 
-def test_one_request_with_window_and_terms(landed):
+def test_one_request_with_window_and_terms(profile, landed):
     raw = landed([article(), article(title="the old AAPL", day="2023-01-01"), article(title="and the other"),
                   article(title="the Apple Inc and")])
     request = Request("Apple Inc", "AAPL", keywords=(" ",), from_date="2024-01-01", to_date=datetime(2024, 2, 1))
-    assert sorted(r.title for r in ingest_request(raw, request, PROFILE).collect()) == [
+    assert sorted(r.title for r in ingest_request(raw, request, profile).collect()) == [
         "The rise of AAPL", "the Apple Inc and"]
 
 
@@ -119,10 +126,10 @@ def test_watchlist_terms(spark, landed):
     assert articles.matching_watchlist(df, spark.createDataFrame([("x1", "AAPL", None)], schema)).count() == 1
 
 
-def test_article_sink(spark, tmp_path, landed):
+def test_article_sink(profile, spark, tmp_path, landed):
     raw = landed([article(day="2024-01-03"), article(title="the b", day="2024-01-02"),
                   article(title="the c", day="2024-01-02"), article(title="the d", day="2024-01-03")])
-    got = ingest(raw, PROFILE)
+    got = ingest(raw, profile)
     for kind in ("parquet", "csv"):
         assert writers.write_articles(got, f"{tmp_path}/{kind}", kind) == 4
     # Two days tie: the earlier one names the batch.
@@ -132,7 +139,7 @@ def test_article_sink(spark, tmp_path, landed):
     assert back.select("raw.source.name").first()[0] == "Wire"
     assert writers.write_articles(got.limit(0), f"{tmp_path}/none") == 0
     # A second batch replaces its own partition only.
-    other = ingest(raw, PROFILE).withColumn("request", F.lit("MSFT"))
+    other = ingest(raw, profile).withColumn("request", F.lit("MSFT"))
     assert writers.write_articles(other, f"{tmp_path}/parquet") == 4
     assert spark.read.parquet(f"{tmp_path}/parquet").count() == 8
 
@@ -228,23 +235,74 @@ def test_filters(spark):
     assert articles.backfill_tickers(df, "acme").first().tickers == ["ACME"]
 
 
-def test_unknown_language_and_profile(spark):
-    df = spark.createDataFrame([("the cat and the dog", "en"), ("der Hund und die Katze", "de"), ("die", "de"),
-                                ("123 xyz", "en"), (None, "de")], "text string, lang string")
-    profile = language.load_profile(language.word_profile(df.where("text is not null"), size=3))
-    assert set(profile) == {"de", "en"} and "the" in profile["en"] and "die" in profile["de"]
-    got = [r.o for r in df.select(language.detect_language(F.col("text"), PROFILE).alias("o")).collect()]
-    assert got == ["en", "de", "de", "unknown", "unknown"]
+def plain_grams(text):
+    found = re.findall(r"[^\W\d_]+", (text or "").lower())
+    line = " " + " ".join(found) + " "
+    return ["=" + w for w in found] + [line[i:i + 3] for i in range(len(line) - 2) if line[i + 1] != " "]
+
+
+CORPUS = [("the cat and the dog", "en"), ("der Hund und die Katze", "de"), ("die", "de"), ("le chat, l'été", "fr"), ("", "fr"),
+          ("no label", None), (None, "de"), ("the", "EN")]
+
+
+def test_profile_and_detection_by_hand(spark):
+    counts = Counter((lang, g) for t, lang in CORPUS if lang for g in plain_grams(t))
+    codes, vocabulary = ["EN", "de", "en", "fr"], {g for _, g in counts}
+    total = {c: sum(n for (k, _), n in counts.items() if k == c) for c in codes}
+    weight = {(c, g): round(1000 * math.log((counts[c, g] + 0.5) / (total[c] + 0.5 * len(vocabulary)))) for c in codes for g in vocabulary}
+    profile = language.learn_profile(spark.createDataFrame(CORPUS, "text string, lang string"))
+    assert {(w.code, r.gram): w.weight for r in profile.collect() for w in r.weights} == weight
+    texts = ["the dog", "THE", "Hunde", "chat", "123", None, "", "xyz qqq", "l'été de la chatte", "the " * 300 + "und " * 299]
+    want = []
+    for t in texts:
+        known = [g for g in plain_grams(t) if g in vocabulary]
+        want.append(max(codes, key=lambda c: (sum(weight[c, g] for g in known), [-ord(x) for x in c])) if known else "unknown")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = language.detect_language(df, ["i"], F.col("text"), profile).orderBy("i").collect()
+    assert [r.language for r in got] == want
+    assert want[:3] == ["en", "en", "de"] and want[4:8] == ["unknown"] * 4
+
+
+def test_no_profile(spark):
+    profile = language.learn_profile(spark.createDataFrame([], "text string, lang string"))
+    df = spark.createDataFrame([(1, "the")], "i int, text string")
+    assert [r.language for r in language.detect_language(df, ["i"], F.col("text"), profile).collect()] == ["unknown"]
 
 
 def test_scripts_without_blanks(spark):
-    df = spark.createDataFrame([("公司的利润和公司的", "zh"), ("これは会社の利益です", "ja"), ("the Gewinn и доход", "xx")],
+    df = spark.createDataFrame([("公司的利润和公司的", "zh"), ("これは会社の利益です", "ja"), ("the Gewinn и доход 𝒳𐍈𐍉 x", "xx")],
                                "text string, lang string")
-    words = [r.w for r in df.select(language.words(F.col("text")).alias("w")).collect()]
-    assert words[0] == list("公司的利润和公司的") and words[2] == ["the", "gewinn", "и", "доход"]
-    profile = {"zh": ("的", "和", "公"), "ja": ("の", "は", "で", "す"), "en": ("the",)}
-    got = [r.o for r in df.select(language.detect_language(F.col("text"), profile).alias("o")).collect()]
-    assert got == ["zh", "ja", "en"]
+    rows = df.select(language.words(F.col("text")).alias("w"), language.grams(F.col("text")).alias("g")).collect()
+    assert rows[0].w == list("公司的利润和公司的") and rows[2].w[:4] == ["the", "gewinn", "и", "доход"]
+    assert "\ufffd" not in "".join(rows[2].g) and rows[2].g[-1] == " x " and "th" in rows[2].g[6] and len(rows[1].g) == 2 * len(rows[1].w)
+    profile = language.learn_profile(df)
+    texts = spark.createDataFrame([(0, "公司的"), (1, "会社の利益です"), (2, "доходы the")], "i int, text string")
+    got = language.detect_language(texts, ["i"], F.col("text"), profile).orderBy("i").collect()
+    assert [r.language for r in got] == ["zh", "ja", "xx"]
+
+
+def test_a_word_of_a_million_letters(spark):
+    df = spark.range(1).select("id", F.repeat(F.lit("aé"), 500_000).alias("text"), F.lit("xx").alias("lang"))
+    profile = language.learn_profile(df)
+    assert profile.count() == 5
+    assert language.detect_language(df, ["id"], F.col("text"), profile).first().language == "xx"
+
+
+def test_detection_shuffles_sums_only(spark, profile):
+    """Grams of a text are joined and added up in the task that reads it."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = language.detect_language(df, ["doc_id"], F.col("text"), profile)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    # Deduplicated articles and their languages meet where they are.
+    raw = with_key(spark.createDataFrame([], RAW_PAGE).select("request", "page_no", F.posexplode("articles").alias("pos", "raw")))
+    unique = articles.first_arrivals(raw, ["request", "hash"], ["page_no", "pos"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = in_detected_language(unique, profile)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    payload = [line for line in plan.splitlines() if "Exchange hashpartitioning(request" in line]
+    assert payload and "SortMergeJoin [request" in plan
 
 
 def test_raw_page_schema(spark):

@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from toneflow.operators import daily
+from toneflow.operators.language import learn_profile
 from toneflow.plans.ingest import ingest
 from toneflow.sources import readers
 from toneflow.streaming import daily as live
 from toneflow.streaming import ingest as landing
 
-PROFILE = {"en": ("the", "and", "of"), "de": ("der", "und", "die")}
 LABELLED = "published_at timestamp, weak_label string, tickers array<string>, tone_score double"
 
 
@@ -22,6 +22,11 @@ def page(number, titles, request="AAPL"):
          "publishedAt": f"2024-01-{i % 9 + 1:02d}T10:00:00Z"} for i, t in enumerate(titles)]})
 
 
+@pytest.fixture(scope="module")
+def profile(spark):
+    return learn_profile(spark.createDataFrame([("the and of the title", "en"), ("der und die Sache", "de")], "text string, lang string"))
+
+
 @pytest.fixture
 def folder(tmp_path):
     pages = tmp_path / "pages"
@@ -35,42 +40,42 @@ def keys(df):
     return sorted((r.hash, r.title, r.published_at, tuple(r.tickers)) for r in df.collect())
 
 
-def poll(spark, folder, out, checkpoint, files=1):
-    landing.ingest_stream(landing.page_stream(spark, folder, files), out, checkpoint, PROFILE).awaitTermination()
+def poll(spark, profile, folder, out, checkpoint, files=1):
+    landing.ingest_stream(landing.page_stream(spark, folder, files), out, checkpoint, profile).awaitTermination()
 
 
-def test_stream_equals_batch(spark, folder, tmp_path):
+def test_stream_equals_batch(spark, profile, folder, tmp_path):
     out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/cp"
-    poll(spark, folder, out, checkpoint)
-    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), PROFILE))
+    poll(spark, profile, folder, out, checkpoint)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), profile))
     # A second run picks up what has landed since: a repeat, a very old article, one in another language.
     with open(f"{folder}/p9.json", "w") as f:
         f.write(page(9, ["the title 1", "the newest", "der und die der"]).replace("2024-01-02", "1999-01-02"))
-    poll(spark, folder, out, checkpoint)
-    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), PROFILE))
+    poll(spark, profile, folder, out, checkpoint)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(readers.read_pages(spark, folder), profile))
     assert landing.stored_articles(spark, out).where("published_at < '2000-01-01'").count() == 1
 
 
-def test_rejected_first_copy_removes_later_ones(spark, tmp_path):
+def test_rejected_first_copy_removes_later_ones(spark, profile, tmp_path):
     """Repeats go before the filters, across polls too."""
     folder = tmp_path / "pages"
     folder.mkdir()
     late = page(0, ["the only"]).replace('"and the"', '"der und die der und"')
     for n, text in enumerate((late, page(1, ["the only"]))):
         (folder / f"p{n}.json").write_text(text)
-        poll(spark, str(folder), f"{tmp_path}/out", f"{tmp_path}/cp")
+        poll(spark, profile, str(folder), f"{tmp_path}/out", f"{tmp_path}/cp")
     assert landing.stored_keys(spark, f"{tmp_path}/out").count() == 1
-    assert ingest(readers.read_pages(spark, str(folder)), PROFILE).count() == 0
+    assert ingest(readers.read_pages(spark, str(folder)), profile).count() == 0
     assert landing.stored_articles(spark, f"{tmp_path}/out").count() == 0
 
 
-def test_repeated_batch_is_stored_once(spark, folder, tmp_path):
+def test_repeated_batch_is_stored_once(spark, profile, folder, tmp_path):
     raw, out = readers.read_pages(spark, folder), f"{tmp_path}/out"
     spark.createDataFrame([], landing.KEYS).write.parquet(f"{out}/keys")
     for number in (0, 0, 1, 1):
-        landing.ingest_batch(raw, number, out, PROFILE)
-    assert keys(landing.stored_articles(spark, out)) == keys(ingest(raw, PROFILE))
-    landing.ingest_batch(raw.limit(0), 2, out, PROFILE)
+        landing.ingest_batch(raw, number, out, profile)
+    assert keys(landing.stored_articles(spark, out)) == keys(ingest(raw, profile))
+    landing.ingest_batch(raw.limit(0), 2, out, profile)
 
 
 def test_untouched_months_are_not_written(spark, tmp_path):

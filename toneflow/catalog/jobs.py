@@ -12,7 +12,7 @@ from toneflow.catalog import query, sql
 from toneflow.catalog.labels import COMMON
 from toneflow.catalog.metrics import TREND, shown
 from toneflow.catalog.samples import _RANKED
-from toneflow.catalog.sources import _ACCEPTED, LANGUAGES, feed
+from toneflow.catalog.sources import _ACCEPTED, _SMALL, feed, profile
 from toneflow.operators import model as M
 from toneflow.operators.evaluate import counts
 from toneflow.plans.evaluation import compare_models
@@ -43,7 +43,7 @@ _ARTICLE_COLUMNS = f"""request, hash, source, title, description, length(content
 @query("ingest_articles", f"""WITH {_ACCEPTED}
 SELECT {_ARTICLE_COLUMNS} FROM en""")
 def ingest_articles(spark, d):
-    return article_rows(ingest(feed(spark, d), LANGUAGES))
+    return article_rows(ingest(feed(spark, d), profile(spark, d)))
 
 
 @query("ingest_limited", f"""WITH {_ACCEPTED}
@@ -51,7 +51,7 @@ SELECT {_ARTICLE_COLUMNS} FROM en
 QUALIFY row_number() OVER (PARTITION BY request ORDER BY doc_id) <= 60""")
 def ingest_limited(spark, d):
     """The limit per request as a feature of its own."""
-    return article_rows(ingest(feed(spark, d), LANGUAGES, max_articles=60))
+    return article_rows(ingest(feed(spark, d), profile(spark, d), max_articles=60))
 
 
 _TERMS = ["the", "der", "R1"]
@@ -59,12 +59,12 @@ _MENTIONED = " OR ".join(
     f"contains(lower(coalesce({c}, '')), '{t.strip().lower()}')" for t in _TERMS for c in ("title", "description", "content"))
 
 
-@query("ingest_request", f"""WITH {sql.RAW}, wanted AS (
-  SELECT *, {sql.detect("concat_ws(' ', nullif(title, ''), nullif(description, ''))", LANGUAGES)} AS language FROM (
-    SELECT * FROM keyed WHERE request = 'R1' AND ({_MENTIONED})
-      AND (published_at IS NULL OR published_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00')
-    QUALIFY row_number() OVER (PARTITION BY request, hash ORDER BY doc_id) = 1)
-  WHERE published_at IS NOT NULL), en AS (SELECT * FROM wanted WHERE language = 'en'), days AS (
+@query("ingest_request", f"""WITH {sql.RAW}, {sql.profile()}, asked AS (
+  SELECT * FROM keyed WHERE request = 'R1' AND ({_MENTIONED})
+    AND (published_at IS NULL OR published_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00')
+  QUALIFY row_number() OVER (PARTITION BY request, hash ORDER BY doc_id) = 1),
+  detected AS ({sql.detect("asked", "request, hash", _SMALL)}),
+  en AS (SELECT * FROM asked JOIN detected USING (request, hash) WHERE published_at IS NOT NULL AND language = 'en'), days AS (
   SELECT strftime(published_at, '%Y%m%d') AS day, count(*) AS n FROM en GROUP BY 1), modal AS (
   SELECT day FROM days ORDER BY n DESC, day LIMIT 1)
 SELECT hash, lower(request) AS ticker, day AS batch_date, title FROM en, modal""")
@@ -73,7 +73,7 @@ def ingest_one_request(spark, d):
     request = Request(company=_TERMS[0], ticker="R1", keywords=_TERMS[1:], from_date=datetime(2024, 1, 5),
                       to_date=datetime(2024, 1, 20, 12), max_articles=1_000_000)
     path = scratch_path(spark, "request")
-    writers.write_articles(ingest_request(feed(spark, d), request, LANGUAGES), path)
+    writers.write_articles(ingest_request(feed(spark, d), request, profile(spark, d)), path)
     return spark.read.schema("hash string, title string, ticker string, batch_date string") \
         .parquet(path).select("hash", "ticker", "batch_date", "title")
 
@@ -261,9 +261,10 @@ def polled(spark, d):
     """The feed ingested in three overlapping polls; returns the folder of the tables."""
     pages = spark.read.schema(RAW_PAGE).json(fixtures.write_feed(spark, d, scratch_path(spark, "feed")))
     landed, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "live", "checkpoint"))
+    known = profile(spark, d)
     for upto, since in ((1, 0), (4, 1), (1 << 30, 2)):
         pages.where(F.col("page_no").between(since, upto)).write.mode("append").json(landed)
-        live_ingest.ingest_stream(live_ingest.page_stream(spark, landed), out, checkpoint, LANGUAGES).awaitTermination()
+        live_ingest.ingest_stream(live_ingest.page_stream(spark, landed), out, checkpoint, known).awaitTermination()
     return out
 
 

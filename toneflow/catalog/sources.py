@@ -9,13 +9,15 @@ from toneflow import fixtures
 from toneflow.catalog import query, sql
 from toneflow.operators import articles, daily
 from toneflow.operators.evaluate import to_long
+from toneflow.operators.language import learn_profile
 from toneflow.plans.ingest import accept, with_fields, with_key, with_tickers
 from toneflow.schemas import LABELLED_ARTICLE
 from toneflow.session import scratch_path
 from toneflow.sources import readers, writers
 
-LANGUAGES = {"de": ("der", "die", "und", "das"), "en": ("the", "and", "of", "to"),
-             "es": ("el", "los", "que", "y"), "fr": ("le", "la", "de", "et")}
+def profile(spark, d):
+    """Language profile of all documents."""
+    return learn_profile(fixtures.documents(spark, d))
 
 
 def feed(spark, d):
@@ -107,9 +109,10 @@ def src7(spark, d):
     return readers.latest_snapshot(spark.read.parquet(path)).select("hash", "ticker", "batch_date")
 
 
-_ACCEPTED = f"""{sql.RAW}, accepted AS (
-  SELECT *, {sql.detect("concat_ws(' ', nullif(title, ''), nullif(description, ''))", LANGUAGES)} AS language
-  FROM firsts WHERE published_at IS NOT NULL), en AS (SELECT * FROM accepted WHERE language = 'en')"""
+_SMALL = "concat_ws(' ', nullif(title, ''), nullif(description, ''))"
+
+_ACCEPTED = f"""{sql.RAW}, {sql.profile()}, detected AS ({sql.detect("firsts", "request, hash", _SMALL)}),
+  en AS (SELECT * FROM firsts JOIN detected USING (request, hash) WHERE published_at IS NOT NULL AND language = 'en')"""
 
 
 @query("snk1_article_table", f"""WITH {_ACCEPTED}, days AS (
@@ -120,7 +123,7 @@ SELECT hash, lower(request) AS ticker, day AS batch_date, title FROM en JOIN mod
 def snk1(spark, d):
     raw = fixtures.raw_articles(spark, d).withColumnsRenamed({"article": "raw", "doc_id": "pos"})
     unique = articles.first_arrivals(with_key(raw), ["request", "hash"], ["page_no", "pos"])
-    kept = with_tickers(with_fields(accept(unique, LANGUAGES))).drop("page_no", "pos")
+    kept = with_tickers(with_fields(accept(unique, profile(spark, d)))).drop("page_no", "pos")
     path = scratch_path(spark, "articles")
     writers.write_articles(kept, path)
     return spark.read.schema("hash string, title string, ticker string, batch_date string") \

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -166,12 +166,27 @@ def label_of(score: str) -> str:
             "ELSE 'neutral' END")
 
 
-def detect(expr: str, profile: Mapping[str, Sequence[str]]) -> str:
-    """Language with most listed words; ties in code order."""
-    words = rf"regexp_extract_all(lower({expr}), '\p{{L}}+')"
-    codes = sorted(profile)
-    count = {c: f"len(list_filter({words}, lambda w: list_contains([{quoted(profile[c])}], w)))"
-             for c in codes}
-    top = f"greatest({', '.join(count.values())})"
-    cases = " ".join(f"WHEN {count[c]} = {top} THEN '{c}'" for c in codes)
-    return f"CASE WHEN {top} = 0 THEN 'unknown' {cases} END"
+def grams(source: str, keys: str, expr: str) -> str:
+    """Words and trigrams of a text, one row each."""
+    return rf"""SELECT {keys}, unnest(list_concat(list_transform(w, lambda x: '=' || x),
+    list_transform(list_filter(range(1, len(c) - 1), lambda i: c[i + 1] <> ' '), lambda i: c[i] || c[i + 1] || c[i + 2]))) AS gram
+  FROM (SELECT {keys}, w, regexp_extract_all(' ' || array_to_string(w, ' ') || ' ', '.') AS c
+    FROM (SELECT {keys}, regexp_extract_all(lower({expr}), '\p{{L}}+') AS w FROM {source}))"""
+
+
+def profile(where: str = "TRUE") -> str:
+    """Weights of all grams of the documents, or of some."""
+    return f"""counted AS (
+  SELECT lang AS code, gram, count(*) AS n FROM ({grams(f"(SELECT * FROM documents WHERE {where})", "lang", "text")}) GROUP BY ALL),
+totals AS (SELECT code, sum(n) AS total, (SELECT count(DISTINCT gram) FROM counted) AS v FROM counted GROUP BY code),
+profile AS (
+  SELECT g.gram, code, coalesce(n, 0) AS n, CAST(round(1000 * ln((coalesce(n, 0) + 0.5) / (total + 0.5 * v))) AS BIGINT) AS weight
+  FROM (SELECT DISTINCT gram FROM counted) g CROSS JOIN totals LEFT JOIN counted USING (gram, code))"""
+
+
+def detect(source: str, keys: str, expr: str) -> str:
+    """Body of a table (keys, language) by the highest sum of weights; ties in code order."""
+    return f"""SELECT {keys}, coalesce(code, 'unknown') AS language FROM {source} LEFT JOIN (
+    SELECT {keys}, code FROM (
+      SELECT {keys}, code, sum(weight) AS score FROM ({grams(source, keys, expr)}) JOIN profile USING (gram) GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, code) = 1) USING ({keys})"""

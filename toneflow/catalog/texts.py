@@ -11,6 +11,7 @@ from toneflow.functions import text as X
 from toneflow.operators import language
 from toneflow.operators.articles import mentions
 from toneflow.operators.evaluate import counts
+from toneflow.session import sized
 
 
 def pages(spark, d):
@@ -155,52 +156,31 @@ def txt14(spark, d):
     return fixtures.table(spark, d, "documents").select("doc_id", X.shorten(F.col("text")).alias("text"))
 
 
-PROFILE_SIZE = 50
-
-# Profiles are learnt from one half of the documents and judged on the other.
-_LEARN = "md5(CAST(doc_id AS VARCHAR)) < '8'"
-
-
-def _learn():
-    return F.md5(F.col("doc_id").cast("string")) < "8"
-
-
-_PROFILE = rf"""words AS (
-  SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents),
-counted AS (SELECT lang AS language, word, count(*) AS n FROM words WHERE {_LEARN} GROUP BY 1, 2),
-profile AS (
-  SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, word) AS rank FROM counted
-  QUALIFY rank <= {PROFILE_SIZE})"""
-
-_DETECTED = f"""{_PROFILE}, hits AS (
-  SELECT doc_id, profile.language AS code, count(*) AS score
-  FROM words JOIN profile USING (word) GROUP BY 1, 2), best AS (
-  SELECT doc_id, code FROM hits
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, code) = 1),
-detected AS (
-  SELECT doc_id, lang, coalesce(code, 'unknown') AS language FROM documents LEFT JOIN best USING (doc_id)
-  WHERE NOT {_LEARN})"""
-
-
-@query("txt15_language_profile", f"WITH {_PROFILE} SELECT language, word, n, CAST(rank AS INT) AS rank FROM profile")
+@query("txt15_language_profile", f"WITH {sql.profile()} SELECT gram, code AS language, n, weight FROM profile")
 def txt15_profile(spark, d):
-    return language.word_profile(fixtures.documents(spark, d).where(_learn()), size=PROFILE_SIZE)
+    counts = sized(language.gram_counts(fixtures.documents(spark, d)))
+    both = counts.join(language.weigh(counts), "gram")
+    return both.select("gram", F.explode(F.arrays_zip("counts", "weights")).alias("of")).select(
+        "gram", F.col("of.counts.code").alias("language"), F.col("of.counts.n").alias("n"), F.col("of.weights.weight").alias("weight"))
 
 
-def detected(spark, d):
+@query("txt15_detect_language", f"""WITH {sql.profile()}, detected AS ({sql.detect("documents", "doc_id", "text")})
+SELECT doc_id, lang, language FROM documents JOIN detected USING (doc_id)""")
+def txt15(spark, d):
     doc = fixtures.documents(spark, d)
-    profile = language.load_profile(language.word_profile(doc.where(_learn()), size=PROFILE_SIZE))
-    return doc.where(~_learn()).select("doc_id", "lang", language.detect_language(F.col("text"), profile).alias("language"))
+    return language.detect_language(doc, ["doc_id", "lang"], F.col("text"), language.learn_profile(doc))
 
 
-@query("txt15_detect_language", f"WITH {_DETECTED} SELECT doc_id, lang, language FROM detected")
-def txt15(spark, d):
-    return detected(spark, d)
+# The profile is learnt from one half of the documents and judged on the other.
+_LEARN = "md5(CAST(doc_id AS VARCHAR)) < '8'"
 
 
-@query("txt15_language_accuracy", f"""WITH {_DETECTED}
-SELECT lang AS true_label, language AS pred, count(*) AS n FROM detected GROUP BY 1, 2""")
+@query("txt15_language_accuracy", f"""WITH {sql.profile(_LEARN)}, held_out AS (SELECT * FROM documents WHERE NOT {_LEARN}),
+detected AS ({sql.detect("held_out", "doc_id", "text")})
+SELECT lang AS true_label, language AS pred, count(*) AS n FROM held_out JOIN detected USING (doc_id) GROUP BY 1, 2""")
 def txt15_accuracy(spark, d):
-    return counts(detected(spark, d).select(
-        F.lit("words").alias("model"), F.col("lang").alias("true_label"), F.col("language").alias("pred"))) \
+    doc, learn = fixtures.documents(spark, d), F.md5(F.col("doc_id").cast("string")) < "8"
+    found = language.detect_language(doc.where(~learn), ["doc_id", "lang"], F.col("text"), language.learn_profile(doc.where(learn)))
+    return counts(found.select(
+        F.lit("grams").alias("model"), F.col("lang").alias("true_label"), F.col("language").alias("pred"))) \
         .select("true_label", "pred", "n")

@@ -1,25 +1,37 @@
-"""Language identification from frequent words.
+"""Language identification by smoothed log-probabilities of words and character trigrams.
 
-A profile lists the most frequent words of each language.  It is learnt from
-a labelled table by counting, and applied as a column expression: the language
-with the most tokens in its list wins.  No shuffle, so it also runs on streams.
+A profile is a table learnt by counting: for every gram that occurs in a
+labelled corpus, the logarithm of its probability in each language.  A text's
+score in a language is the sum over its grams, every occurrence counting; grams
+the corpus never had say nothing.  Weights are whole thousandths, so sums do not
+depend on their order.
+
+Texts are taken apart where they are read and joined with the profile, which the
+planner broadcasts while it is small; sums are added up per row before anything
+is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toneflow.functions import bind
+from toneflow.session import sized
 
 LETTERS = r"\p{L}+"
 
 # Thai, kana and Han are written without blanks: their characters count as words.
-UNSPACED = "[\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF]"
+UNSPACED = "[฀-๿぀-ヿ㐀-鿿]"
+
+# Three characters around a letter; looking ahead finds overlapping ones in one pass.
+TRIGRAM = r"(?=([ \p{L}]\p{L}[ \p{L}]))"
 
-Profile = Mapping[str, Sequence[str]]
+#: What every gram counts in every language beyond its occurrences.
+SMOOTHING = 0.5
+SCALE = 1000
+
+UNKNOWN = "unknown"
 
 
 def words(text: Column) -> Column:
@@ -32,40 +44,64 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(bind(lower, spaced), F.lit(LETTERS), F.lit(0))
 
 
-def word_profile(df: DataFrame, text: str = "text", language: str = "lang",
-                 size: int = 50) -> DataFrame:
-    """The ``size`` most frequent words per language; ties in word order.
+def grams(text: Column) -> Column:
+    """Words, marked by ``=``, and the trigrams of words between blanks."""
+    def of(found: Column) -> Column:
+        line = F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
+        return F.concat(F.transform(found, lambda w: F.concat(F.lit("="), w)),
+                        F.regexp_extract_all(line, F.lit(TRIGRAM), F.lit(1)))
+
+    return bind(words(text), of)
+
+
+def gram_counts(df: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """(gram, counts): occurrences of every gram in every language, ``counts`` being (code, n) in code order.
+
+    Rows without a language are left out.  Only the codes reach the driver.
+    """
+    known = df.where(F.col(language).isNotNull())
+    codes = sorted(r[0] for r in known.select(language).distinct().collect())
+    rows = known.select(F.col(language).alias("language"), F.explode(grams(F.col(text))).alias("gram"))
+    n = [F.count(F.when(F.col("language") == c, 1)).alias(f"n{i}") for i, c in enumerate(codes)]
+    if not codes:
+        return rows.select("gram", F.array().cast("array<struct<code:string,n:bigint>>").alias("counts"))
+    return rows.groupBy("gram").agg(*n).select("gram", F.array(*[
+        F.struct(F.lit(c).alias("code"), F.col(f"n{i}").alias("n")) for i, c in enumerate(codes)]).alias("counts"))
+
+
+def weigh(counts: DataFrame) -> DataFrame:
+    """(gram, weights): smoothed log-probabilities of the grams, ``weights`` being (code, weight) in code order."""
+    counts = sized(counts)
+    first = counts.first()
+    codes = [c["code"] for c in first["counts"]] if first else []
+    totals = counts.agg(F.count(F.lit(1)), *[F.sum(F.col("counts")[i]["n"]) for i in range(len(codes))]).first()
+    extra = SMOOTHING * totals[0]
+
+    def weight(i: int) -> Column:
+        share = (F.col("counts")[i]["n"] + SMOOTHING) / F.lit(totals[i + 1] + extra)
+        return F.round(SCALE * F.log(share)).cast("bigint").alias("weight")
+
+    weights = [F.struct(F.lit(c).alias("code"), weight(i)) for i, c in enumerate(codes)]
+    return counts.select("gram", F.array(*weights).cast("array<struct<code:string,weight:bigint>>").alias("weights"))
+
+
+def learn_profile(df: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """The profile of a labelled corpus, all rows and grams of it, stored with its true size."""
+    return sized(weigh(gram_counts(df, text, language)))
+
+
+def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataFrame) -> DataFrame:
+    """(keys, language) of every row: the code with the highest sum, ties in code order.
 
-    Words are counted before they are ranked, and the ranking keeps ``size``
-    words per language and task ahead of its shuffle.
+    ``keys`` identify a row.  Texts of which the profile has no gram are ``unknown``.
     """
-    counts = (
-        df.where(F.col(language).isNotNull())
-        .select(F.col(language).alias("language"), F.explode(words(F.col(text))).alias("word"))
-        .groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
-    order = Window.partitionBy("language").orderBy(F.col("n").desc(), "word")
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
-
-
-def load_profile(profile: DataFrame) -> dict[str, list[str]]:
-    """Bring a profile to the driver; its size is languages times list length."""
-    lists = profile.groupBy("language").agg(F.sort_array(F.collect_list("word")).alias("words"))
-    return {row["language"]: row["words"] for row in lists.orderBy("language").collect()}
-
-
-def detect_language(text: Column, profile: Profile) -> Column:
-    """Code of the language with most hits, ``unknown`` without any; ties in code order."""
-    def hits(found: Column, listed: Sequence[str]) -> Column:
-        return F.size(F.filter(found, lambda w: w.isin(*listed)))
-
-    def best(found: Column) -> Column:
-        scores = F.array(*[
-            F.struct(hits(found, listed).alias("score"), F.lit(-i).alias("rank"),
-                     F.lit(code).alias("code"))
-            for i, (code, listed) in enumerate(sorted(profile.items()))])
-        return bind(F.array_max(scores), lambda top:
-                    F.when(top["score"] > 0, top["code"]).otherwise("unknown"))
-
-    every = sorted({w for listed in profile.values() for w in listed})
-    return bind(F.filter(words(text), lambda w: w.isin(*every)), best)
+    first = profile.first()
+    codes = [w["code"] for w in first["weights"]] if first else []
+    if not codes:
+        return df.select(*keys, F.lit(UNKNOWN).alias("language"))
+    rows = df.select(*keys, F.explode_outer(grams(text)).alias("_gram"))
+    found = rows.join(profile.withColumnRenamed("gram", "_gram"), "_gram", "left")
+    sums = found.groupBy(*keys).agg(*[F.sum(F.col("weights")[i]["weight"]).alias(f"_sum{i}") for i in range(len(codes))])
+    best = F.array_max(F.array(*[F.struct(F.col(f"_sum{i}").alias("sum"), F.lit(-i).alias("rank"), F.lit(c).alias("code"))
+                                 for i, c in enumerate(codes)]))
+    return sums.select(*keys, bind(best, lambda top: F.when(top["sum"].isNull(), UNKNOWN).otherwise(top["code"])).alias("language"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from toneflow.functions import dates, text
 from toneflow.operators import articles
-from toneflow.operators.language import Profile, detect_language
+from toneflow.operators.language import detect_language
 from toneflow.schemas import Request
 
 
@@ -30,8 +30,12 @@ def stamp() -> Column:
 
 
 def with_key(raw: DataFrame) -> DataFrame:
-    """Add the article key; the payload stays in ``raw``, so rows stay narrow."""
-    return raw.withColumn("hash", text.article_key(title(), source(), stamp()))
+    """Add the article key; the payload stays in ``raw``, so rows stay narrow.
+
+    Pages without a request belong to the request with an empty name.
+    """
+    return raw.withColumns({"request": F.coalesce("request", F.lit("")),
+                            "hash": text.article_key(title(), source(), stamp())})
 
 
 def with_fields(df: DataFrame) -> DataFrame:
@@ -45,14 +49,16 @@ def with_fields(df: DataFrame) -> DataFrame:
     })
 
 
-def in_detected_language(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
+def in_detected_language(df: DataFrame, profile: DataFrame, language: str = "en") -> DataFrame:
     """Keep articles whose title and description are in ``language``.
 
-    The column is a constant afterwards, which spares a second detection.
+    ``df`` has one row per request and key and is still dealt out by them after
+    deduplication, as are the languages found, so the payload is not shuffled
+    again.
     """
     small = text.join_fields(title(), F.col("raw.description"))
-    return df.where(detect_language(small, profile) == language) \
-        .withColumn("language", F.lit(language))
+    keys = ["request", "hash"]
+    return df.join(detect_language(df, keys, small, profile).where(F.col("language") == language), keys)
 
 
 def with_tickers(df: DataFrame, tickers: Sequence[str] | Column | None = None,
@@ -71,12 +77,12 @@ def with_time(df: DataFrame) -> DataFrame:
     return articles.with_parsed_time(df.withColumn("_stamp", stamp()), "_stamp").drop("_stamp")
 
 
-def accept(df: DataFrame, profile: Profile, language: str = "en") -> DataFrame:
+def accept(df: DataFrame, profile: DataFrame, language: str = "en") -> DataFrame:
     """Language and timestamp filters, in this order after deduplication."""
     return with_time(in_detected_language(df, profile, language))
 
 
-def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles: int | None = None,
+def ingest(raw: DataFrame, profile: DataFrame, language: str = "en", max_articles: int | None = None,
            tickers: Sequence[str] | None = None) -> DataFrame:
     """Articles of all requests in one job.
 
@@ -92,7 +98,7 @@ def ingest(raw: DataFrame, profile: Profile, language: str = "en", max_articles:
     return with_tickers(with_fields(accepted), tickers).select(*ARTICLE_COLUMNS)
 
 
-def ingest_request(raw: DataFrame, request: Request, profile: Profile) -> DataFrame:
+def ingest_request(raw: DataFrame, request: Request, profile: DataFrame) -> DataFrame:
     """Articles of one request: its pages, its time window, its search terms.
 
     Window bounds are inclusive; articles whose time does not parse are left to

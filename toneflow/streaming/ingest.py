@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from toneflow.functions.dates import day_prefix
 from toneflow.operators.articles import first_arrivals
-from toneflow.operators.language import Profile
 from toneflow.plans.ingest import ARTICLE_COLUMNS, accept, stamp, with_fields, with_key, with_tickers
 from toneflow.schemas import ARTICLE, RAW_PAGE
 from toneflow.sources.readers import explode_pages
@@ -25,7 +24,7 @@ def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return explode_pages(pages)
 
 
-def ingest_batch(raw: DataFrame, batch_id: int, out_dir: str, profile: Profile, language: str = "en") -> None:
+def ingest_batch(raw: DataFrame, batch_id: int, out_dir: str, profile: DataFrame, language: str = "en") -> None:
     """Store the articles of one poll that no earlier poll had.
 
     The order is that of batch ingestion: repeats go first, then language and
@@ -51,7 +50,7 @@ def ingest_batch(raw: DataFrame, batch_id: int, out_dir: str, profile: Profile,
     write_table(new.select("request", "hash", "cell", "batch"), f"{out_dir}/keys", "parquet", ("cell", "batch"), dynamic=True)
 
 
-def ingest_stream(raw: DataFrame, out_dir: str, checkpoint: str, profile: Profile, language: str = "en") -> StreamingQuery:
+def ingest_stream(raw: DataFrame, out_dir: str, checkpoint: str, profile: DataFrame, language: str = "en") -> StreamingQuery:
     """Ingest what has landed so far, poll by poll, then stop; the tables equal those of one batch ingestion.
 
     That holds when pages land in the order of their numbers; otherwise the
