@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -71,13 +72,57 @@ def test_rejected_first_copy_removes_later_ones(spark, profile, tmp_path):
 
 def test_repeated_batch_is_stored_once(spark, profile, folder, tmp_path):
     raw, out = readers.read_pages(spark, folder), f"{tmp_path}/out"
-    spark.createDataFrame([], landing.KEYS).write.parquet(f"{out}/keys")
     for number in (0, 0, 1, 1):
         landing.ingest_batch(raw, number, out, profile)
     assert keys(landing.stored_articles(spark, out)) == keys(ingest(raw, profile))
     landing.ingest_batch(raw.limit(0), 2, out, profile)
 
 
+def test_live_runs_stay_few():
+    for fanout in (2, 3, 8):
+        for batches in range(500):
+            runs, held = landing.live_runs(batches, fanout), set()
+            for level, number in runs:
+                held |= set(range(number * fanout**level, (number + 1) * fanout**level))
+            assert held == set(range(batches))
+            assert len(runs) <= (fanout - 1) * (1 + math.log(max(1, batches), fanout))
+            # Slots of live runs, and of those a repeated batch still needs, are told apart.
+            earlier = landing.live_runs(max(0, batches - 1), fanout)
+            slots = {(level, number): landing.run_path("o", "keys", (level, number), fanout) for level, number in {*runs, *earlier}}
+            assert len(set(slots.values())) == len(slots)
+    assert len({landing.run_path("o", "keys", r) for b in range(500) for r in landing.live_runs(b)}) <= 2 * 8 * 3
+
+
+def test_many_polls_keep_few_files_and_no_repeat(spark, tmp_path):
+    out, seen = str(tmp_path / "out"), set()
+    for batch in range(20):
+        rows = [("r", f"h{batch * 3 + i}", (batch + i) % 5) for i in range(6)] + [(None if batch % 2 else "", "h0", 0)]
+        first = spark.createDataFrame([(r or "", h, int(h[1:]) % 7) for r, h, _ in rows], "request string, hash string, cell int").distinct()
+        for _ in range(2 if batch in (4, 8, 13) else 1):  # some batches are repeated
+            new = landing.unseen(first, batch, out, fanout=3)
+            assert {(r.request, r.hash) for r in new.collect()} == {((r or ""), h) for r, h, _ in rows} - seen
+            landing.add_keys(new, batch, out, fanout=3)
+        seen |= {((r or ""), h) for r, h, _ in rows}
+        live = landing.live_runs(batch + 1, 3)
+        files = landing._read_runs(spark, out, "keys", live, 3).inputFiles()
+        assert len(live) <= 6 and len(files) <= 4 * len(live)
+    assert {(r.request, r.hash) for r in landing.stored_keys(spark, out, 3).collect()} == seen
+    folders = {p.parent for p in (tmp_path / "out" / "keys").rglob("*.parquet")}
+    assert len(folders) <= 6 + 6 + 2
+
+
+def test_filters_rule_out_cells(spark, tmp_path):
+    keys = spark.range(2000).select(F.lit("r").alias("request"), F.col("id").cast("string").alias("hash"), (F.col("id") % 4).cast("int").alias("cell"))
+    landing.add_keys(keys, 0, str(tmp_path))
+    filters = landing._read_runs(spark, str(tmp_path), "filters", [(0, 0)], landing.FANOUT)
+    assert sorted(landing.possible_repeats(keys, filters)) == [0, 1, 2, 3]
+    assert landing.possible_repeats(keys.where("hash = '6'"), filters) == [2]
+    other = keys.where("cell = 1").limit(40).withColumn("hash", F.concat(F.lit("new"), "hash"))
+    few = landing.possible_repeats(other, filters)
+    assert few in ([], [1])
+    assert landing.possible_repeats(keys.withColumn("cell", F.lit(9)), filters) == []
+
+
 def test_untouched_months_are_not_written(spark, tmp_path):
     import os
 
