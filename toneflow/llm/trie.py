@@ -38,7 +38,7 @@ from toneflow.llm.ordering import positions
 from toneflow.llm.tables import stored
 
 #: Conversations by whose powers nodes are ranked; turns a piece goes deep.
-MEMBERS, DEPTH = 1024, 512
+MEMBERS, DEPTH = 128, 512
 #: Turns of a conversation whose digests are summed in one group; conversations' ids that are joined to one string.
 BLOCK, IDS = 4096, 1 << 16
 #: Nodes that a task decomposes at a time, apart from a single piece with more.
