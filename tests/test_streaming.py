@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -149,6 +150,72 @@ def test_untouched_months_are_not_written(spark, tmp_path):
     assert values(live.current_daily(spark, out)) == values(whole)
 
 
+def spoil(folder, keep):
+    """Overwrite every data file whose month is not in ``keep``; reading one fails."""
+    spoilt = 0
+    for path in folder.rglob("month=*/*.parquet"):
+        if int(path.parent.name.split("=")[1]) not in keep:
+            path.write_bytes(b"not a table")
+            (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+            spoilt += 1
+    return spoilt
+
+
+def test_untouched_months_are_not_opened(spark, tmp_path):
+    out = tmp_path / "out"
+    start = datetime(2024, 1, 10)
+    rows = [(start + timedelta(days=10 * d), "positive", ["A"], 0.1 * (d % 5)) for d in range(30)]
+    live.update_daily(spark.createDataFrame(rows, LABELLED), 0, str(out), 3, 1, fold_every=10)
+    # April changes, and May by its frames; the carries of the next two months tell that nothing further does.
+    assert spoil(out / "batches", {202404, 202405}) and spoil(out / "daily", {202404, 202405})
+    assert spoil(out / "carry", {202404, 202405, 202406, 202407})
+    more = [(start + timedelta(days=100), "negative", ["A"], -1.0)]
+    live.update_daily(spark.createDataFrame(more, LABELLED), 1, str(out), 3, 1, fold_every=10)
+    whole = daily.rolling_trend(daily.daily_ticker_aggregate(spark.createDataFrame(rows + more, LABELLED)), 3)
+    trend = {r.date: round(r.rolling_mean, 9) for r in whole.collect()}
+    got = spark.read.parquet(*[f"{out}/daily/bucket=0/month={m}" for m in (202404, 202405)]).collect()
+    assert len(got) == 6 and all(round(r.rolling_mean, 9) == trend[r.date] for r in got)
+
+
+@pytest.mark.parametrize("window", [1, 4])
+def test_random_arrivals_equal_batch(spark, tmp_path, window):
+    """Late days, new months between old ones, new and rare tickers; some updates are interrupted and repeated."""
+    rng = random.Random(window)
+    out, everything = str(tmp_path / "out"), []
+    for batch in range(5):
+        rows = [(datetime(2023, 1, 1) + timedelta(days=rng.choice([rng.randrange(700), rng.randrange(60), 400])),
+                 rng.choice(["positive", "negative", None]), [rng.choice(["A", "A", "B", f"N{batch}"])], rng.choice([None, rng.random()]))
+                for _ in range(rng.randint(1, 14))]
+        everything += rows
+        df = spark.createDataFrame(rows, LABELLED)
+        if batch % 3 == 1:
+            # Stop after the first, or the second, of the three tables written.
+            calls, true = [], live.write_table
+
+            def stop(table, path, *a, **k):
+                if not path.startswith((f"{out}/batches", f"{out}/folded")):
+                    calls.append(path)
+                    if len(calls) > 1 + batch % 2:
+                        raise InterruptedError
+                return true(table, path, *a, **k)
+
+            live.write_table = stop
+            try:
+                live.update_daily(df, batch, out, window, 2, fold_every=3)
+            except InterruptedError:
+                pass
+            finally:
+                live.write_table = true
+        live.update_daily(df, batch, out, window, 2, fold_every=3)
+        whole = daily.rolling_trend(daily.daily_ticker_aggregate(spark.createDataFrame(everything, LABELLED)), window)
+
+        def values(df):
+            return sorted((r.ticker, r.date, r.article_count, *[None if x is None else round(x, 6) + 0.0 for x in (r.mean_score, r.rolling_mean, r.rolling_z)])
+                          for r in df.collect())
+
+        assert values(live.current_daily(spark, out)) == values(whole)
+
+
 def batches():
     """Late articles, a new ticker, odd scores, a missing date."""
     start = datetime(2024, 1, 1)
