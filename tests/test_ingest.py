@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import math
+import random
 import re
 from collections import Counter
 from datetime import datetime
@@ -226,6 +227,20 @@ def test_latest_snapshot(spark, tmp_path):
     assert sorted(r.v for r in got.collect()) == [2, 3, 4]
 
 
+def test_latest_snapshot_opens_no_file_for_the_dates(spark, tmp_path):
+    rows = [("a", "20240101", 1), ("a", "20240103", 2), ("b", "20240102", 3), (None, "20240104", 5)]
+    df = spark.createDataFrame(rows, "ticker string, batch_date string, v int")
+    path = writers.write_table(df, f"{tmp_path}/s", "parquet", ("ticker", "batch_date"))
+    table = spark.read.schema("v int, ticker string, batch_date string").parquet(path)
+    # A file of an old batch is no table any more: whoever opens it fails.
+    for old in (tmp_path / "s" / "ticker=a" / "batch_date=20240101").glob("*.parquet"):
+        old.write_bytes(b"not a table")
+        (old.parent / f".{old.name}.crc").unlink()
+    assert sorted(r.v for r in readers.latest_snapshot(table).collect()) == [2, 3]
+    # Any other table works too.
+    assert sorted(r.v for r in readers.latest_snapshot(df).collect()) == [2, 3]
+
+
 def test_filters(spark):
     rows = [("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 8)), ("c", datetime(2024, 1, 8, 0, 0, 1)), ("d", None)]
     df = spark.createDataFrame(rows, "hash string, published_at timestamp")
@@ -316,3 +331,49 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
     for df in (readers.read_tables(spark, f"{tmp_path}/*.csv", "csv"), readers.read_table(spark, f"{tmp_path}/*.csv")):
         got = sorted((r.hash, r.title, r.url, r.extra) for r in df.collect())
         assert got == [("h1", "t,1", "u1", None), ("h2", "t\n2", "u2", None), ("h3", None, None, "x")]
+
+
+def odd_csv(rng, rows):
+    def value():
+        return "".join(rng.choice(["a", "é", ",", '"', "\n", "\r\n", " ", "x" * 40, "😀"]) for _ in range(rng.randint(0, 6)))
+
+    out = []
+    for i in range(rows):
+        values = [f"h{i}", value(), value() * (200 if rng.random() < 0.05 else 1)]
+        out.append(values)
+    quoted = [",".join('"' + v.replace('"', '""') + '"' if v and (not v.isalnum() or rng.random() < 0.3) else v for v in r) for r in out]
+    return out, quoted
+
+
+@pytest.mark.parametrize(("size", "end"), [("64b", "\n"), ("300b", "\r\n"), ("2k", "\n"), ("128m", "\n")])
+def test_csv_with_line_breaks_splits_anywhere(spark, tmp_path, size, end):
+    """Same rows whatever the splits, also where a value is longer than a split."""
+    rng = random.Random(len(size))
+    want = []
+    for n in range(2):
+        rows, lines = odd_csv(rng, 60)
+        (tmp_path / f"{n}.csv").write_bytes((end.join(["hash,title,description", *lines]) + end * (n % 2)).encode())
+        want += [(n, *[v or None for v in r]) for r in rows]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in old:
+        spark.conf.set(k, size if "max" in k else "0")
+    try:
+        lines = readers._lines(spark, [str(tmp_path)])
+        assert lines.rdd.getNumPartitions() > 4 or size == "128m"
+        got = []
+        for n in range(2):
+            df = readers.read_csv(spark, [f"{tmp_path}/{n}.csv"])
+            got += [(n, r["hash"], r.title, r.description) for r in df.select("hash", "title", "description").collect()]
+        both = readers.read_csv(spark, [f"{tmp_path}/*.csv"]).count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(str, got)) == sorted(map(str, want)) and both == len(want)
+
+
+def test_csv_of_headers_only_and_of_nothing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("hash,title\n\r\nhash,title\n")
+    (tmp_path / "b.csv").write_text("\ufeffhash,title\n1,x\n\n2,\"y\n")
+    (tmp_path / "c.csv").write_text("")
+    got = readers.read_csv(spark, [f"{tmp_path}/*.csv"]).select("hash", "title").collect()
+    assert sorted(map(tuple, got)) == [("1", "x"), ("2", "y"), ("hash", "title")]  # a row may look like a header

@@ -59,6 +59,21 @@ def test_long_list_scores_alike(spark):
     assert [r.lex_score for r in rows] == [py_score(t) for t in texts]
 
 
+def test_lexicon_table_shuffles_no_texts(spark):
+    """Keys, words and polarities cross the network, whether the lexicon is broadcast or not."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    table = spark.createDataFrame([("the", 1), ("of", -1)], "word string, polarity int")
+    for limit, joins in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            plan = score_by_table(df, "doc_id", "text", table)._jdf.queryExecution().executedPlan()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert joins in plan.toString()
+        below = re.findall(r"Exchange hashpartitioning.*\n[^\n]*", plan.toString())
+        assert below and not any("text#" in x for x in below)
+
+
 def test_cut_is_strict(spark):
     assert column(spark, [0.2, 0.2000001, -0.2, -0.2000001, 0.0], "double", L.label_from_score) == \
         ["neutral", "positive", "neutral", "negative", "neutral"]

@@ -9,15 +9,15 @@ from toneflow.functions.text import tokens
 
 
 def score_by_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """Add ``lex_score`` from a lexicon of (word, polarity) rows of any size.
+    """(key, lex_score) of every row, from a lexicon of (word, polarity) rows of any size.
 
-    Hits are summed per row before their shuffle.  Whether the lexicon is
-    broadcast is left to its size; very frequent words in a shuffled join are
-    split by the adaptive skew handling.
+    Texts are taken apart where they are read; what is shuffled is keys with
+    words at most, and sums where the lexicon is small enough to be broadcast.
+    Whoever needs the score next to other columns joins by the key.  Very
+    frequent words in a shuffled join are split by the adaptive skew handling.
+    Rows without a word of the lexicon score 0; ``key`` identifies a row.
     """
     words = df.select(key, F.explode(tokens(F.col(text))).alias("word"))
-    hits = words.join(lexicon.select("word", "polarity"), "word").groupBy(key).agg(
-        F.try_divide(F.sum("polarity").cast("double"), F.sum(F.abs("polarity")).cast("double"))
-        .alias("lex_score"))
-    return df.join(hits, key, "left").withColumn(
-        "lex_score", F.coalesce(F.col("lex_score"), F.lit(0.0)))
+    hits = words.join(lexicon.select("word", "polarity"), "word").select(key, F.col("polarity").cast("double").alias("polarity"))
+    every = hits.unionByName(df.select(key, F.lit(0.0).alias("polarity"))).groupBy(key)
+    return every.agg(F.coalesce(F.try_divide(F.sum("polarity"), F.sum(F.abs("polarity"))), F.lit(0.0)).alias("lex_score"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +16,7 @@ from toneflow.operators.articles import stack
 from toneflow.schemas import ARTICLE, RAW_PAGE
 from toneflow.session import sized
 
-# Text values may hold line breaks and quotes.  Such files cannot be split:
-# convert large CSV inputs to Parquet once.
+# Text values may hold line breaks and quotes.
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
 # Where gold labels come from.
@@ -63,26 +63,110 @@ def is_csv(path: str) -> bool:
     return path.lower().rstrip("/").endswith(".csv")
 
 
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"')))
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, at, value): lines with the file and the place of the split they begin in; lines of a split come in order."""
+    return spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+
+
+def csv_splits(lines: DataFrame) -> DataFrame:
+    """(file, at, odd, first) of every split: whether it begins inside quotes, and its first line."""
+    rows = lines.select("file", "at", F.struct(F.monotonically_increasing_id().alias("row"), "value").alias("line"),
+                        _quotes(F.col("value")).alias("quotes"))
+    splits = rows.groupBy("file", "at").agg(F.sum("quotes").alias("quotes"), F.min("line")["value"].alias("first"))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("file", "at", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("odd"), "first")
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole records of every split, and the pieces of records that cross its ends.
+
+    ``part`` is 0 for a whole record, 1 for what ends a record begun before, 2
+    for what begins one that ends later, 3 for a split inside one.  The first
+    record of a file, its header, is left out.  A task holds one record and one
+    batch.
+    """
+    schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("part", pa.int32()), ("record", pa.string())])
+    now, begun, held, inside, header = None, False, [], False, False
+    out: list[tuple] = []
+
+    def close():
+        # What is held at the end of a split is a piece; nothing is held where the last record was complete.
+        if now is not None and held:
+            out.append((*now, (2 if begun else 3) if inside else (0 if begun else 1), "\n".join(held)))
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("file", "at", "odd", "value")]
+        for file, at, odd, value in zip(*columns, strict=True):
+            if (file, at) != now:
+                close()
+                now, held, inside = (file, at), [], odd
+                begun, header = not odd, at == 0
+            held.append(value)
+            if value.count('"') % 2:
+                inside = not inside
+            if not inside:
+                if not header:
+                    out.append((*now, 0 if begun else 1, "\n".join(held)))
+                held, begun, header = [], True, False
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+            out = []
+    close()
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def csv_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """(file, at, record): the records of CSV files, a record that crosses splits put together.
+
+    Only such pieces, two a split at most, are shuffled.
+    """
+    rows = lines.join(F.broadcast(splits.select("file", "at", "odd")), ["file", "at"])
+    parts = rows.select("file", "at", "odd", "value").mapInArrow(_records, "file string, at long, part int, record string")
+    parts = sized(parts)
+    pieces = parts.where("part > 0")
+    # A record that crosses splits begins where a piece begins one.
+    since = Window.partitionBy("file").orderBy("at", "part").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = pieces.withColumn("begin", F.max(F.when(F.col("part") == 2, F.col("at"))).over(since))
+    whole = pieces.groupBy("file", "begin").agg(F.min("at").alias("at"), F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("at", "part", "record"))), lambda p: p["record"]), "\n").alias("record"))
+    return parts.where("part = 0").select("file", "at", "record").unionByName(whole.select("file", "at", "record"))
+
+
 def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType = ARTICLE,
              multi_line: bool = True) -> DataFrame:
     """CSV files with a header each, as one table; columns are matched by name.
 
-    Files with equal headers are read together, so there is one plan per
-    header and not one per file.  Headers come from the first line of every
-    file, read in one job and grouped before they reach the driver.  Values
-    that do not fit the type of ``schema`` are null.  Files without line breaks
-    inside values can be split when ``multi_line`` is off.
+    Values in quotes may hold line breaks and doubled quotes.  A file is read
+    in splits all the same: a first pass counts the quotes of every split, so
+    the second knows which splits begin inside a value; it also brings the
+    headers, which are one line each.  Files with equal headers are read
+    together, so there is one plan per header and not one per file.  Values
+    that do not fit the type of ``schema`` are null.  Files that have quotes
+    inside unquoted values but no line breaks inside values are read by lines
+    when ``multi_line`` is off.
     """
-    lines = spark.read.option("wholetext", "false").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # The first row of a file's first block; rows of a block come in order.
-    first = lines.withColumn("row", F.monotonically_increasing_id()).where("at = 0") \
-        .groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
     types = {f.name: f.dataType for f in csv_schema(schema).fields}
+    splits = sized(csv_splits(_lines(spark, paths)))
+    headers = splits.where("at = 0").select("file", F.rtrim(F.ltrim("first", F.lit("\ufeff")), F.lit("\r")).alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
     frames = []
     for group in groups:
-        raw = spark.read.options(**CSV_READ).option("multiLine", multi_line).csv([unquote(f) for f in group["files"]])
+        files = [unquote(f) for f in group["files"]]
+        # The names a CSV reader makes of the header, so repeated and empty ones too.
+        names = spark.read.options(**CSV_READ).csv(files[0]).columns
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        if multi_line:
+            records = csv_records(_lines(spark, files), splits).select(F.rtrim("record", F.lit("\r")).alias("record"))
+            raw = records.where(F.col("record") != "").select(F.from_csv(
+                "record", text.toDDL(), {**CSV_READ, "header": "false"}).alias("row")).select("row.*")
+        else:
+            raw = spark.read.options(**CSV_READ).option("multiLine", False).schema(text).csv(files)
         frames.append(raw.select(*[F.col(f"`{c}`").try_cast(types.get(c, T.StringType())).alias(c) for c in raw.columns]))
     if not frames:
         return parse_nested(spark.createDataFrame([], csv_schema(schema)), schema)
@@ -137,11 +221,18 @@ def standardise_gold(df: DataFrame, names: Mapping[str, Sequence[str]] | None =
 def latest_snapshot(df: DataFrame, by: Sequence[str] = ("ticker",), date: str = "batch_date") -> DataFrame:
     """Rows of the newest batch of every ticker.
 
-    On a table partitioned by these columns the first pass reads no data
-    columns, and the batch dates found (no more than there are days) prune the
-    partitions of the second.
+    On a table partitioned by these columns the newest batches follow from the
+    folders alone, and no file is opened for them; a batch is there if its
+    folder holds a file.  The batch dates found (no more than there are days)
+    prune the partitions of the second pass.
     """
-    newest = sized(df.groupBy(*by).agg(F.max(date).alias(date)))
+    spark, setting = df.sparkSession, "spark.sql.optimizer.metadataOnly"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        newest = sized(df.groupBy(*by).agg(F.max(date).alias(date)))
+    finally:
+        spark.conf.set(setting, before)
     dates = [r[0] for r in newest.select(date).distinct().collect()]
     return df.where(F.col(date).isin(dates)).join(newest, [*by, date], "left_semi")
 
