@@ -11,6 +11,7 @@ from toneflow.functions import text as X
 from toneflow.operators import language
 from toneflow.operators.articles import mentions
 from toneflow.operators.evaluate import counts
+from toneflow.operators.terms import find_terms
 from toneflow.session import sized
 
 
@@ -141,6 +142,25 @@ def txt12_mentions(spark, d):
     return mentions(fixtures.documents(spark, d), "doc_id", F.col("text"), watchlist)
 
 
+@query("txt12_mentions_anywhere", f"""SELECT doc_id, ticker FROM documents
+JOIN (VALUES {', '.join(f"('{s}')" for s in SYMBOLS)}) AS watch(ticker) ON contains(lower(text), lower(ticker))""")
+def txt12_anywhere(spark, d):
+    watchlist = spark.createDataFrame([(s,) for s in SYMBOLS], "ticker string")
+    return mentions(fixtures.documents(spark, d), "doc_id", F.col("text"), watchlist, words_only=False)
+
+
+# Thousands of terms at the smallest scales: beginnings of the long words of conversations.
+@query("txt12_long_watchlist", r"""WITH terms AS (
+  SELECT DISTINCT substr(lower(w), 1, 12) AS term FROM (SELECT unnest(regexp_extract_all(text, '\p{L}{9,}')) AS w FROM conversations)),
+low AS MATERIALIZED (SELECT doc_id, lower(text) AS body FROM documents)
+SELECT doc_id, term FROM low JOIN terms ON contains(body, term)""")
+def txt12_long(spark, d):
+    words = F.regexp_extract_all("text", F.lit(r"\p{L}{9,}"), F.lit(0))
+    terms = fixtures.table(spark, d, "conversations").select(F.explode(words).alias("word"))
+    terms = terms.select(F.substring(F.lower("word"), 1, 12).alias("term")).distinct()
+    return find_terms(fixtures.documents(spark, d), "doc_id", F.col("text"), terms)
+
+
 @query("txt13_tokens", """SELECT doc_id, len(t) AS n,
   md5(array_to_string(list_transform(t, lambda w: lower(w)), ' ')) AS digest
 FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z'']+') AS t FROM documents)""")

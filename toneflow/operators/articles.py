@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from toneflow.functions import dates, text
+from toneflow.operators.terms import find_terms
 
 
 def require_columns(df: DataFrame, needed: Iterable[str]) -> DataFrame:
@@ -118,14 +119,18 @@ def attach_labels(articles: DataFrame, labels: DataFrame, order: Sequence[str] =
     return articles.join(unique, "hash", "left")
 
 
-def mentions(df: DataFrame, key: str, body: Column, watchlist: DataFrame) -> DataFrame:
-    """Rows (key, ticker) for every watchlist ticker that occurs as a word.
+def mentions(df: DataFrame, key: str, body: Column, watchlist: DataFrame, words_only: bool = True) -> DataFrame:
+    """Rows (key, ticker) for every watchlist ticker that occurs as a word, or anywhere in the text.
 
     For watchlists too long to test one by one: the distinct words of each
-    text are joined with the tickers, so there is no text-by-ticker product.
+    text are joined with the tickers, or its runs of characters with an index
+    of them, so there is no text-by-ticker product.
     """
-    found = df.select(key, F.explode(F.array_distinct(text.whole_words(body))).alias("_word"))
     wanted = watchlist.select("ticker").distinct().withColumn("_word", F.lower("ticker"))
+    if words_only:
+        found = df.select(key, F.explode(F.array_distinct(text.whole_words(body))).alias("_word"))
+    else:
+        found = find_terms(df, key, body, wanted, "_word").withColumnRenamed("term", "_word")
     return found.join(wanted, "_word").select(key, "ticker")
 
 
