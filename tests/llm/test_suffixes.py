@@ -46,11 +46,13 @@ def test_query_against_brute_force(spark):
     assert sorted((tuple(r) for r in got), key=str) == slow(rows)
 
 
-@pytest.mark.parametrize("hot, send", [(2048, 64), (3, 64), (2048, 2), (1, 1)])
-def test_repeats_of_all_kinds(documents, monkeypatch, hot, send):
-    """Copies, shared passages in differing surroundings, periodic texts and overlaps, with and without spread anchors."""
+@pytest.mark.parametrize("hot, send, shard", [(2048, 64, 4096), (3, 64, 4096), (2048, 2, 2), (1, 1, 3), (1, 1, 1)])
+def test_repeats_of_all_kinds(documents, monkeypatch, hot, send, shard):
+    """Copies, shared passages in differing surroundings, periodic texts and overlaps, with hot anchors in one shard or several."""
     monkeypatch.setattr(suffixes, "HOT", hot)
     monkeypatch.setattr(suffixes, "SEND", send)
+    monkeypatch.setattr(suffixes, "SHARD", shard)
+    monkeypatch.setattr(suffixes, "GATHER", 3000)
     monkeypatch.setattr(suffixes, "PIECE", 700)
     monkeypatch.setattr(suffixes, "CHUNK", 2000)
     rng = random.Random(5)
@@ -70,6 +72,51 @@ def test_odd_rows(documents):
     assert fast(documents([])) == []
 
 
+def handed_on(spark, monkeypatch, df, partitions):
+    """Rows of every table stored on the way, with a number of shuffle partitions."""
+    sizes, keep = {}, suffixes.stored
+
+    def counted(table, name):
+        out = keep(table, name)
+        sizes[name] = out.count()
+        return out
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(suffixes, "stored", counted)
+    try:
+        return fast(df.repartition(partitions)), sizes
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        monkeypatch.setattr(suffixes, "stored", keep)
+
+
+@pytest.mark.parametrize("shard", [4096, 7])
+def test_rows_do_not_grow_with_partitions(spark, documents, monkeypatch, shard):
+    """Exact and near copies of one text: what is compared and merged depends on the texts, not on the tasks."""
+    monkeypatch.setattr(suffixes, "HOT", 8)
+    monkeypatch.setattr(suffixes, "SHARD", shard)
+    text = prose(7, 120)
+    rows = [(i, text) for i in range(150)] + [(1000 + i, text[:5 * i] + "~" + text[5 * i:]) for i in range(100)]
+    few, small = handed_on(spark, monkeypatch, documents(rows), 4)
+    many, large = handed_on(spark, monkeypatch, documents(rows), 48)
+    assert few == many == slow(rows)
+    assert small["compared"] == large["compared"] > 0 and small["merged"] == large["merged"]
+    assert (small["merged"] > 0) == (shard == 7)
+
+
+def test_repeated_rows_and_many_near_copies(spark, documents):
+    """Null-id copies count once each; a group of near copies is linear."""
+    text = prose(8, 700)
+    rows = [(None, text)] * 400 + [(5, prose(9, 30))] * 50
+    assert fast(documents(rows)) == slow(rows)
+    text = prose(10, 40)
+    rows = [(i, f"{text[:i % len(text)]}{i}{text[i % len(text):]}") for i in range(2000)]
+    assert fast(documents(rows)) == slow(rows)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(1)
     for letters, n in ((2, 300), (4, 1000), (1, 64)):

@@ -7,13 +7,18 @@ found, exactly, in four steps that each deal their data over all tasks:
    runs of ``GRAM`` bytes, the leftmost of equal ones.  It depends on the
    window's bytes only, so equal windows have equal anchors.  Tasks look for
    anchors that occur again; windows of others can't repeat.
-2. The text around repeated anchors is cut out of the documents and dealt into
-   shards by anchor.  One that occurs more than ``HOT`` times is spread over many shards.
+2. The text around repeated anchors, a piece each, is cut out of the documents
+   and dealt into shards by anchor.  Equal pieces are merged by comparing their
+   bytes: the first stays, the others go as a whole, so exact copies never reach
+   a suffix array more than once.  Pieces of an anchor that occurs more than
+   ``HOT`` times are dealt by their own bytes instead, the first of a task's
+   equal ones only; what is left of them are the anchor's distinct pieces, and
+   those are dealt into shards of ``SHARD`` pieces, whatever the number of tasks.
 3. A shard sorts its suffixes by Larsson-Sadakane refinement, takes common
    prefixes by Kasai's scan, and so has the classes of equal windows and the
    first of each; the others are removed.
-4. Classes of spread anchors are merged across shards: each shard's sorted
-   windows are looked up in those of the shards before it by binary search.
+4. An anchor with more than one shard has its classes merged across them: each
+   shard's sorted windows are looked up in those before by binary search.
 
 Nothing is capped: hashes decide where bytes are compared, never whether they are equal.
 """
@@ -24,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +37,10 @@ from toneflow.llm.tables import stored
 
 LENGTH, GRAM = 100, 32
 WINDOWS = LENGTH - GRAM + 1
-#: Occurrences of an anchor beyond which it is spread over ``SPREAD`` shards; occurrences a batch sends to find repeats.
-HOT, SPREAD, SEND = 2048, 256, 64
+#: Occurrences of an anchor beyond which it is hot; occurrences a batch sends to find repeats.
+HOT, SEND = 2048, 64
+#: Distinct pieces of a hot anchor that are compared in one shard; bytes of pieces that a task gathers before it deals them.
+SHARD, GATHER = 4096, 1 << 22
 #: Bytes of text that are hashed at a time, and that make a suffix array.
 PIECE, CHUNK = 1 << 21, 1 << 20
 POSITION = np.uint64(0xFFFFFF)
@@ -272,50 +280,83 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["row", "hash", "place", "hot"])
 
 
+Key = tuple[int, bool, bytes]
+
+
+def _first_places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the (doc, row, place) of a piece those that are first, and the others.
+
+    Rows that repeat an id and a place have no earlier one among themselves.
+    """
+    at = np.unique(at, axis=0)
+    at = at[np.lexsort((at[:, 1], at[:, 2], at[:, 0]))]
+    first = (at[:, 0] == at[0, 0]) & (at[:, 2] == at[0, 2])
+    return at[first], at[~first]
+
+
 def _cut(parts: int):
-    """Tasks of step 2: the text around repeated anchors, by shard; equal texts of a batch are sent once."""
+    """Tasks of step 2: the pieces around repeated anchors, by shard, and hot pieces that go already."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[Key, list[tuple[int, int, int]]] = {}
+        seen: set[int] = set()
+        size = 0
         for whole in batches:
             for k in range(0, len(whole), 500):
-                yield from one(whole.slice(k, 500))
-
-    def one(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, int, bytes], list[tuple[int, int, int]]] = {}
+                size += gather(whole.slice(k, 500), found, seen)
+                if size >= GATHER:
+                    yield deal(found)
+                    found, size = {}, 0
+        if found:
+            yield deal(found)
+
+    def gather(b: pa.RecordBatch, found: dict, seen: set[int]) -> int:
+        size = 0
         ids, rows = b.column(0).to_pylist(), b.column(1).to_pylist()
         lists = b.column(3)
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         flat = lists.flatten()
         hashes, places, hots = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
         for i, (doc, row) in enumerate(zip(ids, rows, strict=True)):
+            if row in seen:  # a repeated row keeps the same bytes
+                continue
+            seen.add(row)
             text = b.column(2)[i].as_py().encode("utf-8", "replace")
             s = slice(offsets[i], offsets[i + 1])
-            first, n, at = places[s] >> 16, places[s] >> 8 & 0xFF, places[s] & 0xFF
+            first, n = places[s] >> 16, places[s] >> 8 & 0xFF
             good = first + n + LENGTH - 1 <= len(text)
-            spread = hash(row) % SPREAD
-            for f, m, a, h, hot, ok in zip(first.tolist(), n.tolist(), at.tolist(), hashes[s].tolist(), hots[s].tolist(),
-                                           good.tolist(), strict=True):
+            for f, m, h, hot, ok in zip(first.tolist(), n.tolist(), hashes[s].tolist(), hots[s].tolist(), good.tolist(), strict=True):
                 # A row key that two rows share brings places that don't fit; they do no harm.
                 if ok:
-                    shard = spread + 1 if hot else 0
-                    found.setdefault((h, shard, text[f:f + m + LENGTH - 1]), []).append((doc, row, f))
-        if not found:
-            return
-        h = np.array([x[0] for x in found], np.int64)
-        shard = np.array([x[1] for x in found], np.int64)
-        to = ((h.view(np.uint64) >> np.uint64(33)).astype(np.int64) + shard * 7919) % parts
-        texts = [x[2] for x in found]
-        places_ = list(found.values())
-        order = np.argsort(to, kind="stable")
+                    key = h, hot, text[f:f + m + LENGTH - 1]
+                    at = found.setdefault(key, [])
+                    size += 0 if at else len(key[2])
+                    at.append((doc, row, f))
+        return size
+
+    def deal(found: dict[Key, list[tuple[int, int, int]]]) -> pa.RecordBatch:
+        keys = list(found)
+        places = [np.array(at, np.int64) for at in found.values()]
+        # Of equal hot pieces the first ones go on; the others are not first anywhere.
+        gone, gone_sizes = [np.empty((0, 3), np.int64)], [np.empty(0, np.int64)]
+        for k, key in enumerate(keys):
+            if key[1]:
+                places[k], later = _first_places(places[k])
+                gone.append(later)
+                gone_sizes.append(np.full(len(later), len(key[2])))
+        gone, gone_sizes = np.concatenate(gone), np.concatenate(gone_sizes)
+        to = np.array([(xxhash.xxh32_intdigest(k[2]) if k[1] else k[0] >> 33) % parts for k in keys])
+        away = gone[:, 1] % parts
         out = []
-        for g in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-            at = [places_[j] for j in g]
-            flat_ = np.array([p for x in at for p in x], np.int64).reshape(-1, 3)
-            out.append((int(to[g[0]]), pack(
-                h[g], (shard[g] > 0).astype(np.uint8), np.array([len(texts[j]) for j in g], np.int32),
-                np.array([len(x) for x in at], np.int32), np.frombuffer(b"".join(texts[j] for j in g), np.uint8),
-                flat_[:, 0].copy(), flat_[:, 1].copy(), flat_[:, 2].copy())))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
-                                         ["part", "data"])
+        for part in np.unique(np.concatenate((to, away))).tolist():
+            g, leave = np.flatnonzero(to == part).tolist(), away == part
+            at = np.concatenate([places[j] for j in g]) if g else np.empty((0, 3), np.int64)
+            out.append((part, pack(
+                np.array([keys[j][0] for j in g], np.int64), np.array([keys[j][1] for j in g], np.uint8),
+                np.array([len(keys[j][2]) for j in g], np.int32), np.array([len(places[j]) for j in g], np.int32),
+                np.frombuffer(b"".join(keys[j][2] for j in g), np.uint8), *(at[:, c].copy() for c in range(3)),
+                *(gone[leave, c] for c in range(3)), gone_sizes[leave])))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
+                                          ["part", "data"])
 
     return of
 
@@ -331,67 +372,105 @@ def _runs(flags: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, np.flatnonzero(stop) - first + 1
 
 
-SPANS = "row long, id long, start long, size long, window binary"
+SPANS = "row long, id long, start long, size long, hash long, text binary"
 
 
-def _span_batch(row, doc, start, size, window=None) -> pa.RecordBatch:
-    window = pa.nulls(len(row), pa.binary()) if window is None else window
+def _span_batch(row, doc, start, size, hash_=None, text=None) -> pa.RecordBatch:
+    hash_ = pa.nulls(len(row), pa.int64()) if hash_ is None else pa.array(hash_, pa.int64())
+    text = pa.nulls(len(row), pa.binary()) if text is None else pa.array(text, pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
-                                       pa.array(size, pa.int64()), window], ["row", "id", "start", "size", "window"])
+                                       pa.array(size, pa.int64()), hash_, text], ["row", "id", "start", "size", "hash", "text"])
+
+
+def _spans_of(at: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(at), 1 << 16):
+        s = slice(k, k + (1 << 16))
+        yield _span_batch(at[s, 1], at[s, 0], at[s, 2], size[s])
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tasks of step 3: spans that a shard removes, and the first windows of spread anchors, which another shard may have too."""
-    texts: dict[tuple[int, int, bytes], list[np.ndarray]] = {}
+    """Tasks of steps 2 and 3: spans that a shard removes, and the distinct pieces of hot anchors at their first places."""
+    texts: dict[Key, list[np.ndarray]] = {}
+    rest, rest_sizes = [np.empty((0, 3), np.int64)], [np.empty(0, np.int64)]
     for b in batches:
         for x in b.column(0):
-            h, hot, sizes, times, data, doc, row, first = unpack(x.as_py())
+            h, hot, sizes, times, data, doc, row, first, *gone, gone_sizes = unpack(x.as_py())
+            rest.append(np.column_stack(gone))
+            rest_sizes.append(gone_sizes)
             ends, upto = np.cumsum(sizes).tolist(), np.cumsum(times).tolist()
             data = data.tobytes()
             places = np.column_stack((doc, row, first))
             for i, (hash_, s) in enumerate(zip(h.tolist(), hot.tolist(), strict=True)):
-                key = (hash_, s, data[ends[i] - int(sizes[i]):ends[i]])
+                key = (hash_, bool(s), data[ends[i] - int(sizes[i]):ends[i]])
                 texts.setdefault(key, []).append(places[upto[i] - int(times[i]):upto[i]])
-    order = sorted(texts)
-    # Every text keeps its first place, all others are removed as a whole.
-    firsts, rest, rest_sizes = {}, [], []
-    for key in order:
-        at = np.concatenate(texts[key])
-        k = np.lexsort((at[:, 1], at[:, 2], at[:, 0]))
-        at = at[k]
-        firsts[key] = at[0]
-        # Rows that repeat an id and a place have no earlier one among themselves.
-        later = (at[:, 0] != at[0, 0]) | (at[:, 2] != at[0, 2])
-        same = at[~later][1:]
-        if later.any():
-            rest.append(at[later])
-            rest_sizes.append(np.full(int(later.sum()), len(key[2])))
-        if len(same):
-            firsts[key] = np.concatenate((at[:1], same))
-    if rest:
-        at, size = np.concatenate(rest), np.concatenate(rest_sizes)
-        for k in range(0, len(at), 1 << 16):
-            s = slice(k, k + (1 << 16))
-            yield _span_batch(at[s, 1], at[s, 0], at[s, 2], size[s])
+    firsts = {}
+    for key in (order := sorted(texts)):
+        firsts[key], later = _first_places(np.concatenate(texts[key]))
+        rest.append(later)
+        rest_sizes.append(np.full(len(later), len(key[2])))
+    yield from _spans_of(np.concatenate(rest), np.concatenate(rest_sizes))
     del texts, rest, rest_sizes
-    group: list[tuple[int, int, bytes]] = []
-    size = 0
-    for i, key in enumerate(order):
-        group.append(key)
-        size += len(key[2])
-        if size >= CHUNK and (i + 1 == len(order) or order[i + 1][0] != key[0]):
-            yield from _compare(group, firsts)
-            group, size = [], 0
-    if group:
-        yield from _compare(group, firsts)
-
-
-def _compare(keys: list[tuple[int, int, bytes]], firsts: dict) -> Iterator[pa.RecordBatch]:
-    """Spans that differing texts of the same anchors remove from each other."""
-    hashes = np.array([k[0] for k in keys], np.int64)
-    _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    hot = np.array([k[1] for k in keys], bool)
-    keys = [k for k, keep in zip(keys, (counts[inverse] > 1) | hot, strict=True) if keep]
+    hot = [(k, p) for k in order if k[1] for p in firsts[k].tolist()]
+    for i in range(0, len(hot), 1 << 14):
+        part = hot[i:i + (1 << 14)]
+        yield _span_batch([p[1] for _, p in part], [p[0] for _, p in part], [p[2] for _, p in part],
+                          [len(k[2]) for k, _ in part], [k[0] for k, _ in part], [k[2] for k, _ in part])
+    # Cold anchors lie in one shard each, which has all there is to compare.
+    yield from _chunks((k, firsts[k]) for k in order if not k[1])
+
+
+def _chunks(pieces_: Iterator[tuple[Key, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Compare the pieces of anchors, which come together, about ``CHUNK`` bytes at a time."""
+    firsts: dict[Key, np.ndarray] = {}
+    size, last = 0, None
+    for key, places in pieces_:
+        if size >= CHUNK and key[0] != last:
+            yield from _compare(firsts)
+            firsts, size = {}, 0
+        firsts[key] = places
+        size, last = size + len(key[2]), key[0]
+    if firsts:
+        yield from _compare(firsts)
+
+
+def _hot_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tasks of step 3 for the distinct pieces of hot anchors; rows come sorted by anchor and shard.
+
+    A shard of an anchor with several is compared on its own, whatever else the task has.
+    """
+    def shards() -> Iterator[tuple[bool, dict[Key, np.ndarray]]]:
+        now, held = None, {}
+        for b in batches:
+            columns = (b.column(c).to_pylist() for c in ("hash", "shard", "shards", "text", "id", "row", "start"))
+            for h, shard, n, text, doc, row, start in zip(*columns, strict=True):
+                if (h, shard) != now and held:
+                    yield next(iter(held))[1], held
+                    held = {}
+                now, key, place = (h, shard), (h, n > 1, text), np.array([[doc, row, start]], np.int64)
+                held[key] = np.concatenate((held[key], place)) if key in held else place
+        if held:
+            yield next(iter(held))[1], held
+
+    whole: list[dict[Key, np.ndarray]] = []
+    for several, firsts in shards():
+        if several:
+            yield from _compare(firsts)
+        else:
+            whole.append(firsts)
+            if sum(map(len, whole)) >= SHARD:
+                yield from _chunks(x for w in whole for x in w.items())
+                whole = []
+    yield from _chunks(x for w in whole for x in w.items())
+
+
+def _compare(firsts: dict[Key, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Spans that differing pieces of the same anchors remove from each other.
+
+    Pieces marked in their key have their first windows handed on, which other shards may have too.
+    """
+    keys = list(firsts)
+    _, inverse, counts = np.unique(np.array([k[0] for k in keys], np.int64), return_inverse=True, return_counts=True)
+    keys = [k for k, n in zip(keys, counts[inverse].tolist(), strict=True) if n > 1 or k[1]]
     if not keys:
         return
     texts = [k[2] for k in keys]
@@ -400,7 +479,7 @@ def _compare(keys: list[tuple[int, int, bytes]], firsts: dict) -> Iterator[pa.Re
     owner = np.repeat(np.arange(len(texts)), sizes)
     begin = np.cumsum(sizes) - sizes
     offset = np.arange(len(classes)) - begin[owner]
-    places = [np.atleast_2d(firsts[k]) for k in keys]
+    places = [firsts[k] for k in keys]
     head = np.array([p[0] for p in places])
     at = np.flatnonzero(starts_here)
     doc, pos = head[owner[at], 0], head[owner[at], 2] + offset[at]
@@ -417,15 +496,15 @@ def _compare(keys: list[tuple[int, int, bytes]], firsts: dict) -> Iterator[pa.Re
            for p in places[w].tolist()]
     if out:
         yield _span_batch(*zip(*out, strict=True))
-    # The first windows of spread anchors, in the order of the suffix array's classes.
-    hot = np.array([k[1] for k in keys], bool)
-    kept = at[order[~later & hot[owner[at[order]]]]]
+    # The first windows of marked pieces, in the order of the suffix array's classes.
+    marked = np.array([k[1] for k in keys], bool)
+    kept = at[order[~later & marked[owner[at[order]]]]]
     for k in range(0, len(kept), 1 << 14):
         part = kept[k:k + (1 << 14)]
         rows = [(p[1], p[0], p[2] + int(offset[i]), texts[owner[i]][int(offset[i]):int(offset[i]) + LENGTH])
                 for i in part.tolist() for p in places[owner[i]].tolist()]
         row, doc_, start, window = zip(*rows, strict=True)
-        yield _span_batch(row, doc_, start, [LENGTH] * len(rows), pa.array(window, pa.binary()))
+        yield _span_batch(row, doc_, start, [LENGTH] * len(rows), None, window)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,7 +519,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(b):
             continue
         row, doc, start = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        window = np.array([w + b"\x01" for w in b.column(4).to_pylist()], f"S{LENGTH + 1}")
+        window = np.array([w + b"\x01" for w in b.column(5).to_pylist()], f"S{LENGTH + 1}")
         order = np.lexsort((row, start, doc, window))
         window, doc, start, row = window[order], doc[order], start[order], row[order]
         new = np.concatenate(([True], window[1:] != window[:-1]))
@@ -493,13 +572,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blobs = found.select("row", "text").mapInArrow(_anchor_batches(parts), "part int, data binary")
     again = stored(blobs.repartitionById(parts, "part").select("data").mapInArrow(
         _repeated, "row long, hash long, place long, hot boolean"), "anchors")
-    by_row = again.groupBy("row").agg(F.collect_list(F.struct("hash", "place", "hot")).alias("anchors"))  # of one text
+    # A set: rows that repeat an id and a text have the same anchors.
+    by_row = again.groupBy("row").agg(F.collect_set(F.struct("hash", "place", "hot")).alias("anchors"))  # of one text
     texts = found.join(by_row, "row").select("id", "row", "text", "anchors")
     shards = texts.mapInArrow(_cut(parts), "part int, data binary").repartitionById(parts, "part").select("data")
     spans = stored(shards.mapInArrow(_shard, SPANS), "spans")
-    merged = spans.filter("window IS NOT NULL").repartition("window").mapInArrow(_merge, SPANS)
-    merged = stored(merged.select("row", "id", "start", "size"), "merged")
-    spans = spans.filter("window IS NULL").select("row", "id", "start", "size").union(merged)
+    hot = spans.filter("text IS NOT NULL")
+    # As many shards as an anchor's distinct pieces fill; the list of those with several is that much shorter than the pieces.
+    many = hot.groupBy("hash").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards")).filter("shards > 1")
+    dealt = hot.join(stored(many, "many"), "hash", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("text"), F.col("shards"))).repartition("hash", "shard")
+    compared = stored(dealt.sortWithinPartitions("hash", "shard", "text").mapInArrow(_hot_shards, SPANS), "compared")
+    merged = stored(compared.filter("text IS NOT NULL").repartition("text").mapInArrow(_merge, SPANS), "merged")
+    spans = spans.filter("text IS NULL").union(compared.filter("text IS NULL")).union(merged).select("row", "id", "start", "size")
     return stored(spans.distinct().groupBy("row", "id").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("spans")),
                   "removed")
 
