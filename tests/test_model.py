@@ -112,6 +112,23 @@ def test_plugged_in_model(spark):
     assert {(r.model_label, r.model_confidence) for r in absent} == {("N/A", 0.0)}
 
 
+def test_models_are_loaded_once_per_worker(spark, tmp_path):
+    """Many tasks share what their Python workers have loaded."""
+    folder, scorer = str(tmp_path), make_scorer()
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return scorer()
+
+    df = spark.range(400).select(F.concat(F.lit("text "), F.col("id").cast("string")).alias("t")).repartition(40)
+    assert M.score_texts(df, "t", load).where("model_label = 'positive'").count() == 400
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert 1 <= len(loads) == len(set(loads)) <= 8
+
+
 def test_models_are_compared_in_one_pass(spark, split):
     gold = split[0].drop("split")
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from typing import Protocol
 
-import pandas as pd
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from toneflow.functions.labels import decide, label_to_id, normalise_label
 from toneflow.operators.evaluate import classification_report, counts
@@ -29,12 +31,17 @@ class Scorer(Protocol):
 
 ScorerFactory = Callable[[], Scorer | None]
 
+#: Texts that a model is given at a time.
+BATCH = 1000
+
+
 def scored(text: Column, factories: Sequence[ScorerFactory]) -> Column:
     """Struct (label0, probs0, label1, probs1, ...) of a text from plugged-in models.
 
-    Factories run once per task, and texts reach all models in one stream of
-    Arrow batches.  Texts that fail are labelled ``ERROR``, all texts ``N/A``
-    where a factory gives no model.  ``failures`` counts the former.
+    Factories run once per Python worker, which serves one core of an executor
+    for many tasks, and texts reach all models in one stream of batches of
+    ``BATCH``.  Texts that fail are labelled ``ERROR``, all texts ``N/A`` where
+    a factory gives no model.  ``failures`` counts the former.
     """
     # Nested, so that it travels to the executors by value.
     def label(scorer: Scorer | None, texts: list[str]) -> list[tuple[str, dict[str, float]]]:
@@ -48,18 +55,20 @@ def scored(text: Column, factories: Sequence[ScorerFactory]) -> Column:
                 return [("ERROR", {})]
             return [label(scorer, [t])[0] for t in texts]
 
-    fields = ", ".join(f"label{i} string, probs{i} map<string,double>" for i in range(len(factories)))
-
-    @F.pandas_udf(fields)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def load() -> Callable[[np.ndarray], np.ndarray]:
         scorers = [factory() for factory in factories]
-        for texts in batches:
-            values = texts.fillna("").tolist()
-            parts = [pd.DataFrame(label(s, values), columns=[f"label{i}", f"probs{i}"])
-                     for i, s in enumerate(scorers)]
-            yield pd.concat(parts, axis=1)
 
-    return score(text)
+        def answer(texts: np.ndarray) -> np.ndarray:
+            values = [t if isinstance(t, str) else "" for t in texts.tolist()]
+            answers = zip(*[label(s, values) for s in scorers], strict=True)
+            return np.array([json.dumps({k: v for i, (name, probs) in enumerate(row) for k, v in (
+                (f"label{i}", name), (f"probs{i}", {str(p): float(x) for p, x in probs.items()}))}) for row in answers], object)
+
+        return answer
+
+    # Answers travel as JSON: maps are no return type of a batch function.
+    fields = ", ".join(f"label{i} string, probs{i} map<string,double>" for i in range(len(factories)))
+    return F.from_json(predict_batch_udf(load, return_type=StringType(), batch_size=BATCH)(text), fields)
 
 
 def confidence(probs: Column) -> Column:
@@ -200,13 +209,16 @@ def select_variant(
             loss, accuracy = validation_scores(fitted, val_features)
         tried[name] = (fitted, reg_param, loss, accuracy)
     train_features.unpersist()
-    if val_features is None:
-        best = next(iter(tried))
-    else:
+    rows = [(n, r, loss, acc) for n, (_, r, loss, acc) in tried.items()]
+    if val_features is not None:
         val_features.unpersist()
-        best = min(tried, key=lambda n: tried[n][2] if metric == "loss" else -tried[n][3])
-    model = PipelineModel(stages=[*extract.stages, tried[best][0]])
-    return best, model, [(n, r, loss, acc) for n, (_, r, loss, acc) in tried.items()]
+    best = rows[0][0] if val_features is None else best_variant(rows, metric)
+    return best, PipelineModel(stages=[*extract.stages, tried[best][0]]), rows
+
+
+def best_variant(tried: Sequence[tuple[str, float, float, float]], metric: str = "loss") -> str:
+    """The variant with the lowest ``loss`` or the highest ``accuracy``, the first one on ties."""
+    return min(tried, key=lambda t: t[2] if metric == "loss" else -t[3])[0]
 
 
 def evaluate(model: PipelineModel | str, df: DataFrame) -> DataFrame:
