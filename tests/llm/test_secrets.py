@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from toneflow.llm import queries, secrets
 
@@ -78,4 +80,40 @@ def test_words_and_letter_pairs_are_those_of_the_whole_texts(documents):
     assert pairs["ze"] == pytest.approx(0.0) and pairs["ve"] == pytest.approx(0.0)
     # e goes on to b 6 times, to m 3 times, to r 200 times and to f once; z is last in quartz.
     assert pairs["er"] == pytest.approx(math.log(200 / 210)) and pairs["eb"] == pytest.approx(math.log(6 / 210))
-    assert "7z" not in pairs and "em" not in pairs
+    # Digits and signs count; what no value has isn't handed back.
+    assert pairs["7z"] == pytest.approx(0.0) and "em" not in pairs and "m!" not in pairs
+
+
+def test_a_word_of_a_million_characters(documents):
+    """Counting is linear in a word's length, also beyond the first plane."""
+    docs = documents([(1, "aé7😀" * 250_000), (2, "b" * 1_000_000 + " xy xy")])
+    values = docs.sparkSession.createDataFrame([("aé7😀a",), ("bbxy",)], "value string")
+    dictionary, pairs = secrets.dictionary_of(docs, values)
+    assert {p: round(c, 9) for p, c in pairs.items()} == {"aé": 0.0, "é7": 0.0, "7😀": 0.0, "😀a": 0.0, "bb": 0.0, "xy": 0.0}
+
+
+def test_decoys_are_told_from_secrets(spark, documents):
+    """Labelled findings of one half of the documents; decoys of the other half stay, secrets go."""
+    rng = random.Random(4)
+
+    def hexa(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    rows, truth = [], {}
+    for i in range(240):
+        secret = i % 2 == 0
+        value = rng.choice([hexa(40), "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOP234567") for _ in range(16))]) if secret else rng.choice(
+            [f"img_{rng.randint(1000, 9999)}_{rng.choice(['large', 'small'])}.png", f"{hexa(8)}-{hexa(4)}-4{hexa(3)}-{hexa(4)}-{hexa(12)}",
+             f"sha256/{hexa(64)}", f"user{rng.randint(10, 99)}.name@mail.example"])
+        name = rng.choice(["password = ", "secret: "]) if secret else rng.choice(["checksum ", "picture ", "id "])
+        rows.append((i, f"{prose(i, 12)} {name}{value} {prose(1000 + i, 12)}"))
+        truth[i] = (value, secret)
+    docs = documents(rows)
+    found = secrets.find(docs)
+    known = spark.createDataFrame([(i, v, float(s)) for i, (v, s) in truth.items() if i % 4 < 2], "doc long, real string, label double")
+    labelled = found.join(known, (F.col("id") == F.col("doc")) & (F.col("value") == F.col("real"))).drop("doc", "real")
+    got = [r for r in secrets.scan(docs, labelled).collect() if r["id"] % 4 >= 2 and r["value"] == truth[r["id"]][0]]
+    hits = sum(r["secret"] and truth[r["id"]][1] for r in got)
+    false = sum(r["secret"] and not truth[r["id"]][1] for r in got)
+    print(f"precision {hits / max(1, hits + false):.3f}, recall {hits / sum(truth[r['id']][1] for r in got):.3f}, of {len(got)} held-out findings")
+    assert len(got) > 80 and hits / (hits + false) >= 0.95 and hits >= 0.95 * sum(truth[r["id"]][1] for r in got)

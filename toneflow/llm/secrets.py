@@ -144,20 +144,23 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
 
 
 def letter_pairs(text: Column) -> Column:
-    """All pairs of neighbouring characters, in order."""
-    return F.when(F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substr(text, i, F.lit(2))))
+    """All pairs of neighbouring characters, in order; looking ahead finds overlapping ones in one pass."""
+    return F.regexp_extract_all(text, F.lit(r"(?s)(?=([^\x{DC00}-\x{DFFF}].))"), F.lit(1))
 
 
 def dictionary_of(docs: DataFrame, values: DataFrame, text_col: str = "text",
                   words: int = DICTIONARY) -> tuple[frozenset[str], dict[str, float]]:
-    """The most frequent words of all texts, and the log-probabilities of the letter pairs of all words.
+    """The most frequent words of all texts, and the log-probabilities of the pairs of characters in all that blanks separate.
 
-    Only pairs that occur in the column ``value`` of ``values`` are handed back.
+    Pairs have letters, digits and signs.  Only those that occur in the column
+    ``value`` of ``values`` are handed back.
     """
-    word = F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word")
-    counts = stored(docs.select(word).filter("word != ''").groupBy("word").count(), "words")
-    rows = counts.filter("length(word) BETWEEN 3 AND 16 AND count >= 3").orderBy(F.desc("count"), "word").limit(words).collect()
-    pairs = counts.select("count", F.explode(letter_pairs(F.col("word"))).alias("pair"))
+    run = F.explode(F.split(F.lower(F.col(text_col)), r"\s+")).alias("run")
+    runs = stored(docs.select(run).filter("run != ''").groupBy("run").count(), "runs")
+    spelled = runs.select("count", F.explode(F.split("run", r"[^\p{L}]+")).alias("word"))
+    counts = spelled.filter("length(word) BETWEEN 3 AND 16").groupBy("word").agg(F.sum("count").alias("count"))
+    rows = counts.filter("count >= 3").orderBy(F.desc("count"), "word").limit(words).collect()
+    pairs = runs.select("count", F.explode(letter_pairs(F.col("run"))).alias("pair"))
     pairs = stored(pairs.groupBy("pair").agg(F.sum("count").alias("n")), "pairs").withColumn("letter", F.substring("pair", 1, 1))
     firsts = pairs.groupBy("letter").agg(F.sum("n").alias("all"))
     asked = values.select(F.explode(letter_pairs(F.lower(F.col("value")))).alias("pair")).distinct()
