@@ -50,14 +50,13 @@ def test_query_against_brute_force(spark):
         rule, verdict = listed(*parts(u))
         if rule:
             seen[t, verdict] = seen.get((t, verdict), 0) + 1
-    weight = {k: min(1000, int(-(-(n ** 0.5) // 1))) for k, n in seen.items()}
-    total, counts, both = sum(weight.values()), {}, {}
-    for (t, v), n in weight.items():
+    total, counts, both = sum(seen.values()), {}, {}
+    for (t, v), n in seen.items():
         for k in range(1, len(t) + 1):
             for c in combinations(t, k):
                 counts[c] = counts.get(c, 0) + n
                 both[c, v] = both.get((c, v), 0) + n
-    least = 0.002 * total
+    least = max(2, 0.002 * total)
     rules = {(c, v): (n / counts[c], n / total) for (c, v), n in both.items() if n >= least and n / counts[c] >= 0.8}
     kept = {(c, v): s for (c, v), s in rules.items()
             if not any(rules.get((d, v), (0, 0))[0] >= s[0] for d in combinations(c, len(c) - 1))}
@@ -82,6 +81,20 @@ def test_labelled_urls_decide(spark, pages):
     assert got == {1: "block", 2: "allow", 3: "allow"}
 
 
+def test_urls_of_many_tokens(spark, pages):
+    """Tokens that always come together are one item, so no set of them is mined; a single labelled url makes no rule."""
+    rules = spark.createDataFrame([("a.com", "/x", "block")], "host string, path string, verdict string")
+    long = "/".join(f"segment-{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    one = [(1, f"http://a.com/x/{long}"), (2, f"http://b.com/{long}")]
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(pages(one), rules).collect()} == {1: "block", 2: "allow"}
+    known = [(f"http://h{k}.org/{long}", "block") for k in range(3)] + [("http://good.org/fine", "allow")] * 3
+    labelled = spark.createDataFrame(known, "url string, verdict string")
+    # Any token of the class will do.
+    asked = [(1, "http://q.net/segment-bc/else"), (2, "http://q.net/fine"), (3, "http://q.net/none")]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages(asked), rules, labelled).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
 def test_support_and_confidence_are_those_of_the_urls(spark):
     """One token set of very many blocked urls against many sets of a few allowed ones that share its path token."""
     rows = [(["host:spam", "path:p"], "block", 1_200_000)] + [([f"host:h{i}", "path:p"], "allow", 2) for i in range(1500)]

@@ -6,6 +6,11 @@ rule goes when a more general one says the same at least as surely.  Rules are
 found through an inverted index: each is entered under its rarest token, URLs
 look up their tokens, and the rest of the rule is compared.
 
+Tokens that occur in the same labelled URLs and in no others, such as the
+segments of a path that only one site has, are mined as one item, a class: any
+of them stands for all, as their rules would say the same.  So a URL of very
+many tokens does not have every set of them mined.
+
 URLs that differ in numbers only have the same tokens, so the work is done
 once per token set and not once per page.
 """
@@ -21,6 +26,8 @@ from toneflow.llm.tables import stored
 
 #: Transactions that a task writes of one row at a time.
 PART = 1000
+#: Labelled urls that a rule must hold for, however few there are.
+LEAST = 2
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -73,23 +80,47 @@ def judge_by_list(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return best.select("url", "best.rule", "best.listed")
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, labelled_rows: int = 50_000) -> DataFrame:
-    """(tokens, verdict, confidence, support) of the rules that (tokens, verdict, n) rows yield.
+def classes(labelled: DataFrame) -> DataFrame:
+    """(token, item) of (tokens, verdict, n) rows: tokens of the same rows have the same item, the smallest of them."""
+    rows = labelled.select(F.explode("tokens").alias("token"), F.xxhash64("tokens", "verdict").cast("decimal(38,0)").alias("row"),
+                           F.xxhash64("verdict", "tokens", F.lit(1)).cast("decimal(38,0)").alias("again"))
+    where = stored(rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("row").alias("row"), F.sum("again").alias("again")), "where")
+    items = where.groupBy("n", "row", "again").agg(F.min("token").alias("item"))
+    return where.join(items, ["n", "row", "again"]).select("token", "item")
+
+
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, labelled_rows: int = 50_000,
+         least: int = LEAST) -> DataFrame:
+    """(tokens, verdict, confidence, support, classes) of the rules that (tokens, verdict, n) rows yield.
 
     ``n`` counts the urls of a row, and support and confidence are those of the
-    urls: every row is as many transactions as it has urls.  At most
+    urls: every row is as many transactions as it has urls.  A rule holds for at
+    least ``least`` urls, and for a share of ``support`` of them.  At most
     ``labelled_rows`` different rows are used, those with the smallest hashes.
-    Verdicts are ``allow`` and ``block``.  Without rows there are no rules.
+    Verdicts are ``allow`` and ``block``.  Without enough rows there are no
+    rules.  ``tokens`` are items; ``classes`` lists (token, item) of those that
+    stand for an item of the rule.
     """
-    sample = labelled.orderBy(F.xxhash64("tokens", "verdict"), "verdict").limit(labelled_rows)
+    sample = stored(labelled.orderBy(F.xxhash64("tokens", "verdict"), "verdict").limit(labelled_rows), "sample")
+    total = sample.agg(F.sum("n")).first()[0] or 0
+    empty = "tokens array<string>, verdict string, confidence double, support double, classes array<struct<token:string,item:string>>"
+    if total < least:
+        return labelled.sparkSession.createDataFrame([], empty)
+    item_of = stored(classes(sample), "classes")
+    # Only rows and tokens of the sample are shuffled here, which has a bounded number of rows.
+    row = F.struct("tokens", "verdict", "n").alias("of")
+    items = sample.select(row, F.explode("tokens").alias("token")).join(item_of, "token").groupBy("of").agg(F.collect_set("item").alias("items"))
+    items = items.select(F.array_sort("items").alias("tokens"), "of.verdict", "of.n")
     # A row of many urls is dealt out in parts before it is repeated, so that no task writes all of a large one.
-    parts = sample.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"), "n",
-                          F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PART))).alias("part"))
+    parts = items.select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"), "n",
+                         F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / PART))).alias("part"))
     parts = parts.repartition(int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")), "items", "part")
     times = F.least(F.col("n") - F.col("part") * PART, F.lit(PART)).cast("int")
     rows = parts.select("items", F.explode(F.array_repeat(F.lit(0), times)).alias("nth")).select("items")
     rows = stored(rows, "transactions")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
+    # A little less than the least share, whose product with the total may be rounded up.
+    share = max(support, (least - 0.5) / total)
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(rows)
     found = model.associationRules.filter(F.col("consequent")[0].startswith("verdict:"))
     found = found.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 9, 99).alias("verdict"),
                          "confidence", "support")
@@ -100,24 +131,32 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
         F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))).alias("tokens"))
     needless = smaller.join(found, ["tokens", "verdict"]).filter("confidence >= sure").select(
         F.col("of").alias("tokens"), "verdict").distinct()
-    return stored(found.join(needless, ["tokens", "verdict"], "left_anti"), "pruned")
+    kept = found.join(needless, ["tokens", "verdict"], "left_anti")
+    pairs = kept.select("tokens", "verdict", F.explode("tokens").alias("item")).join(item_of, "item")
+    named = pairs.groupBy("tokens", "verdict").agg(F.collect_list(F.struct("token", "item")).alias("classes"))
+    return stored(kept.join(named, ["tokens", "verdict"]), "pruned")
 
 
 def judge_by_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, mined) of every token set that a mined rule fits.
+    """(tokens, mined) of every token set that a mined rule fits: it has a token of each of the rule's items.
 
     The surest rule wins, then the better supported, then the one with more
     tokens, then ``block`` before ``allow``.
     """
+    item_of = stored(rules.select(F.explode("classes").alias("c")).select("c.token", "c.item").distinct(), "items")
+    sets = sets.select("tokens", F.explode("tokens").alias("token")).join(item_of, "token").groupBy("tokens").agg(
+        F.collect_set("item").alias("items"))
+    sets = stored(sets, "item_sets")
+    rules = rules.drop("classes")
     counts = rules.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    frequent = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("seen"))
+    frequent = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("seen"))
     # The rarest token among the sets; tokens that none has can't match.
     rarity = counts.join(frequent, "token").select("token", "seen")
     index = rules.select("*", F.explode("tokens").alias("token")).join(rarity, "token").groupBy(
         "tokens", "verdict", "confidence", "support").agg(F.min_by("token", F.struct("seen", "token")).alias("token"))
     index = stored(index.withColumnRenamed("tokens", "needed"), "index")
-    at = sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    fits = at.filter(F.size(F.array_except("needed", "tokens")) == 0)
+    at = sets.select("tokens", "items", F.explode("items").alias("token")).join(index, "token")
+    fits = at.filter(F.size(F.array_except("needed", "items")) == 0)
     order = F.struct("confidence", "support", F.size("needed"), F.col("verdict") == "block")
     return fits.groupBy("tokens").agg(F.max_by("verdict", order).alias("mined"))
 
