@@ -283,15 +283,22 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 Key = tuple[int, bool, bytes]
 
 
-def _first_places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the (doc, row, place) of a piece those that are first, and the others.
+def _first_places(piece: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the (doc, row, place) of all pieces those that are first in their piece, with it, and the others, with it.
 
-    Rows that repeat an id and a place have no earlier one among themselves.
+    Rows that repeat an id and a place have no earlier one among themselves; what is listed twice counts once.
     """
-    at = np.unique(at, axis=0)
-    at = at[np.lexsort((at[:, 1], at[:, 2], at[:, 0]))]
-    first = (at[:, 0] == at[0, 0]) & (at[:, 2] == at[0, 2])
-    return at[first], at[~first]
+    order = np.lexsort((at[:, 1], at[:, 2], at[:, 0], piece))
+    piece, at = piece[order], at[order]
+    new = np.ones(len(piece), bool)
+    new[1:] = piece[1:] != piece[:-1]
+    fresh = new.copy()
+    fresh[1:] |= (at[1:] != at[:-1]).any(axis=1)
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(piece)), 0))
+    first = (at[:, 0] == at[lead, 0]) & (at[:, 2] == at[lead, 2])
+    later = fresh & ~first
+    first &= fresh
+    return piece[first], at[first], piece[later], at[later]
 
 
 def _cut(parts: int):
@@ -335,26 +342,23 @@ def _cut(parts: int):
 
     def deal(found: dict[Key, list[tuple[int, int, int]]]) -> pa.RecordBatch:
         keys = list(found)
-        places = [np.array(at, np.int64) for at in found.values()]
-        # Of equal hot pieces the first ones go on; the others are not first anywhere.
-        gone, gone_sizes = [np.empty((0, 3), np.int64)], [np.empty(0, np.int64)]
-        for k, key in enumerate(keys):
-            if key[1]:
-                places[k], later = _first_places(places[k])
-                gone.append(later)
-                gone_sizes.append(np.full(len(later), len(key[2])))
-        gone, gone_sizes = np.concatenate(gone), np.concatenate(gone_sizes)
+        sizes = np.array([len(k[2]) for k in keys], np.int64)
+        times = np.fromiter(map(len, found.values()), np.int64, len(keys))
+        at = np.array([p for places in found.values() for p in places], np.int64).reshape(-1, 3)
+        # Of equal pieces the first ones go on; the others are not first anywhere.
+        piece, at, gone_piece, gone = _first_places(np.repeat(np.arange(len(keys)), times), at)
+        upto = np.searchsorted(piece, np.arange(len(keys) + 1))
         to = np.array([(xxhash.xxh32_intdigest(k[2]) if k[1] else k[0] >> 33) % parts for k in keys])
         away = gone[:, 1] % parts
         out = []
         for part in np.unique(np.concatenate((to, away))).tolist():
-            g, leave = np.flatnonzero(to == part).tolist(), away == part
-            at = np.concatenate([places[j] for j in g]) if g else np.empty((0, 3), np.int64)
+            g, leave = np.flatnonzero(to == part), away == part
+            mine = [keys[j] for j in g.tolist()]
+            here = np.concatenate([at[upto[j]:upto[j + 1]] for j in g.tolist()]) if len(g) else at[:0]
             out.append((part, pack(
-                np.array([keys[j][0] for j in g], np.int64), np.array([keys[j][1] for j in g], np.uint8),
-                np.array([len(keys[j][2]) for j in g], np.int32), np.array([len(places[j]) for j in g], np.int32),
-                np.frombuffer(b"".join(keys[j][2] for j in g), np.uint8), *(at[:, c].copy() for c in range(3)),
-                *(gone[leave, c] for c in range(3)), gone_sizes[leave])))
+                np.array([k[0] for k in mine], np.int64), np.array([k[1] for k in mine], np.uint8), sizes[g].astype(np.int32),
+                np.diff(upto)[g].astype(np.int32), np.frombuffer(b"".join(k[2] for k in mine), np.uint8),
+                *(here[:, c].copy() for c in range(3)), *(gone[leave, c] for c in range(3)), sizes[gone_piece[leave]])))
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
                                           ["part", "data"])
 
@@ -390,33 +394,34 @@ def _spans_of(at: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tasks of steps 2 and 3: spans that a shard removes, and the distinct pieces of hot anchors at their first places."""
-    texts: dict[Key, list[np.ndarray]] = {}
-    rest, rest_sizes = [np.empty((0, 3), np.int64)], [np.empty(0, np.int64)]
+    number: dict[Key, int] = {}
+    none = np.empty((0, 3), np.int64)
+    piece, at, rest, rest_sizes = [none[:, 0]], [none], [none], [none[:, 0]]
     for b in batches:
         for x in b.column(0):
             h, hot, sizes, times, data, doc, row, first, *gone, gone_sizes = unpack(x.as_py())
             rest.append(np.column_stack(gone))
             rest_sizes.append(gone_sizes)
-            ends, upto = np.cumsum(sizes).tolist(), np.cumsum(times).tolist()
-            data = data.tobytes()
-            places = np.column_stack((doc, row, first))
-            for i, (hash_, s) in enumerate(zip(h.tolist(), hot.tolist(), strict=True)):
-                key = (hash_, bool(s), data[ends[i] - int(sizes[i]):ends[i]])
-                texts.setdefault(key, []).append(places[upto[i] - int(times[i]):upto[i]])
-    firsts = {}
-    for key in (order := sorted(texts)):
-        firsts[key], later = _first_places(np.concatenate(texts[key]))
-        rest.append(later)
-        rest_sizes.append(np.full(len(later), len(key[2])))
-    yield from _spans_of(np.concatenate(rest), np.concatenate(rest_sizes))
-    del texts, rest, rest_sizes
-    hot = [(k, p) for k in order if k[1] for p in firsts[k].tolist()]
+            ends, data = np.cumsum(sizes).tolist(), data.tobytes()
+            who = [number.setdefault((hash_, bool(s), data[e - n:e]), len(number))
+                   for hash_, s, e, n in zip(h.tolist(), hot.tolist(), ends, sizes.tolist(), strict=True)]
+            piece.append(np.repeat(np.array(who, np.int64), times))
+            at.append(np.column_stack((doc, row, first)))
+    keys = sorted(number)
+    rank = np.empty(len(keys), np.int64)
+    rank[[number[k] for k in keys]] = np.arange(len(keys))
+    sizes = np.array([len(k[2]) for k in keys], np.int64)
+    piece, at, later, gone = _first_places(rank[np.concatenate(piece)], np.concatenate(at))
+    yield from _spans_of(np.concatenate((*rest, gone)), np.concatenate((*rest_sizes, sizes[later])))
+    del number, rest, rest_sizes, later, gone
+    hot = np.flatnonzero(np.array([k[1] for k in keys], bool)[piece])
     for i in range(0, len(hot), 1 << 14):
-        part = hot[i:i + (1 << 14)]
-        yield _span_batch([p[1] for _, p in part], [p[0] for _, p in part], [p[2] for _, p in part],
-                          [len(k[2]) for k, _ in part], [k[0] for k, _ in part], [k[2] for k, _ in part])
+        some = hot[i:i + (1 << 14)]
+        mine, place = [keys[p] for p in piece[some].tolist()], at[some]
+        yield _span_batch(place[:, 1], place[:, 0], place[:, 2], sizes[piece[some]], [k[0] for k in mine], [k[2] for k in mine])
     # Cold anchors lie in one shard each, which has all there is to compare.
-    yield from _chunks((k, firsts[k]) for k in order if not k[1])
+    upto = np.searchsorted(piece, np.arange(len(keys) + 1)).tolist()
+    yield from _chunks((k, at[upto[i]:upto[i + 1]]) for i, k in enumerate(keys) if not k[1])
 
 
 def _chunks(pieces_: Iterator[tuple[Key, np.ndarray]]) -> Iterator[pa.RecordBatch]:
