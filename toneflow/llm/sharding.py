@@ -138,5 +138,6 @@ def write_shards(docs: DataFrame, path: str, shards: int, seed: int = SEED, part
     run = div(F.col("slot"), most)
     out = rows.join(places, row).drop(row).withColumn(f"{OWN}run", run)
     out = out.repartitionByRange(shards * parts, "shard", f"{OWN}run").sortWithinPartitions("shard", f"{OWN}run", "slot")
-    out.drop(f"{OWN}run").write.partitionBy("shard").mode("overwrite").parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    out = out.drop(f"{OWN}run")
+    out.write.partitionBy("shard").mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(out.schema).parquet(path)
