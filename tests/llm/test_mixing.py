@@ -85,3 +85,32 @@ def test_repeated_rows_and_null_ids_have_their_own_copies(documents):
         assert total - 11 <= sum(r["taken"] for r in got) <= total
     # With the budget for all copies, every row is there with both.
     assert len(got) == len(rows) and {r["copies"] for r in got} == {2}
+
+
+def test_hot_null_ids_spread_over_the_cells(spark):
+    """A third of the rows without an id, of one text: no cell of the shuffle, no range and no task holds them."""
+    text = " ".join(["w"] * 8)
+    hot = spark.range(0, 4000, 1, 6).selectExpr("CAST(NULL AS LONG) AS doc_id", f"'{text}' AS text", "'a' AS source")
+    rest = spark.range(0, 8000, 1, 6).selectExpr("id AS doc_id", "repeat('v ', CAST(id % 9 AS INT)) AS text", "IF(id % 3 = 0, 'a', 'b') AS source")
+    docs = hot.union(rest)
+    sizes = mixing.stored(docs.selectExpr("doc_id AS id", "source", "size(split(text, ' ')) AS size", "xxhash64(text) AS hash",
+                                          "monotonically_increasing_id() AS nth"), "sizes")
+    keys = mixing.numbered(sizes, 7)
+    assert keys.select("order").distinct().count() == 12_000
+    cells = keys.filter("id IS NULL").selectExpr("substring(order, 1, 3) AS c").groupBy("c").count().toPandas()["count"]
+    assert cells.max() <= 12 and cells.sum() == 4000
+    got = mixing.taken(docs, [5.0, 2.0, 1.0])
+    assert got.count() == 12_000
+    first, again = (sorted(map(tuple, d.collect()), key=str) for d in (got, mixing.taken(docs.repartition(5), [5.0, 2.0, 1.0])))
+    assert first == again
+
+
+def test_copies_are_in_the_order_of_finish(spark, documents):
+    docs = documents([(i, " ".join(["w"] * (1 + i % 40)), "en", "abc"[i % 3], 0) for i in range(900)]).repartition(6)
+    copies, shares, _ = mixing.mix(docs, [5.0, 2.0, 1.0])
+    spans = copies.groupBy("range").agg({"finish": "min", "*": "count"}).join(
+        copies.groupBy("range").agg({"finish": "max"}), "range").orderBy("range").collect()
+    assert len(spans) >= 1
+    assert all(a["max(finish)"] <= b["min(finish)"] for a, b in zip(spans, spans[1:]))
+    total = 1.5 * sum(r["source_size"] for r in shares.collect())
+    assert total - 40 <= copies.selectExpr("sum(size)").first()[0] <= total

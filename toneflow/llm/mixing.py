@@ -5,9 +5,10 @@ of a copy is the number of tokens of its source up to its end, divided by the
 source's target.  All queues are then merged in the order of finish times and
 cut where the total budget is spent.
 
-No queue is sorted as a whole.  The shuffle key of a document is a hash; its
-leading bits are a cell, cells are summed per source, and rows are ordered
-within cells only.  The cut works the same way on cells of finish times.
+No queue is sorted by one task.  The shuffle key of a document is a hash; its
+leading digits are a cell, cells are summed per source, and rows are ordered
+within cells only.  Copies are sorted by finish time in ranges; the sums of the
+ranges tell in which one the budget ends, and only that one is summed row by row.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from toneflow.llm.tables import OWN, stored
 
-#: Leading hex digits of a shuffle key that name its cell; cells of the finish times, which lie between 0 and about 1.
-CELL_DIGITS, FINISH_CELLS = 3, 1 << 14
+#: Leading hex digits of a shuffle key that name its cell.
+CELL_DIGITS = 3
 
 
 def size_in_words(text: Column) -> Column:
@@ -53,80 +54,86 @@ def targets(sizes: DataFrame, weights: list[float], budget: float, epochs: int)
         F.least(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap")).cast("double").alias("target"))
 
 
-def queue(sizes: DataFrame, shares: DataFrame, epochs: int, seed: int) -> DataFrame:
-    """(id, source, size, row, copy, source_size, target, finish): every copy of a document of some size with its virtual finish time.
+def numbered(sizes: DataFrame, seed: int) -> DataFrame:
+    """Add ``order``, the shuffle key of a row, to (id, source, size, hash, nth).
 
-    ``row`` tells rows apart that agree in id, source and size.
+    Rows that agree in id, source, size and text are numbered, and the number is
+    part of the key: they spread over the queue, and which row has which number
+    changes nothing that can be seen.  Numbers run on over the partitions that
+    ``nth`` names in its upper bits, so equal rows are never in one task.
     """
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("-")), F.col("size").cast("string")))
-    cell = F.substring(order, 1, CELL_DIGITS)
-    rows = sizes.filter("size > 0").select("id", "source", "size", "row", order.alias("order"), cell.alias("cell"))
+    said = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("id", "size", "hash")]
+    rows = sizes.withColumn("same", F.md5(F.concat_ws("|", F.lit(str(seed)), *said, F.col("source")))).withColumn(
+        "part", F.shiftright("nth", 33))
+    within = F.row_number().over(Window.partitionBy("same", "part").orderBy("nth"))
+    earlier = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = rows.groupBy("same", "part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(earlier))
+    ahead = stored(ahead.filter("before > 0").select("same", "part", "before"), "repeats")
+    number = F.col("within") + F.coalesce("before", F.lit(0))
+    out = rows.withColumn("within", within).join(ahead, ["same", "part"], "left")
+    return out.select(*sizes.columns, F.md5(F.concat_ws("|", "same", number.cast("string"))).alias("order"))
+
+
+def queue(sizes: DataFrame, shares: DataFrame, epochs: int, seed: int) -> DataFrame:
+    """(id, source, size, nth, order, copy, source_size, target, finish): every copy of a row of some size with its virtual finish time."""
     source = F.col("source").isNull(), F.coalesce("source", F.lit(""))
-    rows = rows.withColumn("no_source", source[0]).withColumn("source", source[1])
+    rows = numbered(sizes.filter("size > 0"), seed).withColumn("cell", F.substring("order", 1, CELL_DIGITS))
+    rows = stored(rows.withColumn("no_source", source[0]).withColumn("source", source[1]), "shuffled")
     cells = rows.groupBy("no_source", "source", "cell").agg(F.sum("size").alias("cell_size"))
     earlier = Window.partitionBy("no_source", "source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = stored(cells.withColumn("ahead", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0))).drop("cell_size"), "cells")
-    within = Window.partitionBy("no_source", "source", "cell").orderBy("order", "id", "size", "row").rowsBetween(
-        Window.unboundedPreceding, 0)
+    within = Window.partitionBy("no_source", "source", "cell").orderBy("order", "nth").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(within)).join(cells, ["no_source", "source", "cell"])
     shares = shares.select(F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source"),
                            "source_size", "target")
     rows = rows.join(shares, ["no_source", "source"]).filter("target > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     finish = (F.col("ahead") + F.col("upto") + F.col("copy") * F.col("source_size")) / F.col("target")
-    return rows.select("id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "row", "copy",
+    return rows.select("id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "size", "nth", "order", "copy",
                        "source_size", "target", finish.alias("finish"))
 
 
 def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int = 2, seed: int = 7,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", nth: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The copies that are taken, the targets of the sources, and the sizes of the documents.
 
-    Copies are (id, source, size, row, copy, source_size, target, finish), to
-    be read in the order of ``finish``; whole documents are taken, so a source
-    ends within one document of its target.  Texts without words are never
-    taken; a null source is a source of its own; documents with equal ids and
-    sizes are told apart by ``row`` if it is given, otherwise by nothing, and
-    share a place in the queue in turn; null ids queue like others.  Without
-    words at all no copy is taken.
+    Copies are (id, source, size, nth, order, copy, source_size, target, finish,
+    range): ranges follow each other in the order of ``finish``, and the rows of
+    one are stored in that order.  ``nth`` is the place of a row of ``docs``, a
+    stored ``monotonically_increasing_id`` if it is given.  Whole documents are
+    taken, so a source ends within one document of its target.  Texts without
+    words are never taken; a null source is a source of its own; equal rows and
+    null ids queue like others, every row for itself.  Without words at all no
+    copy is taken.
     """
-    sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                               size_in_words(F.col(text_col)).alias("size"), (F.lit(0) if row is None else row).alias("row")), "sizes")
+    sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_in_words(F.col(text_col)).alias("size"),
+                               F.xxhash64(text_col).alias("hash"), (F.monotonically_increasing_id() if nth is None else nth).alias("nth")), "sizes")
     shares = stored(targets(sizes, weights, budget, epochs), "targets")
-    copies = stored(queue(sizes, shares, epochs, seed), "queue")
+    place = ["finish", "order", "copy"]
+    ranged = queue(sizes, shares, epochs, seed).repartitionByRange(*place).sortWithinPartitions(*place)
+    copies = stored(ranged.withColumn("range", F.spark_partition_id()), "queue")
     # Not the sum of the targets, whose last bits depend on the order of adding.
     total = (shares.agg(F.sum("source_size")).first()[0] or 0) * min(budget, epochs)
-    cell = F.floor(F.least("finish", F.lit(2.0)) * FINISH_CELLS)
-    sums = copies.groupBy(cell.alias("cell")).agg(F.sum("size").alias("cell_size"))
-    running = F.sum("cell_size").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
-    first = sums.withColumn("upto", running).filter(F.col("upto") > total).orderBy("cell").first()
+    sums = copies.groupBy("range").agg(F.sum("size").alias("range_size"))
+    running = F.sum("range_size").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    first = sums.withColumn("upto", running).filter(F.col("upto") > total).orderBy("range").first()
     if first is None:
         return copies, shares, sizes
-    at, ahead = first["cell"], first["upto"] - first["cell_size"]
-    last = copies.filter(cell == at)
-    upto = F.sum("size").over(Window.orderBy("finish", "source", "id", "size", "copy", "row").rowsBetween(Window.unboundedPreceding, 0))
-    last = last.withColumn("upto", upto).filter(F.col("upto") + F.lit(ahead) <= F.lit(total)).drop("upto")
-    return copies.filter(cell < at).union(last), shares, sizes
+    at, ahead = first["range"], first["upto"] - first["range_size"]
+    upto = F.sum("size").over(Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, 0))
+    last = copies.filter(F.col("range") == at).withColumn("upto", upto).filter(F.col("upto") + F.lit(ahead) <= F.lit(total)).drop("upto")
+    return copies.filter(F.col("range") < at).union(last), shares, sizes
 
 
 def taken(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int = 2, seed: int = 7,
           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, size, source_size, target, taken) of every row of ``docs``; ``taken`` counts words, repeats included."""
     copies, shares, sizes = mix(docs, weights, budget, epochs, seed, id_col, text_col, source_col)
+    took = copies.groupBy("nth").agg(F.sum("size").alias("taken"))
     source = F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source")
-    parts = copies.select("id", *source, "size", F.col("size").alias("taken")).union(
-        sizes.select("id", *source, "size", F.lit(0).cast("long")))
-    # Rows that agree in id, source and size share what their copies take; copies count per row.
-    rows = sizes.groupBy("id", *source, "size").agg(F.count("*").alias("rows"))
-    sums = parts.groupBy("id", "no_source", "source", "size").agg(F.sum("taken").alias("all"))
-    key = ["id", "no_source", "source", "size"]
-    both = sums.alias("a").join(rows.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key])
-    both = both.select(*[F.col(f"a.{k}").alias(k) for k in key], "all", F.explode(F.sequence(F.lit(1), "rows")).alias("nth"))
-    # The first rows of equal ones take two copies, then one, then none.
-    took = F.greatest(F.lit(0), F.least(F.col("size") * epochs, F.col("all") - (F.col("nth") - 1) * F.col("size") * epochs))
     named = shares.select(*source, "source_size", "target")
-    out = both.withColumn("taken", took.cast("long")).join(named, ["no_source", "source"])
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+    out = sizes.select("id", *source, "size", "nth").join(took, "nth", "left").join(named, ["no_source", "source"])
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mixture(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int = 2, seed: int = 7,
@@ -140,10 +147,8 @@ def mixture(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs:
     """
     row, new = f"{OWN}row", ("taken", "copies", "finish_times")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    # Rows that agree in id, source and size queue in the order of their texts.
-    place = F.struct(F.xxhash64(text_col).alias("hash"), F.col(row).alias("nth"))
-    copies, _, _ = mix(rows, weights, budget, epochs, seed, id_col, text_col, source_col, place)
-    of = copies.groupBy(F.col("row")["nth"].alias(row)).agg(
+    copies, _, _ = mix(rows, weights, budget, epochs, seed, id_col, text_col, source_col, F.col(row))
+    of = copies.groupBy(F.col("nth").alias(row)).agg(
         F.sum("size").alias(f"{OWN}taken"), F.sort_array(F.collect_list("finish")).alias(f"{OWN}times"))
     out = rows.drop(*new).join(stored(of, "decisions"), row)
     times = F.col(f"{OWN}times")
