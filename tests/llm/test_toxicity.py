@@ -34,6 +34,51 @@ def test_restored_words(model, disguised, word):
     assert toxicity.reading(disguised, model.costs, model.weights) == word
 
 
+@pytest.mark.parametrize("text, word", [
+    ("you are a m o r o n now", "moron"), ("y o u i d i o t", "idiot"), ("$ t u p i d", "stupid"), ("such a m  o  r  o  n", "moron"),
+    ("m\u00a0o\u00a0r\u00a0o\u00a0n", "moron"), ("st upid people", "stupid"), ("that is a (m o r o n!)", "moron"), ("i d 1 o t", "idiot"),
+    ("m\no\nr\no\nn", "moron"), ("I D I O O O O T", "idiot"), ("pat het ic.", "pathetic")])
+def test_words_with_blanks_inside(model, text, word):
+    assert word in toxicity.Reader(model.costs, model.weights).words(text)
+
+
+@pytest.mark.parametrize("text", ["plan a b c of the list", "1 2 3 4 5", "x = a + b", "- - -", "", "a b", "I a m"])
+def test_single_signs_that_mean_no_harm(model, text):
+    reader = toxicity.Reader(model.costs, model.weights)
+    assert all(reader.weight(w) < 2 for w in reader.words(text))
+
+
+def test_decoding_finds_the_cheapest_way_with_blanks(model):
+    """Against all ways through the lattice, with the gain of known words."""
+    from itertools import product
+
+    known = {"moron", "idiot", "you"}
+    begins = {w[:n] for w in known for n in range(1, len(w) + 1)}
+
+    def cost(text):
+        a = b = 0
+        total = 0.0
+        for c in text + " ":
+            z = toxicity.code(c)
+            total += model.costs[a, b, z]
+            a, b = b, z
+        return total - toxicity.GAIN * sum(w in known for w in text.split())
+
+    for signs in ("a m o r o n", "y o u 1 d i o t", "i i i d i o t", "a b b a", "é t é s"):
+        ways = toxicity.spaced(signs.split())
+        every = {}
+        for p in product(*ways):
+            text = "".join(x for x, _ in p)
+            every[text] = min(every.get(text, np.inf), cost(text) + sum(e for _, e in p))
+        assert every[" ".join(toxicity.decode(ways, model.costs, known, begins))] == pytest.approx(min(every.values()))
+
+
+def test_counting_and_decoding_agree_on_classes():
+    table = toxicity.codes_table()
+    for c in "azAZéß漢あ한𠀀 .1_":
+        assert table[min(ord(c), toxicity.LAST_LETTER)] == toxicity.code(c.lower())
+
+
 def test_viterbi_finds_the_cheapest_reading(model):
     """Against all readings of the lattice."""
     from itertools import product

@@ -1,10 +1,12 @@
 """Toxicity of texts whose words may be disguised.
 
-A word with look-alike signs, drawn-out letters, inner separators or spaced
-letters is a lattice: every sign may stand for some letters, a run of one
-letter for one or two of it, a separator for nothing.  The cheapest way
-through the lattice under a character model restores the word (Viterbi over
-pairs of letters).  Plain words have one way only and are left as they are.
+A word with look-alike signs, drawn-out letters or inner separators is a
+lattice: every sign may stand for some letters, a run of one letter for one or
+two of it, a separator for nothing.  The cheapest way through the lattice under
+a character model restores the word (Viterbi over pairs of letters).  Blanks are
+part of the lattice where letters stand apart or pieces may belong together: a
+blank is nothing or the end of a word, and what the lexicon knows is cheaper.
+Plain words have one way only and are left as they are.
 
 The character model counts the letter triples of the whole corpus.  A lexicon
 of words and word beginnings that set toxic documents apart is learnt from the
@@ -18,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Container, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -42,8 +45,11 @@ DRAWN_OUT = re.compile(r"([^\W\d_])\1\1")
 SIGN = re.compile("[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "]")
 TRAILING = re.compile(r"(?:([^\w\s])\1{2,}|[.,!?;:\"')\]}%&#*])+$")
 LEADING = re.compile(r"^[\"'(\[{.,;:#*&%-]+")
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ \t][^\W_]){2,}(?!\S)")
-COSTS = {"sign": 1.0, "one_of_run": 0.5, "two_of_run": 1.5, "separator": 0.5}
+#: Marks around the first or last of some letters that stand apart.
+AROUND = ".,;:?!\"'()[]"
+COSTS = {"sign": 1.0, "one_of_run": 0.5, "two_of_run": 1.5, "separator": 0.5, "word_end": 1.0, "joined": 1.0}
+#: What a reading gains by a word that the lexicon has, and code points from which on there are no letters.
+GAIN, LAST_LETTER = 4.0, 0x32400
 
 
 def code(c: str) -> int:
@@ -53,11 +59,10 @@ def code(c: str) -> int:
     return 27 + ord(c) % 37 if c.isalpha() else 0
 
 
+@cache
 def codes_table() -> np.ndarray:
-    table = np.zeros(0x3000, np.int64)
-    for i in range(len(table)):
-        table[i] = code(chr(i).lower()) if len(chr(i).lower()) == 1 else 0
-    return table
+    """The class of every code point in lower case, as ``code`` gives it."""
+    return np.array([code(chr(i).lower()[0]) for i in range(LAST_LETTER)] + [0], np.int64)
 
 
 def triples(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -69,7 +74,7 @@ def triples(docs: DataFrame, text_col: str) -> np.ndarray:
                 points = np.frombuffer((text.as_py() or "").encode("utf-32-le", "replace"), np.uint32)
                 for k in range(0, len(points), 1 << 20):
                     part = points[max(0, k - 2):k + (1 << 20)]
-                    c = np.where(part < len(table), table[np.minimum(part, len(table) - 1)], 0)
+                    c = table[np.minimum(part, LAST_LETTER)]
                     c = np.concatenate(([0], c, [0])) if len(points) <= 1 << 20 else c
                     total += np.bincount((c[:-2] * LETTERS + c[1:-1]) * LETTERS + c[2:], minlength=LETTERS ** 3)
         at = np.flatnonzero(total)
@@ -160,15 +165,88 @@ def reading(word: str, costs: np.ndarray, known: Container[str] = ()) -> str:
     return next((text for cost, text in found if text in known and cost <= found[0][0] + MARGIN), found[0][1])
 
 
-def spaced(text: str, points: np.ndarray) -> list[str]:
-    """Words whose letters stand apart, as in ``w o r d``."""
-    blank = (points == 32) | (points == 9) | (points == 10)
-    blank = np.concatenate(([True], blank, [True]))
-    alone = blank[:-2] & ~blank[1:-1] & blank[2:]
-    # Three single letters with one blank between them.
-    if len(alone) < 5 or not (alone[:-4] & alone[2:-2] & alone[4:]).any():
-        return []
-    return [re.sub(r"\s", "", m) for m in SPACED.findall(text)]
+Way = tuple[str, float]
+
+
+def spaced(signs: list[str]) -> list[list[Way]]:
+    """The lattice of single signs that stand apart; a blank between two is nothing or a word end."""
+    out: list[list[Way]] = []
+    i = 0
+    while i < len(signs):
+        j = i + 1
+        while j < len(signs) and signs[j] == signs[i]:
+            j += 1
+        # Three of one sign are drawn out; two may belong to two words.
+        step = j - i if j - i >= 3 else 1
+        if out:
+            out.append([("", 0.0), (" ", COSTS["word_end"])])
+        out += lattice(signs[i] * step)
+        i += step
+    return out
+
+
+def pieces(parts: list[str]) -> list[list[Way]]:
+    """The lattice of parts of words; a blank between two is a word end or nothing."""
+    out = lattice(parts[0])
+    for part in parts[1:]:
+        out += [[(" ", 0.0), ("", COSTS["joined"])], *lattice(part)]
+    return out
+
+
+def decode(ways: list[list[Way]], costs: np.ndarray, known: Container[str] = (), begins: Container[str] = (), gain: float = GAIN) -> list[str]:
+    """The words of the cheapest way through a lattice with blanks.
+
+    A state is the last two letters and the word so far while some word of
+    ``known`` begins with it; ``begins`` has those beginnings.  Every word that
+    is in ``known`` makes a way cheaper by ``gain``.
+    """
+    now: dict[tuple, tuple] = {(0, 0, ""): (0.0, None)}
+    for options in [*ways, [(" ", 0.0)]]:
+        after: dict[tuple, tuple] = {}
+        for (x0, y0, so_far), (cost, path) in now.items():
+            for letters, extra in options:
+                x, y, word, total = x0, y0, so_far, cost + extra
+                for c in letters:
+                    z = code(c)
+                    total += costs[x, y, z]
+                    x, y = y, z
+                    if c == " ":
+                        total, word = total - (gain if word and word in known else 0.0), ""
+                    elif word is not None:
+                        word = word + c if word + c in begins else None
+                if (x, y, word) not in after or total < after[x, y, word][0]:
+                    after[x, y, word] = total, (path, letters)
+        now = after
+    path, parts = min(now.values(), key=lambda found: found[0])[1], []
+    while path is not None:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts)).split()
+
+
+def alone(word: str) -> bool:
+    return word in LOOKALIKES or word.isalpha()
+
+
+def runs(words: list[str]) -> list[list[str]]:
+    """Three or more single signs in a row, two of them letters at least; marks may stand before the first and after the last."""
+    out = []
+    at = [i for i, w in enumerate(words) if len(w) == 1 and alone(w)]
+    k = 0
+    while k < len(at):
+        j = k + 1
+        while j < len(at) and at[j] == at[j - 1] + 1:
+            j += 1
+        first, after = at[k], at[j - 1] + 1
+        signs = words[first:after]
+        if len(signs) > 1:
+            before = words[first - 1].lstrip(AROUND) if first else ""
+            behind = words[after].rstrip(AROUND) if after < len(words) else ""
+            signs = [before] * (len(before) == 1 and before.isalpha()) + signs + [behind] * (len(behind) == 1 and behind.isalpha())
+            if len(signs) > 2 and sum(c.isalpha() for c in signs) > 1:
+                out.append(signs)
+        k = j
+    return out
 
 
 def features_of(word: str) -> list[str]:
@@ -181,6 +259,8 @@ class Reader:
 
     def __init__(self, costs: np.ndarray, weights: dict[str, float] | None = None):
         self.costs, self.weights = costs, weights or {}
+        whole = [w for w in self.weights if not w.endswith("*")]
+        self.begins = {w[:n] for w in whole for n in range(1, len(w) + 1)}
         self.seen: dict[str, object] = {}
 
     def _known(self, word: str, make: Callable[[str], object]) -> object:
@@ -192,8 +272,32 @@ class Reader:
         return found
 
     def words(self, text: str) -> list[str]:
-        points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        return text.split() + spaced(text, points)
+        """Words of a text as they stand, then those that come out of letters set apart and of pieces."""
+        words = text.lower().split()
+        out = list(words)
+        for signs in runs(words):
+            out += decode(spaced(signs), self.costs, self.weights, self.begins)
+        begins = self.begins
+        if begins:
+            for i, word in enumerate(words):
+                if word in begins:
+                    out += self.joined(words, i)
+        return out
+
+    def joined(self, words: list[str], i: int) -> list[str]:
+        """Words of the lexicon whose pieces begin at place ``i``, if they are more likely whole."""
+        out, whole = [], words[i]
+        for j in range(i + 1, len(words)):
+            if not words[j].isalpha():
+                ends = whole + plain(words[j])
+            else:
+                ends = whole + words[j]
+            if ends != whole and ends in self.weights and decode(pieces([*words[i:j], ends[len(whole):]]), self.costs) == [ends]:
+                out.append(ends)
+            whole += words[j]
+            if whole not in self.begins:
+                break
+        return out
 
     def restored(self, text: str) -> set[str]:
         out: set[str] = set()
@@ -268,7 +372,9 @@ def learn(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     kept = weight.filter("w >= 0.7 AND z >= 3").orderBy(F.desc("z"), "feature").limit(LEXICON).collect()
     weights = {r["feature"]: float(r["w"]) for r in kept} if toxic and clean else {}
     reader = vectors(costs, weights)
-    second = rows.filter("half = 1").select("id", "y", reader(F.col("text")).alias("x")).toPandas().sort_values(["id", "y"])
+    # Documents may repeat an id: the score is fitted on as many rows as there may be labels.
+    second = rows.filter("half = 1").select("id", "y", reader(F.col("text")).alias("x"))
+    second = second.orderBy(order, "id", "y", "x").limit(labelled_rows).toPandas()
     y = second["y"].to_numpy(float)
     w = fit(np.stack(second["x"]).astype(float), y, ridge=0.5) if len(np.unique(y)) == 2 else np.zeros(DIM)
     return Model(costs, weights, w)
