@@ -57,21 +57,24 @@ def targets(sizes: DataFrame, weights: list[float], budget: float, epochs: int)
 def numbered(sizes: DataFrame, seed: int) -> DataFrame:
     """Add ``order``, the shuffle key of a row, to (id, source, size, hash, nth).
 
-    Rows that agree in id, source, size and text are numbered, and the number is
-    part of the key: they spread over the queue, and which row has which number
+    It is a hash of id and size.  Rows that share it, as null ids and repeated
+    rows do, get a hash of source and text instead, and of a number where these
+    agree too: they spread over the queue, and which row has which number
     changes nothing that can be seen.  Numbers run on over the partitions that
     ``nth`` names in its upper bits, so equal rows are never in one task.
     """
-    said = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("id", "size", "hash")]
-    rows = sizes.withColumn("same", F.md5(F.concat_ws("|", F.lit(str(seed)), *said, F.col("source")))).withColumn(
-        "part", F.shiftright("nth", 33))
+    base = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("-")), F.col("size").cast("string")))
+    rows = sizes.withColumn("base", base).withColumn("part", F.shiftright("nth", 33)).withColumn(
+        "same", F.md5(F.concat_ws("|", "base", F.coalesce(F.col("hash").cast("string"), F.lit("-")), F.col("source"))))
+    shared = rows.groupBy("base").agg(F.count("*").alias("n")).filter("n > 1").select("base", F.lit(True).alias("shared"))
     within = F.row_number().over(Window.partitionBy("same", "part").orderBy("nth"))
     earlier = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = rows.groupBy("same", "part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(earlier))
     ahead = stored(ahead.filter("before > 0").select("same", "part", "before"), "repeats")
     number = F.col("within") + F.coalesce("before", F.lit(0))
-    out = rows.withColumn("within", within).join(ahead, ["same", "part"], "left")
-    return out.select(*sizes.columns, F.md5(F.concat_ws("|", "same", number.cast("string"))).alias("order"))
+    out = rows.withColumn("within", within).join(ahead, ["same", "part"], "left").join(stored(shared, "shared"), "base", "left")
+    order = F.when(F.col("shared"), F.md5(F.concat_ws("|", "same", number.cast("string")))).otherwise(F.col("base"))
+    return out.select(*sizes.columns, order.alias("order"))
 
 
 def queue(sizes: DataFrame, shares: DataFrame, epochs: int, seed: int) -> DataFrame:
@@ -109,7 +112,7 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, epochs: int
     sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_in_words(F.col(text_col)).alias("size"),
                                F.xxhash64(text_col).alias("hash"), (F.monotonically_increasing_id() if nth is None else nth).alias("nth")), "sizes")
     shares = stored(targets(sizes, weights, budget, epochs), "targets")
-    place = ["finish", "order", "copy"]
+    place = ["finish", "source", "id", "size", "copy", "order"]
     ranged = queue(sizes, shares, epochs, seed).repartitionByRange(*place).sortWithinPartitions(*place)
     copies = stored(ranged.withColumn("range", F.spark_partition_id()), "queue")
     # Not the sum of the targets, whose last bits depend on the order of adding.
