@@ -1,11 +1,18 @@
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from toneflow.operators import model as M
+from toneflow.operators import softmax
 from toneflow.operators.model import score_with_all
 from toneflow.operators.sampling import stratified_split
+from toneflow.operators.softmax import as_model, fit_all
 from toneflow.plans.evaluation import compare_models
 from toneflow.plans.labelling import build_dataset
 from toneflow.plans.training import fine_tune
@@ -49,23 +56,78 @@ def test_saved_model_evaluates_alike(model, split, tmp_path):
 
 
 def test_variants(split):
-    best, model, tried = M.select_variant(*split, features=1 << 10, max_iter=5)
-    losses = {name: loss for name, _, loss, _ in tried}
-    assert set(losses) == set(M.VARIANTS) and losses[best] == min(losses.values())
-    by_accuracy, _, tried = M.select_variant(*split, metric="accuracy", features=1 << 10, max_iter=5)
-    scores = {name: acc for name, _, _, acc in tried}
-    assert scores[by_accuracy] == max(scores.values())
+    kept = M.select_variant(*split, features=1 << 10, max_iter=5)
+    losses = {name: loss for name, _, loss, _ in kept.tried}
+    assert set(losses) == set(M.VARIANTS) and losses[kept.variant] == min(losses.values())
+    by_accuracy = M.select_variant(*split, metric="accuracy", features=1 << 10, max_iter=5)
+    scores = {name: acc for name, _, _, acc in by_accuracy.tried}
+    assert scores[by_accuracy.variant] == max(scores.values())
 
 
 def test_history(spark, split):
-    _, train, val = M.prepared(*split, features=1 << 10)
-    rows = M.training_history(train, val, max_iter=4)
-    losses = [r[1] for r in rows]
-    assert [r[0] for r in rows] == [1, 2, 3, 4] and losses == sorted(losses, reverse=True)
-    whole = M.regression(max_iter=4).fit(train).summary.objectiveHistory
-    assert losses == pytest.approx(whole[1:])
-    history = spark.createDataFrame([*rows, *M.training_history(train, max_iter=1)], M.HISTORY)
-    assert M.complete_rows(history).count() == 4
+    kept = M.select_variant(*split, features=1 << 10, max_iter=4)
+    alone = M.select_variant(split[0], None, variants={"only": 0.05}, features=1 << 10, max_iter=4)
+    for rows in (*kept.histories.values(), *alone.histories.values()):
+        losses = [r[1] for r in rows]
+        assert [r[0] for r in rows] == [0, 1, 2, 3, 4] and losses == sorted(losses, reverse=True)
+        assert losses[0] == pytest.approx(math.log(3)) and losses[-1] < losses[0]
+    # Variants do not influence each other, and held-out rows do not train.
+    assert [r[1] for r in alone.histories["only"]] == pytest.approx([r[1] for r in kept.histories["improved"]])
+    history = spark.createDataFrame([*kept.histories["improved"], *alone.histories["only"]], M.HISTORY)
+    assert M.complete_rows(history).count() == 5
+
+
+@pytest.mark.parametrize("reg_param", [0.01, 0.3])
+def test_same_optimum_as_spark_ml(split, reg_param):
+    extract, rows = M.prepared(*split, features=1 << 10)
+    fits, deviations = fit_all(rows, {"x": reg_param}, 1 << 10, 60)
+    theirs = LogisticRegression(labelCol="label_id", weightCol="weight", regParam=reg_param, maxIter=200, tol=1e-9,
+                                family="multinomial").fit(rows.where("weight IS NOT NULL"))
+    assert fits["x"].loss == pytest.approx(theirs.summary.objectiveHistory[-1], rel=1e-3)
+    probs = [{r.text: r.p for r in stage.transform(extract.transform(split[1]))
+              .select("text", vector_to_array("probability").alias("p")).collect()} for stage in (as_model(fits["x"], deviations), theirs)]
+    for text, p in probs[0].items():
+        assert p == pytest.approx(probs[1][text], abs=0.02)
+
+
+def test_validation_scores_are_those_of_the_model(split):
+    kept = M.select_variant(*split, features=1 << 10, max_iter=6)
+    scored = M.predict(kept.model, split[1]).collect()
+    _, _, loss, accuracy = next(t for t in kept.tried if t[0] == kept.variant)
+    assert accuracy == pytest.approx(sum(r.pred == r.label for r in scored) / len(scored))
+    assert loss == pytest.approx(-sum(math.log(r.probs[r.label]) for r in scored) / len(scored))
+
+
+def test_a_pass_is_a_step_of_all_variants(split, monkeypatch):
+    passes = []
+    real = softmax.one_pass
+    monkeypatch.setattr(softmax, "one_pass", lambda *a: passes.append(1) or real(*a))
+    M.select_variant(*split, features=1 << 10, max_iter=4)
+    assert len(passes) == 5
+
+
+def test_gradient_is_the_slope_of_the_loss(split, monkeypatch):
+    monkeypatch.setattr(softmax, "CHUNK", 7)
+    monkeypatch.setattr(softmax, "BLOCK", 3)
+    _, rows = M.prepared(*split, features=16)
+    at, change = np.random.default_rng(1).normal(size=(2, 16, 3)) * 0.3
+    free = np.array([0.1, -0.2, 0.3])
+    def value(t):
+        return softmax.one_pass(rows, at + t * change, free)[1][0, 0]
+    gradient, _ = softmax.one_pass(rows, at, free)
+    assert (value(1e-4) - value(-1e-4)) / 2e-4 == pytest.approx((gradient * change).sum(), rel=1e-5)
+
+
+def test_odd_training_rows(spark, split):
+    odd = spark.createDataFrame([("n1", "", "neutral"), ("n2", None, "neutral"), ("n3", "profit " * 30000, "positive")],
+                                "id string, text string, label string")
+    train = split[0].select("id", "text", "label")
+    kept = M.select_variant(train.union(odd.fillna("")), odd.fillna("").withColumn("label", F.lit("mixed")), features=64, max_iter=2)
+    assert kept.tried[0][2:] == (None, None)  # no held-out row has a known label
+    with pytest.raises(ValueError, match="no rows to train on"):
+        M.train(train.limit(0), features=64)
+    only = M.train(train.where("label = 'neutral'"), features=64, max_iter=2)
+    assert {r.pred for r in M.predict(only, train).collect()} == {"neutral"}
 
 
 def test_rows_without_a_weight_are_not_dropped(spark):
@@ -158,10 +220,10 @@ def test_models_are_compared_in_one_pass(spark, split):
 def test_training_run(spark, split, tmp_path):
     rows = split[0].unionByName(split[1]).drop("split")
     run = fine_tune(rows.withColumnRenamed("label", "weak_label"), "id", variants={"a": 0.01, "b": 0.3},
-                    path=f"{tmp_path}/m", features=1 << 10, max_iter=5, history_iterations=2)
+                    path=f"{tmp_path}/m", features=1 << 10, max_iter=2)
     metrics = run.metrics.first()
     assert metrics.model == run.variant and metrics.accuracy > 0.95 and metrics.f1_macro > 0.9
-    assert len(run.tried) == 2 and [r[0] for r in run.history] == [1, 2] and run.history[-1][2] is not None
+    assert len(run.tried) == 2 and [r[0] for r in run.history] == [0, 1, 2] and run.history[-1][2] is not None
     assert M.evaluate(f"{tmp_path}/m", rows).where("label = 'accuracy'").first().f1 > 0.95
     dated = rows.withColumn("published_at", F.timestamp_seconds(F.abs(F.hash("id"))))
     by_time = fine_tune(dated, "id", by_time=True, variants={"a": 0.01}, weights_from_all=True,

@@ -165,8 +165,9 @@ def ml2(spark, d):
     """Losses and accuracies of all variants against those that predictions on the held-out rows give anew."""
     train, val = split_rows(spark, d)
     rows, held = [], val.count()
-    best, model, tried = M.select_variant(train, val, max_iter=10)
-    hits = M.predict(model, val).where("pred = label").count()
+    kept = M.select_variant(train, val, max_iter=10)
+    best, tried = kept.variant, kept.tried
+    hits = M.predict(kept.model, val).where("pred = label").count()
     for name, reg, loss, accuracy in tried:
         # An accuracy is a whole number of held-out rows; that of the kept model is counted again.
         whole = abs(accuracy * held - round(accuracy * held)) < 1e-6 and (name != best or round(accuracy * held) == hits)
@@ -227,13 +228,26 @@ def ml4(spark, d):
     return M.evaluate(path, val).select("label", "support", (scores[0] & scores[1] & scores[2]).alias("in_range"))
 
 
-@query("ml5_training_history", """SELECT unnest(range(1, 6))::INT AS iteration, TRUE AS not_rising, TRUE AS validated""")
+@query("ml5_training_history", f"""WITH {_RANKED}, held AS (SELECT count(*) AS n_held_out, count(DISTINCT label) AS classes
+  FROM ranked WHERE rn <= tail), seen AS (SELECT count(*) AS n_rows FROM ranked)
+SELECT unnest(range(0, 6))::INT AS iteration, n_rows, n_held_out, round_even(ln(classes), 6) + 0.0 AS start_loss,
+  round_even(ln(classes), 6) + 0.0 AS start_eval_loss, TRUE AS not_rising, TRUE AS below_start, TRUE AS share_of_rows
+FROM held, seen""")
 def ml5(spark, d):
-    run = fine_tune(gold_rows(spark, d), "doc_id", variants={"improved": 0.05}, max_iter=10, history_iterations=5)
+    """A run's history: balanced classes start at the logarithm of their number, and from there losses only fall."""
+    gold = gold_rows(spark, d)
+    run = fine_tune(gold, "doc_id", variants={"improved": 0.05}, max_iter=5)
     history = M.complete_rows(spark.createDataFrame(run.history, M.HISTORY))
+    held = split(gold, "doc_id")[1].count()
     before = F.lag("loss").over(Window.orderBy("iteration"))  # one row per iteration
-    return history.select("iteration", (F.coalesce(before, F.lit(1e9)) >= F.col("loss")).alias("not_rising"),
-                          ((F.col("eval_loss") > 0) & F.col("eval_accuracy").between(0, 1)).alias("validated"))
+    start, start_eval = run.history[0][1:3]
+    hits = F.col("eval_accuracy") * held
+    return history.select(
+        "iteration", F.lit(gold.count()).cast("bigint").alias("n_rows"), F.lit(held).cast("bigint").alias("n_held_out"),
+        sql.r6(F.lit(start)).alias("start_loss"), sql.r6(F.lit(start_eval)).alias("start_eval_loss"),
+        (F.coalesce(before, F.lit(1e9)) >= F.col("loss")).alias("not_rising"),
+        ((F.col("iteration") == 0) | (F.col("loss") < start)).alias("below_start"),
+        (F.abs(hits - F.round(hits)) < 1e-6).alias("share_of_rows"))
 
 
 def counter_model(up, down):

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -19,6 +18,7 @@ from pyspark.sql.types import StringType
 from toneflow.functions.labels import decide, label_to_id, normalise_label
 from toneflow.operators.evaluate import classification_report, counts
 from toneflow.operators.sampling import class_weights
+from toneflow.operators.softmax import as_model, fit_all
 from toneflow.session import sized
 
 
@@ -145,12 +145,6 @@ def text_features(features: int = FEATURES) -> Pipeline:
     ])
 
 
-def regression(reg_param: float = 0.01, max_iter: int = 20) -> LogisticRegression:
-    """Three-class regression that honours row weights."""
-    return LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight",
-                              regParam=reg_param, maxIter=max_iter, family="multinomial")
-
-
 def _with_label_id(df: DataFrame) -> DataFrame:
     return df.withColumn("label_id", label_to_id(F.col("label")).cast("double"))
 
@@ -158,9 +152,8 @@ def _with_label_id(df: DataFrame) -> DataFrame:
 def train(df: DataFrame, reg_param: float = 0.01, basis: DataFrame | None = None,
           features: int = FEATURES, max_iter: int = 20) -> PipelineModel:
     """Fit on (text, label) with balanced class weights."""
-    _, model, _ = select_variant(df, None, variants={"only": reg_param}, basis=basis,
-                                 features=features, max_iter=max_iter)
-    return model
+    return select_variant(df, None, variants={"only": reg_param}, basis=basis,
+                          features=features, max_iter=max_iter).model
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -177,43 +170,51 @@ VARIANTS = {"original": 0.01, "improved": 0.05, "aggressive": 0.3}
 
 
 def prepared(train_rows: DataFrame, val_rows: DataFrame | None, basis: DataFrame | None = None,
-             features: int = FEATURES) -> tuple[PipelineModel, DataFrame, DataFrame | None]:
-    """The fitted feature extraction and the held features of training and validation rows."""
+             features: int = FEATURES) -> tuple[PipelineModel, DataFrame]:
+    """The fitted feature extraction and the stored features of all rows; ``weight`` is null in validation rows.
+
+    Validation rows without a known label have no loss and are left out.
+    """
+    if train_rows.isEmpty():
+        raise ValueError("there are no rows to train on")
     ready = _with_label_id(with_class_weights(train_rows, basis))
     extract = text_features(features).fit(ready)
-    columns = ["features", "label_id"]
-    train_features = extract.transform(ready).select(*columns, "weight").persist()
-    if val_rows is None:
-        return extract, train_features, None
-    return extract, train_features, extract.transform(_with_label_id(val_rows)).select(*columns).persist()
+    columns = ["features", "label_id", "weight"]
+    rows = extract.transform(ready).select(*columns)
+    if val_rows is not None:
+        known = _with_label_id(val_rows).where("label_id IS NOT NULL").withColumn("weight", F.lit(None).cast("double"))
+        rows = rows.union(extract.transform(known).select(*columns))
+    return extract, sized(rows)
+
+
+@dataclass(frozen=True)
+class Selection:
+    """The kept variant, its model, rows (variant, regularisation, loss, accuracy), and the history of every variant."""
+
+    variant: str
+    model: PipelineModel
+    tried: list[tuple[str, float, float | None, float | None]]
+    histories: dict[str, list[tuple]]
 
 
 def select_variant(
     train_rows: DataFrame, val_rows: DataFrame | None, metric: str = "loss",
     variants: Mapping[str, float] | None = None, basis: DataFrame | None = None,
     features: int = FEATURES, max_iter: int = 20,
-) -> tuple[str, PipelineModel, list[tuple[str, float, float | None, float | None]]]:
+) -> Selection:
     """Train every variant and keep the best on the validation rows.
 
     ``metric`` is ``loss`` (lowest) or ``accuracy`` (highest); without
     validation rows the first variant is kept.  Texts are turned into features
-    once and held while the variants train.  Returns the name, the model and
-    rows (variant, regularisation, loss, accuracy).
+    once, and a pass over them steps all variants and judges the points they
+    were at on the validation rows.
     """
-    extract, train_features, val_features = prepared(train_rows, val_rows, basis, features)
-    tried = {}
-    for name, reg_param in (variants or VARIANTS).items():
-        fitted = regression(reg_param, max_iter).fit(train_features)
-        loss = accuracy = None
-        if val_features is not None:
-            loss, accuracy = validation_scores(fitted, val_features)
-        tried[name] = (fitted, reg_param, loss, accuracy)
-    train_features.unpersist()
-    rows = [(n, r, loss, acc) for n, (_, r, loss, acc) in tried.items()]
-    if val_features is not None:
-        val_features.unpersist()
-    best = rows[0][0] if val_features is None else best_variant(rows, metric)
-    return best, PipelineModel(stages=[*extract.stages, tried[best][0]]), rows
+    extract, rows = prepared(train_rows, val_rows, basis, features)
+    fits, deviations = fit_all(rows, variants or VARIANTS, features, max_iter)
+    tried = [(name, fit.reg_param, *fit.scores) for name, fit in fits.items()]
+    best = tried[0][0] if tried[0][2] is None else best_variant(tried, metric)
+    model = PipelineModel(stages=[*extract.stages, as_model(fits[best], deviations)])
+    return Selection(best, model, tried, {name: fit.history for name, fit in fits.items()})
 
 
 def best_variant(tried: Sequence[tuple[str, float, float, float]], metric: str = "loss") -> str:
@@ -230,32 +231,6 @@ def evaluate(model: PipelineModel | str, df: DataFrame) -> DataFrame:
     return classification_report(counts(pairs))
 
 
-def training_history(ready: DataFrame, validation: DataFrame | None = None, reg_param: float = 0.01,
-                     max_iter: int = 20) -> list[tuple]:
-    """Rows (iteration, loss, eval_loss, eval_accuracy) of a run over prepared features.
-
-    The optimiser is restarted for 1, 2, ... iterations, which takes the same
-    steps, so every iteration has a validation value; without ``validation`` the
-    two are null.  Both tables should be held.
-    """
-    rows = []
-    for i in range(1, max_iter + 1):
-        fitted = regression(reg_param, i).fit(ready)
-        losses = fitted.summary.objectiveHistory
-        if i > 1 and len(losses) <= len(rows):
-            break  # it had converged before
-        scores = (None, None) if validation is None else validation_scores(fitted, validation)
-        rows.append((i, float(losses[-1]), *scores))
-    return rows
-
-
-def validation_scores(fitted: LogisticRegressionModel, rows: DataFrame) -> tuple[float, float]:
-    """(log loss, accuracy) on labelled features."""
-    output = fitted.transform(rows)
-    return tuple(MulticlassClassificationEvaluator(labelCol="label_id", metricName=m).evaluate(output)
-                 for m in ("logLoss", "accuracy"))
-
-
 HISTORY = "iteration int, loss double, eval_loss double, eval_accuracy double"
 
 

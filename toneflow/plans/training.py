@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from toneflow.operators import model as M
 from toneflow.operators.evaluate import counts, training_metrics
 from toneflow.operators.sampling import stratified_split, time_split
+from toneflow.session import sized
 
 
 @dataclass(frozen=True)
@@ -32,32 +33,23 @@ def with_label(df: DataFrame) -> DataFrame:
 
 def split(df: DataFrame, key: str, by_time: bool = False) -> tuple[DataFrame, DataFrame]:
     """Training and validation rows: the newest fifth, or a fifth of every label."""
-    parts = (time_split if by_time else stratified_split)(df, key).persist()
+    parts = sized((time_split if by_time else stratified_split)(df, key))
     return parts.where("split = 'train'"), parts.where("split = 'val'")
 
 
 def fine_tune(df: DataFrame, key: str, by_time: bool = False, metric: str = "loss",
               variants: Mapping[str, float] | None = None, path: str | None = None,
-              weights_from_all: bool = False, history_iterations: int = 0, **settings: int) -> Training:
+              weights_from_all: bool = False, **settings: int) -> Training:
     """Split, weight, train all variants, keep the best, evaluate it, save it if asked.
 
     Class weights come from the training rows unless ``weights_from_all``.  The
-    history of the kept variant, with validation values, is made for the first
-    ``history_iterations`` only: each is a run of its own.
+    history is that of the kept variant, with validation values.
     """
     rows = with_label(df)
     train, val = split(rows, key, by_time)
-    name, model, tried = M.select_variant(train, val, metric, variants,
-                                          rows if weights_from_all else None, **settings)
+    kept = M.select_variant(train, val, metric, variants, rows if weights_from_all else None, **settings)
     if path:
-        model.write().overwrite().save(path)
-    pairs = M.predict(model, val).select(
-        F.lit(name).alias("model"), F.col("label").alias("true_label"), "pred")
-    history = []
-    if history_iterations:
-        _, ready, held_out = M.prepared(train, val, rows if weights_from_all else None, settings.get("features", M.FEATURES))
-        reg_param = next(t[1] for t in tried if t[0] == name)
-        history = M.training_history(ready, held_out, reg_param, history_iterations)
-        ready.unpersist()
-        held_out.unpersist()
-    return Training(name, model, tried, training_metrics(counts(pairs)), history)
+        kept.model.write().overwrite().save(path)
+    pairs = M.predict(kept.model, val).select(
+        F.lit(kept.variant).alias("model"), F.col("label").alias("true_label"), "pred")
+    return Training(kept.variant, kept.model, kept.tried, training_metrics(counts(pairs)), kept.histories[kept.variant])
