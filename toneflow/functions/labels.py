@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from toneflow.functions import bind, lookup
-from toneflow.functions.text import WORD, tokens
+from toneflow.functions.text import tokens
 from toneflow.schemas import LABELS
 
 
@@ -43,26 +42,13 @@ EMOTION_TONE = {
     "fear": "neutral", "surprise": "neutral", "disgust": "neutral",
 }
 
-# Word lists up to this length are matched with one pattern.
-SHORT_LIST = 40
-
 LABEL_CUT = 0.2
 TRUST_MODEL_FROM = 0.6
 
 
 def listed_words(text: Column, words: Sequence[str]) -> Column:
-    """Every token of ``text`` that is in ``words``, in lower case.
-
-    A short list is searched for directly, between token boundaries; a long
-    one is checked token by token against a hash set.
-    """
-    if len(words) > SHORT_LIST:
-        return F.filter(tokens(text), lambda w: w.isin(*words))
-    spelled = [w for w in words if re.fullmatch(WORD, w)]
-    if not spelled:
-        return F.array().cast("array<string>")
-    pattern = rf"(?<![A-Za-z'])(?i:{'|'.join(spelled)})(?![A-Za-z'])"
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.lower(w))
+    """Every token of ``text`` that is in ``words``, in lower case."""
+    return F.filter(tokens(text), lambda w: w.isin(*words))
 
 
 def score_lexicon(text: Column, lexicon: Lexicon = FINANCE) -> Column:
