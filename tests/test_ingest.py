@@ -145,6 +145,46 @@ def test_article_sink(profile, spark, tmp_path, landed):
     assert spark.read.parquet(f"{tmp_path}/parquet").count() == 8
 
 
+def test_article_sink_writes_rows_once(spark, tmp_path, monkeypatch):
+    schema = "request string, published_at timestamp, text string"
+    def batch(*rows):
+        return spark.createDataFrame([(r, datetime.fromisoformat(d) if d else None, t) for r, d, t in rows], schema)
+
+    writes = []
+    real = writers.write_table
+    monkeypatch.setattr(writers, "write_table", lambda *a, **k: writes.append(a[1]) or real(*a, **k))
+    path = f"{tmp_path}/articles"
+    odd = "BRK/B=x +%2F"
+    first = batch(("Ab", "2024-01-02", "1"), ("Ab", "2024-01-02", "2"), ("aB", "2024-01-02", "3"), ("aB", None, "4"),
+                  (odd, "2024-01-05", "5"), ("none", None, "6"), (None, "2024-01-02", "7"))
+    def stored():
+        back = spark.read.schema("text string, ticker string, batch_date string").parquet(path)
+        return sorted((r.ticker, r.batch_date, r.text) for r in back.collect())
+
+    assert writers.write_articles(first, path) == 5
+    assert len(writes) == 1 and not list(tmp_path.glob("articles/_staged/*"))
+    kept = [("ab", "20240102", t) for t in "1234"] + [(odd.lower(), "20240105", "5")]
+    assert stored() == sorted(kept)
+    # The same batch again changes nothing; a new one replaces the days it names.
+    assert writers.write_articles(first, path) == 5 and stored() == sorted(kept)
+    assert writers.write_articles(batch(("AB", "2024-01-02", "8"), ("AB", "2024-01-03", "9"), ("ab", "2024-01-03", "10")), path) == 3
+    assert stored() == sorted([("ab", "20240102", "8"), ("ab", "20240102", "9"), ("ab", "20240103", "10"), kept[-1]])
+
+
+def test_broken_off_article_sink_loses_nothing(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("A", datetime(2024, 1, 2), "old")], "request string, published_at timestamp, text string")
+    path = f"{tmp_path}/articles"
+    writers.write_articles(df, path)
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(writers, "_publish", broken)
+        with pytest.raises(OSError, match="gone"):
+            writers.write_articles(df.withColumn("text", F.lit("new")), path)
+    assert [r.text for r in spark.read.parquet(path).collect()] == ["old"] and not list(tmp_path.glob("articles/_staged/*"))
+
+
 def test_hot_key_keeps_its_first_copy(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("hash"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toneflow.functions.dates import day, day_stamp
 from toneflow.operators.daily import detect_alerts, rolling_trend
 from toneflow.operators.evaluate import to_wide
-from toneflow.session import sized
 from toneflow.sources.readers import CSV_READ, is_csv
 
 CSV_WRITE = {
@@ -60,22 +61,63 @@ def modal_day(df: DataFrame, by: tuple[str, ...] = (), ts: str = "published_at")
 def write_articles(df: DataFrame, path: str, file_format: str = "parquet") -> int:
     """Store accepted articles by ticker and modal day; returns the number of rows.
 
-    ``df`` has a column ``request``, the ticker the article was fetched for.
-    It is stored once in the scratch folder, and both the modal day and the rows
-    themselves are read from there.  Rebalancing merges small partitions and splits large ones, so that neither
-    many tiny files nor one huge task comes out.
+    ``df`` has a column ``request``, the ticker the article was fetched for; rows
+    without one, and those of a request without any publish day, are not stored.
+    Rows are written once, by request, to a hidden folder in ``path``.  The modal
+    days are counted there, from the publish times alone, and the files are then
+    moved to the folders of ticker and day.  Such a folder gets its new files
+    before its old ones go: a job that breaks off loses nothing, and running it
+    again replaces what it left.  Rebalancing merges small partitions and splits
+    large ones, so that neither many tiny files nor one huge task comes out.
     """
-    df = sized(df)
-    days = modal_day(df, ("request",)).withColumn("batch_date", day_stamp(F.col("batch_date")))
-    seen = Observation("articles")
-    placed = (
-        df.join(sized(days), "request")
-        .withColumn("ticker", F.lower("request")).drop("request")
-        .hint("rebalance", "ticker", "batch_date")
-        .observe(seen, F.count(F.lit(1)).alias("n"))
-    )
-    write_table(placed, path, file_format, ("ticker", "batch_date"), dynamic=True)
-    return seen.get["n"]
+    spark = df.sparkSession
+    staged_at = f"{path.rstrip('/')}/_staged/{uuid.uuid4().hex}"
+    rows = df.where("request IS NOT NULL").withColumns({"_request": F.md5("request"), "ticker": F.lower("request")}).drop("request")
+    try:
+        write_table(rows.hint("rebalance", "_request"), staged_at, file_format, ("_request", "ticker"), mode="errorifexists")
+        csv = file_format.lower() == "csv"
+        reader = spark.read.schema((flat(rows) if csv else rows).schema)
+        staged = reader.options(**CSV_READ).csv(staged_at) if csv else reader.parquet(staged_at)
+        rows_of = staged.groupBy("_request").agg(F.count(F.lit(1)).alias("n"))
+        days = modal_day(staged, ("_request",)).withColumn("batch_date", day_stamp(F.col("batch_date")))
+        found = days.join(rows_of, "_request").collect()  # one row per request
+        _publish(spark, path, staged_at, {r["_request"]: r["batch_date"] for r in found})
+        return sum(r["n"] for r in found)
+    finally:
+        _file_system(spark, path).delete(_path(spark, staged_at), True)
+
+
+def _path(spark: SparkSession, *names: object) -> object:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(*names)
+
+
+def _file_system(spark: SparkSession, path: str) -> object:
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, path: str, staged_at: str, days: dict[str, str]) -> None:
+    """Move the files of staged requests to ``ticker=.../batch_date=...``, in place of what is there."""
+    files = _file_system(spark, path)
+
+    def inside(folder: object) -> list:
+        return [s.getPath() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+    # Requests that differ in case share a folder, so files are gathered by folder first.
+    moves: dict[str, list[tuple[str, object]]] = {}
+    folders = {}
+    for request, day_name in days.items():
+        for ticker in inside(_path(spark, f"{staged_at}/_request={request}")):
+            folder = _path(spark, _path(spark, path, ticker.getName()), f"batch_date={day_name}")
+            folders[folder.toString()] = folder
+            moves.setdefault(folder.toString(), []).extend((request, file) for file in inside(ticker))
+    for name, staged in moves.items():
+        old = inside(folders[name])
+        files.mkdirs(folders[name])
+        for request, file in staged:
+            if not files.rename(file, _path(spark, folders[name], f"{request}-{file.getName()}")):
+                raise OSError(f"could not move {file.toString()} to {name}")
+        for file in old:
+            files.delete(file, True)
 
 
 def write_report(daily: DataFrame, out_dir: str, window: int = 7, z_threshold: float = 2.5,
