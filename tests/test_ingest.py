@@ -360,6 +360,34 @@ def test_detection_shuffles_sums_only(spark, profile):
     assert payload and "SortMergeJoin [request" in plan
 
 
+@pytest.mark.parametrize("room", [0, 12, 1 << 20])
+def test_rare_words_count_like_frequent_ones(spark, monkeypatch, room):
+    """Whatever share of the words is broadcast; repeated and null keys are one text each."""
+    monkeypatch.setattr(language, "HEAD_WEIGHTS", room)
+    profile = language.learn_profile(spark.createDataFrame(CORPUS, "text string, lang string"))
+    long = "hund" * 40
+    texts = [(1, "the thedog"), (1, "der die die die die"), (None, "katzen"), (None, "l'été chat"), (2, "123"), (3, None), (4, "qqq"), (5, f"{long} {long} the")]
+    weight = {(w.code, r.gram): w.weight for r in profile.collect() for w in r.weights}
+    codes, want = sorted({c for c, _ in weight}), {}
+    for key in {k for k, _ in texts}:
+        known = [g for k, t in texts if k == key for g in plain_grams(t) if ("de", g) in weight]
+        want[key] = max(codes, key=lambda c: (sum(weight[c, g] for g in known), [-ord(x) for x in c])) if known else "unknown"
+    got = language.detect_language(spark.createDataFrame(texts, "i int, text string"), ["i"], F.col("text"), profile).collect()
+    assert {r.i: r.language for r in got} == want and len(got) == len(want)
+
+
+def test_grams_are_not_joined_text_by_text(spark, profile):
+    """Also when no table is small enough for the planner to broadcast; a corpus is counted by words first."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert "hashpartitioning(word#" in language.gram_counts(df)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = language.detect_language(df, ["doc_id"], F.col("text"), profile)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "regexp_extract_all" not in plan and "hashpartitioning(_gram#" not in plan
+
+
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]
 

@@ -6,9 +6,11 @@ score in a language is the sum over its grams, every occurrence counting; grams
 the corpus never had say nothing.  Weights are whole thousandths, so sums do not
 depend on their order.
 
-Texts are taken apart where they are read and joined with the profile, which the
-planner broadcasts while it is small; sums are added up per row before anything
-is shuffled.
+Every gram lies in one word, so grams are made of distinct words, not of texts: a
+corpus is counted by words first, and a text's score is the sum over its words.
+The words most frequent in the profile are broadcast with their weights, as many
+as fit a fixed number; sums are added up per row before anything is shuffled.
+Only the other words, few in any language, are shuffled, once per row.
 """
 
 from __future__ import annotations
@@ -31,6 +33,11 @@ TRIGRAM = r"(?=([ \p{L}]\p{L}[ \p{L}]))"
 SMOOTHING = 0.5
 SCALE = 1000
 
+#: Numbers that are broadcast with the most frequent words: one per word and language.
+HEAD_WEIGHTS = 1 << 20
+#: Letters beyond which a word goes by its digest.
+LONG_WORD = 64
+
 UNKNOWN = "unknown"
 
 
@@ -54,6 +61,12 @@ def grams(text: Column) -> Column:
     return bind(words(text), of)
 
 
+def word_grams(word: Column) -> tuple[Column, Column]:
+    """The marked word and the trigrams of one lower-case word; the grams of a text are those of its words."""
+    line = F.concat(F.lit(" "), word, F.lit(" "))
+    return F.concat(F.lit("="), word), F.regexp_extract_all(line, F.lit(TRIGRAM), F.lit(1))
+
+
 def gram_counts(df: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
     """(gram, counts): occurrences of every gram in every language, ``counts`` being (code, n) in code order.
 
@@ -61,16 +74,19 @@ def gram_counts(df: DataFrame, text: str = "text", language: str = "lang") -> Da
     """
     known = df.where(F.col(language).isNotNull())
     codes = sorted(r[0] for r in known.select(language).distinct().collect())
-    rows = known.select(F.col(language).alias("language"), F.explode(grams(F.col(text))).alias("gram"))
-    n = [F.count(F.when(F.col("language") == c, 1)).alias(f"n{i}") for i, c in enumerate(codes)]
+    rows = known.select(F.col(language).alias("language"), F.explode(words(F.col(text))).alias("word"))
+    names = [f"n{i}" for i in range(len(codes))]
     if not codes:
-        return rows.select("gram", F.array().cast("array<struct<code:string,n:bigint>>").alias("counts"))
-    return rows.groupBy("gram").agg(*n).select("gram", F.array(*[
-        F.struct(F.lit(c).alias("code"), F.col(f"n{i}").alias("n")) for i, c in enumerate(codes)]).alias("counts"))
+        return rows.select(F.col("word").alias("gram"), F.array().cast("array<struct<code:string,n:bigint>>").alias("counts"))
+    of_words = rows.groupBy("word").agg(*[F.count(F.when(F.col("language") == c, 1)).alias(n) for n, c in zip(names, codes, strict=True)])
+    whole, parts = word_grams(F.col("word"))
+    of_grams = of_words.select(F.explode(F.concat(F.array(whole), parts)).alias("gram"), *names).groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
+    return of_grams.select("gram", F.array(*[
+        F.struct(F.lit(c).alias("code"), F.col(n).alias("n")) for n, c in zip(names, codes, strict=True)]).alias("counts"))
 
 
 def weigh(counts: DataFrame) -> DataFrame:
-    """(gram, weights): smoothed log-probabilities of the grams, ``weights`` being (code, weight) in code order."""
+    """(gram, counts, weights): smoothed log-probabilities of the grams, ``weights`` being (code, weight) in code order."""
     counts = sized(counts)
     first = counts.first()
     codes = [c["code"] for c in first["counts"]] if first else []
@@ -82,12 +98,46 @@ def weigh(counts: DataFrame) -> DataFrame:
         return F.round(SCALE * F.log(share)).cast("bigint").alias("weight")
 
     weights = [F.struct(F.lit(c).alias("code"), weight(i)) for i, c in enumerate(codes)]
-    return counts.select("gram", F.array(*weights).cast("array<struct<code:string,weight:bigint>>").alias("weights"))
+    return counts.select("gram", "counts", F.array(*weights).cast("array<struct<code:string,weight:bigint>>").alias("weights"))
 
 
 def learn_profile(df: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
     """The profile of a labelled corpus, all rows and grams of it, stored with its true size."""
-    return sized(weigh(gram_counts(df, text, language)))
+    return sized(weigh(gram_counts(df, text, language)).drop("counts"))
+
+
+def _word_key(word: Column) -> Column:
+    """The word itself, or a digest of a very long one, which would else be repeated with each of its grams."""
+    return F.when(F.length(word) > LONG_WORD, F.concat(F.lit("#"), F.sha2(word, 256))).otherwise(word)
+
+
+def _trigrams(profile: DataFrame) -> DataFrame:
+    """The trigrams of a profile with their own size; there are far fewer of them than words."""
+    return sized(profile.where(~F.startswith("gram", F.lit("="))))
+
+
+def _word_weights(words: DataFrame, profile: DataFrame, trigrams: DataFrame, codes: list[str]) -> DataFrame:
+    """(_key, _sum0, _sum1, ...): the sums of the weights of the words' grams; words of which the profile has none are left out."""
+    # The key comes first: beside a generator it would be computed for every gram.
+    keyed = words.withColumn("_key", _word_key(F.col("_word")))
+    whole, parts = word_grams(F.col("_word"))
+    found = keyed.select("_key", whole.alias("gram")).join(profile, "gram").unionByName(
+        keyed.select("_key", F.explode(parts).alias("gram")).join(trigrams, "gram"))
+    return found.groupBy("_key").agg(*[F.sum(F.col("weights")[i]["weight"]).alias(f"_sum{i}") for i in range(len(codes))])
+
+
+def _frequent_words(profile: DataFrame, codes: list[str]) -> DataFrame:
+    """(_word): the words that are most frequent in any language, as many whole ranks as ``HEAD_WEIGHTS`` allows."""
+    ranked = profile.where(F.startswith("gram", F.lit("="))).select(
+        F.expr("substring(gram, 2)").alias("_word"), F.array_max("weights.weight").alias("_rank"))
+    least, room = None, HEAD_WEIGHTS // len(codes)
+    # One row per weight, a whole thousandth of a logarithm.
+    for rank, n in ranked.groupBy("_rank").count().orderBy(F.desc("_rank")).collect():
+        room -= n
+        if room < 0:
+            break
+        least = rank
+    return ranked.where(F.col("_rank") >= F.lit(least).cast("bigint")).select("_word")
 
 
 def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataFrame) -> DataFrame:
@@ -99,9 +149,19 @@ def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataF
     codes = [w["code"] for w in first["weights"]] if first else []
     if not codes:
         return df.select(*keys, F.lit(UNKNOWN).alias("language"))
-    rows = df.select(*keys, F.explode_outer(grams(text)).alias("_gram"))
-    found = rows.join(profile.withColumnRenamed("gram", "_gram"), "_gram", "left")
-    sums = found.groupBy(*keys).agg(*[F.sum(F.col("weights")[i]["weight"]).alias(f"_sum{i}") for i in range(len(codes))])
+    sums = [f"_sum{i}" for i in range(len(codes))]
+    trigrams = _trigrams(profile)
+    head = sized(_word_weights(_frequent_words(profile, codes), profile, trigrams, codes))
+    rows = df.select(*keys, F.explode_outer(words(text)).alias("_word")) \
+        .withColumn("_key", _word_key(F.col("_word"))).join(F.broadcast(head), "_key", "left")
+    rare = F.when(F.col("_sum0").isNull(), F.col("_word")).alias("_rare")
+    parts = sized(rows.groupBy(*keys, rare).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(s) for s in sums]))
+    left = parts.where("_rare IS NOT NULL").select(*keys, F.col("_rare").alias("_word"), "_n")
+    weights = sized(_word_weights(left.select("_word").distinct(), profile, trigrams, codes))
+    found = left.withColumn("_key", _word_key(F.col("_word"))).join(weights, "_key", "left") \
+        .select(*keys, *[(F.col("_n") * F.col(s)).alias(s) for s in sums])
+    # Rows without a rare word stay out of the join, where their nulls would meet in one task.
+    scores = parts.where("_rare IS NULL").select(*keys, *sums).unionByName(found).groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
     best = F.array_max(F.array(*[F.struct(F.col(f"_sum{i}").alias("sum"), F.lit(-i).alias("rank"), F.lit(c).alias("code"))
                                  for i, c in enumerate(codes)]))
-    return sums.select(*keys, bind(best, lambda top: F.when(top["sum"].isNull(), UNKNOWN).otherwise(top["code"])).alias("language"))
+    return scores.select(*keys, bind(best, lambda top: F.when(top["sum"].isNull(), UNKNOWN).otherwise(top["code"])).alias("language"))
