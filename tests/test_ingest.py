@@ -388,6 +388,14 @@ def test_grams_are_not_joined_text_by_text(spark, profile):
     assert "regexp_extract_all" not in plan and "hashpartitioning(_gram#" not in plan
 
 
+def test_counts_stay_beside_their_weights(spark):
+    """A profile with counts needs no join of the two."""
+    counts = language.gram_counts(spark.createDataFrame(CORPUS, "text string, lang string"))
+    both = language.weigh(counts)
+    assert both.columns == ["gram", "counts", "weights"] and "Join" not in both._jdf.queryExecution().executedPlan().toString()
+    assert {(r.gram, tuple(map(tuple, r.counts))) for r in both.collect()} == {(r.gram, tuple(map(tuple, r.counts))) for r in counts.collect()}
+
+
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]
 

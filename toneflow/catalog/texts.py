@@ -12,7 +12,6 @@ from toneflow.operators import language
 from toneflow.operators.articles import mentions
 from toneflow.operators.evaluate import counts
 from toneflow.operators.terms import find_terms
-from toneflow.session import sized
 
 
 def pages(spark, d):
@@ -178,8 +177,7 @@ def txt14(spark, d):
 
 @query("txt15_language_profile", f"WITH {sql.profile()} SELECT gram, code AS language, n, weight FROM profile")
 def txt15_profile(spark, d):
-    counts = sized(language.gram_counts(fixtures.documents(spark, d)))
-    both = counts.join(language.weigh(counts), "gram")
+    both = language.weigh(language.gram_counts(fixtures.documents(spark, d)))
     return both.select("gram", F.explode(F.arrays_zip("counts", "weights")).alias("of")).select(
         "gram", F.col("of.counts.code").alias("language"), F.col("of.counts.n").alias("n"), F.col("of.weights.weight").alias("weight"))
 
