@@ -56,6 +56,27 @@ def test_texts_are_not_shuffled(spark):
     assert {tuple(r) for r in found.collect()} == {(k, w) for k, t in texts.items() for w in words if w in t}
 
 
+def test_few_terms_are_searched_for_directly(spark):
+    """No text is taken apart for them, and rows that share a key stay rows."""
+    df = spark.createDataFrame([(1, "The theme"), (1, "the"), (None, "HE "), (2, None), (3, "other")], "id int, body string")
+    wanted = ["THE", "he", "He", "h", " ", "", None]
+    found = terms.find_terms(df, "id", F.col("body"), spark.createDataFrame([(w,) for w in wanted], "term string"))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(i, t) for i, b in df.collect() if b for t in ("the", "he", "h", " ") if t in b.lower()], key=str)
+
+
+def test_texts_are_looked_up_by_words(spark):
+    """Long lists: words of texts are looked up, not runs of signs; a term in several words of a row comes once."""
+    texts = ["the over-other others", "over New York, newyork", "anew yorks x9 é", "", "😀 9x9 OTHER other", "new york"]
+    wanted = [f"{a}{b}" for a in "tonex9é" for b in "hvterwx9 -é"] + ["new york", "w y", ", n", "9", "other o", "😀 9", "York,"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts) for _ in range(2)], "id int, body string")
+    found = terms.find_terms(df, "id", F.col("body"), spark.createDataFrame([(w,) for w in wanted], "term string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "(.{" not in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted(by_hand(texts, wanted) * 2)
+
+
 def test_tickers_anywhere(spark):
     df = spark.createDataFrame([(1, "The theme"), (2, "other"), (3, "HE")], "id int, body string")
     watch = spark.createDataFrame([("THE",), ("he",), ("He",)], "ticker string")

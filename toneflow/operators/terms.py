@@ -2,12 +2,17 @@
 
 Every term is entered in an inverted index under one of its runs of 1, 2, 4 or 8
 characters, as long a run as it has, and of these the one that fewest terms
-share.  The distinct runs of a text are looked up, and only the terms found
-there are searched for in the text.  So work grows with the texts and the hits,
-not with texts times terms.
-
-Texts stay in the task that reads them: the index is broadcast in blocks of a
+share.  The longest run of letters and digits of a term, its piece, lies inside
+one word of any text that has the term, so it is the distinct words of all texts
+that are taken apart and looked up in the index, not the texts.  The words with
+a piece are broadcast to the texts, and only the terms found there are searched
+for.  Work grows with the texts and the hits, not with texts times terms.  Terms
+without letters and digits are looked up by the runs of the texts, and so are all
+terms when too many words have a piece.
+
+Texts stay in the task that reads them: what is broadcast comes in blocks of a
 measured size, one pass over the texts a block; few lists need a second one.
+Up to ``FEW`` terms are searched for one by one.
 """
 
 from __future__ import annotations
@@ -17,11 +22,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from toneflow.functions import bind
 from toneflow.session import sized
 
+#: What words are made of.
+SIGN = r"[\p{L}\p{N}]"
+#: Terms that every text is searched for one by one.
+FEW = 32
 GRAMS = (1, 2, 4, 8)
 #: Characters of terms and grams that are broadcast at a time.
 BLOCK_CHARS = 1 << 24
+#: Passes over the texts that cost no more than taking them apart into runs.
+WORD_BLOCKS = 6
 
 
 def _runs(text: Column, length: int) -> Column:
@@ -43,22 +55,79 @@ def term_index(terms: DataFrame, term: str = "term") -> DataFrame:
     return chosen.groupBy("gram", "size").agg(F.sort_array(F.collect_list("term")).alias("terms"))
 
 
+def _search(df: DataFrame, keep: list[str], low: Column, terms: DataFrame, found: str) -> DataFrame:
+    """(keep, found) for every term that occurs in the lower-case text ``low``, by the runs of the text."""
+    index = sized(term_index(terms))
+    width = F.sum(F.length("gram") + F.aggregate("terms", F.lit(0), lambda n, t: n + F.length(t)))
+    size = index.agg(width, F.sort_array(F.collect_set("size"))).first()
+    sizes, blocks = size[1], 1 + (size[0] or 0) // BLOCK_CHARS
+    texts = df.select(*keep, low.alias("_low"))
+    grams = F.array_distinct(F.flatten(F.array(*[_runs(F.col("_low"), n) for n in sizes or GRAMS[:1]])))
+    rows = texts.select(*keep, "_low", F.explode(grams).alias("_gram"))
+
+    def hits(block: int) -> DataFrame:
+        part = index.where(_block("gram", blocks) == block).select(F.col("gram").alias("_gram"), "terms")
+        near = rows.join(F.broadcast(part), "_gram").select(*keep, "_low", F.explode("terms").alias(found))
+        return near.where(F.contains("_low", found)).select(*keep, found)
+
+    return reduce(DataFrame.unionByName, map(hits, range(blocks)))
+
+
+def _block(column: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(blocks))
+
+
+def _long_words(text: Column, least: int) -> Column:
+    """Distinct words of a text that have ``least`` signs or more, in the order of their first places."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"{SIGN}{{{least},}}"), F.lit(0)))
+
+
 def find_terms(df: DataFrame, key: str, text: Column, terms: DataFrame, term: str = "term") -> DataFrame:
     """(key, term) for every term, in lower case, that occurs anywhere in a text, regardless of case.
 
     ``key`` identifies a row.  Null and empty terms and texts match nothing.
     """
-    index = sized(term_index(terms, term))
-    width = F.sum(F.length("gram") + F.aggregate("terms", F.lit(0), lambda n, t: n + F.length(t)))
-    found = index.agg(width, F.sort_array(F.collect_set("size"))).first()
-    sizes, blocks = found[1], 1 + (found[0] or 0) // BLOCK_CHARS
-    low = df.select(key, F.lower(text).alias("_low"))
-    grams = F.array_distinct(F.flatten(F.array(*[_runs(F.col("_low"), n) for n in sizes or GRAMS[:1]])))
-    rows = low.select(key, "_low", F.explode(grams).alias("gram"))
+    low, wanted = F.lower(text), sized(terms.select(F.lower(term).alias("term")).where("term <> ''").distinct())
+    few = wanted.limit(FEW + 1).collect()
+    if len(few) <= FEW:
+        listed = F.array(*[F.lit(r["term"]) for r in few]).cast("array<string>")
+        within = bind(low, lambda body: F.filter(listed, lambda t: F.contains(body, t)))
+        return df.select(key, F.explode(within).alias("term"))
+    runs = F.regexp_extract_all("term", F.lit(f"{SIGN}+"), F.lit(0))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"]
+    cut = sized(wanted.select("term", longest.alias("piece")))
+    least, bare = cut.agg(F.min(F.length("piece")), F.count_if(F.col("piece").isNull())).first()
+    by_words = _by_words(df, key, low, cut.where("piece IS NOT NULL"), least) if least else None
+    if by_words is None:
+        return _search(df, [key], low, wanted, "term")
+    return by_words.unionByName(_search(df, [key], low, cut.where("piece IS NULL").select("term"), "term")) if bare else by_words
+
+
+def _by_words(df: DataFrame, key: str, low: Column, cut: DataFrame, least: int) -> DataFrame | None:
+    """(key, term) of terms with a piece, a run of signs that lies inside one word of any text with the term.
+
+    None when so many words have a piece that the texts would be read more than ``WORD_BLOCKS`` times.
+    """
+    words = sized(df.select(F.explode(_long_words(low, least)).alias("_word")).distinct())
+    pieces = cut.groupBy("piece").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    found = _search(words, ["_word"], F.col("_word"), cut.select(F.col("piece").alias("term")).distinct(), "piece")
+    hit = sized(found.join(pieces, "piece").groupBy("_word").agg(F.collect_list(F.struct("piece", "terms")).alias("pieces")))
+    width = F.length("_word") + F.aggregate("pieces", F.lit(0), lambda n, p: n + F.length(p["piece"]) + F.aggregate(
+        p["terms"], F.lit(0), lambda m, t: m + F.length(t)))
+    blocks = 1 + (hit.agg(F.sum(width)).first()[0] or 0) // BLOCK_CHARS
+    line = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
+    if blocks > WORD_BLOCKS:
+        return None
+    texts = df.select(key, low.alias("_low")).withColumn("_words", _long_words(F.col("_low"), least)).withColumn("_line", line)
+    rows = texts.select(key, "_low", "_line", F.explode("_words").alias("_word"))
+    piece, word = F.col("_of.piece"), F.col("_word")
+    # Of the words of a text that have a piece, the first one counts.
+    first = F.instr("_line", piece) == F.instr("_line", F.concat(F.lit(" "), word, F.lit(" "))) + F.instr(word, piece)
 
     def hits(block: int) -> DataFrame:
-        part = index.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == block).drop("size")
-        near = rows.join(F.broadcast(part), "gram").select(key, "_low", F.explode("terms").alias("term"))
-        return near.where(F.contains("_low", "term")).select(key, "term")
+        part = hit.where(_block("_word", blocks) == block)
+        near = rows.join(F.broadcast(part), "_word").select(key, "_low", "_line", "_word", F.explode("pieces").alias("_of"))
+        named = near.where(first).select(key, "_low", piece.alias("_piece"), F.explode("_of.terms").alias("term"))
+        return named.where((F.col("term") == F.col("_piece")) | F.contains("_low", "term")).select(key, "term")
 
     return reduce(DataFrame.unionByName, map(hits, range(blocks)))
