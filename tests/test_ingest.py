@@ -396,6 +396,25 @@ def test_counts_stay_beside_their_weights(spark):
     assert {(r.gram, tuple(map(tuple, r.counts))) for r in both.collect()} == {(r.gram, tuple(map(tuple, r.counts))) for r in counts.collect()}
 
 
+def test_a_profile_is_prepared_once(spark, monkeypatch):
+    """A second poll stores its own sums and rare words only."""
+    profile, stored = language.learn_profile(spark.createDataFrame(CORPUS, "text string, lang string")), []
+    plain = language.sized
+    monkeypatch.setattr(language, "sized", lambda df: stored.append(df.columns) or plain(df))
+    df = spark.createDataFrame([(1, "the dog"), (2, "hunde")], "i int, text string")
+    first, second = (language.detect_language(df, ["i"], F.col("text"), profile) for _ in range(2))
+    assert len(stored) == 6 and sorted(first.collect()) == sorted(second.collect())
+
+
+def test_feed_is_landed_compressed(spark, tmp_path):
+    from toneflow import fixtures
+
+    path = fixtures.write_feed(spark, "/root/testdata/sf0.001", f"{tmp_path}/feed")
+    files = [f.name for f in (tmp_path / "feed").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert readers.read_pages(spark, path).count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]
 

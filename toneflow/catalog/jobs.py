@@ -285,7 +285,7 @@ def polled(spark, d):
     landed, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "live", "checkpoint"))
     known = profile(spark, d)
     for upto, since in ((1, 0), (4, 1), (1 << 30, 2)):
-        pages.where(F.col("page_no").between(since, upto)).write.mode("append").json(landed)
+        pages.where(F.col("page_no").between(since, upto)).write.mode("append").json(landed, compression="gzip")
         live_ingest.ingest_stream(live_ingest.page_stream(spark, landed), out, checkpoint, known).awaitTermination()
     return out
 

@@ -15,6 +15,8 @@ Only the other words, few in any language, are shuffled, once per row.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,11 +113,6 @@ def _word_key(word: Column) -> Column:
     return F.when(F.length(word) > LONG_WORD, F.concat(F.lit("#"), F.sha2(word, 256))).otherwise(word)
 
 
-def _trigrams(profile: DataFrame) -> DataFrame:
-    """The trigrams of a profile with their own size; there are far fewer of them than words."""
-    return sized(profile.where(~F.startswith("gram", F.lit("="))))
-
-
 def _word_weights(words: DataFrame, profile: DataFrame, trigrams: DataFrame, codes: list[str]) -> DataFrame:
     """(_key, _sum0, _sum1, ...): the sums of the weights of the words' grams; words of which the profile has none are left out."""
     # The key comes first: beside a generator it would be computed for every gram.
@@ -140,18 +137,29 @@ def _frequent_words(profile: DataFrame, codes: list[str]) -> DataFrame:
     return ranked.where(F.col("_rank") >= F.lit(least).cast("bigint")).select("_word")
 
 
+@lru_cache(maxsize=8)
+def _prepared(profile: DataFrame) -> tuple[list[str], DataFrame | None, DataFrame | None]:
+    """The codes of a profile, its trigrams, of which there are far fewer than words, and its frequent words with their weights.
+
+    Made once for a profile, however many polls use it.
+    """
+    first = profile.first()
+    codes = [w["code"] for w in first["weights"]] if first else []
+    if not codes:
+        return codes, None, None
+    trigrams = sized(profile.where(~F.startswith("gram", F.lit("="))))
+    return codes, trigrams, sized(_word_weights(_frequent_words(profile, codes), profile, trigrams, codes))
+
+
 def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataFrame) -> DataFrame:
     """(keys, language) of every row: the code with the highest sum, ties in code order.
 
     ``keys`` identify a row.  Texts of which the profile has no gram are ``unknown``.
     """
-    first = profile.first()
-    codes = [w["code"] for w in first["weights"]] if first else []
+    codes, trigrams, head = _prepared(profile)
     if not codes:
         return df.select(*keys, F.lit(UNKNOWN).alias("language"))
     sums = [f"_sum{i}" for i in range(len(codes))]
-    trigrams = _trigrams(profile)
-    head = sized(_word_weights(_frequent_words(profile, codes), profile, trigrams, codes))
     rows = df.select(*keys, F.explode_outer(words(text)).alias("_word")) \
         .withColumn("_key", _word_key(F.col("_word"))).join(F.broadcast(head), "_key", "left")
     rare = F.when(F.col("_sum0").isNull(), F.col("_word")).alias("_rare")
