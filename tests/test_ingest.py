@@ -415,6 +415,18 @@ def test_feed_is_landed_compressed(spark, tmp_path):
     assert readers.read_pages(spark, path).count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
 
 
+def test_feed_is_packed_fast(spark, tmp_path):
+    import zlib
+
+    from toneflow import fixtures
+
+    fixtures.write_feed(spark, "/root/testdata/sf0.001", f"{tmp_path}/feed")
+    packed = max((f.read_bytes() for f in (tmp_path / "feed").glob("part-*.gz")), key=len)
+    plain = zlib.decompress(packed, 31)
+    fast, hard = (abs(len(packed) - len(zlib.compress(plain, level))) for level in (1, 6))
+    assert fast < hard
+
+
 def test_raw_page_schema(spark):
     assert RAW_PAGE.fieldNames() == ["request", "page_no", "articles"]
 
