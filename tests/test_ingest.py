@@ -4,6 +4,7 @@ import json
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 from datetime import datetime
 
@@ -336,6 +337,40 @@ def test_scripts_without_blanks(spark):
     assert [r.language for r in got] == ["zh", "ja", "xx"]
 
 
+def test_words_of_mixed_scripts_by_hand(spark):
+    texts = ["ΌΣΟΣ ΣΑΣ, 公司of利润 x2y", "กำไรของ Firma ๑๒", "İstanbul ﬁrm ぁー々 〇 9", "l'été—ÀÉ\n\tok", "plain ASCII 3rd", "", None]
+
+    def plain(text):
+        low = re.sub(f"({language.UNSPACED})", r" \1 ", (text or "").lower())
+        return "".join(c if unicodedata.category(c).startswith("L") else " " for c in low).split()
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = df.select("i", F.explode_outer(language.words(F.col("text"))).alias("w")).collect()
+    assert [[r.w for r in got if r.i == i and r.w is not None] for i in range(len(texts))] == [plain(t) for t in texts]
+
+
+def test_words_are_exploded_by_compiled_code(spark, profile):
+    """A lambda beside an explode would take it out of the generated code, which then hands on rows word by word."""
+    df = spark.createDataFrame([(1, "the dog", "en")], "i int, text string, lang string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = [language.gram_counts(df), df.select("i", F.explode_outer(language.words(F.col("text"))))]
+        steps = [line for x in found for line in x._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate " in line]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(steps) == 3 and all("*(" in line.split("Generate ")[0] for line in steps)
+
+
+def test_frequent_words_bring_their_weights(spark, monkeypatch):
+    """They come from the profile, so only their trigrams are looked up."""
+    profile, plans = language.learn_profile(spark.createDataFrame(CORPUS, "text string, lang string")), {}
+    plain = language.sized
+    monkeypatch.setattr(language, "sized", lambda df: plans.update({df.columns[0]: df._jdf.queryExecution().executedPlan().toString()}) or plain(df))
+    language._prepared(profile)
+    joins = [line for line in plans["_key"].splitlines() if "Join " in line]
+    assert len(joins) == 1
+
+
 def test_a_word_of_a_million_letters(spark):
     df = spark.range(1).select("id", F.repeat(F.lit("aé"), 500_000).alias("text"), F.lit("xx").alias("lang"))
     profile = language.learn_profile(df)

@@ -44,13 +44,16 @@ UNKNOWN = "unknown"
 
 
 def words(text: Column) -> Column:
-    """Lower-case words in any script."""
-    def spaced(low: Column) -> Column:
-        apart = F.regexp_replace(low, f"({UNSPACED})", " $1 ")
-        return F.when(F.rlike(low, F.lit(UNSPACED)), apart).otherwise(low)
+    """Lower-case words in any script.
 
+    ``text`` is mentioned several times rather than bound by a lambda, beside
+    which Spark would not compile an explode of the words.
+    """
     lower = F.lower(F.coalesce(text, F.lit("")))
-    return F.regexp_extract_all(bind(lower, spaced), F.lit(LETTERS), F.lit(0))
+    # Lower case changes none of these characters, and plain ASCII has none: there the lengths tell.
+    unspaced = (F.octet_length(text) > F.length(text)) & F.rlike(text, F.lit(UNSPACED))
+    spaced = F.when(unspaced, F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
+    return F.regexp_extract_all(spaced, F.lit(LETTERS), F.lit(0))
 
 
 def grams(text: Column) -> Column:
@@ -113,20 +116,26 @@ def _word_key(word: Column) -> Column:
     return F.when(F.length(word) > LONG_WORD, F.concat(F.lit("#"), F.sha2(word, 256))).otherwise(word)
 
 
-def _word_weights(words: DataFrame, profile: DataFrame, trigrams: DataFrame, codes: list[str]) -> DataFrame:
-    """(_key, _sum0, _sum1, ...): the sums of the weights of the words' grams; words of which the profile has none are left out."""
+def _keyed(words: DataFrame) -> DataFrame:
     # The key comes first: beside a generator it would be computed for every gram.
-    keyed = words.withColumn("_key", _word_key(F.col("_word")))
-    whole, parts = word_grams(F.col("_word"))
-    found = keyed.select("_key", whole.alias("gram")).join(profile, "gram").unionByName(
-        keyed.select("_key", F.explode(parts).alias("gram")).join(trigrams, "gram"))
+    return words.withColumn("_key", _word_key(F.col("_word")))
+
+
+def _word_weights(words: DataFrame, whole: DataFrame, trigrams: DataFrame, codes: list[str]) -> DataFrame:
+    """(_key, _sum0, _sum1, ...): the sums of the weights of the words' grams; words of which the profile has none are left out.
+
+    ``whole`` has (_key, weights) of the words themselves, as far as the profile knows them.
+    """
+    _, parts = word_grams(F.col("_word"))
+    pieces = _keyed(words).select("_key", F.explode(parts).alias("gram")).join(trigrams, "gram")
+    found = whole.select("_key", "weights").unionByName(pieces.select("_key", "weights"))
     return found.groupBy("_key").agg(*[F.sum(F.col("weights")[i]["weight"]).alias(f"_sum{i}") for i in range(len(codes))])
 
 
 def _frequent_words(profile: DataFrame, codes: list[str]) -> DataFrame:
-    """(_word): the words that are most frequent in any language, as many whole ranks as ``HEAD_WEIGHTS`` allows."""
+    """(_word, weights): the words that are most frequent in any language, as many whole ranks as ``HEAD_WEIGHTS`` allows."""
     ranked = profile.where(F.startswith("gram", F.lit("="))).select(
-        F.expr("substring(gram, 2)").alias("_word"), F.array_max("weights.weight").alias("_rank"))
+        F.expr("substring(gram, 2)").alias("_word"), "weights", F.array_max("weights.weight").alias("_rank"))
     least, room = None, HEAD_WEIGHTS // len(codes)
     # One row per weight, a whole thousandth of a logarithm.
     for rank, n in ranked.groupBy("_rank").count().orderBy(F.desc("_rank")).collect():
@@ -134,7 +143,7 @@ def _frequent_words(profile: DataFrame, codes: list[str]) -> DataFrame:
         if room < 0:
             break
         least = rank
-    return ranked.where(F.col("_rank") >= F.lit(least).cast("bigint")).select("_word")
+    return ranked.where(F.col("_rank") >= F.lit(least).cast("bigint")).select("_word", "weights")
 
 
 @lru_cache(maxsize=8)
@@ -148,7 +157,8 @@ def _prepared(profile: DataFrame) -> tuple[list[str], DataFrame | None, DataFram
     if not codes:
         return codes, None, None
     trigrams = sized(profile.where(~F.startswith("gram", F.lit("="))))
-    return codes, trigrams, sized(_word_weights(_frequent_words(profile, codes), profile, trigrams, codes))
+    frequent = _frequent_words(profile, codes)
+    return codes, trigrams, sized(_word_weights(frequent, _keyed(frequent), trigrams, codes))
 
 
 def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataFrame) -> DataFrame:
@@ -165,7 +175,9 @@ def detect_language(df: DataFrame, keys: list[str], text: Column, profile: DataF
     rare = F.when(F.col("_sum0").isNull(), F.col("_word")).alias("_rare")
     parts = sized(rows.groupBy(*keys, rare).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(s) for s in sums]))
     left = parts.where("_rare IS NOT NULL").select(*keys, F.col("_rare").alias("_word"), "_n")
-    weights = sized(_word_weights(left.select("_word").distinct(), profile, trigrams, codes))
+    unlisted = left.select("_word").distinct()
+    known = _keyed(unlisted).select("_key", word_grams(F.col("_word"))[0].alias("gram")).join(profile, "gram")
+    weights = sized(_word_weights(unlisted, known, trigrams, codes))
     found = left.withColumn("_key", _word_key(F.col("_word"))).join(weights, "_key", "left") \
         .select(*keys, *[(F.col("_n") * F.col(s)).alias(s) for s in sums])
     # Rows without a rare word stay out of the join, where their nulls would meet in one task.
