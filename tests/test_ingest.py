@@ -519,3 +519,19 @@ def test_csv_of_headers_only_and_of_nothing(spark, tmp_path):
     (tmp_path / "c.csv").write_text("")
     got = readers.read_csv(spark, [f"{tmp_path}/*.csv"]).select("hash", "title").collect()
     assert sorted(map(tuple, got)) == [("1", "x"), ("2", "y"), ("hash", "title")]  # a row may look like a header
+
+
+def test_payloads_take_their_sentences_without_patterns(spark, tmp_path):
+    from toneflow import fixtures
+
+    texts = ["a.b.c", "a.b", ".b", ".", "", "..", "a", "a\nb.c\nd.", "é.ü.", None, "a..b", "...x"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    raw = fixtures.raw_articles(spark, str(tmp_path))
+    assert "regexp" not in raw._jdf.queryExecution().executedPlan().toString()
+    for r in raw.collect():
+        text, parts = texts[r.doc_id - 1], (texts[r.doc_id - 1] or "").split(".")
+        second = parts[1] if len(parts) > 1 else ""
+        want = (None, None) if text is None else (parts[0], second)
+        assert (r.article.title, r.article.description) == (want[0], want[1] if r.doc_id % 7 else None)
