@@ -73,6 +73,23 @@ def test_archives_can_be_read_by_others(spark, pages):
     assert stored < packed + len(archives) * warc.DICTIONARY_BYTES
 
 
+@pytest.mark.parametrize("cut", [1, 40, 300])
+def test_a_head_at_the_end_of_a_read(spark, cut):
+    """The archive's last head begins ``cut`` bytes before a read of 1 MB ends, with little behind it."""
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+
+    def first(n):
+        return warc.record(1, "http://a/1", b"x" * n, hashlib.sha256(b"x" * n).hexdigest(), None, "t")
+
+    n = (2 << 20) - cut - len(info) - len(first(1 << 20))
+    writer = warc.Writer(scratch_path(spark, "warc"))
+    writer.add(first(n))
+    writer.add(warc.record(2, "http://a/2", b"y", hashlib.sha256(b"y").hexdigest(), None, "t"))
+    (path, records, raw), = writer.close()
+    got = [(h.get("X-Page-ID"), block.split(b"\r\n\r\n", 1)[1]) for h, block in warc.records_of(path) if h["WARC-Type"] != "warcinfo"]
+    assert records == 2 and got == [("1", b"x" * n), ("2", b"y")]
+
+
 def test_damage_is_noticed(spark, pages):
     archives = warc.write(pages([(1, "u", LONG)]).coalesce(1), scratch_path(spark, "warc"))
     assert warc.read_back(archives).count() == 1

@@ -142,9 +142,8 @@ def records_of(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
             return True
 
         while fill(1):
-            n = 4096
             while (end := held.find(b"\r\n\r\n")) < 0:
-                if not fill(n := max(n, len(held)) + 4096):
+                if not fill(len(held) + 1):  # the last head may have less behind it than any fixed step
                     raise ValueError(f"{path} breaks off")
             lines = bytes(held[:end]).decode("utf-8").split("\r\n")[1:]
             head = dict(x.split(": ", 1) for x in lines)
