@@ -77,6 +77,36 @@ def test_texts_are_looked_up_by_words(spark):
     assert sorted(map(tuple, found.collect())) == sorted(by_hand(texts, wanted) * 2)
 
 
+@pytest.mark.parametrize("block, passes", [(1 << 24, 6), (1 << 24, 0), (60, 6)])
+def test_many_words_are_shuffled(spark, monkeypatch, block, passes):
+    """One pass however many words have a piece; rows that share a key stay rows, a term in two words counts once."""
+    monkeypatch.setattr(terms, "NEAR_CHARS", 0)
+    monkeypatch.setattr(terms, "BLOCK_CHARS", block)
+    monkeypatch.setattr(terms, "WORD_BLOCKS", passes)
+    monkeypatch.setattr(terms, "_dense", lambda words, found: False)
+    texts = ["the over-other others", "over New York, newyork", "anew yorks x9 é", "", "😀 9x9 OTHER other", "new york", None]
+    single, longer = [f"{a}{b}" for a in "tonex9é" for b in "hvterwx9é"] + ["newyork"], ["new york", "w y", "other o", "York,"]
+    df = spark.createDataFrame([(i % 4 or None, t) for i, t in enumerate(texts) for _ in range(2)], "id int, body string")
+
+    def of(wanted):
+        return terms.find_terms(df, "id", F.col("body"), spark.createDataFrame([(w,) for w in wanted], "term string"))
+
+    for wanted in (single, single + longer):
+        want = sorted([(i % 4 or None, t) for i, t in by_hand(texts, wanted)] * 2, key=str)
+        assert sorted(map(tuple, of(wanted).collect()), key=str) == want
+    plan = of(single)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "regexp_extract_all" not in plan
+
+
+def test_short_terms_stay_with_their_texts(spark, monkeypatch):
+    """Where every word has several terms, words are not shuffled."""
+    monkeypatch.setattr(terms, "NEAR_CHARS", 0)
+    texts, wanted = ["abab baba abba", "aab", None, "b bb"], [a + b + c for a in "ab" for b in "abc " for c in ["", "a", "b", "ab", "ba"]]
+    found = run(spark, texts, wanted)
+    assert "Deduplicate" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, found.collect())) == by_hand(texts, wanted)
+
+
 def test_tickers_anywhere(spark):
     df = spark.createDataFrame([(1, "The theme"), (2, "other"), (3, "HE")], "id int, body string")
     watch = spark.createDataFrame([("THE",), ("he",), ("He",)], "ticker string")
